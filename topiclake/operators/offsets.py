@@ -41,23 +41,23 @@ def assign_dense(df: DataFrame, group_cols: list[str], order_cols: list[str], ou
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
     ranged = (ranged.sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_dn_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    ranged = (ranged.withColumn("_task", F.shiftright("_mid", _POS_BITS))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    pieces = (ranged.groupBy("_task", *group_cols)
-              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
-    w = (Window.partitionBy(*group_cols).orderBy("_task")
+    ranged = (ranged.withColumn("_dn_task", F.shiftright("_dn_mid", _POS_BITS))
+              .withColumn("_dn_pos", F.col("_dn_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+    pieces = (ranged.groupBy("_dn_task", *group_cols)
+              .agg(F.count(F.lit(1)).alias("_dn_n"), F.min("_dn_pos").alias("_dn_first")))
+    w = (Window.partitionBy(*group_cols).orderBy("_dn_task")
          .rowsBetween(Window.unboundedPreceding, -1)) if group_cols else \
-        Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+        Window.orderBy("_dn_task").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_dn_before", F.coalesce(F.sum("_dn_n").over(w), F.lit(0)))
     if isinstance(base, DataFrame):
-        b = base.select(*group_cols, F.col(base_col).alias("_base"))
+        b = base.select(*group_cols, F.col(base_col).alias("_dn_base"))
         pieces = pieces.join(broadcast_if_small(b), group_cols, "left")
-        pieces = pieces.withColumn("_before", F.col("_before") + F.coalesce(F.col("_base"), F.lit(0)))
+        pieces = pieces.withColumn("_dn_before", F.col("_dn_before") + F.coalesce(F.col("_dn_base"), F.lit(0)))
     elif base:
-        pieces = pieces.withColumn("_before", F.col("_before") + F.lit(int(base)))
-    pieces = pieces.select("_task", *group_cols, "_first", "_before")
-    out = ranged.join(broadcast_if_small(pieces), ["_task", *group_cols], "inner")
-    out = out.withColumn(out_col, (F.col("_before") + F.col("_pos") - F.col("_first")).cast("long"))
-    return out.drop("_mid", "_task", "_pos", "_first", "_before")
+        pieces = pieces.withColumn("_dn_before", F.col("_dn_before") + F.lit(int(base)))
+    pieces = pieces.select("_dn_task", *group_cols, "_dn_first", "_dn_before")
+    out = ranged.join(broadcast_if_small(pieces), ["_dn_task", *group_cols], "inner")
+    out = out.withColumn(out_col, (F.col("_dn_before") + F.col("_dn_pos") - F.col("_dn_first")).cast("long"))
+    return out.drop("_dn_mid", "_dn_task", "_dn_pos", "_dn_first", "_dn_before")
