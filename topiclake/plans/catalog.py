@@ -18,6 +18,7 @@ from ..functions import codec, jsonschema
 from ..operators import analytics, messages, registry as reg, sink
 from ..sources import fixtures, topiclog
 from ..sources.fixtures import EVENTS_V1, EVENTS_V2
+from ..streaming import feeds
 from . import sqlapi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -696,3 +697,62 @@ SELECT 'Partition watermarks', kv.k, kv.v FROM (
 def q_scan_report(spark, sf_dir):
     rep = topiclog.scan_report(_fx(spark, sf_dir).log.records(spark), "events")
     return rep.select("event", F.explode("info").alias("k", "v"))
+
+
+# ======================================================================== streaming
+# Each run gets a fresh sink + checkpoint folder in the shared folder and consumes
+# everything available (trigger availableNow); the result is the sink read as a table.
+
+
+@query("stream_tail", f"SELECT {_HEXED_SQL} FROM topic_log WHERE topic = 'events'")
+def q_stream_tail(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "tail")
+    return _hexed(feeds.tail(spark, fx.log, "events", f"{d}/sink", f"{d}/checkpoint"))
+
+
+@query("stream_ingest", f"SELECT {_HEXED_SQL} FROM topic_log WHERE topic IN ('orders', 'conversations')")
+def q_stream_ingest(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "ingest")
+    return _hexed(feeds.ingest_stream(spark, fx.log, f"{d}/table", f"{d}/checkpoint", ["orders", "conversations"]))
+
+
+@query("stream_dedup", f"SELECT {_HEXED_SQL} FROM topic_log WHERE topic = 'copy'")
+def q_stream_dedup(spark, sf_dir):
+    """At-least-once delivery: every record of ``copy`` lands twice; the stream keeps one."""
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "dedup")
+    recs = fx.log.records(spark).where(F.col("topic") == "copy")
+    for _ in range(2):
+        recs.write.mode("append").parquet(f"{d}/landing")
+    src = spark.readStream.schema(topiclog.LOG_SCHEMA).parquet(f"{d}/landing")
+    feeds.run_available_now(feeds.dedup_records(src), f"{d}/sink", f"{d}/checkpoint")
+    return _hexed(spark.read.parquet(f"{d}/sink"))
+
+
+@query("stream_latest_per_key", """
+SELECT topic, hex(key) AS key_hex, "partition", "offset", hex(message) AS message_hex FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic, key ORDER BY "partition" DESC, "offset" DESC) AS rn
+  FROM topic_log WHERE key IS NOT NULL AND topic = 'events') WHERE rn = 1 AND message IS NOT NULL""")
+def q_stream_latest_per_key(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "compact")
+    agg = feeds.latest_per_key_stream(feeds.stream_records(spark, fx.log, ["events"], max_files_per_trigger=4))
+    feeds.write_latest(agg, f"{d}/table", f"{d}/checkpoint")
+    out = spark.read.parquet(f"{d}/table").where(F.col("message").isNotNull())
+    return out.select("topic", F.hex("key").alias("key_hex"), "partition", "offset",
+                      F.hex("message").alias("message_hex"))
+
+
+@query("stream_window_counts")
+def q_stream_window_counts(spark, sf_dir):
+    """Watermarked tumbling counts; append mode emits closed windows only (checked in
+    tests against the batch counts of the windows the final watermark has passed)."""
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "windows")
+    counts = feeds.event_type_counts(feeds.stream_records(spark, fx.log, ["events"], max_files_per_trigger=4))
+    feeds.run_available_now(counts, f"{d}/sink", f"{d}/checkpoint")
+    out = spark.read.parquet(f"{d}/sink")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
