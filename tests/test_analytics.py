@@ -33,7 +33,7 @@ def test_tail_uses_group_limit(spark, fx):
 
 
 def test_enrich_broadcasts_small_dimension(spark, fx):
-    recs = fx.log.records(spark).where(F.col("topic") == "orders").withColumn("ck", F.lit(1).cast("long"))
+    recs = fx.log.records(spark).where(F.col("topic") == "orders").withColumn("ck", F.col("offset"))
     cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
     plan = analytics.enrich(recs, cust, F.col("ck"), "c_custkey")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan

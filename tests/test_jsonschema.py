@@ -98,7 +98,7 @@ SCHEMA = json.dumps({
     ('{"name":"ab"}', ["$: missing id"]),
     ('{"id":1,"name":"A"}', ["$.name: minLength", "$.name: pattern"]),
     ('{"id":1,"name":"ab","kind":"c"}', ["$.kind: not in enum"]),
-    ('{"id":1,"name":"ab","tags":["x","long"]}', ["$.tags: $.tags[]: maxLength"]),
+    ('{"id":1,"name":"ab","tags":["x","long"]}', ["$.tags[]: maxLength"]),
     ('{"id":1,"name":"ab","score":10}', ["$.score: exclusiveMaximum 10"]),
     ('{"id":1,"name":"ab","extra":1}', ["$: additional properties"]),
     ('[1]', ["$: expected type object"]),

@@ -751,7 +751,7 @@ def q_stream_window_counts(spark, sf_dir):
     tests against the batch counts of the windows the final watermark has passed)."""
     fx = _fx(spark, sf_dir)
     d = feeds.run_dir(spark, "windows")
-    counts = feeds.event_type_counts(feeds.stream_records(spark, fx.log, ["events"], max_files_per_trigger=4))
+    counts = feeds.event_type_counts(feeds.stream_records(spark, fx.log, ["events"]))
     feeds.run_available_now(counts, f"{d}/sink", f"{d}/checkpoint")
     out = spark.read.parquet(f"{d}/sink")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
