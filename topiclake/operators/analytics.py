@@ -39,7 +39,9 @@ def topic_rollup(records: DataFrame) -> DataFrame:
 def latest_per_key(records: DataFrame) -> DataFrame:
     """Topic compaction: the last record per key (by partition, offset); a tombstone as
     last record deletes the key. ``max_by`` combines per task before the shuffle, so a
-    hot key costs one partial row per task, not a sort of all its records."""
+    hot key costs one partial row per task in the exchange. (Its buffer carries the
+    binary payload, so Spark plans a sort-based aggregate: the map-side sort spills
+    instead of holding all keys in memory.)"""
     keyed = records.where(F.col("key").isNotNull())
     last = (keyed.groupBy("topic", "key")
             .agg(F.max_by(F.struct("partition", "offset", "message"),
@@ -61,11 +63,10 @@ def offset_gaps(records: DataFrame, bucket: int = GAP_BUCKET) -> DataFrame:
     bmax = b.groupBy("topic", "partition", "_b").agg(F.max("offset").alias("_bmax"))
     wb = Window.partitionBy("topic", "partition").orderBy("_b")
     carry = bmax.withColumn("_carry", F.lag("_bmax").over(wb)).select("topic", "partition", "_b", "_carry")
-    firsts = local.where(F.col("prev_offset").isNull()).join(broadcast_if_small(carry),
-                                                               ["topic", "partition", "_b"], "left")
-    firsts = firsts.withColumn("prev_offset", F.col("_carry")).drop("_carry")
-    allrows = local.where(F.col("prev_offset").isNotNull()).unionByName(firsts)
-    return (allrows.where(F.col("offset") - F.col("prev_offset") > 1)
+    # one row per non-empty bucket: broadcast (size-checked), joined in the same pass
+    joined = local.join(broadcast_if_small(carry), ["topic", "partition", "_b"], "left")
+    joined = joined.withColumn("prev_offset", F.coalesce(F.col("prev_offset"), F.col("_carry")))
+    return (joined.where(F.col("offset") - F.col("prev_offset") > 1)
             .select("topic", "partition", "prev_offset", "offset",
                     (F.col("offset") - F.col("prev_offset") - 1).alias("missing")))
 

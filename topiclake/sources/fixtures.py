@@ -231,11 +231,19 @@ class Fixture:
         return f"{self.root}/requests"
 
 
+_READY: set[str] = set()
+
+
 def _ready(spark: SparkSession, root: str) -> bool:
+    if root in _READY:
+        return True
     try:
-        return spark.read.json(f"{root}/_manifest").count() == 1
+        ok = spark.read.json(f"{root}/_manifest").count() == 1
     except Exception:
-        return False
+        ok = False
+    if ok:
+        _READY.add(root)
+    return ok
 
 
 def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
@@ -253,6 +261,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     uri_requests(spark, sf_dir).write.mode("overwrite").parquet(fx.requests_path)
     spark.createDataFrame([(sf_dir, FIXTURE_VERSION)], "sf_dir string, version string") \
         .coalesce(1).write.mode("overwrite").json(f"{root}/_manifest")
+    _READY.add(root)
     return fx
 
 

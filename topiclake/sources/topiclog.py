@@ -228,24 +228,33 @@ def scan_offset_range(records: DataFrame, topic: str, ranges: dict[int, tuple[in
     """Half-open ``[start, end)`` per partition; -2 = earliest, -1 = latest (no bound).
 
     Partitions absent from ``ranges`` are read whole. A start below the partition's
-    first retained offset simply starts at it. Constant ranges become literal predicates,
-    so the offset bounds reach the Parquet reader.
+    first retained offset simply starts at it. Partitions sharing a range are read by one
+    scan whose ``partition IN (…)`` prunes directories and whose offset bounds are
+    literals pushed into the Parquet reader (row groups outside the range are skipped);
+    the scans cover disjoint partitions and are unioned.
     """
-    cond = None
+    base = records.where(F.col("topic") == F.lit(topic))
+    groups: dict[tuple[int, int], list[int]] = {}
     for p, (start, end) in ranges.items():
-        c = F.col("partition") == F.lit(int(p))
-        if start not in (EARLIEST, LATEST):
-            c = c & (F.col("offset") >= F.lit(int(start)))
-        if end == EARLIEST:
-            c = F.lit(False)
-        elif end != LATEST:
-            c = c & (F.col("offset") < F.lit(int(end)))
-        if start == LATEST:  # from "latest" to anything: nothing yet
-            c = F.lit(False)
-        cond = c if cond is None else (cond | c)
-    rest = ~F.col("partition").isin([int(p) for p in ranges])
-    cond = rest if cond is None else (cond | rest)
-    return records.where((F.col("topic") == F.lit(topic)) & cond).select(*SCAN_COLUMNS)
+        if start == LATEST or end == EARLIEST:  # nothing to read in this partition
+            groups.setdefault((0, 0), []).append(int(p))
+            continue
+        groups.setdefault((int(start), int(end)), []).append(int(p))
+    parts = []
+    for (start, end), ps in sorted(groups.items()):
+        if (start, end) == (0, 0) and all(ranges[p][0] == LATEST or ranges[p][1] == EARLIEST for p in ps):
+            continue
+        cond = F.col("partition").isin(ps)
+        if start >= 0:
+            cond = cond & (F.col("offset") >= F.lit(start))
+        if end >= 0:
+            cond = cond & (F.col("offset") < F.lit(end))
+        parts.append(base.where(cond))
+    parts.append(base.where(~F.col("partition").isin([int(p) for p in ranges])) if ranges else base)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*SCAN_COLUMNS)
 
 
 def scan_offset_table(records: DataFrame, ranges: DataFrame) -> DataFrame:
