@@ -107,6 +107,8 @@ def test_validation(spark, doc, expected):
     df = spark.createDataFrame([(doc,)], "d string")
     got = df.select(js.validation_column(F.parse_json("d"), SCHEMA).alias("v")).first().v
     assert sorted(got) == sorted(expected)
+    framed = js.validate(df.select(F.parse_json("d").alias("p")), "p", SCHEMA).first().violations
+    assert sorted(framed) == sorted(expected)
 
 
 def test_unsupported_keyword_fails_at_build():

@@ -135,8 +135,16 @@ def _kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
 
-def _is_type(v: Column, t: str) -> Column:
-    k = _kind(v)
+def _bind(env: dict | None, expr: Column) -> Column:
+    if env is None:
+        return expr
+    name = f"_js{len(env)}"
+    env[name] = expr
+    return F.col(name)
+
+
+def _is_type(v: Column, t: str, k: Column | None = None) -> Column:
+    k = _kind(v) if k is None else k
     base = k.isin(_VARIANT_KINDS[t])
     if t == "integer":  # 2.0 is an integer in JSON Schema; decimals with zero fraction count
         dec = F.try_variant_get(v, "$", "decimal(38,10)")
@@ -144,8 +152,13 @@ def _is_type(v: Column, t: str) -> Column:
     return base
 
 
-def _violations(v: Column, schema: Any, path: str) -> list[Column]:
-    """Expressions yielding a message when violated and NULL when fine."""
+def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
+                kind: Column | None = None) -> list[Column]:
+    """Expressions yielding a message when violated and NULL when fine.
+
+    With ``env`` (an ordered name → expression dict), each object property's sub-variant
+    and its type name are bound to helper columns, so they are computed once per row
+    however many checks read them (array items, inside lambdas, are not bound)."""
     if schema is True or schema == {}:
         return []
     if schema is False:
@@ -157,13 +170,14 @@ def _violations(v: Column, schema: Any, path: str) -> list[Column]:
         raise ValueError(f"unsupported JSON Schema keyword(s) at {path}: {sorted(unknown)}")
     out: list[Column] = []
     present = v.isNotNull()
-    kind = _kind(v)
+    if kind is None:
+        kind = _bind(env, _kind(v))
     t = schema.get("type")
     if t is not None:
         types = t if isinstance(t, list) else [t]
         ok = F.lit(False)
         for x in types:
-            ok = ok | _is_type(v, x)
+            ok = ok | _is_type(v, x, kind)
         out.append(F.when(present & ~ok, F.lit(f"{path}: expected type {'/'.join(types)}")))
     num = F.try_variant_get(v, "$", "double")
     for kw, bad in (("minimum", lambda b: num < b), ("maximum", lambda b: num > b),
@@ -190,8 +204,8 @@ def _violations(v: Column, schema: Any, path: str) -> list[Column]:
         out.append(F.when(is_obj & child.isNull(), F.lit(f"{path}: missing {r}")))
     props = schema.get("properties") or {}
     for name, sub in sorted(props.items()):
-        child = F.when(is_obj, F.try_variant_get(v, f"$.{_quote(name)}", "variant"))
-        out.extend(_violations(child, sub, f"{path}.{name}"))
+        child = _bind(env, F.when(is_obj, F.try_variant_get(v, f"$.{_quote(name)}", "variant")))
+        out.extend(_violations(child, sub, f"{path}.{name}", env))
     if schema.get("additionalProperties") is False:
         keys = F.json_object_keys(F.to_json(v))
         declared = F.array(*[F.lit(k) for k in props]) if props else F.array().cast("array<string>")
@@ -224,3 +238,15 @@ def validation_column(v: Column, schema_text: str) -> Column:
     if not checks:
         return F.array().cast("array<string>")
     return F.filter(F.array(*checks), lambda m: m.isNotNull())
+
+
+def validate(df, variant_col: str, schema_text: str, out: str = "violations"):
+    """Add ``out`` (``array<string>`` of violations, empty = valid) for the Variant column
+    ``variant_col``. Sub-variants and type names are materialised as helper columns in
+    one projection, so nothing is re-extracted per check; helpers are dropped after."""
+    env: dict = {}
+    checks = _violations(F.col(variant_col), json.loads(schema_text), "$", env)
+    for name, expr in env.items():
+        df = df.withColumn(name, expr)
+    col = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else F.array().cast("array<string>")
+    return df.withColumn(out, col).drop(*env.keys())

@@ -135,9 +135,10 @@ def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_co
     # request order = (subject, schema) text order, so new ids are reproducible
     batch = pairs.withColumn("req", F.concat_ws("\n", "subject", "schema"))
     changes, results = register_schemas(registry.changes(spark), batch, normalize=normalize)
-    # the canonical form is what was registered: match requests on the original text
+    # the canonical form is what was registered: match requests on the original text.
+    # One row per distinct (subject, schema): materialised once, then broadcast-checked.
     ids = batch.join(results.select("req", F.col("id").alias("schema_id")), "req").select(
-        "subject", F.col("schema").alias("_schema"), "schema_id")
+        "subject", F.col("schema").alias("_schema"), "schema_id").checkpoint(eager=True)
     out = df.withColumn("subject", subject_for(F.col(topic_col), False))
     out = out.join(broadcast_if_small(ids), (out["subject"] == ids["subject"]) & (out[schema_col] == ids["_schema"]))
     out = out.drop(ids["subject"]).drop("_schema", "subject")

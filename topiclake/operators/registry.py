@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codec import canonical_json
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import broadcast_if_small, is_small
 from .offsets import assign_dense
 
 REGISTRY_LOG_SCHEMA = T.StructType([
@@ -171,7 +171,9 @@ def register_schemas(changes: DataFrame, batch: DataFrame, normalize: bool = Fal
                          content_hash(F.col("schema_type"), F.col("schema")).alias("_h"))
     # one live version per (subject, content): the lowest
     live_h = live_h.groupBy("subject", "_h").agg(F.min_by(F.struct("version", "id"), F.col("version")).alias("_v"))
-    b = b.join(live_h, ["subject", "_h"], "left")
+    # requests marked with their existing live version; read by both branches below,
+    # so materialised once (batch-sized) instead of re-joined per branch
+    b = b.join(live_h, ["subject", "_h"], "left").checkpoint(eager=True)
     existing = b.where(F.col("_v").isNotNull()).select("req", "subject", "schema_type", "schema", "_h",
                                                        F.col("_v.version").alias("version"),
                                                        F.col("_v.id").alias("id"))
@@ -181,12 +183,17 @@ def register_schemas(changes: DataFrame, batch: DataFrame, normalize: bool = Fal
     known_ids = (changes.where(F.col("op") == "register")
                  .select(content_hash(F.col("schema_type"), F.col("schema")).alias("_h"), "id")
                  .groupBy("_h").agg(F.min("id").alias("_known")))
-    max_id = int(changes.agg(F.max("id")).first()[0] or 0)
+    top = changes.agg(F.max("seq").alias("s"), F.max("id").alias("i")).first()
+    max_seq, max_id = int(top.s or 0), int(top.i or 0)
     new_contents = (fresh.groupBy("_h").agg(F.min("req").alias("_first"))
                     .join(known_ids, "_h", "left"))
-    # new contents numbered densely in order of first request, without a global window
-    unknown = assign_dense(new_contents.where(F.col("_known").isNull()), [], ["_first", "_h"], "_new",
-                           base=max_id + 1)
+    # new contents numbered densely in order of first request: a window when the set is
+    # proven small, else the distributed numbering (no single task holds the set)
+    unknown = new_contents.where(F.col("_known").isNull())
+    if is_small(unknown):
+        unknown = unknown.withColumn("_new", F.lit(max_id) + F.row_number().over(Window.orderBy("_first", "_h")))
+    else:
+        unknown = assign_dense(unknown, [], ["_first", "_h"], "_new", base=max_id + 1)
     ids = (new_contents.where(F.col("_known").isNotNull()).select("_h", F.col("_known").alias("id"))
            .unionByName(unknown.select("_h", F.col("_new").cast("int").alias("id"))))
 
@@ -196,9 +203,9 @@ def register_schemas(changes: DataFrame, batch: DataFrame, normalize: bool = Fal
     pairs = pairs.join(max_ver, "subject", "left").withColumn(
         "version", (F.coalesce("_maxv", F.lit(0)) + F.row_number().over(
             Window.partitionBy("subject").orderBy("_first"))).cast("int")).drop("_maxv", "_first")
-    fresh = fresh.join(pairs, ["subject", "_h"]).join(ids, "_h")
+    fresh = fresh.join(pairs, ["subject", "_h"]).join(ids, "_h").checkpoint(eager=True)
 
-    seq = _next_seq(changes)
+    seq = F.lit(max_seq + 1).cast("long")
     change_rows = (fresh.groupBy("subject", "version", "id", "schema_type", "schema").agg(F.min("req").alias("_r"))
                    .select(seq.alias("seq"), F.lit("register").alias("op"), "subject", "version", "id",
                            content_guid(F.col("schema_type"), F.col("schema")).alias("guid"),

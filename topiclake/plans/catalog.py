@@ -379,9 +379,9 @@ SELECT "partition", "offset", violations = '' AS valid, violations FROM (
 def q_validate_json(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     recs = fx.log.records(spark).where(F.col("topic") == "orders")
-    v = F.parse_json(F.decode("message", "UTF-8"))
-    checks = jsonschema.validation_column(v, ORDERS_RULES)
-    out = recs.select("partition", "offset", F.array_join(checks, "; ").alias("violations"))
+    parsed = recs.select("partition", "offset", F.parse_json(F.decode("message", "UTF-8")).alias("v"))
+    checked = jsonschema.validate(parsed, "v", ORDERS_RULES, "checks")
+    out = checked.select("partition", "offset", F.array_join("checks", "; ").alias("violations"))
     return out.select("partition", "offset", (F.col("violations") == "").alias("valid"), "violations")
 
 
@@ -738,7 +738,7 @@ SELECT topic, hex(key) AS key_hex, "partition", "offset", hex(message) AS messag
 def q_stream_latest_per_key(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     d = feeds.run_dir(spark, "compact")
-    agg = feeds.latest_per_key_stream(feeds.stream_records(spark, fx.log, ["events"], max_files_per_trigger=4))
+    agg = feeds.latest_per_key_stream(feeds.stream_records(spark, fx.log, ["events"]))
     feeds.write_latest(agg, f"{d}/table", f"{d}/checkpoint")
     out = spark.read.parquet(f"{d}/table").where(F.col("message").isNotNull())
     return out.select("topic", F.hex("key").alias("key_hex"), "partition", "offset",
@@ -756,3 +756,35 @@ def q_stream_window_counts(spark, sf_dir):
     out = spark.read.parquet(f"{d}/sink")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
+
+
+# ======================================================================== SQL face
+
+
+@query("sql_registry_lookups", f"""
+SELECT k.subject, l.version AS latest_version, l.id AS latest_id, v1.schema AS v1_schema
+FROM (SELECT DISTINCT subject FROM registry_log) k
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY version DESC) AS rn
+                          FROM {_D_CURRENT}) WHERE rn = 1) l USING (subject)
+LEFT JOIN (SELECT subject, schema FROM {_D_CURRENT} WHERE version = 1) v1 USING (subject)""")
+def q_sql_registry_lookups(spark, sf_dir):
+    """Per-subject SQL table functions, applied to every subject with a lateral join."""
+    fx = _fx(spark, sf_dir)
+    sqlapi.register(spark, fx.log, fx.registry)
+    return spark.sql("""
+        SELECT k.subject, l.version AS latest_version, l.id AS latest_id, v1.schema AS v1_schema
+        FROM (SELECT DISTINCT subject FROM registry_log) k
+        LEFT JOIN LATERAL schema_latest(k.subject) l
+        LEFT JOIN LATERAL schema_by_version(k.subject, 1) v1""")
+
+
+@query("sql_topic_metadata", """
+SELECT c.topic AS name, c.error, count(p.pid) AS partitions FROM catalog c
+LEFT JOIN (SELECT topic, unnest(generate_series(0, partitions - 1)) AS pid FROM catalog WHERE error IS NULL) p
+  ON p.topic = c.topic GROUP BY c.topic, c.error""")
+def q_sql_topic_metadata(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    sqlapi.register(spark, fx.log, fx.registry)
+    return spark.sql("""SELECT t.name, t.error, size(t.partitions) AS partitions
+                        FROM topic_metadata() LATERAL VIEW explode(topics) x AS t""").select(
+        "name", "error", F.col("partitions").cast("long").alias("partitions"))

@@ -8,6 +8,10 @@ After ``register(spark, log, registry)``::
     SELECT * FROM schema_latest('events-value');
     SELECT * FROM registry_versions('events-value');
     SELECT * FROM registry_subjects(TRUE);
+    SELECT * FROM schema_by_version('events-value', 1);
+    SELECT * FROM schema_by_subject_id('events-value', 2);
+    SELECT * FROM schema_by_guid('…');
+    SELECT * FROM topic_metadata();
 
 The functions are SQL table UDFs over the views, so Catalyst inlines them: partition
 pruning and offset pushdown survive the function boundary.
@@ -17,8 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.registry import Registry, current_view
-from ..sources.topiclog import SCAN_COLUMNS, TopicLog
+from ..operators.registry import Registry, current_view, schema_by_guid, schema_latest
+from ..sources.topiclog import SCAN_COLUMNS, TopicLog, topic_metadata
 
 _URI_TO_TOPIC = ("CASE WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://[^/]*/(.*)$', 1) "
                  "ELSE t END")
@@ -41,16 +45,29 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
         RETURNS TABLE (topic STRING, `partition` INT, low BIGINT, high BIGINT)
         RETURN SELECT topic, `partition`, min(`offset`), max(`offset`) + 1 FROM topic_log
                WHERE topic = {_URI_TO_TOPIC} GROUP BY topic, `partition`""")
+    topic_metadata(log.catalog(spark), log.brokers(spark)).createOrReplaceTempView("topic_metadata_view")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION topic_metadata()
+        RETURNS TABLE (brokers ARRAY<STRUCT<id: INT, host: STRING, port: INT>>,
+                       topics ARRAY<STRUCT<name: STRING, error: STRING,
+                                           partitions: ARRAY<STRUCT<id: INT, leader: INT>>>>)
+        RETURN SELECT brokers, topics FROM topic_metadata_view""")
     if registry is None:
         return
     registry.changes(spark).createOrReplaceTempView("registry_log")
     current_view(registry.changes(spark)).createOrReplaceTempView("registry_current")
     current_view(registry.changes(spark), include_deleted=True).createOrReplaceTempView("registry_all")
+    # one row per key, so the functions below are plain filters (and lateral joins over
+    # them decorrelate into equi-joins instead of per-row limits)
+    schema_latest(current_view(registry.changes(spark))).createOrReplaceTempView("registry_latest")
+    cur = current_view(registry.changes(spark))
+    cur.dropDuplicates(["subject", "id"]).createOrReplaceTempView("registry_by_subject_id")
+    schema_by_guid(cur, cur.select("guid").distinct()).createOrReplaceTempView("registry_by_guid")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION schema_latest(s STRING)
         RETURNS TABLE (id INT, guid STRING, subject STRING, version INT, schema_type STRING, schema STRING)
-        RETURN SELECT id, guid, subject, version, schema_type, schema FROM registry_current
-               WHERE subject = s ORDER BY version DESC LIMIT 1""")
+        RETURN SELECT id, guid, subject, version, schema_type, schema FROM registry_latest
+               WHERE subject = s""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION registry_versions(s STRING)
         RETURNS TABLE (version INT)
@@ -59,3 +76,16 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
         CREATE OR REPLACE TEMPORARY FUNCTION registry_subjects(include_deleted BOOLEAN)
         RETURNS TABLE (subject STRING)
         RETURN SELECT DISTINCT subject FROM registry_all WHERE include_deleted OR NOT deleted""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION schema_by_version(s STRING, v INT)
+        RETURNS TABLE (id INT, guid STRING, subject STRING, version INT, schema_type STRING, schema STRING)
+        RETURN SELECT id, guid, subject, version, schema_type, schema FROM registry_current
+               WHERE subject = s AND version = v""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION schema_by_subject_id(s STRING, i INT)
+        RETURNS TABLE (schema_type STRING, schema STRING)
+        RETURN SELECT schema_type, schema FROM registry_by_subject_id WHERE subject = s AND id = i""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION schema_by_guid(g STRING)
+        RETURNS TABLE (schema_type STRING, schema STRING)
+        RETURN SELECT schema_type, schema FROM registry_by_guid WHERE guid = g""")
