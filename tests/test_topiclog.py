@@ -130,3 +130,17 @@ def test_no_python_on_scan_and_decode_paths(spark, fx):
     plan = _plan(df)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_footer_watermarks_equal_scanned(spark, fx):
+    got = tl.footer_watermarks(spark, fx.log)
+    want = tl.partition_watermarks(fx.log.records(spark))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown", "false") == "false"
+
+
+def test_footer_watermarks_plan_reads_no_data(spark, fx):
+    with tl._footer_aggregates(spark):
+        recs = spark.read.schema(tl.LOG_SCHEMA).parquet(fx.log.records_path)
+        plan = tl.partition_watermarks(recs)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(offset), MAX(offset)]" in plan

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small
-from ..sources.topiclog import LOG_SCHEMA, SCAN_COLUMNS, TopicLog, partition_watermarks
+from ..sources.topiclog import LOG_SCHEMA, SCAN_COLUMNS, TopicLog, footer_watermarks, partition_watermarks
 from .offsets import assign_dense
 
 
@@ -56,9 +56,12 @@ def plan_topic_write(spark, log: TopicLog, records: DataFrame, order_cols: list[
     if "partition" in df.columns:
         part = F.coalesce(F.col("partition").cast("int"), part)
     df = df.withColumn("partition", part).drop("_n")
-    topics = df.select("topic").distinct()
-    highs = (partition_watermarks(log.records(spark).join(broadcast_if_small(topics), "topic", "left_semi"))
-             .select("topic", "partition", F.col("high").alias("base")))
+    if topic is not None:  # one known topic: its watermarks come from file footers
+        highs = footer_watermarks(spark, log, [topic])
+    else:
+        topics = df.select("topic").distinct()
+        highs = partition_watermarks(log.records(spark).join(broadcast_if_small(topics), "topic", "left_semi"))
+    highs = highs.select("topic", "partition", F.col("high").alias("base"))
     out = assign_dense(df, ["topic", "partition"], order_cols, "offset", base=highs)
     return out.select(*LOG_SCHEMA.fieldNames())
 

@@ -65,7 +65,7 @@ def q_scan_topic(spark, sf_dir):
 @query("partition_watermarks",
        'SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high FROM topic_log GROUP BY ALL')
 def q_partition_watermarks(spark, sf_dir):
-    return topiclog.partition_watermarks(_fx(spark, sf_dir).log.records(spark))
+    return topiclog.footer_watermarks(spark, _fx(spark, sf_dir).log)
 
 
 @query("snapshot_scan", f"SELECT {_HEXED_SQL} FROM topic_log WHERE topic = 'orders'")

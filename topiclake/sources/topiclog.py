@@ -14,6 +14,7 @@ predicates reach the Parquet reader as ``PushedFilters``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -176,6 +177,36 @@ def partition_watermarks(records: DataFrame) -> DataFrame:
             .agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")))
 
 
+@contextmanager
+def _footer_aggregates(spark: SparkSession):
+    """Read Parquet through the V2 source with aggregate pushdown, so MIN/MAX grouped by
+    partition columns are answered from file footers. Restores the settings after."""
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,parquet,text")
+    wanted = {"spark.sql.sources.useV1SourceList": ",".join(x for x in v1.split(",") if x.strip() != "parquet"),
+              "spark.sql.parquet.aggregatePushdown": "true"}
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def footer_watermarks(spark: SparkSession, log: TopicLog, topics: list[str] | None = None) -> DataFrame:
+    """Watermarks from Parquet footers only (no record data is read): one row per
+    non-empty partition, materialised into the checkpoint folder while pushdown is on."""
+    with _footer_aggregates(spark):
+        recs = spark.read.schema(LOG_SCHEMA).parquet(log.records_path)
+        if topics is not None:
+            recs = recs.where(F.col("topic").isin(topics))
+        return partition_watermarks(recs).checkpoint(eager=True)
+
+
 @dataclass
 class Snapshot:
     """Watermarks captured once; scans through it never see later appends."""
@@ -204,11 +235,12 @@ def capture_snapshot(records: DataFrame, topics: list[str] | None = None) -> Sna
 
 
 def snapshot_scan(spark: SparkSession, log: TopicLog, topic: str) -> DataFrame:
-    """Snapshot-consistent scan of one topic: capture watermarks, then read below them."""
+    """Snapshot-consistent scan of one topic: capture watermarks (from file footers),
+    then read strictly below them."""
     name = parse_topic_uri(topic)
     require_topics(spark, log, [name])
     recs = log.records(spark).where(F.col("topic") == F.lit(name))
-    return capture_snapshot(recs).scan(recs)
+    return Snapshot(footer_watermarks(spark, log, [name])).scan(recs)
 
 
 # --------------------------------------------------------------------------- ranges
