@@ -66,3 +66,16 @@ def test_dedup_keeps_one_copy(spark, fx, scratch):
     src = spark.readStream.schema(LOG_SCHEMA).parquet(f"{scratch}/landing")
     feeds.run_available_now(feeds.dedup_records(src), f"{scratch}/sink", f"{scratch}/ck")
     assert spark.read.parquet(f"{scratch}/sink").count() == recs.count()
+
+
+def test_ingest_stream_restart_is_exactly_once(spark, fx, scratch):
+    log = TopicLog(f"{scratch}/log")
+    recs = fx.log.records(spark).where(F.col("topic") == "orders")
+    sink.write_records(recs.where(F.col("offset") < 60), log, mode="overwrite")
+    table, ck = f"{scratch}/table", f"{scratch}/ck"
+    feeds.ingest_stream(spark, log, table, ck)
+    feeds.ingest_stream(spark, log, table, ck)          # nothing new: nothing appended
+    sink.write_records(recs.where(F.col("offset") >= 60), log, mode="append")
+    out = feeds.ingest_stream(spark, log, table, ck)     # resumes after the first files
+    assert out.count() == recs.count()
+    assert out.groupBy("partition", "offset").count().where(F.col("count") > 1).count() == 0

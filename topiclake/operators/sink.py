@@ -17,12 +17,16 @@ from .offsets import assign_dense
 
 
 def write_records(records: DataFrame, log: TopicLog, mode: str = "append",
-                  max_records_per_file: int = 5_000_000) -> None:
+                  max_records_per_file: int = 5_000_000, ranged: bool = False) -> None:
+    """Write log records. ``ranged=True`` states that every task of ``records`` already
+    holds one contiguous ``(topic, partition, offset)`` range (output of
+    :func:`assign_dense`), which saves the range shuffle; rows are still sorted in-task."""
     cols = LOG_SCHEMA.fieldNames()
     keys = [F.col("topic"), F.col("partition"), F.col("offset")]
-    (records.select(*cols)
-     .repartitionByRange(*keys)
-     .sortWithinPartitions(*keys)
+    df = records.select(*cols)
+    if not ranged:
+        df = df.repartitionByRange(*keys)
+    (df.sortWithinPartitions(*keys)
      .write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("topic", "partition")
@@ -70,7 +74,7 @@ def to_topic(spark, log: TopicLog, records: DataFrame, order_cols: list[str],
              topic: str | None = None) -> DataFrame:
     """Append ``records`` to the log (single writer) and return what was written."""
     planned = plan_topic_write(spark, log, records, order_cols, topic).checkpoint(eager=True)
-    write_records(planned, log, mode="append")
+    write_records(planned, log, mode="append", ranged=True)
     return planned
 
 

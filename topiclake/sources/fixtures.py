@@ -254,7 +254,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     if _ready(spark, root):
         return fx
     from ..operators.sink import write_records
-    write_records(build_records(spark, sf_dir), fx.log, mode="overwrite")
+    write_records(build_records(spark, sf_dir), fx.log, mode="overwrite", ranged=True)
     spark.createDataFrame(CATALOG, CATALOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.catalog_path)
     spark.createDataFrame(BROKERS, BROKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.brokers_path)
     registry_changes(spark, sf_dir).write.mode("overwrite").parquet(fx.registry.changes_path)

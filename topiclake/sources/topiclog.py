@@ -17,6 +17,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,7 +202,10 @@ def footer_watermarks(spark: SparkSession, log: TopicLog, topics: list[str] | No
     """Watermarks from Parquet footers only (no record data is read): one row per
     non-empty partition, materialised into the checkpoint folder while pushdown is on."""
     with _footer_aggregates(spark):
-        recs = spark.read.schema(LOG_SCHEMA).parquet(log.records_path)
+        try:
+            recs = spark.read.schema(LOG_SCHEMA).parquet(log.records_path)
+        except AnalysisException:  # no record has been written yet
+            return spark.createDataFrame([], "topic string, partition int, low bigint, high bigint")
         if topics is not None:
             recs = recs.where(F.col("topic").isin(topics))
         return partition_watermarks(recs).checkpoint(eager=True)
