@@ -4,7 +4,8 @@ The topic log is a partitioned Parquet folder, so the file stream source reads n
 record files as they land; progress (which files are consumed) lives in the query's
 checkpoint folder, which must be in the shared folder so a restarted driver resumes
 where the last one stopped. Every sink here is exactly-once: Spark's file sink commits
-through its own metadata log, and ``foreachBatch`` writes are keyed by batch id.
+through its own metadata log, and the ``foreachBatch`` compaction sink replaces its
+table with each batch's complete result, so a replayed batch rewrites the same content.
 """
 
 from __future__ import annotations
@@ -88,15 +89,6 @@ def latest_per_key_stream(records: DataFrame) -> DataFrame:
             .select("topic", "key", "_l.partition", "_l.offset", "_l.message"))
 
 
-def write_each_batch(df: DataFrame, table_path: str, checkpoint: str) -> None:
-    """``foreachBatch`` sink writing batch ``b`` to ``table_path/batch=b`` with overwrite,
-    so a batch replayed after a failure replaces its own earlier output."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
-    (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
-
-
 def write_latest(agg: DataFrame, table_path: str, checkpoint: str) -> None:
     """Complete-mode aggregate → one table, replaced by each batch's full result."""
     def write(batch: DataFrame, batch_id: int) -> None:
