@@ -30,7 +30,7 @@ from ..operators.registry import REGISTRY_LOG_SCHEMA, Registry, content_guid
 from ..session import workspace
 from .topiclog import BROKER_SCHEMA, CATALOG_SCHEMA, LOG_SCHEMA, TopicLog
 
-FIXTURE_VERSION = "v3"
+FIXTURE_VERSION = "v4"
 
 # ----------------------------------------------------------------------------------
 # Schema texts, ids and cluster members of the fixture registry/cluster.
@@ -57,12 +57,13 @@ FIXED_CHANGES = [
     (8, "soft_delete", "conversations-value", 1, 5, "JSON", CONV_SCHEMA, True),
 ]
 
-# (topic, partitions, error): the catalogue; ``empty`` holds no records.
+# (topic, partitions, error): the declared data topics; ``empty`` holds no records.
+# The rest of the catalogue is one topic per customer (see ``catalog_frame``).
 CATALOG = [
     ("events", 4, None), ("copy", 4, None), ("orders", 8, None), ("lineitem", 8, None),
     ("conversations", 4, None), ("mixed", 4, None), ("empty", 2, None),
-    ("offline", 3, "Broker: Leader not available"),
 ]
+UNAVAILABLE = "Broker: Leader not available"
 
 BROKERS = [(1, "broker-1", 9092), (2, "broker-2", 9092), (3, "broker-3", 9092)]
 
@@ -220,6 +221,19 @@ def uri_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("request_id"), uri.alias("uri"))
 
 
+def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared data topics plus one topic per customer: ``c<key>.<segment>`` with
+    ``c_nationkey % 6 + 1`` partitions, unavailable (error set) when the balance is
+    negative. The catalogue, and so the cluster metadata, grows with the data."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    cust = c.select(
+        F.concat(F.lit("c"), F.lpad(F.col("c_custkey").cast("string"), CUST_SUBJECT_DIGITS, "0"), F.lit("."),
+                 F.lower(F.col("c_mktsegment"))).alias("topic"),
+        ((F.col("c_nationkey") % 6) + 1).cast("int").alias("partitions"),
+        F.when(F.col("c_acctbal") < 0, F.lit(UNAVAILABLE)).alias("error"))
+    return spark.createDataFrame(CATALOG, CATALOG_SCHEMA).unionByName(cust)
+
+
 @dataclass(frozen=True)
 class Fixture:
     log: TopicLog
@@ -255,7 +269,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
         return fx
     from ..operators.sink import write_records
     write_records(build_records(spark, sf_dir), fx.log, mode="overwrite", ranged=True)
-    spark.createDataFrame(CATALOG, CATALOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.catalog_path)
+    catalog_frame(spark, sf_dir).write.mode("overwrite").parquet(fx.log.catalog_path)
     spark.createDataFrame(BROKERS, BROKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.brokers_path)
     registry_changes(spark, sf_dir).write.mode("overwrite").parquet(fx.registry.changes_path)
     uri_requests(spark, sf_dir).write.mode("overwrite").parquet(fx.requests_path)
@@ -358,7 +372,10 @@ def duck_registry_sql() -> str:
 
 def duck_catalog_sql() -> str:
     vals = ", ".join(f"('{t}', {n}, {('NULL' if e is None else repr(e))})" for t, n, e in CATALOG)
-    return f"SELECT topic, partitions::INTEGER AS partitions, error::VARCHAR AS error FROM (VALUES {vals}) c(topic, partitions, error)"
+    return (f"SELECT topic, partitions::INTEGER AS partitions, error::VARCHAR AS error "
+            f"FROM (VALUES {vals}) c(topic, partitions, error) UNION ALL "
+            f"SELECT 'c' || lpad(c_custkey::VARCHAR, {CUST_SUBJECT_DIGITS}, '0') || '.' || lower(c_mktsegment), "
+            f"(c_nationkey % 6 + 1)::INTEGER, CASE WHEN c_acctbal < 0 THEN '{UNAVAILABLE}' END FROM customer")
 
 
 def duck_brokers_sql() -> str:
