@@ -147,3 +147,11 @@ def test_footer_watermarks_plan_reads_no_data(spark, fx):
         recs = spark.read.schema(tl.LOG_SCHEMA).parquet(fx.log.records_path)
         plan = tl.partition_watermarks(recs)._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [MIN(offset), MAX(offset)]" in plan
+
+
+def test_option_precedence_and_registry_key():
+    from topiclake.sources.kafka import _client_options, resolve_options
+    client, url = resolve_options({"Bootstrap.Servers": "a:1", "schema.registry.url": "http://r", "x": "1"},
+                                  {"bootstrap.servers": "b:2"})
+    assert url == "http://r" and client == {"bootstrap.servers": "b:2", "x": "1"}
+    assert _client_options(client) == {"kafka.bootstrap.servers": "b:2", "kafka.x": "1"}

@@ -19,6 +19,23 @@ from .topiclog import SCAN_COLUMNS, parse_topic_uri
 KAFKA_FORMAT = "kafka"
 
 
+REGISTRY_URL_KEY = "schema.registry.url"
+
+
+def resolve_options(defaults: dict[str, str] | None, call: dict[str, str] | None
+                    ) -> tuple[dict[str, str], str | None]:
+    """Merge option sets the way a scan does: keys are case-folded, per-call values
+    override defaults (e.g. cluster-wide settings), and the registry URL is taken out
+    (it addresses the registry table, never the broker client). Returns
+    ``(client options, registry url)``."""
+    merged: dict[str, str] = {}
+    for opts in (defaults or {}, call or {}):
+        for k, v in opts.items():
+            merged[k.lower()] = str(v)
+    url = merged.pop(REGISTRY_URL_KEY, None)
+    return merged, url
+
+
 def _client_options(options: dict[str, str]) -> dict[str, str]:
     out = {}
     for k, v in options.items():

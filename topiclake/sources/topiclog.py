@@ -296,18 +296,33 @@ def scan_offset_range(records: DataFrame, topic: str, ranges: dict[int, tuple[in
 def scan_offset_table(records: DataFrame, ranges: DataFrame) -> DataFrame:
     """Table-driven ranges: ``ranges(topic, partition, start, end)`` (-2/-1 as above).
 
-    Partitions present in the log but not in ``ranges`` are read whole (left join).
-    The ranges table has one row per topic partition, so it is broadcast when small.
+    Partitions present in the log but not in ``ranges`` are read whole. The ranges table
+    has one row per topic partition (catalogue-sized): its partitions and overall
+    ``[min start, max end)`` become literal filters, so directories are pruned and
+    row groups outside every range are skipped, and the exact per-partition bounds are
+    applied through a broadcast equi-join on ``(topic, partition)``.
     """
     r = ranges.select("topic", "partition", F.col("start").alias("_start"), F.col("end").alias("_end"))
-    topics = [row.topic for row in r.select("topic").distinct().collect()]
+    listed = r.select("topic", "partition", "_start", "_end").collect()
+    topics = sorted({row.topic for row in listed})
     recs = records.where(F.col("topic").isin(topics))
-    j = recs.join(broadcast_if_small(r, 1_000_000), ["topic", "partition"], "left")
+    pairs = F.struct("topic", "partition").isin([F.struct(F.lit(x.topic), F.lit(int(x.partition))) for x in listed]) \
+        if listed else F.lit(False)
+    live = [x for x in listed if x._start != LATEST and x._end != EARLIEST]
+    ranged = recs.where(pairs)
+    if live and all(x._start is not None for x in live):
+        lo = min(0 if x._start == EARLIEST else x._start for x in live)
+        ranged = ranged.where(F.col("offset") >= F.lit(int(lo)))
+    if live and all(x._end is not None and x._end >= 0 for x in live):
+        ranged = ranged.where(F.col("offset") < F.lit(int(max(x._end for x in live))))
+    j = ranged.join(broadcast_if_small(r, 1_000_000), ["topic", "partition"], "inner")
     lo_ok = F.col("_start").isNull() | F.col("_start").isin(EARLIEST) | (F.col("offset") >= F.col("_start"))
     hi_ok = F.col("_end").isNull() | (F.col("_end") == LATEST) | (F.col("offset") < F.col("_end"))
     not_latest_start = F.col("_start").isNull() | (F.col("_start") != LATEST)
     not_earliest_end = F.col("_end").isNull() | (F.col("_end") != EARLIEST)
-    return j.where(lo_ok & hi_ok & not_latest_start & not_earliest_end).select(*SCAN_COLUMNS)
+    inside = j.where(lo_ok & hi_ok & not_latest_start & not_earliest_end).select(*SCAN_COLUMNS)
+    rest = recs.where(~pairs).select(*SCAN_COLUMNS)
+    return inside.unionByName(rest)
 
 
 # --------------------------------------------------------------------------- metadata
