@@ -2,6 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [name ...]
 
+Set ``BENCH_EVENT_LOG_DIR`` (an existing folder) to also write Spark's event log there.
+
 Each query runs to completion through the ``noop`` sink (all rows computed, nothing
 collected). The fixture topic log and registry are derived from the tables once per
 scale factor before timing (``prepare_sec``, not part of ``value``). Prints one JSON line.
@@ -25,8 +27,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:]
-    spark = get_spark(f"local[{cpus}]", app="topiclake-bench", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage / task timings without the UI
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_spark(f"local[{cpus}]", app="topiclake-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     t0 = time.time()

@@ -50,3 +50,24 @@ def test_session_counts_chunked_equals_single_pass(spark, fx):
         got = session_counts(recs, "timestamp", "30 minutes", ["k"], chunk=chunk)
         assert got.count() == ref.count()
         assert got.exceptAll(ref.select(*got.columns)).count() == 0
+
+
+def test_tail_from_log_exact_with_holes(spark, fx, scratch):
+    from topiclake.operators import sink
+    from topiclake.sources.topiclog import TopicLog
+    recs = fx.log.records(spark).where(F.col("topic").isin("events", "orders"))
+    # the newest offsets of partition 1 of events are holes: its tail lies below the bound
+    holes = (F.col("topic") == "events") & (F.col("partition") == 1) & (F.col("offset") > 100)
+    # partition 2 keeps offsets <= 50 and its last one: one candidate above the bound,
+    # older records below it, so it must be re-read whole
+    top2 = recs.where((F.col("topic") == "events") & (F.col("partition") == 2)).agg(F.max("offset")).first()[0]
+    holes = holes | ((F.col("topic") == "events") & (F.col("partition") == 2) & (F.col("offset") > 50)
+                     & (F.col("offset") < top2))
+    log = TopicLog(f"{scratch}/log")
+    sink.write_records(recs.where(~holes), log, mode="overwrite")
+    got = analytics.tail_n_from_log(spark, log, 5)
+    want = analytics.tail_n(log.records(spark), 5)
+    p2 = sorted(r.offset for r in got.where((F.col("topic") == "events") & (F.col("partition") == 2)).collect())
+    assert p2 == [47, 48, 49, 50, top2]
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0

@@ -78,6 +78,39 @@ def tail_n(records: DataFrame, n: int) -> DataFrame:
     return (records.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn"))
 
 
+def tail_n_from_log(spark, log, n: int, topics: list[str] | None = None) -> DataFrame:
+    """Exact newest ``n`` records per partition, reading little more than the tail.
+
+    Watermarks come from file footers; per topic the scan keeps ``offset >= min(high) -
+    n`` as a literal, so files and row groups below the tail are skipped. Offsets may
+    have holes, so a partition that yields fewer than ``n`` candidates while holding older
+    records is re-read whole (only that partition), which keeps the result exact.
+    """
+    from ..sources.topiclog import footer_watermarks
+    wm = footer_watermarks(spark, log, topics).collect()          # one row per partition
+    if not wm:
+        return log.records(spark).limit(0)
+    recs = log.records(spark)
+    bounds: dict[str, int] = {}
+    for r in wm:
+        bounds[r.topic] = max(0, min(bounds.get(r.topic, r.high), r.high - n))
+    parts = [recs.where((F.col("topic") == F.lit(t)) & (F.col("offset") >= F.lit(b))) for t, b in sorted(bounds.items())]
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
+    head = tail_n(cand, n).checkpoint(eager=True)                 # at most n rows per partition
+    have = {(r.topic, r.partition): r.c for r in head.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("c")).collect()}
+    short = [(r.topic, r.partition) for r in wm
+             if have.get((r.topic, r.partition), 0) < n and r.low < bounds[r.topic]]
+    if not short:
+        return head
+    key = F.struct("topic", "partition")
+    wanted = [F.struct(F.lit(t), F.lit(int(p))) for t, p in short]
+    redo = tail_n(recs.where(key.isin(wanted)), n)
+    return head.where(~key.isin(wanted)).unionByName(redo)
+
+
 def snapshot_diff(newer: DataFrame, older: DataFrame) -> DataFrame:
     """Records in ``newer`` that ``older`` lacks (by topic, partition, offset)."""
     return newer.join(older.select("topic", "partition", "offset"), ["topic", "partition", "offset"], "left_anti")

@@ -627,7 +627,7 @@ def q_offset_gaps(spark, sf_dir):
 SELECT {_HEXED_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset" DESC)
                           AS rn FROM topic_log) WHERE rn <= 5""")
 def q_tail_n(spark, sf_dir):
-    return _hexed(analytics.tail_n(_fx(spark, sf_dir).log.records(spark), 5))
+    return _hexed(analytics.tail_n_from_log(spark, _fx(spark, sf_dir).log, 5))
 
 
 @query("snapshot_diff", f"""
