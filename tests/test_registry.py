@@ -54,3 +54,14 @@ def test_strict_lookup_raises(spark, fx):
     keys = spark.createDataFrame([("nope", 1)], "subject string, version int")
     with pytest.raises(reg.SchemaNotFound):
         reg.schema_by_version(fx.registry.current(spark), keys, strict=True)
+
+
+def test_latest_structure_and_errors(spark, fx):
+    import pytest
+    cur = fx.registry.current(spark)
+    assert reg.latest_structure(cur, "events-value") == '{"cents":"BIGINT","event_id":"BIGINT","event_type":"VARCHAR"}'
+    assert reg.latest_structure(cur, "orders-key") == '"BIGINT"'   # primitive root: quoted
+    with pytest.raises(ValueError, match="not JSON"):
+        reg.latest_structure(cur, "lineitem-value")
+    with pytest.raises(reg.SchemaNotFound):
+        reg.latest_structure(cur, "conversations-value")        # soft-deleted: invisible

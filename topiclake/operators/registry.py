@@ -269,3 +269,23 @@ def topic_subject_coverage(catalog: DataFrame, current: DataFrame) -> DataFrame:
         F.max(F.when(F.col("role") == "value", F.col("id"))).alias("value_schema_id"),
         F.max(F.when(F.col("role") == "value", F.col("schema_type"))).alias("value_schema_type"))
     return catalog.select("topic").join(per_topic, "topic", "left")
+
+
+# ------------------------------------------------------------------- J1 (single subject)
+
+
+def latest_structure(current: DataFrame, subject: str) -> str:
+    """Structure text of a subject's latest schema, constant for the query that uses it
+    (resolved once, on the driver). Errors: unknown subject, no schema type, a type
+    other than JSON, no schema text, unparsable schema."""
+    from ..functions.jsonschema import structure_text
+    row = schema_latest(current).where(F.col("subject") == F.lit(subject)).first()
+    if row is None:
+        raise SchemaNotFound(f"Subject not found: {subject}")
+    if row.schema_type is None:
+        raise ValueError(f"Schema type is not available for subject: {subject}")
+    if row.schema_type != "JSON":
+        raise ValueError(f"Schema type is not JSON for subject: {subject}")
+    if row.schema is None:
+        raise ValueError(f"Schema definition is not available for subject: {subject}")
+    return structure_text(row.schema)
