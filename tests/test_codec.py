@@ -68,3 +68,21 @@ def test_four_column_combinations(spark, fx):
     assert cols["conversations"][-2:] == ["key", "message"]
     types = dict(messages.scan_topic_decoded(spark, fx.log, fx.registry, "events").dtypes)
     assert types["key"] == "binary" and types["value"] == "string"
+
+
+def test_encode_validates_against_schema(spark, fx):
+    rows = spark.createDataFrame(
+        [(1, "events", '{"properties":{"n":{"minimum":0,"type":"integer"}},"type":"object"}', '{"n": 5}'),
+         (2, "events", '{"properties":{"n":{"minimum":0,"type":"integer"}},"type":"object"}', None)],
+        "id long, topic string, schema string, data string")
+    enc, _ = messages.encode_json(spark, fx.registry, rows, "topic", "schema", "data")
+    got = {r.id: r.message for r in enc.collect()}
+    assert bytes(got[1])[5:] == b'{"n":5}' and got[2] is None
+    bad = rows.limit(1).withColumn("data", F.lit('{"n": -1}'))
+    enc_bad, _ = messages.encode_json(spark, fx.registry, bad, "topic", "schema", "data")
+    with pytest.raises(Exception, match="does not match its schema"):
+        enc_bad.collect()
+    nojson = rows.limit(1).withColumn("data", F.lit("{nope"))
+    enc_nj, _ = messages.encode_json(spark, fx.registry, nojson, "topic", "schema", "data")
+    with pytest.raises(Exception, match="not JSON"):
+        enc_nj.collect()

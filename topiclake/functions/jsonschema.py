@@ -10,6 +10,7 @@ Catalyst expressions over a Variant, so validation runs inside codegen.
 
 from __future__ import annotations
 
+import itertools
 import json
 from typing import Any
 
@@ -135,10 +136,13 @@ def _kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
 
+_HELPER_IDS = itertools.count()
+
+
 def _bind(env: dict | None, expr: Column) -> Column:
     if env is None:
         return expr
-    name = f"_js{len(env)}"
+    name = f"_js{next(_HELPER_IDS)}"
     env[name] = expr
     return F.col(name)
 
@@ -250,3 +254,24 @@ def validate(df, variant_col: str, schema_text: str, out: str = "violations"):
         df = df.withColumn(name, expr)
     col = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else F.array().cast("array<string>")
     return df.withColumn(out, col).drop(*env.keys())
+
+
+def validate_by_schema(df, variant_col: str, schema_col: str, schema_texts: list[str],
+                       out: str = "violations"):
+    """Like :func:`validate`, with each row checked against the schema named in its own
+    ``schema_col`` (one of ``schema_texts``, the distinct schemas of the frame). Helper
+    columns of a schema are guarded by ``schema_col = schema``, so a row pays only for
+    the checks of its own schema. Rows whose schema is not listed get NULL."""
+    choice = None
+    helpers: list[str] = []
+    for text in schema_texts:
+        env: dict = {}
+        checks = _violations(F.col(variant_col), json.loads(text), "$", env)
+        mine = F.col(schema_col) == F.lit(text)
+        for name, expr in env.items():
+            df = df.withColumn(name, F.when(mine, expr))
+            helpers.append(name)
+        arr = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else F.array().cast("array<string>")
+        choice = F.when(mine, arr) if choice is None else choice.when(mine, arr)
+    col = choice if choice is not None else F.lit(None).cast("array<string>")
+    return df.withColumn(out, col).drop(*helpers)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
+from ..functions.jsonschema import validate_by_schema
 from ..plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small, is_small
 from ..sources.topiclog import SCAN_COLUMNS, TopicLog, parse_topic_uri, require_topics
 from .registry import Registry, register_schemas, schema_latest, subject_for
@@ -122,12 +123,17 @@ def scan_topic_decoded(spark: SparkSession, log: TopicLog, registry: Registry, t
 
 
 def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_col: str, schema_col: str,
-                data_col: str, normalize: bool = True) -> tuple[DataFrame, DataFrame]:
+                data_col: str, normalize: bool = True, validate: bool = True) -> tuple[DataFrame, DataFrame]:
     """Bulk form of serialise-with-registry: each row's ``data`` JSON under its topic's
     value subject and ``schema``. Distinct ``(subject, schema)`` pairs are registered
     once (new ids / versions where needed); the ids are joined back and the frame is
     built with column expressions. Returns ``(encoded, registry change rows)``;
     ``encoded`` replaces ``data_col`` by ``message`` (binary) and adds ``schema_id``.
+
+    With ``validate`` (the default, as for serialisation with validation), every row is
+    checked against its schema: each distinct schema of the batch is compiled once into
+    Catalyst checks, chosen per row; data that is not JSON or violates its schema fails
+    the query with the violations. NULL data stays NULL.
     """
     pairs = (df.select(subject_for(F.col(topic_col), False).alias("subject"),
                        F.col(schema_col).alias("schema")).distinct()
@@ -142,6 +148,17 @@ def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_co
     out = df.withColumn("subject", subject_for(F.col(topic_col), False))
     out = out.join(broadcast_if_small(ids), (out["subject"] == ids["subject"]) & (out[schema_col] == ids["_schema"]))
     out = out.drop(ids["subject"]).drop("_schema", "subject")
-    text = codec.canonical_json(F.col(data_col))
-    out = out.withColumn("message", codec.wire_encode(F.col("schema_id"), text)).drop(data_col)
+    out = out.withColumn("_parsed", F.try_parse_json(F.col(data_col)))
+    message = codec.wire_encode(F.col("schema_id"), F.to_json(F.col("_parsed")))
+    if validate:
+        texts = [r._schema for r in ids.select("_schema").distinct().collect()]   # distinct schemas
+        out = validate_by_schema(out, "_parsed", schema_col, texts, "_checks")
+        joined = F.array_join("_checks", "; ")
+        problem = (F.when(F.col(data_col).isNotNull() & F.col("_parsed").isNull(), F.lit("$: not JSON"))
+                   .when(joined != "", joined))
+        fail = F.raise_error(F.concat(F.lit("Error: data does not match its schema ("), F.col("_problem"),
+                                      F.lit(") subject='"), subject_for(F.col(topic_col), False), F.lit("'")))
+        out = out.withColumn("_problem", problem)
+        message = F.when(F.col("_problem").isNull(), message).otherwise(fail.cast("binary"))
+    out = out.withColumn("message", message).drop(data_col, "_parsed", "_problem", "_checks")
     return out, changes
