@@ -71,3 +71,10 @@ def test_tail_from_log_exact_with_holes(spark, fx, scratch):
     assert p2 == [47, 48, 49, 50, top2]
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_tail_from_log_window_fallback(spark, fx, monkeypatch):
+    monkeypatch.setattr(analytics, "TAIL_LITERAL_PARTITIONS_MAX", 1)
+    got = analytics.tail_n_from_log(spark, fx.log, 3)
+    want = analytics.tail_n(fx.log.records(spark), 3)
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0

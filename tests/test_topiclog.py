@@ -155,3 +155,22 @@ def test_option_precedence_and_registry_key():
                                   {"bootstrap.servers": "b:2"})
     assert url == "http://r" and client == {"bootstrap.servers": "b:2", "x": "1"}
     assert _client_options(client) == {"kafka.bootstrap.servers": "b:2", "kafka.x": "1"}
+
+
+def test_offset_table_join_fallback_equals_literal_plan(spark, fx, monkeypatch):
+    recs = fx.log.records(spark)
+    ranges = spark.createDataFrame([("lineitem", 0, 100, 200), ("lineitem", 3, -2, 50), ("lineitem", 5, -1, 10),
+                                    ("orders", 1, 10, -1), ("orders", 2, 5, -2)],
+                                   "topic string, partition int, start long, end long")
+    literal = tl.scan_offset_table(recs, ranges)
+    monkeypatch.setattr(tl, "LITERAL_RANGES_MAX", 1)
+    joined = tl.scan_offset_table(recs, ranges)
+    assert literal.count() == joined.count() > 0
+    assert literal.exceptAll(joined).count() == 0
+
+
+def test_topic_partitions_rows_match_nested_form(spark, fx):
+    rows = tl.topic_partitions(fx.log.catalog(spark), fx.log.brokers(spark))
+    nested = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark)).first()
+    flat = {(t.name, p.id, p.leader) for t in nested.topics for p in t.partitions}
+    assert flat == {(r.topic, r.partition, r.leader) for r in rows.where(F.col("partition").isNotNull()).collect()}

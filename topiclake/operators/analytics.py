@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import broadcast_if_small, is_small
 
 # Offsets per bucket for windowed scans over a partition (bounds a window task).
 GAP_BUCKET = 1 << 20
+# Partitions up to which tail_n_from_log plans per-topic literal bounds on the driver.
+TAIL_LITERAL_PARTITIONS_MAX = 100_000
 
 
 def topic_stats(records: DataFrame) -> DataFrame:
@@ -87,10 +89,14 @@ def tail_n_from_log(spark, log, n: int, topics: list[str] | None = None) -> Data
     records is re-read whole (only that partition), which keeps the result exact.
     """
     from ..sources.topiclog import footer_watermarks
-    wm = footer_watermarks(spark, log, topics).collect()          # one row per partition
-    if not wm:
-        return log.records(spark).limit(0)
     recs = log.records(spark)
+    wm_df = footer_watermarks(spark, log, topics)
+    if not is_small(wm_df, TAIL_LITERAL_PARTITIONS_MAX):   # very many partitions: exact window plan
+        src = recs if topics is None else recs.where(F.col("topic").isin(topics))
+        return tail_n(src, n)
+    wm = wm_df.collect()                                       # one row per partition
+    if not wm:
+        return recs.limit(0)
     bounds: dict[str, int] = {}
     for r in wm:
         bounds[r.topic] = max(0, min(bounds.get(r.topic, r.high), r.high - n))

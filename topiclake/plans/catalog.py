@@ -162,12 +162,11 @@ LEFT JOIN (SELECT topic, unnest(generate_series(0, partitions - 1)) AS pid FROM
   ON p.topic = c.topic""")
 def q_topic_metadata(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    m = topiclog.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark))
-    t = m.select(F.size("brokers").cast("long").alias("broker_count"), F.explode("topics").alias("t"))
-    p = t.select("broker_count", F.col("t.name").alias("name"), F.col("t.error").alias("error"),
-                 F.explode_outer("t.partitions").alias("p"))
-    return p.select("broker_count", "name", "error", F.col("p.id").alias("partition_id"),
-                    F.col("p.leader").alias("leader"))
+    brokers = fx.log.brokers(spark)
+    n = brokers.count()
+    rows = topiclog.topic_partitions(fx.log.catalog(spark), brokers)
+    return rows.select(F.lit(n).cast("long").alias("broker_count"), F.col("topic").alias("name"), "error",
+                       F.col("partition").alias("partition_id"), "leader")
 
 
 @query("scan_limit",
@@ -785,6 +784,5 @@ LEFT JOIN (SELECT topic, unnest(generate_series(0, partitions - 1)) AS pid FROM
 def q_sql_topic_metadata(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     sqlapi.register(spark, fx.log, fx.registry)
-    return spark.sql("""SELECT t.name, t.error, size(t.partitions) AS partitions
-                        FROM topic_metadata() LATERAL VIEW explode(topics) x AS t""").select(
-        "name", "error", F.col("partitions").cast("long").alias("partitions"))
+    return spark.sql("""SELECT topic AS name, error, count(`partition`) AS partitions
+                        FROM topic_partitions() GROUP BY topic, error""")

@@ -11,7 +11,8 @@ After ``register(spark, log, registry)``::
     SELECT * FROM schema_by_version('events-value', 1);
     SELECT * FROM schema_by_subject_id('events-value', 2);
     SELECT * FROM schema_by_guid('…');
-    SELECT * FROM topic_metadata();
+    SELECT * FROM topic_metadata();        -- one row, nested (bounded by cluster metadata)
+    SELECT * FROM topic_partitions();      -- one row per topic partition
 
 The functions are SQL table UDFs over the views, so Catalyst inlines them: partition
 pruning and offset pushdown survive the function boundary.
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators.registry import Registry, current_view, schema_by_guid, schema_latest
-from ..sources.topiclog import SCAN_COLUMNS, TopicLog, topic_metadata
+from ..sources.topiclog import SCAN_COLUMNS, TopicLog, topic_metadata, topic_partitions
 
 _URI_TO_TOPIC = ("CASE WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://[^/]*/(.*)$', 1) "
                  "ELSE t END")
@@ -46,6 +47,11 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
         RETURN SELECT topic, `partition`, min(`offset`), max(`offset`) + 1 FROM topic_log
                WHERE topic = {_URI_TO_TOPIC} GROUP BY topic, `partition`""")
     topic_metadata(log.catalog(spark), log.brokers(spark)).createOrReplaceTempView("topic_metadata_view")
+    topic_partitions(log.catalog(spark), log.brokers(spark)).createOrReplaceTempView("topic_partitions_view")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION topic_partitions()
+        RETURNS TABLE (topic STRING, error STRING, `partition` INT, leader INT)
+        RETURN SELECT topic, error, `partition`, leader FROM topic_partitions_view""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION topic_metadata()
         RETURNS TABLE (brokers ARRAY<STRUCT<id: INT, host: STRING, port: INT>>,

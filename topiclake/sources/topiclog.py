@@ -22,7 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import broadcast_if_small, is_small
+
+# Largest ranges table turned into literal partition / offset filters on the driver.
+LITERAL_RANGES_MAX = 10_000
 
 LOG_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
@@ -303,6 +306,8 @@ def scan_offset_table(records: DataFrame, ranges: DataFrame) -> DataFrame:
     applied through a broadcast equi-join on ``(topic, partition)``.
     """
     r = ranges.select("topic", "partition", F.col("start").alias("_start"), F.col("end").alias("_end"))
+    if not is_small(r, LITERAL_RANGES_MAX):
+        return _scan_offset_join(records, r)
     listed = r.select("topic", "partition", "_start", "_end").collect()
     topics = sorted({row.topic for row in listed})
     recs = records.where(F.col("topic").isin(topics))
@@ -325,18 +330,28 @@ def scan_offset_table(records: DataFrame, ranges: DataFrame) -> DataFrame:
     return inside.unionByName(rest)
 
 
+def _scan_offset_join(records: DataFrame, r: DataFrame) -> DataFrame:
+    """Ranges applied by a join alone (for very many listed partitions): records of
+    listed partitions by equi-join plus range residual, the rest whole (anti-join)."""
+    topics = broadcast_if_small(r.select("topic").distinct())
+    j = records.join(topics, "topic", "left_semi").join(r, ["topic", "partition"], "left")
+    keep = (F.col("_start").isNull()
+            | ((F.col("_start") != LATEST) & (F.col("_end") != EARLIEST)
+               & ((F.col("_start") == EARLIEST) | (F.col("offset") >= F.col("_start")))
+               & ((F.col("_end") == LATEST) | (F.col("offset") < F.col("_end")))))
+    return j.where(keep).select(*SCAN_COLUMNS)
+
+
 # --------------------------------------------------------------------------- metadata
 
 
-def topic_metadata(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
-    """Cluster metadata as **one row**: ``brokers`` and ``topics`` nested lists.
-
-    ``topics[i] = {name, error, partitions: [{id, leader}]}``; a topic with an error has
-    no partitions. The partition leader is the broker at position ``partition mod n`` of
-    the id-sorted broker list (cluster membership: a handful of ids, read on the driver).
-    One shuffle by topic builds each topic's partition list (bounded by its partition
-    count); a single global aggregate over brokers and topics then yields exactly one
-    row, even when both are empty.
+def topic_partitions(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
+    """Cluster metadata as rows, one per topic partition: ``topic, error, partition,
+    leader`` (a topic with an error gives one row with NULL partition and leader).
+
+    The leader is the broker at position ``partition mod n`` of the id-sorted broker list
+    (cluster membership: a handful of ids, read on the driver). A plain projection over
+    the catalogue, so it scales with the number of topics and partitions.
     """
     ids = [r.id for r in brokers.select("id").orderBy("id").collect()]
     id_arr = F.array(*[F.lit(i) for i in ids]) if ids else F.array().cast("array<int>")
@@ -344,13 +359,25 @@ def topic_metadata(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
              .withColumn("_p", F.when(F.col("error").isNull(),
                                       F.sequence(F.lit(0), F.col("partitions") - 1))
                          .otherwise(F.array().cast("array<int>")))
-             .select("topic", "error", F.explode_outer("_p").alias("pid")))
-    leader = (F.element_at(id_arr, (F.pmod(F.col("pid"), F.lit(len(ids))) + 1).cast("int"))
+             .select("topic", "error", F.explode_outer("_p").alias("partition")))
+    leader = (F.element_at(id_arr, (F.pmod(F.col("partition"), F.lit(len(ids))) + 1).cast("int"))
               if ids else F.lit(None).cast("int"))
-    parts = parts.withColumn("leader", F.when(F.col("pid").isNotNull(), leader))
+    return parts.withColumn("leader", F.when(F.col("partition").isNotNull(), leader))
+
+
+def topic_metadata(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
+    """Cluster metadata as **one row**: ``brokers`` and ``topics`` nested lists, the
+    shape a metadata call returns (``topics[i] = {name, error, partitions: [{id,
+    leader}]}``; a topic with an error has no partitions).
+
+    One shuffle by topic builds each topic's partition list; a global aggregate then
+    nests all topics into the single row, so this form is bounded by the size of the
+    cluster metadata. Analytics over many topics should use :func:`topic_partitions`.
+    """
+    parts = topic_partitions(catalog, brokers)
     per_topic = (parts.groupBy("topic", "error")
                  .agg(F.sort_array(F.collect_list(
-                     F.when(F.col("pid").isNotNull(), F.struct(F.col("pid").alias("id"), "leader"))))
+                     F.when(F.col("partition").isNotNull(), F.struct(F.col("partition").alias("id"), "leader"))))
                       .alias("partitions")))
     b = brokers.select(F.struct("id", "host", "port").alias("_b"),
                        F.lit(None).cast("struct<name:string,error:string,"
