@@ -174,3 +174,14 @@ def test_topic_partitions_rows_match_nested_form(spark, fx):
     nested = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark)).first()
     flat = {(t.name, p.id, p.leader) for t in nested.topics for p in t.partitions}
     assert flat == {(r.topic, r.partition, r.leader) for r in rows.where(F.col("partition").isNotNull()).collect()}
+
+
+def test_kafka_rows_normalise_to_scan_columns(spark):
+    from topiclake.sources import kafka
+    raw = spark.createDataFrame(
+        [(b"k", b"v", "t", 0, 5, None, 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    out = kafka._normalise(raw, with_timestamp=False)
+    assert out.columns == tl.SCAN_COLUMNS
+    assert bytes(out.first().message) == b"v"
+    assert kafka._normalise(raw, with_timestamp=True).columns == tl.SCAN_COLUMNS + ["timestamp"]
