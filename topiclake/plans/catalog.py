@@ -264,7 +264,7 @@ def q_sql_scan_topic(spark, sf_dir):
 
 # ============================================================================ codec
 
-_D_EVENTS_JSON = fixtures._DUCK_EVENTS_JSON
+_D_EVENTS_JSON = fixtures.DUCK_EVENTS_JSON
 
 
 @query("encode_wire", f"""
@@ -275,7 +275,7 @@ FROM (SELECT *, CASE event_type WHEN 'purchase' THEN 2 WHEN 'signup' THEN (SELEC
 def q_encode_wire(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     e = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_type") != "error")
-    data = fixtures._json_events(e)
+    data = fixtures.events_json(e)
     rows = e.select("event_id",
                     F.when(F.col("event_type") == "purchase", F.lit("events"))
                     .when(F.col("event_type") == "signup", F.lit("signups"))
@@ -466,7 +466,7 @@ _D_V1 = ("('{\"properties\":{\"c_acctbal\":{\"type\":\"number\"},\"c_custkey\":{
          "',\"type\":\"integer\"},\"c_mktsegment\":{\"type\":\"string\"}},\"title\":\"' || coalesce(c_name, '') || "
          "'\",\"type\":\"object\"}')")
 _D_HASH = "sha256(schema_type || ':' || schema)"
-_D_GUID = fixtures._duck_guid(_D_HASH)
+_D_GUID = fixtures.duck_guid(_D_HASH)
 
 
 @query("register_schemas", f"""

@@ -75,7 +75,7 @@ CUST_ID_BASE = 100
 # ---------------------------------------------------------------------------- Spark side
 
 
-def _json_events(e: DataFrame) -> Column:
+def events_json(e: DataFrame) -> Column:
     cents = F.round(F.col("value") * 100).cast("long")
     return F.concat(F.lit('{"cents":'), cents.cast("string"),
                     F.lit(',"event_id":'), F.col("event_id").cast("string"),
@@ -86,7 +86,7 @@ def _events_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     return e.select(
         (F.col("user_id") % 4).cast("int").alias("partition"), "ts",
-        "user_id", "event_id", "event_type", _json_events(e).alias("_json"),
+        "user_id", "event_id", "event_type", events_json(e).alias("_json"),
         F.col("ts").cast("timestamp").alias("timestamp"))
 
 
@@ -286,13 +286,13 @@ def duck_wire(id_sql: str, text_sql: str) -> str:
     return f"(unhex('00') || unhex(printf('%08X', {id_sql})) || encode({text_sql}))"
 
 
-_DUCK_EVENTS_JSON = ("('{\"cents\":' || CAST(round(value*100) AS BIGINT)::VARCHAR || ',\"event_id\":' || "
+DUCK_EVENTS_JSON = ("('{\"cents\":' || CAST(round(value*100) AS BIGINT)::VARCHAR || ',\"event_id\":' || "
                      "event_id::VARCHAR || ',\"event_type\":\"' || event_type || '\"}')")
 
 
 def duck_topic_log_sql() -> str:
     """DuckDB SELECT producing the fixture topic log (same rows and bytes as Spark)."""
-    j = _DUCK_EVENTS_JSON
+    j = DUCK_EVENTS_JSON
     ev_msg = f"CASE WHEN event_type = 'error' THEN NULL ELSE {duck_wire('CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END', j)} END"
     damaged = (f"CASE event_id % 6 WHEN 0 THEN encode((event_id % 1000)::VARCHAR) "
                f"WHEN 1 THEN unhex('01') || unhex('00000001') || encode({j}) "
@@ -334,7 +334,7 @@ SELECT 'conversations', (conv_id % 4)::INTEGER,
 """
 
 
-def _duck_guid(h: str) -> str:
+def duck_guid(h: str) -> str:
     return (f"(substr({h},1,8) || '-' || substr({h},9,4) || '-' || substr({h},13,4) || '-' || "
             f"substr({h},17,4) || '-' || substr({h},21,12))")
 
@@ -367,7 +367,7 @@ def duck_registry_sql() -> str:
     ])
     h = "sha256(schema_type || ':' || schema)"
     return (f"SELECT seq::BIGINT AS seq, op, subject, version::INTEGER AS version, id::INTEGER AS id, "
-            f"{_duck_guid(h)} AS guid, schema_type, schema, deleted FROM ({body}) r")
+            f"{duck_guid(h)} AS guid, schema_type, schema, deleted FROM ({body}) r")
 
 
 def duck_catalog_sql() -> str:
