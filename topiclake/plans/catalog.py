@@ -792,3 +792,19 @@ def q_sql_topic_metadata(spark, sf_dir):
     sqlapi.register(spark, fx.log, fx.registry)
     return spark.sql("""SELECT topic AS name, error, count(`partition`) AS partitions
                         FROM topic_partitions() GROUP BY topic, error""")
+
+
+@query("sql_decode_wire", f"""
+SELECT "partition", "offset", {_D_ID.format(m="message")} AS schema_id, {_D_TEXT.format(m="message")} AS value,
+       hex(unhex('00') || unhex(printf('%08X', {_D_ID.format(m="message")})) || encode({_D_TEXT.format(m="message")}))
+       AS reencoded_hex
+FROM topic_log WHERE topic = 'copy'""")
+def q_sql_decode_wire(spark, sf_dir):
+    """Decode and re-encode in SQL with the scalar wire functions over the scan function."""
+    fx = _fx(spark, sf_dir)
+    sqlapi.register(spark, fx.log, fx.registry)
+    return spark.sql("""
+        SELECT `partition`, `offset`, wire_schema_id(message) AS schema_id,
+               canonical_json(wire_payload(message)) AS value,
+               hex(wire_encode(wire_schema_id(message), canonical_json(wire_payload(message)))) AS reencoded_hex
+        FROM scan_topic('copy')""")

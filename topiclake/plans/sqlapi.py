@@ -11,6 +11,8 @@ After ``register(spark, log, registry)``::
     SELECT * FROM schema_by_version('events-value', 1);
     SELECT * FROM schema_by_subject_id('events-value', 2);
     SELECT * FROM schema_by_guid('…');
+    SELECT wire_schema_id(message), canonical_json(wire_payload(message)) FROM scan_topic('events');
+    SELECT wire_encode(2, '{"a":1}');
     SELECT * FROM topic_metadata();        -- one row, nested (bounded by cluster metadata)
     SELECT * FROM topic_partitions();      -- one row per topic partition
 
@@ -29,7 +31,25 @@ _URI_TO_TOPIC = ("CASE WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://
                  "ELSE t END")
 
 
+def register_scalar_functions(spark: SparkSession) -> None:
+    """Wire-format and JSON helpers as SQL scalar functions (inlined by the analyzer, so
+    they run as plain Catalyst expressions)."""
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION wire_schema_id(m BINARY) RETURNS INT
+        RETURN CASE WHEN length(m) >= 5 THEN CAST(CAST(conv(hex(substring(m, 2, 4)), 16, 10) AS BIGINT) AS INT) END""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION wire_payload(m BINARY) RETURNS STRING
+        RETURN decode(substring(m, 6), 'UTF-8')""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION wire_encode(id INT, j STRING) RETURNS BINARY
+        RETURN CASE WHEN j IS NOT NULL THEN concat(X'00', unhex(lpad(hex(id), 8, '0')), encode(j, 'UTF-8')) END""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION canonical_json(j STRING) RETURNS STRING
+        RETURN to_json(try_parse_json(j))""")
+
+
 def register(spark: SparkSession, log: TopicLog, registry: Registry | None = None) -> None:
+    register_scalar_functions(spark)
     log.records(spark).createOrReplaceTempView("topic_log")
     log.catalog(spark).createOrReplaceTempView("topic_catalog")
     log.brokers(spark).createOrReplaceTempView("topic_brokers")
