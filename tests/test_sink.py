@@ -68,3 +68,25 @@ def test_pending_records_exactly_once(spark, fx, scratch):
     assert third.count() == 0
     assert first.count() + second.count() == recs.count()
     assert spark.read.parquet(table).count() == recs.count()
+
+
+def test_to_topic_with_write_id_completes_exactly_once(spark, fx, scratch):
+    log = _copy_log(spark, fx, scratch)
+    base = log.records(spark).count()
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    new = o.select("o_orderkey", F.encode(F.col("o_orderkey").cast("string"), "UTF-8").alias("key"),
+                   F.encode(F.col("o_orderstatus"), "UTF-8").alias("message"))
+    # an earlier attempt staged its plan and got half of it into the log before failing
+    plan = sink.plan_topic_write(spark, log, new, ["o_orderkey"], topic="orders")
+    staging = f"{log.root}/staging/w1"
+    sink.write_records(plan, TopicLog(staging), mode="overwrite", ranged=True)
+    spark.createDataFrame([("w1",)], "write_id string").write.mode("overwrite").json(f"{staging}/_staged")
+    staged = TopicLog(staging).records(spark)
+    sink.write_records(staged.where(F.col("partition") < 4), log, mode="append")
+    # the retry appends only what is missing; a further retry appends nothing
+    sink.to_topic(spark, log, new, ["o_orderkey"], topic="orders", write_id="w1")
+    sink.to_topic(spark, log, new, ["o_orderkey"], topic="orders", write_id="w1")
+    after = log.records(spark)
+    assert after.count() == base + o.count()
+    assert after.groupBy("partition", "offset").count().where(F.col("count") > 1).count() == 0
+    assert staged.select("partition", "offset").exceptAll(after.select("partition", "offset")).count() == 0

@@ -8,6 +8,7 @@ predicates then skip whole files and row groups through Parquet statistics.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,13 +72,57 @@ def plan_topic_write(spark, log: TopicLog, records: DataFrame, order_cols: list[
 
 
 def to_topic(spark, log: TopicLog, records: DataFrame, order_cols: list[str],
-             topic: str | None = None) -> DataFrame:
-    """Append ``records`` to the log (single writer) and return what was written."""
-    planned = plan_topic_write(spark, log, records, order_cols, topic).checkpoint(eager=True)
-    write_records(planned, log, mode="append", ranged=True)
+             topic: str | None = None, write_id: str | None = None) -> DataFrame:
+    """Append ``records`` to the log (single writer) and return what was written.
+
+    Without ``write_id`` the planned records are checkpointed, then appended. With
+    ``write_id`` the plan is first written to a staging table ``<log>/staging/<write_id>``
+    (a write-ahead record in the shared folder). Only staged records the log does not
+    hold yet are appended. A retry after a driver failure, even one in the middle of the
+    append's commit, re-reads the same staged offsets and completes the write exactly
+    once instead of planning new offsets.
+    """
+    if write_id is None:
+        planned = plan_topic_write(spark, log, records, order_cols, topic).checkpoint(eager=True)
+        write_records(planned, log, mode="append", ranged=True)
+        return planned
+    staging = f"{log.root}/staging/{write_id}"
+    planned = _read_staged(spark, staging)
+    if planned is None:
+        plan = plan_topic_write(spark, log, records, order_cols, topic)
+        write_records(plan, TopicLog(staging), mode="overwrite", ranged=True)
+        spark.createDataFrame([(write_id,)], "write_id string").coalesce(1).write.mode("overwrite").json(
+            f"{staging}/_staged")
+        planned = _read_staged(spark, staging)
+    write_records(_not_in_log(spark, log, planned), log, mode="append")
     return planned
 
 
+def _read_staged(spark, staging: str) -> DataFrame | None:
+    try:
+        if spark.read.json(f"{staging}/_staged").count() != 1:
+            return None
+    except AnalysisException:
+        return None
+    return TopicLog(staging).records(spark)
+
+
+def _not_in_log(spark, log: TopicLog, planned: DataFrame) -> DataFrame:
+    """Staged records missing from the log. The log side is cut to the staged partitions
+    and to offsets at or above the smallest staged offset (literals, pushed to Parquet),
+    so a first attempt reads nothing but footers and row-group statistics."""
+    lo = planned.agg(F.min("offset")).first()[0]
+    if lo is None:
+        return planned
+    topics = [r.topic for r in planned.select("topic").distinct().collect()]
+    try:
+        present = (log.records(spark).where(F.col("topic").isin(topics) & (F.col("offset") >= F.lit(int(lo))))
+                   .select("topic", "partition", "offset"))
+    except AnalysisException:  # the log has no records yet
+        return planned
+    return planned.join(present, ["topic", "partition", "offset"], "left_anti")
+
+
 # ------------------------------------------------------------------------- ingestion
 
 
