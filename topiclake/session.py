@@ -81,3 +81,27 @@ def shared_dir(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, *parts: str) -> str:
     """A path below the shared folder, e.g. ``workspace(spark, 'fixtures', 'sf0.01')``."""
     return "/".join([shared_dir(spark), "topiclake", *parts])
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a run over ``input_bytes`` of topic log on ``total_cores``.
+
+    Scan splits of ``target_partition_bytes`` (256 MiB); the initial shuffle partition
+    count is such that a shuffle of the whole input lands near the target size per
+    partition (at least twice the cores); AQE then coalesces small partitions toward the
+    advisory size and splits skewed ones. For 100 TB on 1000 executors x 8 cores this
+    gives ~400k initial partitions, coalesced at run time.
+    """
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # broadcasts are decided by explicit, size-checked hints; keep the automatic one small
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
