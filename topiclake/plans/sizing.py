@@ -1,23 +1,44 @@
 """Size-checked broadcast.
 
-A side is broadcast only when a bounded count proves it small: ``limit(n + 1).count()``
-stops reading as soon as the bound is exceeded, so the check itself never scans a large
-table in full. Beyond the bound the join is left to the planner (sort-merge or shuffled
-hash join, with AQE skew handling).
+A side is broadcast only when a bounded aggregate proves it small, in rows *and* bytes:
+over at most ``max_rows + 1`` rows (``limit`` stops reading once the bound is exceeded)
+it counts rows and adds up each row's size: the actual length of string / binary
+columns, the JSON length of nested ones, fixed widths for the rest. Beyond either bound
+the join is left to the planner (sort-merge or shuffled hash join, with AQE splitting
+skewed partitions).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound for sides that are small by nature (catalogues, watermarks, registries).
+# Bounds for sides that are small by nature (catalogues, watermarks, registries).
 DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 256 << 20
 
+_FIXED = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def _width(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    t = field.dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.length(c), F.lit(0)).cast("long")
+    if isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.length(F.to_json(c)), F.lit(0)).cast("long")
+    return F.lit(_FIXED.get(type(t), 16)).cast("long")
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    widths = [_width(f) for f in df.schema.fields]
+    row_bytes = sum(widths[1:], widths[0]) if widths else F.lit(0).cast("long")
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    return r.n <= max_rows and (r.b or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
