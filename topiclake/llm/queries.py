@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_frequency, packing, token_files, warc
+from . import decontaminate, line_frequency, near_join, packing, token_files, warc
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
     "op4_warc_bundles": warc.op4_warc_bundles,
+    "op5_jaccard_join": near_join.op5_jaccard_join,
     "op7_token_files": token_files.op7_token_files,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op10_decontamination": decontaminate.op10_decontamination,
