@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_frequency, near_join, packing, token_files, warc
+from . import decontaminate, line_frequency, near_join, packing, quality, token_files, toxicity, warc
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_quality": quality.op3_quality,
     "op4_warc_bundles": warc.op4_warc_bundles,
     "op5_jaccard_join": near_join.op5_jaccard_join,
     "op7_token_files": token_files.op7_token_files,
