@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_frequency, near_join, packing, quality, token_files, toxicity, warc
+from . import (
+    decontaminate,
+    html_text,
+    licenses,
+    line_frequency,
+    near_join,
+    packing,
+    quality,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
@@ -10,8 +21,10 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_warc_bundles": warc.op4_warc_bundles,
     "op5_jaccard_join": near_join.op5_jaccard_join,
+    "op6_license_scan": licenses.op6_license_scan,
     "op7_token_files": token_files.op7_token_files,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 
