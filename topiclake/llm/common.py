@@ -80,6 +80,16 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if r.n <= max_rows and (r.b or 0) <= max_bytes else df
 
 
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``(doc_id, xxhash64(text))`` is in ``dropped(doc_id, th)``
+    (nulls are equal); the texts move only if ``dropped`` is too large to broadcast."""
+    keys = broadcast_checked(materialise(dropped.select(
+        F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct(), "dropped"))
+    same = (docs["doc_id"].cast("long").eqNullSafe(keys["_gone_id"])
+            & (F.xxhash64(docs["text"].cast("string")) == keys["_gone_th"]))
+    return docs.join(keys, same, "left_anti")
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` (a one-element ``transform``): a plain
     reuse of the expression inside a lambda would be evaluated again for every element."""

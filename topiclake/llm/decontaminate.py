@@ -35,7 +35,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, let, materialise, table, total
+from .common import broadcast_checked, let, materialise, table, total, without
 
 WINDOW = 10
 SHINGLE = 3
@@ -108,7 +108,8 @@ def _document_shingles(docs: DataFrame, sizes: list[int], blooms: dict[int, str]
         return F.struct(F.size(h).cast("long").alias("n_words"), *[
             hits(h, k, F.from_json(F.lit(blooms[k]), "array<bigint>")).alias(f"s{k}") for k in sizes])
 
-    out = docs.select("doc_id", let(_word_hashes(F.col("text")), scan).alias("x")).select("doc_id", "x.*")
+    out = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("th"),
+                      let(_word_hashes(F.col("text")), scan).alias("x")).select("doc_id", "th", "x.*")
     return materialise(out.withColumn("row", F.monotonically_increasing_id()), "bench-shingles")
 
 
@@ -119,15 +120,15 @@ def _with_neighbours(hits: Column, pad: Column, reach: int) -> Column:
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, spans`` (merged ``start, len`` in words),
-    ``items`` (sorted as strings)."""
+    """Per row of ``docs``: ``doc_id, th`` (the text's hash), ``n_words, n_hit, spans`` (merged
+    ``start, len`` in words) and ``items`` (sorted as strings)."""
     wins = materialise(windows(bench, window, shingle), "bench-windows")
     sizes = sorted(r.k for r in wins.select("k").distinct().collect())  # at most ``shingle`` values
     placed = wins.select("wid", "len", "k", "seq", F.posexplode("seq").alias("o", "sh"))
     blooms = {k: _bloom(placed.where(F.col("k") == k).select("sh")) for k in sizes}
     found = _document_shingles(docs, sizes, blooms)
     if not sizes:
-        return found.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"),
+        return found.select("doc_id", "th", "n_words", F.lit(0).cast("long").alias("n_hit"),
                             F.array().cast("array<struct<start:int,len:int>>").alias("spans"),
                             F.array().cast("array<string>").alias("items"))
     # rarity of every benchmark shingle over all documents
@@ -177,12 +178,18 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shing
         .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["len"].alias("len")))))))
     per_row = per_row.withColumn("spans", spans).select("row", "items", "spans")
     empty_items, empty_spans = F.array().cast("array<string>"), F.array().cast("array<struct<start:int,len:int>>")
-    return (found.select("row", "doc_id", "n_words").join(per_row, "row", "left")
-            .select("doc_id", "n_words", total(F.transform(F.coalesce("spans", empty_spans),
+    return (found.select("row", "doc_id", "th", "n_words").join(per_row, "row", "left")
+            .select("doc_id", "th", "n_words", total(F.transform(F.coalesce("spans", empty_spans),
                                                            lambda x: x["len"].cast("long"))).alias("n_hit"),
                     F.coalesce("spans", empty_spans).alias("spans"), F.coalesce("items", empty_items).alias("items")))
 
 
+def clean_documents(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    """``docs`` without the rows that hold a window of the benchmark."""
+    hit = contamination(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), bench)
+    return without(docs, hit.where("n_hit > 0"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return c.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

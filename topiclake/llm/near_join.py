@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, materialise, prepare, table
+from .common import broadcast_checked, materialise, prepare, table, without
 
 SHINGLE = 5
 FRAGMENTS = 4
@@ -90,7 +90,7 @@ def _must_share(n):
 
 
 def class_table(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """``doc_id, n, cls`` per row; ``cls`` is null for empty sets."""
+    """``doc_id, th, n, cls`` per row; ``th`` is the text's hash, ``cls`` is null for empty sets."""
 
     def run(batches):
         for b in batches:
@@ -99,16 +99,17 @@ def class_table(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 s = shingle_set(t, k)
                 n.append(len(s))
                 cls.append(_class_key(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                                             names=["doc_id", "n", "cls"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
+                                             names=["doc_id", "th", "n", "cls"])
 
-    return materialise(_texts(docs).mapInArrow(run, "doc_id long, n long, cls long"), "classes")
+    rows = _texts(docs, F.xxhash64(F.col("text").cast("string")).alias("th"))
+    return materialise(rows.mapInArrow(run, "doc_id long, th long, n long, cls long"), "classes")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, *more) -> DataFrame:
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").cast("binary").alias("text"))
+                       F.col("text").cast("string").cast("binary").alias("text"), *more)
 
 
 _BLOB = "bucket int, lo binary, hi binary, at binary, cls binary, n binary, df binary"
@@ -486,5 +487,28 @@ def near_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def one_per_component(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's (nulls last; ties by the text's
+    hash; of equal rows any one). Rows without shingles all stay."""
+    classes = class_table(docs, k)
+    roots = components(class_links(docs, classes, k))
+    rows = classes.where("cls is not null").join(roots, F.col("cls") == F.col("node"), "left").select(
+        "doc_id", "th", F.coalesce("root", "cls").alias("root"))
+    rows = materialise(rows.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("times")), "component-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "th")
+    first = rows.groupBy("root").agg(F.min(order).alias("f"))
+    stay = F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.th") == F.col("th"))
+    judged = rows.join(first, "root").select("doc_id", "th", "times", stay.alias("stay"))
+    kept = without(docs, judged.where("not stay"))
+    twice = materialise(judged.where("stay and times > 1").select("doc_id", "th"), "equal-rows")
+    if twice.isEmpty():
+        return kept
+    key = {"_row_id": F.col("doc_id").cast("long"), "_row_th": F.xxhash64(F.col("text").cast("string"))}
+    equal = docs.withColumns(key).join(broadcast_checked(twice.toDF("_eq_id", "_eq_th")), F.col("_row_id").eqNullSafe(
+        F.col("_eq_id")) & (F.col("_row_th") == F.col("_eq_th")), "left_semi")
+    equal = equal.dropDuplicates(["_row_id", "_row_th"]).drop("_row_id", "_row_th")
+    return without(kept, twice).unionByName(equal)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))

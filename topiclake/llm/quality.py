@@ -151,8 +151,8 @@ def _best_cut(logit: np.ndarray, y: np.ndarray) -> float:
     return float(((x[i - 1] if i else x[0] - 1) + (x[i] if i < len(x) else x[-1] + 1)) / 2)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with the column ``score``."""
+def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """``docs`` with the column ``out``: every row's score, 0 to 1."""
     prepare(docs.sparkSession)
     weights = docs.sparkSession.sparkContext.broadcast(model)
     memo: dict = {}
@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
         return pd.Series(weights.value.score(text.tolist(), memo))
 
-    return docs.withColumn("score", run(F.col("text").cast("string")))
+    return docs.withColumn(out, run(F.col("text").cast("string")))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:

@@ -276,8 +276,8 @@ def _fit(docs, y, fit, rng) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score`` of every row of ``docs``; extra columns of ``docs`` stay."""
+def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """``docs`` with the column ``out``: every row's score, 0 to 1."""
     prepare(docs.sparkSession)
     weights = docs.sparkSession.sparkContext.broadcast(model)
     memo: dict = {}
@@ -287,7 +287,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
         return pd.Series(weights.value.score(text.tolist(), memo))
 
-    return docs.withColumn("score", run(F.col("text").cast("string")))
+    return docs.withColumn(out, run(F.col("text").cast("string")))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
