@@ -59,7 +59,7 @@ def test_structure_golden(schema, expected):
 
 
 def test_unparsable_schema_raises():
-    with pytest.raises(ValueError, match="Failed to parse JSON schema"):
+    with pytest.raises(ValueError, match="schema text is not JSON"):
         js.structure_text("{nope")
 
 

@@ -1,8 +1,11 @@
 """Streaming runs agree with batch; restarts resume exactly once."""
+import os
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from topiclake.operators import analytics, sink
-from topiclake.sources.topiclog import TopicLog
+from topiclake.sources.topiclog import LOG_SCHEMA, TopicLog
 from topiclake.streaming import feeds
 
 
@@ -46,16 +49,42 @@ def test_window_counts_closed_windows_equal_batch(spark, fx, scratch):
     assert closed.exceptAll(got).count() == 0
 
 
-def test_late_partitions_are_dropped_not_double_counted(spark, fx, scratch):
-    """One file per trigger: a partition read after another has moved the watermark
-    arrives late; its records are dropped, so counts can only be lower than batch."""
+def test_window_counts_over_many_batches_lose_nothing(spark, fx, scratch):
+    """One file per trigger, out of event-time order: all windows equal the batch counts, and
+    the closed ones are those that every partition has passed."""
     recs = feeds.stream_records(spark, fx.log, ["events"], max_files_per_trigger=1)
-    feeds.run_available_now(feeds.event_type_counts(recs), f"{scratch}/sink", f"{scratch}/ck")
-    got = _ntz(spark.read.parquet(f"{scratch}/sink")).alias("g")
-    want = _batch_counts(spark, fx).alias("w")
-    j = got.join(want, (F.col("g.window_start") == F.col("w.window_start"))
-                 & F.col("g.event_type").eqNullSafe(F.col("w.event_type")), "left")
-    assert j.where(F.col("w.n").isNull() | (F.col("g.n") > F.col("w.n"))).count() == 0
+    feeds.window_counts_into(recs, f"{scratch}/table", f"{scratch}/ck")
+    assert len([d for d in os.listdir(f"{scratch}/table/counts") if d.startswith("batch=")]) > 2
+    got = _ntz(feeds.closed_windows(spark, f"{scratch}/table", "-100000 days"))
+    want = _batch_counts(spark, fx)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    closed = _ntz(feeds.closed_windows(spark, f"{scratch}/table"))
+    assert 0 < closed.count() < want.count() and closed.exceptAll(want).count() == 0
+
+
+def test_dedup_over_many_batches_loses_nothing(spark, scratch):
+    """Unique records of five partitions, one file per trigger, far apart in time, then all again."""
+    rows = [("t", p, o, None, None, datetime(2024, 1, 1 + 5 * ((p * 3) % 5), 0, o)) for p in range(5) for o in range(30)]
+    df = spark.createDataFrame(rows, LOG_SCHEMA).repartition(5, "partition")
+    for _ in range(2):
+        df.write.mode("append").parquet(f"{scratch}/landing")
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/landing")
+    out = feeds.dedup_into(src, f"{scratch}/table", f"{scratch}/ck")
+    assert out.count() == 150 and out.dropDuplicates(["topic", "partition", "offset"]).count() == 150
+    again = feeds.dedup_into(src, f"{scratch}/table", f"{scratch}/ck")  # nothing new
+    assert again.count() == 150
+
+
+def test_tail_from_latest_and_from_offsets(spark, fx, scratch):
+    log = TopicLog(f"{scratch}/log")
+    recs = fx.log.records(spark).where(F.col("topic") == "events")
+    sink.write_records(recs.where(F.col("offset") < 100), log, mode="overwrite")
+    assert feeds.tail(spark, log, "events", f"{scratch}/a", f"{scratch}/cka", start="latest").count() == 0
+    sink.write_records(recs.where(F.col("offset") >= 100), log, mode="append")
+    new = feeds.tail(spark, log, "events", f"{scratch}/a", f"{scratch}/cka", start="latest")
+    assert new.count() == recs.where(F.col("offset") >= 100).count() > 0
+    some = feeds.tail(spark, log, "events", f"{scratch}/b", f"{scratch}/ckb", start={1: 50})
+    assert some.count() == recs.where((F.col("partition") != 1) | (F.col("offset") >= 50)).count()
 
 
 def test_dedup_keeps_one_copy(spark, fx, scratch):

@@ -102,7 +102,7 @@ def test_offset_ranges(spark, fx):
 
 
 def test_metadata_one_row(spark, fx):
-    m = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark))
+    m = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark), fx.log.leaders(spark))
     rows = m.collect()
     assert len(rows) == 1
     topics = {t.name: t for t in rows[0].topics}
@@ -111,7 +111,7 @@ def test_metadata_one_row(spark, fx):
     assert [p.id for p in topics["orders"].partitions] == list(range(8))
     assert [p.leader for p in topics["orders"].partitions] == [1, 2, 3, 1, 2, 3, 1, 2]
     assert len(topics) == fx.log.catalog(spark).count()
-    empty = tl.topic_metadata(fx.log.catalog(spark).limit(0), fx.log.brokers(spark).limit(0)).collect()
+    empty = tl.topic_metadata(fx.log.catalog(spark).limit(0), fx.log.brokers(spark).limit(0), fx.log.leaders(spark).limit(0)).collect()
     assert len(empty) == 1 and empty[0].topics == [] and empty[0].brokers == []
 
 
@@ -155,6 +155,10 @@ def test_option_precedence_and_registry_key():
                                   {"bootstrap.servers": "b:2"})
     assert url == "http://r" and client == {"bootstrap.servers": "b:2", "x": "1"}
     assert _client_options(client) == {"kafka.bootstrap.servers": "b:2", "kafka.x": "1"}
+    mixed = _client_options({"minPartitions": "4", "kafka.group.id": "g", "includeheaders": "true",
+                             "schema.registry.url": "http://r", "kafkaConsumer.pollTimeoutMs": "9"})
+    assert mixed == {"minPartitions": "4", "kafka.group.id": "g", "includeHeaders": "true",
+                     "kafkaConsumer.pollTimeoutMs": "9"}
 
 
 def test_offset_table_join_fallback_equals_literal_plan(spark, fx, monkeypatch):
@@ -170,8 +174,8 @@ def test_offset_table_join_fallback_equals_literal_plan(spark, fx, monkeypatch):
 
 
 def test_topic_partitions_rows_match_nested_form(spark, fx):
-    rows = tl.topic_partitions(fx.log.catalog(spark), fx.log.brokers(spark))
-    nested = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark)).first()
+    rows = tl.topic_partitions(fx.log.catalog(spark), fx.log.leaders(spark))
+    nested = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark), fx.log.leaders(spark)).first()
     flat = {(t.name, p.id, p.leader) for t in nested.topics for p in t.partitions}
     assert flat == {(r.topic, r.partition, r.leader) for r in rows.where(F.col("partition").isNotNull()).collect()}
 

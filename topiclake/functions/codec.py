@@ -19,6 +19,7 @@ TOO_SHORT = "too_short"
 BAD_MAGIC = "bad_magic"
 UNKNOWN_SCHEMA_ID = "unknown_schema_id"
 NOT_JSON_TYPE = "not_json_type"
+BAD_UTF8 = "bad_utf8"
 BAD_JSON = "bad_json"
 
 
@@ -38,13 +39,15 @@ def wire_magic_ok(msg: Column) -> Column:
 
 
 def wire_schema_id(msg: Column) -> Column:
-    """Schema id of a framed message; NULL when the frame is shorter than the header."""
-    return F.when(F.length(msg) >= HEADER_LEN,
-                  F.conv(F.hex(F.substring(msg, 2, 4)), 16, 10).cast("long").cast("int"))
+    """Schema id of a framed message; NULL when the frame is shorter than the header, lacks
+    the magic byte, or holds a number that no schema id can be (over 2**31 - 1)."""
+    return F.when((F.length(msg) >= HEADER_LEN) & wire_magic_ok(msg),
+                  F.conv(F.hex(F.substring(msg, 2, 4)), 16, 10).cast("long").try_cast("int"))
 
 
 def wire_payload_text(msg: Column) -> Column:
-    return F.decode(F.substring(msg, HEADER_LEN + 1, 1 << 30), "UTF-8")
+    """Payload as text, of any length; NULL where its bytes are not valid UTF-8."""
+    return F.try_validate_utf8(F.substring(msg, HEADER_LEN + 1, (1 << 31) - 1).cast("string"))
 
 
 def canonical_json(text: Column) -> Column:
@@ -56,17 +59,18 @@ def canonical_json(text: Column) -> Column:
     return F.to_json(F.try_parse_json(text))
 
 
-def decode_status(msg: Column, schema_type: Column, parsed: Column) -> Column:
+def decode_status(msg: Column, schema_type: Column, text: Column, parsed: Column) -> Column:
     """First failing check of a non-NULL message, as a code; NULL when it decodes.
 
-    ``schema_type`` is NULL when the id is not registered; ``parsed`` is the
-    ``try_parse_json`` of the payload.
+    ``schema_type`` is NULL when the id is not registered; ``text`` is the payload's valid
+    UTF-8 text and ``parsed`` its ``try_parse_json``. Total: any bytes get a code.
     """
     return (F.when(msg.isNull(), F.lit(None).cast("string"))
             .when(F.length(msg) < HEADER_LEN, F.lit(TOO_SHORT))
             .when(~wire_magic_ok(msg), F.lit(BAD_MAGIC))
             .when(schema_type.isNull(), F.lit(UNKNOWN_SCHEMA_ID))
             .when(schema_type != F.lit("JSON"), F.lit(NOT_JSON_TYPE))
+            .when(text.isNull(), F.lit(BAD_UTF8))
             .when(parsed.isNull(), F.lit(BAD_JSON)))
 
 

@@ -10,8 +10,11 @@ Catalyst expressions over a Variant, so validation runs inside codegen.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
+import operator
+from decimal import Decimal
 from typing import Any
 
 import pandas as pd
@@ -71,7 +74,7 @@ def structure_text(schema_text: str) -> str:
     try:
         parsed = json.loads(schema_text)
     except (TypeError, ValueError) as e:
-        raise ValueError(f"Failed to parse JSON schema: {e}") from e
+        raise ValueError(f"schema text is not JSON: {e}") from e
     return dumps(structure(parsed))
 
 
@@ -114,7 +117,10 @@ def schema_spark_type(schema_text: str) -> T.DataType:
 SUPPORTED_KEYWORDS = {
     "type", "properties", "required", "enum", "const", "minimum", "maximum",
     "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern", "items",
-    "minItems", "maxItems", "additionalProperties",
+    "minItems", "maxItems", "additionalProperties", "prefixItems", "additionalItems", "patternProperties",
+    "uniqueItems", "multipleOf", "minProperties", "maxProperties", "anyOf", "oneOf", "allOf", "not", "$ref",
+    # holders of referenced schemas
+    "$defs", "definitions",
     # annotations without effect on validity
     "title", "description", "$schema", "$id", "default", "examples", "format",
 }
@@ -152,12 +158,43 @@ def _is_type(v: Column, t: str, k: Column | None = None) -> Column:
     base = k.isin(_VARIANT_KINDS[t])
     if t == "integer":  # 2.0 is an integer in JSON Schema; decimals with zero fraction count
         dec = F.try_variant_get(v, "$", "decimal(38,10)")
-        base = base | ((k == "DECIMAL") & (dec == F.floor(dec)))
+        num = F.try_variant_get(v, "$", "double")
+        base = base | ((k == "DECIMAL") & (dec == F.floor(dec))) | (k.isin("DOUBLE", "FLOAT") & (num == F.floor(num)))
     return base
 
 
+def _exact(v: Column) -> Column:
+    """Number as an exact decimal; NULL where it has none (then the double decides)."""
+    return F.try_variant_get(v, "$", "decimal(38,12)")
+
+
+def _decimal(x) -> Column:
+    return F.lit(Decimal(str(x))).cast("decimal(38,12)")
+
+
+def _fails(v: Column, schema: Any, path: str, root: Any, refs: tuple) -> Column:
+    """Whether ``v`` violates ``schema``."""
+    checks = _violations(v, schema, path, None, None, root, refs)
+    return F.concat_ws("", *checks) != "" if checks else F.lit(False)
+
+
+def _resolve(ref: Any, root: Any, path: str) -> Any:
+    if not isinstance(ref, str) or not (ref == "#" or ref.startswith("#/")):
+        raise ValueError(f"unsupported $ref at {path}: {ref!r}")
+    node = root
+    for part in [p for p in ref[1:].split("/") if p]:
+        part = part.replace("~1", "/").replace("~0", "~")
+        if isinstance(node, list) and part.isdigit() and int(part) < len(node):
+            node = node[int(part)]
+        elif isinstance(node, dict) and part in node:
+            node = node[part]
+        else:
+            raise ValueError(f"$ref {ref!r} at {path} names nothing")
+    return node
+
+
 def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
-                kind: Column | None = None) -> list[Column]:
+                kind: Column | None = None, root: Any = None, refs: tuple = ()) -> list[Column]:
     """Expressions yielding a message when violated and NULL when fine.
 
     With ``env`` (an ordered name → expression dict), each object property's sub-variant
@@ -172,10 +209,25 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
     unknown = set(schema) - SUPPORTED_KEYWORDS
     if unknown:
         raise ValueError(f"unsupported JSON Schema keyword(s) at {path}: {sorted(unknown)}")
+    root = schema if root is None else root
     out: list[Column] = []
     present = v.isNotNull()
     if kind is None:
         kind = _bind(env, _kind(v))
+    if "$ref" in schema:
+        if schema["$ref"] in refs:
+            raise ValueError(f"unsupported recursive $ref at {path}: {schema['$ref']!r}")
+        out.extend(_violations(v, _resolve(schema["$ref"], root, path), path, None, kind, root, (*refs, schema["$ref"])))
+    for sub in schema.get("allOf", []):
+        out.extend(_violations(v, sub, path, None, kind, root, refs))
+    if "anyOf" in schema or "oneOf" in schema:
+        for kw in ("anyOf", "oneOf"):
+            if kw in schema:
+                fits = [F.when(_fails(v, sub, path, root, refs), 0).otherwise(1) for sub in schema[kw]]
+                n = functools.reduce(operator.add, fits, F.lit(0))
+                out.append(F.when(present & ((n == 0) if kw == "anyOf" else (n != 1)), F.lit(f"{path}: {kw}")))
+    if "not" in schema:
+        out.append(F.when(present & ~_fails(v, schema["not"], path, root, refs), F.lit(f"{path}: not")))
     t = schema.get("type")
     if t is not None:
         types = t if isinstance(t, list) else [t]
@@ -183,12 +235,20 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
         for x in types:
             ok = ok | _is_type(v, x, kind)
         out.append(F.when(present & ~ok, F.lit(f"{path}: expected type {'/'.join(types)}")))
-    num = F.try_variant_get(v, "$", "double")
-    for kw, bad in (("minimum", lambda b: num < b), ("maximum", lambda b: num > b),
-                    ("exclusiveMinimum", lambda b: num <= b), ("exclusiveMaximum", lambda b: num >= b)):
-        if kw in schema:
-            is_num = kind.isin(_VARIANT_KINDS["number"])
-            out.append(F.when(is_num & bad(F.lit(float(schema[kw]))), F.lit(f"{path}: {kw} {schema[kw]}")))
+    num, dec = F.try_variant_get(v, "$", "double"), _exact(v)
+    is_num = kind.isin(_VARIANT_KINDS["number"])
+    for kw, bad in (("minimum", operator.lt), ("maximum", operator.gt),
+                    ("exclusiveMinimum", operator.le), ("exclusiveMaximum", operator.ge)):
+        bound = schema.get(kw)
+        if bound is None or (isinstance(bound, bool) and kw.startswith("exclusive")):
+            continue
+        if schema.get({"minimum": "exclusiveMinimum", "maximum": "exclusiveMaximum"}.get(kw, "")) is True:
+            bad = {operator.lt: operator.le, operator.gt: operator.ge}[bad]  # older spelling: a flag beside the bound
+        broken = F.coalesce(bad(dec, _decimal(bound)), bad(num, F.lit(float(bound))))
+        out.append(F.when(is_num & broken, F.lit(f"{path}: {kw} {bound}")))
+    if "multipleOf" in schema:
+        rest = F.coalesce(dec % _decimal(schema["multipleOf"]) == 0, num % F.lit(float(schema["multipleOf"])) == 0)
+        out.append(F.when(is_num & ~rest, F.lit(f"{path}: multipleOf {schema['multipleOf']}")))
     s = F.try_variant_get(v, "$", "string")
     is_str = kind == "STRING"
     if "minLength" in schema:
@@ -200,39 +260,86 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
     for kw in ("enum", "const"):
         if kw in schema:
             allowed = schema[kw] if kw == "enum" else [schema[kw]]
-            out.append(F.when(present & ~F.to_json(v).isin([dumps(a) for a in allowed]),
-                              F.lit(f"{path}: not in {kw}")))
+            numbers = [x for x in allowed if isinstance(x, (int, float)) and not isinstance(x, bool)]
+            same = F.to_json(v).isin([dumps(x) for x in allowed if x not in numbers or isinstance(x, bool)])
+            if numbers:  # numbers are equal by value: 1 is 1.0
+                equal = F.coalesce(dec.isin([_decimal(x) for x in numbers]), num.isin([float(x) for x in numbers]))
+                same = same | (is_num & equal)
+            out.append(F.when(present & ~same, F.lit(f"{path}: not in {kw}")))
     is_obj = kind == "OBJECT"
     for r in schema.get("required", []) or []:
-        child = F.try_variant_get(v, f"$.{_quote(r)}", "variant")
+        child = F.try_variant_get(v, _path(r), "variant")
         out.append(F.when(is_obj & child.isNull(), F.lit(f"{path}: missing {r}")))
     props = schema.get("properties") or {}
     for name, sub in sorted(props.items()):
-        child = _bind(env, F.when(is_obj, F.try_variant_get(v, f"$.{_quote(name)}", "variant")))
-        out.extend(_violations(child, sub, f"{path}.{name}", env))
-    if schema.get("additionalProperties") is False:
-        keys = F.json_object_keys(F.to_json(v))
+        child = _bind(env, F.when(is_obj, F.try_variant_get(v, _path(name), "variant")))
+        out.extend(_violations(child, sub, f"{path}.{name}", env, None, root, refs))
+    keys = F.json_object_keys(F.to_json(v))
+    for kw, bad in (("minProperties", operator.lt), ("maxProperties", operator.gt)):
+        if kw in schema:
+            out.append(F.when(is_obj & bad(F.size(keys), F.lit(schema[kw])), F.lit(f"{path}: {kw}")))
+    patterns = schema.get("patternProperties") or {}
+    entries = F.map_entries(F.from_json(F.to_json(v), "map<string,variant>"))
+    for pattern, sub in sorted(patterns.items()):
+        def broken(e, pattern=pattern, sub=sub):
+            return e["key"].rlike(pattern) & _fails(e["value"], sub, path, root, refs)
+        out.append(F.when(is_obj & F.exists(entries, _one(broken)), F.lit(f"{path}: properties like {pattern}")))
+    extra = schema.get("additionalProperties", True)
+    if extra is not True and extra != {}:
         declared = F.array(*[F.lit(k) for k in props]) if props else F.array().cast("array<string>")
-        out.append(F.when(is_obj & (F.size(F.array_except(keys, declared)) > 0),
-                          F.lit(f"{path}: additional properties")))
+
+        def beyond(e):
+            other = ~F.array_contains(declared, e["key"])
+            for pattern in patterns:
+                other = other & ~e["key"].rlike(pattern)
+            return other if extra is False else other & _fails(e["value"], extra, path, root, refs)
+        out.append(F.when(is_obj & F.exists(entries, beyond), F.lit(f"{path}: additional properties")))
     is_arr = kind == "ARRAY"
     arr = F.try_variant_get(v, "$", "array<variant>")
     if "minItems" in schema:
         out.append(F.when(is_arr & (F.size(arr) < schema["minItems"]), F.lit(f"{path}: minItems")))
     if "maxItems" in schema:
         out.append(F.when(is_arr & (F.size(arr) > schema["maxItems"]), F.lit(f"{path}: maxItems")))
-    items = schema.get("items")
-    if isinstance(items, dict):
+    if schema.get("uniqueItems") is True:
+        texts = F.transform(arr, lambda x: F.to_json(x))
+        out.append(F.when(is_arr & (F.size(F.array_distinct(texts)) < F.size(arr)), F.lit(f"{path}: uniqueItems")))
+    first = schema.get("prefixItems")
+    items = schema.get("items", True)
+    if isinstance(items, list):  # older spelling: a list of schemas, the rest by additionalItems
+        first, items = items, schema.get("additionalItems", True)
+    for i, sub in enumerate(first or []):
+        child = F.when(is_arr, F.try_variant_get(v, f"$[{i}]", "variant"))
+        out.extend(_violations(child, sub, f"{path}[{i}]", None, None, root, refs))
+    rest = F.slice(arr, len(first) + 1, F.greatest(F.size(arr), F.lit(1))) if first else arr
+    if items is False:
+        out.append(F.when(is_arr & (F.size(rest) > 0), F.lit(f"{path}: additional items")))
+    elif isinstance(items, dict) and items:
         def per_item(x):
-            cs = _violations(x, items, f"{path}[]")
+            cs = _violations(x, items, f"{path}[]", None, None, root, refs)
             return F.concat_ws("; ", *cs) if cs else F.lit("")
-        msgs = F.filter(F.transform(arr, per_item), lambda m: m != "")
+        msgs = F.filter(F.transform(rest, per_item), lambda m: m != "")
         out.append(F.when(is_arr & (F.size(msgs) > 0), F.array_join(msgs, "; ")))
     return out
 
 
+def _one(fn):
+    """A one-argument lambda out of a function with bound defaults."""
+    return lambda e: fn(e)
+
+
+def _path(name: str) -> str:
+    q = _quote(name)
+    return f"${q}" if q.startswith("[") else f"$.{q}"
+
+
 def _quote(name: str) -> str:
-    return name if name.isidentifier() else "['" + name.replace("'", "\\'") + "']"
+    if name.isidentifier():
+        return name
+    if "'" not in name:
+        return f"['{name}']"
+    if '"' not in name:
+        return f'["{name}"]'
+    raise ValueError(f"property name with both kinds of quotes: {name!r}")
 
 
 def validation_column(v: Column, schema_text: str) -> Column:

@@ -15,7 +15,7 @@ from ..functions import codec
 from ..functions.jsonschema import validate_by_schema
 from ..plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small, is_small
 from ..sources.topiclog import SCAN_COLUMNS, TopicLog, parse_topic_uri, require_topics
-from .registry import Registry, register_schemas, schema_latest, subject_for
+from .registry import Registry, current_view, register_schemas, schema_latest, subject_for
 
 
 class DecodeError(ValueError):
@@ -23,9 +23,10 @@ class DecodeError(ValueError):
 
 
 def registry_ids(changes: DataFrame) -> DataFrame:
-    """``id → schema_type`` for every registered content (ids stay resolvable after a
-    soft delete, as messages written with them still exist)."""
-    return (changes.where(F.col("op") == "register").groupBy("id")
+    """``id → schema_type`` for every registered content. Ids stay resolvable after a soft
+    delete, as messages written with them still exist; an id with no version left after
+    permanent deletes is unknown."""
+    return (current_view(changes, include_deleted=True).groupBy("id")
             .agg(F.first("schema_type").alias("schema_type")))
 
 
@@ -43,22 +44,25 @@ def decode_column(df: DataFrame, col: str, ids: DataFrame, out: str, status: str
     side = _id_side(ids.select(F.col("id").alias("_sid"), F.col("schema_type").alias("_stype")),
                     df.select("_sid").where(F.col("_sid").isNotNull()))
     df = df.join(side, "_sid", "left")
-    parsed = F.try_parse_json(codec.wire_payload_text(F.col(col)))
-    df = df.withColumn("_parsed", parsed)
-    df = df.withColumn(status, codec.decode_status(F.col(col), F.col("_stype"), F.col("_parsed")))
+    df = df.withColumn("_text", codec.wire_payload_text(F.col(col)))
+    df = df.withColumn("_parsed", F.try_parse_json(F.col("_text")))
+    df = df.withColumn(status, codec.decode_status(F.col(col), F.col("_stype"), F.col("_text"), F.col("_parsed")))
     df = df.withColumn(out, F.when(F.col(status).isNull(), F.to_json(F.col("_parsed"))))
-    return df.drop("_sid", "_stype", "_parsed")
+    return df.drop("_sid", "_stype", "_text", "_parsed")
 
 
 def decode_messages(df: DataFrame, ids: DataFrame, col: str = "message", out: str = "value",
                     mode: str = "strict") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Decode framed messages into JSON text.
 
-    ``mode='strict'``: a bad record fails the query (``raise_error`` inside the plan, with
-    the record's topic/partition/offset and code). ``'null'``: bad records decode to NULL
-    and keep their code in ``<out>_error``. ``'quarantine'``: returns ``(good, bad)``;
-    ``bad`` carries the error report fields.
+    ``mode='strict'``: a bad record fails the query, whatever columns are then read or
+    counted (``raise_error`` in a filter, which no column pruning removes, with the
+    record's topic/partition/offset and code). ``'null'``: bad records decode to NULL and
+    keep their code in ``<out>_error``. ``'quarantine'``: returns ``(good, bad)``; ``bad``
+    carries the error report fields and the record's whole key and message.
     """
+    if mode not in MODES:
+        raise ValueError(f"unknown decode mode {mode!r}")
     status = f"{out}_error"
     dec = decode_column(df, col, ids, out, status)
     if mode == "null":
@@ -67,13 +71,19 @@ def decode_messages(df: DataFrame, ids: DataFrame, col: str = "message", out: st
         good = dec.where(F.col(status).isNull()).drop(col, status)
         bad = error_report(dec.where(F.col(status).isNotNull()), col, status)
         return good, bad
-    if mode != "strict":
-        raise ValueError(f"unknown decode mode {mode!r}")
-    fail = F.raise_error(F.concat(F.lit("Error: cannot decode message ("), F.col(status), F.lit(") topic='"),
-                                  F.col("topic"), F.lit("', partition="), F.col("partition").cast("string"),
-                                  F.lit(", offset="), F.col("offset").cast("string")))
-    checked = dec.withColumn(out, F.when(F.col(status).isNull(), F.col(out)).otherwise(fail.cast("string")))
-    return checked.drop(col, status)
+    return _fail_on(dec, status).drop(col, status)
+
+
+MODES = ("strict", "null", "quarantine")
+
+
+def _fail_on(df: DataFrame, status: str) -> DataFrame:
+    """Fail the query at the first record with an error code. A filter, so that counting or
+    selecting other columns cannot skip the check."""
+    text = F.concat(F.lit("Error: cannot decode message ("), F.col(status), F.lit(") topic='"),
+                    F.col("topic"), F.lit("', partition="), F.col("partition").cast("string"),
+                    F.lit(", offset="), F.col("offset").cast("string"))
+    return df.where(F.when(F.col(status).isNull(), F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
 
 
 def error_report(bad: DataFrame, col: str, status: str) -> DataFrame:
@@ -85,15 +95,22 @@ def error_report(bad: DataFrame, col: str, status: str) -> DataFrame:
                       F.concat(F.lit("partition="), F.col("partition").cast("string")),
                       F.concat(F.lit("offset="), F.col("offset").cast("string")),
                       F.concat(F.lit("payload: "), summary))
+    raw = [F.col(c).alias(f"raw_{c}") for c in dict.fromkeys(["key", "message", col]) if c in bad.columns]
     return bad.select("topic", "partition", "offset", F.col(status).alias("error_code"),
-                      summary.alias("payload"), msg.alias("error_message"))
+                      summary.alias("payload"), msg.alias("error_message"), *raw)
 
 
 def scan_topic_decoded(spark: SparkSession, log: TopicLog, registry: Registry, topic: str,
-                       mode: str = "strict") -> DataFrame:
+                       mode: str = "strict") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Registry-aware scan. The latest ``<topic>-key`` / ``<topic>-value`` subjects decide,
     when the frame is built, whether ``key`` becomes JSON text and whether ``message`` is
-    replaced by a JSON ``value`` column; a subject of another schema type is an error."""
+    replaced by a JSON ``value`` column; a subject of another schema type is an error.
+
+    ``mode='null'`` adds ``key_error`` / ``value_error`` for the decoded columns, so a bad
+    record never looks like a tombstone; ``'quarantine'`` returns ``(good, bad)``, where
+    ``bad`` reports the first failing column with the record's whole bytes."""
+    if mode not in MODES:
+        raise ValueError(f"unknown decode mode {mode!r}")
     name = parse_topic_uri(topic)
     require_topics(spark, log, [name])
     subj = [f"{name}-key", f"{name}-value"]
@@ -102,23 +119,31 @@ def scan_topic_decoded(spark: SparkSession, log: TopicLog, registry: Registry, t
               .select("subject", "schema_type").collect()}
     for s, t in latest.items():
         if t is None:
-            raise DecodeError(f"Schema type is not specified in the schema registry for subject: {s}")
+            raise DecodeError(f"subject {s!r} has no schema type in the registry")
         if t != "JSON":
-            raise DecodeError(f"Unsupported schema type '{t}' in the schema registry for subject: {s}")
+            raise DecodeError(f"subject {s!r} is of schema type {t!r}; only JSON can be decoded")
     df = log.records(spark).where(F.col("topic") == F.lit(name)).select(*SCAN_COLUMNS)
     ids = registry_ids(registry.changes(spark))
+    decoded = [(c, o) for c, o, subject in (("key", "key", f"{name}-key"), ("message", "value", f"{name}-value"))
+               if subject in latest]
+    for c, o in decoded:
+        df = decode_column(df, c, ids, f"_{o}", f"{o}_error")
     cols = ["topic", "partition", "offset"]
-    if f"{name}-key" in latest:
-        df = decode_messages(df, ids, "key", "_key", mode if mode != "quarantine" else "null")
-        df = df.withColumnRenamed("_key", "key")
-        cols.append("key")
-    else:
-        cols.append("key")
-    if f"{name}-value" in latest:
-        df = decode_messages(df, ids, "message", "value", mode if mode != "quarantine" else "null")
-        cols.append("value")
-    else:
-        cols.append("message")
+    cols += [F.col("_key").alias("key") if f"{name}-key" in latest else F.col("key")]
+    cols += [F.col("_value").alias("value") if f"{name}-value" in latest else F.col("message")]
+    errors = [f"{o}_error" for _, o in decoded]
+    if mode == "null":
+        return df.select(*cols, *errors)
+    if mode == "quarantine":
+        first = F.coalesce(*[F.concat(F.lit(f"{o}: "), F.col(f"{o}_error")) for _, o in decoded],
+                           F.lit(None).cast("string"))
+        raw = F.coalesce(*[F.when(F.col(f"{o}_error").isNotNull(), F.col(c)) for c, o in decoded],
+                         F.lit(None).cast("binary"))
+        df = df.withColumns({"_first": first, "_raw": raw})
+        bad = error_report(df.where(F.col("_first").isNotNull()), "_raw", "_first")
+        return df.where(F.col("_first").isNull()).select(*cols), bad.drop("raw__raw")
+    for e in errors:
+        df = _fail_on(df, e)
     return df.select(*cols)
 
 
@@ -130,35 +155,38 @@ def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_co
     built with column expressions. Returns ``(encoded, registry change rows)``;
     ``encoded`` replaces ``data_col`` by ``message`` (binary) and adds ``schema_id``.
 
-    With ``validate`` (the default, as for serialisation with validation), every row is
-    checked against its schema: each distinct schema of the batch is compiled once into
-    Catalyst checks, chosen per row; data that is not JSON or violates its schema fails
-    the query with the violations. NULL data stays NULL.
+    A row with NULL topic, schema or data gives a NULL message (NULL in, NULL out) and is
+    kept. Data that is not JSON fails the query, also without ``validate``. With
+    ``validate`` (the default, as for serialisation with validation), every row is checked
+    against its schema: each distinct schema of the batch is compiled once into Catalyst
+    checks, chosen per row; a violation fails the query.
     """
     pairs = (df.select(subject_for(F.col(topic_col), False).alias("subject"),
-                       F.col(schema_col).alias("schema")).distinct()
-             .withColumn("schema_type", F.lit("JSON")))
+                       F.col(schema_col).alias("schema")).where("subject is not null and schema is not null")
+             .distinct().withColumn("schema_type", F.lit("JSON")))
     # request order = (subject, schema) text order, so new ids are reproducible
     batch = pairs.withColumn("req", F.concat_ws("\n", "subject", "schema"))
     changes, results = register_schemas(registry.changes(spark), batch, normalize=normalize)
     # the canonical form is what was registered: match requests on the original text.
     # One row per distinct (subject, schema): materialised once, then broadcast-checked.
     ids = batch.join(results.select("req", F.col("id").alias("schema_id")), "req").select(
-        "subject", F.col("schema").alias("_schema"), "schema_id").checkpoint(eager=True)
-    out = df.withColumn("subject", subject_for(F.col(topic_col), False))
-    out = out.join(broadcast_if_small(ids), (out["subject"] == ids["subject"]) & (out[schema_col] == ids["_schema"]))
-    out = out.drop(ids["subject"]).drop("_schema", "subject")
-    out = out.withColumn("_parsed", F.try_parse_json(F.col(data_col)))
-    message = codec.wire_encode(F.col("schema_id"), F.to_json(F.col("_parsed")))
+        F.col("subject").alias("_enc_subject"), F.col("schema").alias("_enc_schema"), "schema_id").checkpoint(eager=True)
+    subject = subject_for(F.col(topic_col), False)
+    out = df.withColumn("_enc_key", subject)
+    out = out.join(broadcast_if_small(ids), (out["_enc_key"] == ids["_enc_subject"])
+                   & (out[schema_col] == ids["_enc_schema"]), "left").drop("_enc_subject", "_enc_schema", "_enc_key")
+    complete = F.col("schema_id").isNotNull() & F.col(data_col).isNotNull()
+    out = out.withColumn("_enc_parsed", F.when(complete, F.try_parse_json(F.col(data_col))))
+    problem = F.when(complete & F.col("_enc_parsed").isNull(), F.lit("$: not JSON"))
     if validate:
-        texts = [r._schema for r in ids.select("_schema").distinct().collect()]   # distinct schemas
-        out = validate_by_schema(out, "_parsed", schema_col, texts, "_checks")
-        joined = F.array_join("_checks", "; ")
-        problem = (F.when(F.col(data_col).isNotNull() & F.col("_parsed").isNull(), F.lit("$: not JSON"))
-                   .when(joined != "", joined))
-        fail = F.raise_error(F.concat(F.lit("Error: data does not match its schema ("), F.col("_problem"),
-                                      F.lit(") subject='"), subject_for(F.col(topic_col), False), F.lit("'")))
-        out = out.withColumn("_problem", problem)
-        message = F.when(F.col("_problem").isNull(), message).otherwise(fail.cast("binary"))
-    out = out.withColumn("message", message).drop(data_col, "_parsed", "_problem", "_checks")
+        texts = [r._enc_schema for r in ids.select("_enc_schema").distinct().collect()]   # distinct schemas
+        out = validate_by_schema(out, "_enc_parsed", schema_col, texts, "_enc_checks")
+        joined = F.array_join("_enc_checks", "; ")
+        problem = problem.when(complete & (joined != ""), joined)
+    out = out.withColumn("_enc_problem", problem)
+    fail = F.raise_error(F.concat(F.lit("Error: data does not match its schema ("), F.col("_enc_problem"),
+                                  F.lit(") subject='"), subject, F.lit("'")))
+    out = out.where(F.when(F.col("_enc_problem").isNull(), F.lit(True)).otherwise(fail.cast("boolean")))
+    message = F.when(complete, codec.wire_encode(F.col("schema_id"), F.to_json(F.col("_enc_parsed"))))
+    out = out.withColumn("message", message).drop(data_col, "_enc_parsed", "_enc_problem", "_enc_checks")
     return out, changes

@@ -281,11 +281,11 @@ def latest_structure(current: DataFrame, subject: str) -> str:
     from ..functions.jsonschema import structure_text
     row = schema_latest(current).where(F.col("subject") == F.lit(subject)).first()
     if row is None:
-        raise SchemaNotFound(f"Subject not found: {subject}")
+        raise SchemaNotFound(f"no live schema under subject {subject!r}")
     if row.schema_type is None:
-        raise ValueError(f"Schema type is not available for subject: {subject}")
+        raise ValueError(f"subject {subject!r} has no schema type")
     if row.schema_type != "JSON":
-        raise ValueError(f"Schema type is not JSON for subject: {subject}")
+        raise ValueError(f"subject {subject!r} is of type {row.schema_type!r}, not JSON")
     if row.schema is None:
-        raise ValueError(f"Schema definition is not available for subject: {subject}")
+        raise ValueError(f"subject {subject!r} has no schema text")
     return structure_text(row.schema)

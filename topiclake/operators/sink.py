@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small
-from ..sources.topiclog import LOG_SCHEMA, SCAN_COLUMNS, TopicLog, footer_watermarks, partition_watermarks
+from ..sources.topiclog import (
+    LOG_SCHEMA,
+    SCAN_COLUMNS,
+    TopicLog,
+    footer_watermarks,
+    is_missing_path,
+    require_topics,
+)
 from .offsets import assign_dense
 
 
@@ -47,25 +54,33 @@ def plan_topic_write(spark, log: TopicLog, records: DataFrame, order_cols: list[
     ``records`` has ``key, message`` and optionally ``topic``, ``partition`` and
     ``timestamp``; ``order_cols`` must order records uniquely within a partition, so
     numbering is reproducible. Offsets continue at each partition's current ``high``
-    (0 for an empty partition) without gaps.
+    (0 for an empty partition) without gaps. A record whose topic is NULL or not in the
+    catalogue, or whose partition the topic lacks, fails the write; none is dropped.
     """
+    if topic is not None:
+        require_topics(spark, log, [topic])
     df = records
     if topic is not None:
         df = df.withColumn("topic", F.lit(topic))
     if "timestamp" not in df.columns:
         df = df.withColumn("timestamp", F.current_timestamp())
     cat = log.catalog(spark).select("topic", F.col("partitions").alias("_n"))
-    df = df.join(broadcast_if_small(cat), "topic", "inner")
+    df = df.join(broadcast_if_small(cat), "topic", "left")
     spread = F.xxhash64(*[F.col(c) for c in order_cols])
     part = default_partition(F.col("key"), F.col("_n"), spread)
     if "partition" in df.columns:
         part = F.coalesce(F.col("partition").cast("int"), part)
-    df = df.withColumn("partition", part).drop("_n")
+    wrong = (F.when(F.col("topic").isNull(), F.lit("record without a topic"))
+             .when(F.col("_n").isNull(), F.concat(F.lit("unknown topic '"), F.col("topic"), F.lit("'")))
+             .when(part.isNull() | (part < 0) | (part >= F.col("_n")),
+                   F.concat(F.lit("topic '"), F.col("topic"), F.lit("' has no partition "), part.cast("string"))))
+    # the partition is what offsets are numbered by, so the check cannot be pruned
+    df = df.withColumn("partition", F.when(wrong.isNull(), part).otherwise(
+        F.raise_error(F.concat(F.lit("Error: cannot write: "), wrong)).cast("int"))).drop("_n")
     if topic is not None:  # one known topic: its watermarks come from file footers
         highs = footer_watermarks(spark, log, [topic])
     else:
-        topics = df.select("topic").distinct()
-        highs = partition_watermarks(log.records(spark).join(broadcast_if_small(topics), "topic", "left_semi"))
+        highs = footer_watermarks(spark, log)
     highs = highs.select("topic", "partition", F.col("high").alias("base"))
     out = assign_dense(df, ["topic", "partition"], order_cols, "offset", base=highs)
     return out.select(*LOG_SCHEMA.fieldNames())
@@ -102,7 +117,9 @@ def _read_staged(spark, staging: str) -> DataFrame | None:
     try:
         if spark.read.json(f"{staging}/_staged").count() != 1:
             return None
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
         return None
     return TopicLog(staging).records(spark)
 
@@ -118,8 +135,10 @@ def _not_in_log(spark, log: TopicLog, planned: DataFrame) -> DataFrame:
     try:
         present = (log.records(spark).where(F.col("topic").isin(topics) & (F.col("offset") >= F.lit(int(lo))))
                    .select("topic", "partition", "offset"))
-    except AnalysisException:  # the log has no records yet
-        return planned
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+        return planned  # the log has no records yet
     return planned.join(present, ["topic", "partition", "offset"], "left_anti")
 
 
@@ -139,11 +158,13 @@ def pending_records(log_records: DataFrame, table: DataFrame, topics: list[str]
 
 
 def ingest(log_records: DataFrame, table_path: str, spark, topics: list[str] | None = None) -> DataFrame:
-    """Append pending records to a Parquet table partitioned like the log; returns them."""
+    """Append pending records to a Parquet table partitioned like the log; returns them. Only
+    a table that does not exist yet counts as empty; any other read failure is raised."""
     try:
         table = spark.read.schema(LOG_SCHEMA).parquet(table_path)
-        table.limit(1).count()
-    except Exception:
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
         table = spark.createDataFrame([], LOG_SCHEMA)
     new = pending_records(log_records, table, topics).select(*LOG_SCHEMA.fieldNames()).checkpoint(eager=True)
     new.write.mode("append").partitionBy("topic", "partition").parquet(table_path)

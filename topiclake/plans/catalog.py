@@ -20,6 +20,7 @@ from ..sources import fixtures, topiclog
 from ..sources.fixtures import EVENTS_V1, EVENTS_V2
 from ..streaming import feeds
 from . import sqlapi
+from .sizing import broadcast_if_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,8 +47,9 @@ def _hexed(df: DataFrame) -> DataFrame:
 _HEXED_SQL = 'topic, "partition", "offset", hex(key) AS key_hex, hex(message) AS message_hex'
 
 # DuckDB spelling of the wire-frame pieces
-_D_ID = "CASE WHEN octet_length({m}) >= 5 THEN ('0x' || substr(hex({m}), 3, 8))::INTEGER END"
-_D_TEXT = "decode(unhex(substr(hex({m}), 11)))"
+_D_ID = ("CASE WHEN octet_length({m}) >= 5 AND substr(hex({m}), 1, 2) = '00' "
+         "THEN TRY_CAST('0x' || substr(hex({m}), 3, 8) AS INTEGER) END")
+_D_TEXT = "TRY(decode(unhex(substr(hex({m}), 11))))"
 
 
 def _payload_text(col: str = "message"):
@@ -164,7 +166,7 @@ def q_topic_metadata(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     brokers = fx.log.brokers(spark)
     n = brokers.count()
-    rows = topiclog.topic_partitions(fx.log.catalog(spark), brokers)
+    rows = topiclog.topic_partitions(fx.log.catalog(spark), fx.log.leaders(spark))
     return rows.select(F.lit(n).cast("long").alias("broker_count"), F.col("topic").alias("name"), "error",
                        F.col("partition").alias("partition_id"), "leader")
 
@@ -220,7 +222,7 @@ WHERE topic = 'events' AND "offset" > coalesce(
 def q_ingest_incremental(spark, sf_dir):
     recs = _fx(spark, sf_dir).log.records(spark).where(F.col("topic") == "events")
     wm = topiclog.partition_watermarks(recs).select("topic", "partition", "high")
-    table = recs.join(F.broadcast(wm), ["topic", "partition"]).where(
+    table = recs.join(broadcast_if_small(wm), ["topic", "partition"]).where(
         F.col("offset") < F.floor(F.col("high") / 2)).drop("high")
     return _hexed(sink.pending_records(recs, table, ["events"]))
 
@@ -245,9 +247,25 @@ def q_to_topic(spark, sf_dir):
     return _hexed(planned)
 
 
-@query("to_topic_hashed")
+# crc32 in SQL: the byte table from its polynomial, then one step for each byte of the key
+_D_CRC = """WITH tbl AS (SELECT list_transform(range(256), lambda x: list_reduce(
+    list_prepend(x, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t)"""
+
+
+@query("to_topic_hashed", """
+, """ + _D_CRC.removeprefix("WITH ") + """,
+o AS (SELECT *, o_orderkey::VARCHAR AS k FROM orders),
+p AS (SELECT o.*, (xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''),
+        lambda ch: ascii(ch)::BIGINT)), lambda c, b: xor(tbl.t[(xor(c, b) & 255) + 1], c // 256)), 4294967295) % 8)::INTEGER
+        AS part FROM o, tbl)
+SELECT 'orders' AS topic, part AS "partition",
+       h.high + row_number() OVER (PARTITION BY part ORDER BY o_orderkey) - 1 AS "offset",
+       hex(encode(k)) AS key_hex, hex(encode(o_orderpriority)) AS message_hex
+FROM p JOIN (SELECT "partition" AS hp, max("offset") + 1 AS high FROM topic_log WHERE topic = 'orders' GROUP BY ALL) h
+  ON h.hp = part""")
 def q_to_topic_hashed(spark, sf_dir):
-    """Partition chosen by crc32 of the key (no DuckDB twin: it lacks crc32)."""
+    """Partition chosen by crc32 of the key."""
     fx = _fx(spark, sf_dir)
     recs = _orders_out(spark, sf_dir).drop("partition")
     return _hexed(sink.plan_topic_write(spark, fx.log, recs, ["o_orderkey"], topic="orders"))
@@ -268,19 +286,24 @@ _D_EVENTS_JSON = fixtures.DUCK_EVENTS_JSON
 
 
 @query("encode_wire", f"""
-SELECT event_id, schema_id, hex(unhex('00') || unhex(printf('%08X', schema_id)) || encode({_D_EVENTS_JSON}))
-       AS message_hex
-FROM (SELECT *, CASE event_type WHEN 'purchase' THEN 2 WHEN 'signup' THEN (SELECT max(id) FROM registry_log) + 1
-                ELSE 1 END::INTEGER AS schema_id FROM events WHERE event_type <> 'error') e""")
+SELECT event_id, schema_id, CASE WHEN event_type <> 'error' OR event_id % 4 = 3 THEN
+       hex(unhex('00') || unhex(printf('%08X', schema_id)) || encode({_D_EVENTS_JSON})) END AS message_hex
+FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN 2
+                     WHEN event_type = 'signup' THEN (SELECT max(id) FROM registry_log) + 1
+                     WHEN event_type <> 'error' OR event_id % 4 >= 2 THEN 1 END::INTEGER AS schema_id FROM events) e""")
 def q_encode_wire(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_type") != "error")
-    data = fixtures.events_json(e)
+    # of the error events, some lack a topic, some a schema, some data: NULL in, NULL out
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lacks = F.when(F.col("event_type") == "error", F.col("event_id") % 4)
+    data = F.when(lacks.isNull() | (lacks != 2), fixtures.events_json(e))
     rows = e.select("event_id",
-                    F.when(F.col("event_type") == "purchase", F.lit("events"))
+                    F.when(lacks == 0, F.lit(None).cast("string"))
+                    .when(F.col("event_type") == "purchase", F.lit("events"))
                     .when(F.col("event_type") == "signup", F.lit("signups"))
                     .otherwise(F.lit("audit")).alias("topic"),
-                    F.when(F.col("event_type") == "purchase", F.lit(EVENTS_V2))
+                    F.when(lacks == 1, F.lit(None).cast("string"))
+                    .when(F.col("event_type") == "purchase", F.lit(EVENTS_V2))
                     .when(F.col("event_type") == "signup", F.lit('{"type":"object"}'))
                     .otherwise(F.lit(EVENTS_V1)).alias("schema"),
                     data.alias("data"))
@@ -313,33 +336,51 @@ def q_canonical_json(spark, sf_dir):
     return e.select("event_id", codec.canonical_json(messy).alias("canonical"))
 
 
-_D_REG_IDS = ("(SELECT id, first(schema_type) AS schema_type FROM registry_log WHERE op = 'register' "
-              "GROUP BY id)")
+# ids with a version that is not permanently deleted
+_D_REG_IDS = """(SELECT id, first(schema_type) AS schema_type FROM (
+                 SELECT *, row_number() OVER (PARTITION BY subject, version ORDER BY seq DESC) AS rn FROM registry_log)
+                 WHERE rn = 1 AND op <> 'hard_delete' GROUP BY id)"""
 
 
 @query("decode_quarantine", f"""
-SELECT topic, "partition", "offset", error_code,
-       'len=' || octet_length(message)::VARCHAR || ' hex=' || substr(hex(message), 1, 32) AS payload
-FROM (SELECT m.*, CASE WHEN octet_length(message) < 5 THEN 'too_short'
+SELECT topic, "partition", "offset", error_code, CASE WHEN error_code IS NOT NULL THEN
+         'len=' || octet_length(message)::VARCHAR || ' hex=' || substr(hex(message), 1, 32) END AS payload,
+       CASE WHEN error_code IS NOT NULL THEN hex(message) END AS raw_hex,
+       CASE WHEN error_code IS NULL THEN {_D_TEXT.format(m="message")} END AS value
+FROM (SELECT m.*, CASE WHEN message IS NULL THEN NULL WHEN octet_length(message) < 5 THEN 'too_short'
                        WHEN substr(hex(message), 1, 2) <> '00' THEN 'bad_magic'
                        WHEN r.schema_type IS NULL THEN 'unknown_schema_id'
                        WHEN r.schema_type <> 'JSON' THEN 'not_json_type'
+                       WHEN {_D_TEXT.format(m="message")} IS NULL THEN 'bad_utf8'
                        WHEN NOT json_valid({_D_TEXT.format(m="message")}) THEN 'bad_json' END AS error_code
       FROM topic_log m LEFT JOIN {_D_REG_IDS} r ON r.id = {_D_ID.format(m="m.message")}
-      WHERE m.topic = 'mixed' AND m.message IS NOT NULL) x
-WHERE error_code IS NOT NULL""")
+      WHERE m.topic IN ('mixed', 'binary')) x""")
 def q_decode_quarantine(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    recs = fx.log.records(spark).where(F.col("topic") == "mixed")
-    _good, bad = messages.decode_messages(recs, messages.registry_ids(fx.registry.changes(spark)),
-                                          mode="quarantine")
-    return bad.select("topic", "partition", "offset", "error_code", "payload")
-
-
-@query("json_structure")
+    recs = fx.log.records(spark).where(F.col("topic").isin("mixed", "binary"))
+    good, bad = messages.decode_messages(recs, messages.registry_ids(fx.registry.changes(spark)),
+                                         mode="quarantine")
+    none = F.lit(None).cast("string")
+    return good.select("topic", "partition", "offset", none.alias("error_code"), none.alias("payload"),
+                       none.alias("raw_hex"), "value").unionByName(
+        bad.select("topic", "partition", "offset", "error_code", "payload", F.hex("raw_message").alias("raw_hex"),
+                   none.alias("value")))
+
+
+@query("json_structure", """
+SELECT subject, version, CASE
+    WHEN schema LIKE '%"c_nationkey"%' THEN
+      '{"c_acctbal":"DOUBLE","c_custkey":"BIGINT","c_mktsegment":"VARCHAR","c_nationkey":"BIGINT"}'
+    WHEN schema LIKE '%"c_acctbal"%' THEN '{"c_acctbal":"DOUBLE","c_custkey":"BIGINT","c_mktsegment":"VARCHAR"}'
+    WHEN schema LIKE '%"event_type"%' THEN '{"cents":"BIGINT","event_id":"BIGINT","event_type":"VARCHAR"}'
+    WHEN schema LIKE '%"type":"integer"}' THEN '"BIGINT"' END AS structure
+FROM (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY version DESC) AS newest FROM (
+        SELECT *, row_number() OVER (PARTITION BY subject, version ORDER BY seq DESC) AS rn FROM registry_log)
+      WHERE rn = 1 AND op <> 'hard_delete' AND NOT deleted)
+WHERE newest = 1 AND schema_type = 'JSON'""")
 def q_json_structure(spark, sf_dir):
     """Structure text of every subject's latest JSON schema (Arrow-batched helper over
-    the distinct schema texts; checked against unit goldens)."""
+    the distinct schema texts; the twin states the expected text of each schema family)."""
     fx = _fx(spark, sf_dir)
     latest = reg.schema_latest(fx.registry.current(spark)).where(F.col("schema_type") == "JSON")
     structs = latest.select("schema").distinct().withColumn(
@@ -350,12 +391,12 @@ def q_json_structure(spark, sf_dir):
 @query("typed_projection", f"""
 SELECT "partition", "offset", json_extract(v, '$.cents')::BIGINT AS cents,
        json_extract(v, '$.event_id')::BIGINT AS event_id, json_extract_string(v, '$.event_type') AS event_type
-FROM (SELECT *, {_D_TEXT.format(m="message")} AS v FROM topic_log WHERE topic = 'events' AND message IS NOT NULL) t""")
+FROM (SELECT *, {_D_TEXT.format(m="message")} AS v FROM topic_log WHERE topic = 'events') t""")
 def q_typed_projection(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     latest = reg.schema_latest(fx.registry.current(spark)).where(F.col("subject") == "events-value").first()
     typ = jsonschema.schema_spark_type(latest.schema)
-    dec = messages.scan_topic_decoded(spark, fx.log, fx.registry, "events").where(F.col("value").isNotNull())
+    dec = messages.scan_topic_decoded(spark, fx.log, fx.registry, "events")
     return dec.select("partition", "offset", F.from_json("value", typ).alias("r")).select(
         "partition", "offset", "r.cents", "r.event_id", "r.event_type")
 
@@ -389,11 +430,11 @@ def q_validate_json(spark, sf_dir):
 _D_CURRENT_ALL = """(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY subject, version
                       ORDER BY seq DESC) AS rn FROM registry_log) WHERE rn = 1 AND op <> 'hard_delete')"""
 _D_CURRENT = f"(SELECT * FROM {_D_CURRENT_ALL} WHERE NOT deleted)"
-_D_SUBJ = "('s' || lpad(c_custkey::VARCHAR, 6, '0') || '-value')"
+_D_SUBJ = f"('s' || {fixtures.DUCK_CUST_DIGITS} || '-value')"
 
 
 def _cust_subject():
-    return F.concat(F.lit("s"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"), F.lit("-value"))
+    return F.concat(F.lit("s"), fixtures.cust_digits(F.col("c_custkey")), F.lit("-value"))
 
 
 @query("registry_current", f"SELECT id, guid, subject, version, schema_type, schema FROM {_D_CURRENT}")
@@ -710,6 +751,21 @@ def q_stream_tail(spark, sf_dir):
     return _hexed(feeds.tail(spark, fx.log, "events", f"{d}/sink", f"{d}/checkpoint"))
 
 
+# files per micro-batch of the streaming queries: several batches even on small tables
+BATCH_FILES = 3
+
+
+@query("stream_tail_from", f"""
+SELECT {_HEXED_SQL} FROM topic_log WHERE topic = 'events'
+  AND "offset" >= CASE "partition" WHEN 0 THEN 100 WHEN 2 THEN 37 ELSE 0 END""")
+def q_stream_tail_from(spark, sf_dir):
+    """Continuous consumption from given offsets, over several micro-batches."""
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "tail-from")
+    return _hexed(feeds.tail(spark, fx.log, "events", f"{d}/sink", f"{d}/checkpoint", start={0: 100, 2: 37},
+                             max_files_per_trigger=BATCH_FILES))
+
+
 @query("stream_ingest", f"SELECT {_HEXED_SQL} FROM topic_log WHERE topic IN ('orders', 'conversations')")
 def q_stream_ingest(spark, sf_dir):
     fx = _fx(spark, sf_dir)
@@ -725,9 +781,9 @@ def q_stream_dedup(spark, sf_dir):
     recs = fx.log.records(spark).where(F.col("topic") == "copy")
     for _ in range(2):
         recs.write.mode("append").parquet(f"{d}/landing")
-    src = spark.readStream.schema(topiclog.LOG_SCHEMA).parquet(f"{d}/landing")
-    feeds.run_available_now(feeds.dedup_records(src), f"{d}/sink", f"{d}/checkpoint")
-    return _hexed(spark.read.parquet(f"{d}/sink"))
+    src = (spark.readStream.schema(topiclog.LOG_SCHEMA).option("maxFilesPerTrigger", BATCH_FILES)
+           .parquet(f"{d}/landing"))
+    return _hexed(feeds.dedup_into(src, f"{d}/table", f"{d}/checkpoint"))
 
 
 @query("stream_latest_per_key", """
@@ -749,16 +805,15 @@ SELECT * FROM (
   SELECT date_trunc('hour', "timestamp") AS window_start,
          date_trunc('hour', "timestamp") + INTERVAL 1 HOUR AS window_end, {_D_EV_TYPE} AS event_type, count(*) AS n
   FROM topic_log WHERE topic = 'events' GROUP BY ALL) w
-WHERE window_end <= (SELECT max("timestamp") FROM topic_log WHERE topic = 'events') - INTERVAL 1 HOUR""")
+WHERE window_end <= (SELECT min(m) FROM (SELECT max("timestamp") AS m FROM topic_log WHERE topic = 'events'
+                                         GROUP BY "partition")) - INTERVAL 1 HOUR""")
 def q_stream_window_counts(spark, sf_dir):
-    """Watermarked tumbling counts. All records arrive in one micro-batch; append mode
-    then emits exactly the windows the final watermark (max event time - 1 hour) has
-    closed, with their full counts."""
+    """Tumbling counts over several micro-batches that arrive out of event-time order; the
+    windows that every partition has passed by an hour, with their full counts."""
     fx = _fx(spark, sf_dir)
     d = feeds.run_dir(spark, "windows")
-    counts = feeds.event_type_counts(feeds.stream_records(spark, fx.log, ["events"]))
-    feeds.run_available_now(counts, f"{d}/sink", f"{d}/checkpoint")
-    out = spark.read.parquet(f"{d}/sink")
+    feeds.window_counts_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table", f"{d}/checkpoint")
+    out = feeds.closed_windows(spark, f"{d}/table")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
 

@@ -27,8 +27,11 @@ from pyspark.sql import SparkSession
 from ..operators.registry import Registry, current_view, schema_by_guid, schema_latest
 from ..sources.topiclog import SCAN_COLUMNS, TopicLog, topic_metadata, topic_partitions
 
-_URI_TO_TOPIC = ("CASE WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://[^/]*/(.*)$', 1) "
-                 "ELSE t END")
+# A malformed address fails (NULL, empty, or a host without a topic), as the scan API does.
+_URI_TO_TOPIC = ("CASE WHEN t IS NULL OR t = '' THEN raise_error('a topic name is needed') "
+                 "WHEN t LIKE 'kafka://%' AND NOT t LIKE 'kafka://%/%' "
+                 "THEN raise_error(concat('no topic behind the host in ', t)) "
+                 "WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://[^/]*/(.*)$', 1) ELSE t END")
 
 
 def register_scalar_functions(spark: SparkSession) -> None:
@@ -36,10 +39,11 @@ def register_scalar_functions(spark: SparkSession) -> None:
     they run as plain Catalyst expressions)."""
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION wire_schema_id(m BINARY) RETURNS INT
-        RETURN CASE WHEN length(m) >= 5 THEN CAST(CAST(conv(hex(substring(m, 2, 4)), 16, 10) AS BIGINT) AS INT) END""")
+        RETURN CASE WHEN length(m) >= 5 AND substring(m, 1, 1) = X'00'
+               THEN try_cast(CAST(conv(hex(substring(m, 2, 4)), 16, 10) AS BIGINT) AS INT) END""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION wire_payload(m BINARY) RETURNS STRING
-        RETURN decode(substring(m, 6), 'UTF-8')""")
+        RETURN try_validate_utf8(CAST(substring(m, 6) AS STRING))""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION wire_encode(id INT, j STRING) RETURNS BINARY
         RETURN CASE WHEN j IS NOT NULL THEN concat(X'00', unhex(lpad(hex(id), 8, '0')), encode(j, 'UTF-8')) END""")
@@ -66,8 +70,8 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
         RETURNS TABLE (topic STRING, `partition` INT, low BIGINT, high BIGINT)
         RETURN SELECT topic, `partition`, min(`offset`), max(`offset`) + 1 FROM topic_log
                WHERE topic = {_URI_TO_TOPIC} GROUP BY topic, `partition`""")
-    topic_metadata(log.catalog(spark), log.brokers(spark)).createOrReplaceTempView("topic_metadata_view")
-    topic_partitions(log.catalog(spark), log.brokers(spark)).createOrReplaceTempView("topic_partitions_view")
+    topic_metadata(log.catalog(spark), log.brokers(spark), log.leaders(spark)).createOrReplaceTempView("topic_metadata_view")
+    topic_partitions(log.catalog(spark), log.leaders(spark)).createOrReplaceTempView("topic_partitions_view")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION topic_partitions()
         RETURNS TABLE (topic STRING, error STRING, `partition` INT, leader INT)

@@ -2,8 +2,8 @@
 
 Everything this package materialises (fixture topic logs, checkpoints, sink tables of
 streaming runs) lives under the folder the cluster names in ``spark.checkpoint.dir``.
-That folder is read from the session; a private one is created only when it is unset,
-which happens in local tests.
+That folder is read from the session (or is the checkpoint folder already set on the
+context); a private one is created only for a local master without either, as in tests.
 """
 
 from __future__ import annotations
@@ -68,8 +68,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     global _LOCAL_DIR
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="topiclake-ckpt-")
         d = _LOCAL_DIR

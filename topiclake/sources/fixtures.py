@@ -15,12 +15,16 @@ Topics (partition / offset order / key / message):
 * ``lineitem`` l_orderkey % 8 / unique 6-column key / UTF-8 l_orderkey / plain JSON
 * ``conversations`` conv_id % 4 / conv_id, turn / UTF-8 conv_id / UTF-8 text
 * ``mixed``    as events, every sixth message of a different kind of damage
+* ``binary``   as events, messages of bytes that are not ASCII: ids beyond any schema's,
+                invalid UTF-8, multi-byte text, too short ones
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +32,9 @@ from ..functions.codec import utf8, wire_encode
 from ..operators.offsets import assign_dense
 from ..operators.registry import REGISTRY_LOG_SCHEMA, Registry, content_guid
 from ..session import workspace
-from .topiclog import BROKER_SCHEMA, CATALOG_SCHEMA, LOG_SCHEMA, TopicLog
+from .topiclog import BROKER_SCHEMA, CATALOG_SCHEMA, LOG_SCHEMA, TopicLog, is_missing_path
 
-FIXTURE_VERSION = "v4"
+FIXTURE_VERSION = "v6"
 
 # ----------------------------------------------------------------------------------
 # Schema texts, ids and cluster members of the fixture registry/cluster.
@@ -61,7 +65,7 @@ FIXED_CHANGES = [
 # The rest of the catalogue is one topic per customer (see ``catalog_frame``).
 CATALOG = [
     ("events", 4, None), ("copy", 4, None), ("orders", 8, None), ("lineitem", 8, None),
-    ("conversations", 4, None), ("mixed", 4, None), ("empty", 2, None),
+    ("conversations", 4, None), ("mixed", 4, None), ("binary", 4, None), ("empty", 2, None),
 ]
 UNAVAILABLE = "Broker: Leader not available"
 
@@ -72,6 +76,16 @@ CUST_SUBJECT_DIGITS = 6
 CUST_ID_BASE = 100
 
 
+def cust_digits(key: Column) -> Column:
+    """Customer key with at least ``CUST_SUBJECT_DIGITS`` digits; longer keys stay whole."""
+    s = key.cast("string")
+    return F.when(F.length(s) < CUST_SUBJECT_DIGITS, F.lpad(s, CUST_SUBJECT_DIGITS, "0")).otherwise(s)
+
+
+DUCK_CUST_DIGITS = (f"(CASE WHEN length(c_custkey::VARCHAR) < {CUST_SUBJECT_DIGITS} "
+                    f"THEN lpad(c_custkey::VARCHAR, {CUST_SUBJECT_DIGITS}, '0') ELSE c_custkey::VARCHAR END)")
+
+
 # ---------------------------------------------------------------------------- Spark side
 
 
@@ -120,6 +134,16 @@ def topic_frames(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame,
                              F.when(F.col("event_type") == "error", F.lit(None).cast("binary"))
                              .otherwise(damaged)), ev_order)
 
+    eid = F.col("event_id")
+    text = F.concat(F.lit('{"id":'), eid.cast("string"), F.lit(',"k":"é€日本"}'))
+    odd = (F.when(kind == 0, F.concat(F.unhex(F.lit("00FFFFFFFF")), utf8(j)))
+           .when(kind == 1, F.unhex(F.lit("0000000001E97B7D")))
+           .when(kind == 2, utf8(F.concat(F.lit("é€ü "), eid.cast("string"))))
+           .when(kind == 3, F.unhex(F.lit("80")))
+           .when(kind == 4, wire_encode(F.lit(1), text))
+           .otherwise(F.unhex(F.lit("000000"))))
+    out["binary"] = (ev_shape("binary", F.lit(None).cast("binary"), odd), ev_order)
+
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     o_json = F.concat(F.lit('{"cents":'), F.round(F.col("o_totalprice") * 100).cast("long").cast("string"),
                       F.lit(',"o_custkey":'), F.col("o_custkey").cast("string"),
@@ -173,7 +197,7 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key % 10 = 3, and of those, permanently deleted where key % 20 = 3.
     """
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    subject = F.concat(F.lit("s"), F.lpad(F.col("c_custkey").cast("string"), CUST_SUBJECT_DIGITS, "0"),
+    subject = F.concat(F.lit("s"), cust_digits(F.col("c_custkey")),
                        F.lit("-value"))
     v1 = F.concat(F.lit('{"properties":{"c_acctbal":{"type":"number"},"c_custkey":{"const":'),
                   F.col("c_custkey").cast("string"),
@@ -227,13 +251,21 @@ def catalog_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     negative. The catalogue, and so the cluster metadata, grows with the data."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     cust = c.select(
-        F.concat(F.lit("c"), F.lpad(F.col("c_custkey").cast("string"), CUST_SUBJECT_DIGITS, "0"), F.lit("."),
+        F.concat(F.lit("c"), cust_digits(F.col("c_custkey")), F.lit("."),
                  F.lower(F.col("c_mktsegment"))).alias("topic"),
         ((F.col("c_nationkey") % 6) + 1).cast("int").alias("partitions"),
         F.when(F.col("c_acctbal") < 0, F.lit(UNAVAILABLE)).alias("error"))
     return spark.createDataFrame(CATALOG, CATALOG_SCHEMA).unionByName(cust)
 
 
+def leader_frame(catalog: DataFrame) -> DataFrame:
+    """The fixture cluster's partition table: partitions dealt over the brokers in turn."""
+    p = catalog.where("error is null and partitions > 0").select("topic", F.explode(
+        F.sequence(F.lit(0), F.col("partitions") - 1)).alias("partition"))
+    ids = F.array(*[F.lit(i) for i, _, _ in sorted(BROKERS)])
+    return p.withColumn("leader", F.element_at(ids, (F.col("partition") % len(BROKERS) + 1).cast("int")))
+
+
 @dataclass(frozen=True)
 class Fixture:
     log: TopicLog
@@ -253,17 +285,36 @@ def _ready(spark: SparkSession, root: str) -> bool:
         return True
     try:
         ok = spark.read.json(f"{root}/_manifest").count() == 1
-    except Exception:
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
         ok = False
     if ok:
         _READY.add(root)
     return ok
 
 
+_TABLES = ("conversations", "customer", "events", "lineitem", "orders")
+
+
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the tables' full paths, file names, sizes and times: changed tables, or another
+    folder of the same name, get a fixture of their own."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    facts = []
+    for t in _TABLES:
+        path = hadoop.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        it = path.getFileSystem(conf).listFiles(path, True)
+        while it.hasNext():
+            f = it.next()
+            facts.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(facts)).encode()).hexdigest()[:16]
+
+
 def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
-    """Build (once per scale factor) and return the fixture topic log and registry."""
+    """Build (once per set of source files) and return the fixture topic log and registry."""
     name = sf_dir.rstrip("/").split("/")[-1]
-    root = workspace(spark, "fixtures", f"{name}-{FIXTURE_VERSION}")
+    root = workspace(spark, "fixtures", f"{name}-{FIXTURE_VERSION}-{_source_key(spark, sf_dir)}")
     fx = Fixture(TopicLog(f"{root}/log"), Registry(f"{root}/registry"), root)
     if _ready(spark, root):
         return fx
@@ -271,6 +322,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     write_records(build_records(spark, sf_dir), fx.log, mode="overwrite", ranged=True)
     catalog_frame(spark, sf_dir).write.mode("overwrite").parquet(fx.log.catalog_path)
     spark.createDataFrame(BROKERS, BROKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.brokers_path)
+    leader_frame(fx.log.catalog(spark)).write.mode("overwrite").parquet(fx.log.leaders_path)
     registry_changes(spark, sf_dir).write.mode("overwrite").parquet(fx.registry.changes_path)
     uri_requests(spark, sf_dir).write.mode("overwrite").parquet(fx.requests_path)
     spark.createDataFrame([(sf_dir, FIXTURE_VERSION)], "sf_dir string, version string") \
@@ -299,6 +351,10 @@ def duck_topic_log_sql() -> str:
                f"WHEN 2 THEN {duck_wire('999999', j)} WHEN 3 THEN {duck_wire('4', j)} "
                f"WHEN 4 THEN {duck_wire('1', chr(39) + '{bad' + chr(39) + ' || ' + j)} "
                f"ELSE {duck_wire('1', j)} END")
+    text = "'{\"id\":' || event_id::VARCHAR || ',\"k\":\"é€日本\"}'"
+    odd = (f"CASE event_id % 6 WHEN 0 THEN unhex('00FFFFFFFF') || encode({j}) "
+           f"WHEN 1 THEN unhex('0000000001E97B7D') WHEN 2 THEN encode('é€ü ' || event_id::VARCHAR) "
+           f"WHEN 3 THEN unhex('80') WHEN 4 THEN {duck_wire('1', text)} ELSE unhex('000000') END")
     ev_base = ("(user_id % 4)::INTEGER AS partition, "
                "(row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1)::BIGINT AS \"offset\"")
     o_json = ("('{\"cents\":' || CAST(round(o_totalprice*100) AS BIGINT)::VARCHAR || ',\"o_custkey\":' || "
@@ -318,6 +374,8 @@ UNION ALL
 SELECT 'mixed', {ev_base}, NULL::BLOB,
        CASE WHEN event_type = 'error' THEN NULL ELSE {damaged} END, ts FROM events
 UNION ALL
+SELECT 'binary', {ev_base}, NULL::BLOB, {odd}, ts FROM events
+UNION ALL
 SELECT 'orders', (o_orderkey % 8)::INTEGER,
        (row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) - 1)::BIGINT,
        {duck_wire('3', 'o_custkey::VARCHAR')}, encode({o_json}), o_orderdate FROM orders
@@ -346,7 +404,7 @@ def duck_registry_sql() -> str:
     vals = ",\n".join(
         f"({seq}, {q(op)}, {q(sub)}, {v}, {i}, {q(t)}, {q(sch)}, {str(d).lower()})"
         for (seq, op, sub, v, i, t, sch, d) in FIXED_CHANGES)
-    subj = f"('s' || lpad(c_custkey::VARCHAR, {CUST_SUBJECT_DIGITS}, '0') || '-value')"
+    subj = f"('s' || {DUCK_CUST_DIGITS} || '-value')"
     head = ('\'{"properties":{"c_acctbal":{"type":"number"},"c_custkey":{"const":\' || c_custkey::VARCHAR || '
             '\',"type":"integer"},"c_mktsegment":{"type":"string"}')
     v1 = f"({head}" + '}' + ',"title":"\' || coalesce(c_name, \'\') || \'","type":"object"}\')'
@@ -374,7 +432,7 @@ def duck_catalog_sql() -> str:
     vals = ", ".join(f"('{t}', {n}, {('NULL' if e is None else repr(e))})" for t, n, e in CATALOG)
     return (f"SELECT topic, partitions::INTEGER AS partitions, error::VARCHAR AS error "
             f"FROM (VALUES {vals}) c(topic, partitions, error) UNION ALL "
-            f"SELECT 'c' || lpad(c_custkey::VARCHAR, {CUST_SUBJECT_DIGITS}, '0') || '.' || lower(c_mktsegment), "
+            f"SELECT 'c' || {DUCK_CUST_DIGITS} || '.' || lower(c_mktsegment), "
             f"(c_nationkey % 6 + 1)::INTEGER, CASE WHEN c_acctbal < 0 THEN '{UNAVAILABLE}' END FROM customer")
 
 

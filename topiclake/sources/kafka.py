@@ -11,6 +11,8 @@ Client settings use the JVM client's names with the ``kafka.`` prefix
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +38,37 @@ def resolve_options(defaults: dict[str, str] | None, call: dict[str, str] | None
     return merged, url
 
 
+# Options of the connector itself, which take no ``kafka.`` prefix.
+CONNECTOR_OPTIONS = {o.lower(): o for o in (
+    "assign", "subscribe", "subscribePattern", "startingOffsets", "endingOffsets", "startingTimestamp",
+    "endingTimestamp", "startingOffsetsByTimestamp", "endingOffsetsByTimestamp", "failOnDataLoss", "includeHeaders",
+    "minPartitions", "maxRecordsPerPartition", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay",
+    "kafkaConsumer.pollTimeoutMs", "fetchOffset.numRetries", "fetchOffset.retryIntervalMs", "groupIdPrefix", "topic")}
+# ``cluster wide`` defaults of every scan, overridden by a call's own options.
+DEFAULTS: dict[str, str] = {}
+
+
 def _client_options(options: dict[str, str]) -> dict[str, str]:
+    """Options for the connector: its own ones as they are, client settings with ``kafka.``; keys
+    that address the schema registry never reach the client."""
+    merged, _ = resolve_options(DEFAULTS, options)
     out = {}
-    for k, v in options.items():
-        k = k.lower()
-        out[k if k.startswith("kafka.") else f"kafka.{k}"] = str(v)
+    for k, v in merged.items():
+        if k.startswith("schema.registry."):
+            continue
+        out[CONNECTOR_OPTIONS.get(k) or (k if k.startswith("kafka.") else f"kafka.{k}")] = v
+    return out
+
+
+def _source(topics: list[str], options: dict[str, str], partitions: dict[str, list[int]] | None) -> dict[str, str]:
+    """``subscribe`` or, for given partitions, ``assign``; a call's own choice wins."""
+    out = _client_options(options)
+    if not {"assign", "subscribe", "subscribePattern"} & set(out):
+        names = [parse_topic_uri(t) for t in topics]
+        if partitions:
+            out["assign"] = json.dumps({t: partitions[t] for t in names})
+        else:
+            out["subscribe"] = ",".join(names)
     return out
 
 
@@ -52,15 +80,15 @@ def _normalise(df: DataFrame, with_timestamp: bool) -> DataFrame:
 
 
 def scan_kafka(spark: SparkSession, topic: str, options: dict[str, str], *,
-               starting: str = "earliest", ending: str = "latest", with_timestamp: bool = False) -> DataFrame:
+               starting: str = "earliest", ending: str = "latest", with_timestamp: bool = False,
+               partitions: list[int] | None = None) -> DataFrame:
     """Bounded read: offsets from ``starting`` up to the ``latest`` captured when the query
     starts (so later appends are not seen). ``starting`` / ``ending`` also accept the
     connector's per-partition JSON, e.g. ``{"t":{"0":100,"1":-2}}`` (-2 earliest, -1 latest).
     ``failOnDataLoss`` stays true: a missing offset is an error, never a partial result."""
-    reader = (spark.read.format(KAFKA_FORMAT).options(**_client_options(options))
-              .option("subscribe", parse_topic_uri(topic))
-              .option("startingOffsets", starting).option("endingOffsets", ending)
-              .option("failOnDataLoss", "true"))
+    given = {parse_topic_uri(topic): partitions} if partitions else None
+    reader = (spark.read.format(KAFKA_FORMAT).option("startingOffsets", starting).option("endingOffsets", ending)
+              .option("failOnDataLoss", "true").options(**_source([topic], options, given)))
     return _normalise(reader.load(), with_timestamp)
 
 
@@ -68,9 +96,8 @@ def stream_kafka(spark: SparkSession, topics: list[str], options: dict[str, str]
                  starting: str = "latest") -> DataFrame:
     """Continuous consumption (default: from the latest offsets); progress is kept in the
     streaming query's checkpoint."""
-    reader = (spark.readStream.format(KAFKA_FORMAT).options(**_client_options(options))
-              .option("subscribe", ",".join(parse_topic_uri(t) for t in topics))
-              .option("startingOffsets", starting).option("failOnDataLoss", "true"))
+    reader = (spark.readStream.format(KAFKA_FORMAT).option("startingOffsets", starting)
+              .option("failOnDataLoss", "true").options(**_source(topics, options, None)))
     return _normalise(reader.load(), with_timestamp=True)
 
 

@@ -6,6 +6,7 @@ A *topic log* is the table form of a message broker's topics: one row per record
     <root>/records/topic=<t>/partition=<p>/part-*.parquet   (offset-sorted files)
     <root>/topics/                                          (catalogue: topic, partitions, error)
     <root>/brokers/                                         (cluster members: id, host, port)
+    <root>/leaders/                                         (topic, partition, leader: a broker id)
 
 Reads always pass an explicit schema, so topic names such as ``007`` stay strings and
 ``topic`` / ``partition`` predicates become ``PartitionFilters`` while ``offset``
@@ -45,6 +46,12 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
+LEADER_SCHEMA = T.StructType([
+    T.StructField("topic", T.StringType(), False),
+    T.StructField("partition", T.IntegerType(), False),
+    T.StructField("leader", T.IntegerType(), True),
+])
+
 BROKER_SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType(), False),
     T.StructField("host", T.StringType(), False),
@@ -76,6 +83,10 @@ class TopicLog:
     def brokers_path(self) -> str:
         return f"{self.root}/brokers"
 
+    @property
+    def leaders_path(self) -> str:
+        return f"{self.root}/leaders"
+
     def records(self, spark: SparkSession) -> DataFrame:
         df = spark.read.schema(LOG_SCHEMA).parquet(self.records_path)
         # partition directories reorder columns; always end in the declared order
@@ -87,6 +98,9 @@ class TopicLog:
     def brokers(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(BROKER_SCHEMA).parquet(self.brokers_path)
 
+    def leaders(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(LEADER_SCHEMA).parquet(self.leaders_path)
+
 
 # --------------------------------------------------------------------------- addressing
 
@@ -98,11 +112,11 @@ def parse_topic_uri(topic: str) -> str:
     topic and may itself contain ``/``.
     """
     if not topic:
-        raise ValueError("Topic name cannot be empty")
+        raise ValueError("a topic name is needed")
     if topic.startswith(URI_SCHEME):
         pos = topic.find("/", len(URI_SCHEME))
         if pos < 0:
-            raise ValueError(f"Invalid kafka:// URI format for topic: '{topic}'")
+            raise ValueError(f"no topic behind the host in {topic!r}")
         return topic[pos + 1:]
     return topic
 
@@ -181,6 +195,11 @@ def partition_watermarks(records: DataFrame) -> DataFrame:
             .agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")))
 
 
+def is_missing_path(e: AnalysisException) -> bool:
+    """Whether a read failed only because nothing has been written there yet."""
+    return (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 @contextmanager
 def _footer_aggregates(spark: SparkSession):
     """Read Parquet through the V2 source with aggregate pushdown, so MIN/MAX grouped by
@@ -207,7 +226,10 @@ def footer_watermarks(spark: SparkSession, log: TopicLog, topics: list[str] | No
     with _footer_aggregates(spark):
         try:
             recs = spark.read.schema(LOG_SCHEMA).parquet(log.records_path)
-        except AnalysisException:  # no record has been written yet
+        except AnalysisException as e:
+            if not is_missing_path(e):
+                raise
+            # no record has been written yet
             return spark.createDataFrame([], "topic string, partition int, low bigint, high bigint")
         if topics is not None:
             recs = recs.where(F.col("topic").isin(topics))
@@ -321,51 +343,46 @@ def scan_offset_table(records: DataFrame, ranges: DataFrame) -> DataFrame:
     if live and all(x._end is not None and x._end >= 0 for x in live):
         ranged = ranged.where(F.col("offset") < F.lit(int(max(x._end for x in live))))
     j = ranged.join(broadcast_if_small(r, 1_000_000), ["topic", "partition"], "inner")
-    lo_ok = F.col("_start").isNull() | F.col("_start").isin(EARLIEST) | (F.col("offset") >= F.col("_start"))
-    hi_ok = F.col("_end").isNull() | (F.col("_end") == LATEST) | (F.col("offset") < F.col("_end"))
-    not_latest_start = F.col("_start").isNull() | (F.col("_start") != LATEST)
-    not_earliest_end = F.col("_end").isNull() | (F.col("_end") != EARLIEST)
-    inside = j.where(lo_ok & hi_ok & not_latest_start & not_earliest_end).select(*SCAN_COLUMNS)
+    inside = j.where(_in_range(F.col("offset"), F.col("_start"), F.col("_end"))).select(*SCAN_COLUMNS)
     rest = recs.where(~pairs).select(*SCAN_COLUMNS)
     return inside.unionByName(rest)
 
 
+def _in_range(offset: Column, start: Column, end: Column) -> Column:
+    """Half-open range with -2 = earliest, -1 = latest; a NULL bound is no bound."""
+    start, end = F.coalesce(start, F.lit(EARLIEST)), F.coalesce(end, F.lit(LATEST))
+    return ((start != LATEST) & (end != EARLIEST) & ((start == EARLIEST) | (offset >= start))
+            & ((end == LATEST) | (offset < end)))
+
+
 def _scan_offset_join(records: DataFrame, r: DataFrame) -> DataFrame:
     """Ranges applied by a join alone (for very many listed partitions): records of
     listed partitions by equi-join plus range residual, the rest whole (anti-join)."""
     topics = broadcast_if_small(r.select("topic").distinct())
+    r = r.withColumn("_listed", F.lit(True))
     j = records.join(topics, "topic", "left_semi").join(r, ["topic", "partition"], "left")
-    keep = (F.col("_start").isNull()
-            | ((F.col("_start") != LATEST) & (F.col("_end") != EARLIEST)
-               & ((F.col("_start") == EARLIEST) | (F.col("offset") >= F.col("_start")))
-               & ((F.col("_end") == LATEST) | (F.col("offset") < F.col("_end")))))
+    keep = F.col("_listed").isNull() | _in_range(F.col("offset"), F.col("_start"), F.col("_end"))
     return j.where(keep).select(*SCAN_COLUMNS)
 
 
 # --------------------------------------------------------------------------- metadata
 
 
-def topic_partitions(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
+def topic_partitions(catalog: DataFrame, leaders: DataFrame) -> DataFrame:
     """Cluster metadata as rows, one per topic partition: ``topic, error, partition,
-    leader`` (a topic with an error gives one row with NULL partition and leader).
+    leader`` (a topic with an error, or without partitions, gives one row with NULL
+    partition and leader).
 
-    The leader is the broker at position ``partition mod n`` of the id-sorted broker list
-    (cluster membership: a handful of ids, read on the driver). A plain projection over
-    the catalogue, so it scales with the number of topics and partitions.
+    ``leaders`` is the stored partition table; a partition it lacks has no leader. One
+    equi-join over the catalogue, so it scales with the number of topics and partitions.
     """
-    ids = [r.id for r in brokers.select("id").orderBy("id").collect()]
-    id_arr = F.array(*[F.lit(i) for i in ids]) if ids else F.array().cast("array<int>")
-    parts = (catalog
-             .withColumn("_p", F.when(F.col("error").isNull(),
-                                      F.sequence(F.lit(0), F.col("partitions") - 1))
-                         .otherwise(F.array().cast("array<int>")))
-             .select("topic", "error", F.explode_outer("_p").alias("partition")))
-    leader = (F.element_at(id_arr, (F.pmod(F.col("partition"), F.lit(len(ids))) + 1).cast("int"))
-              if ids else F.lit(None).cast("int"))
-    return parts.withColumn("leader", F.when(F.col("partition").isNotNull(), leader))
-
-
-def topic_metadata(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
+    count = F.when(F.col("error").isNull() & (F.col("partitions") > 0), F.col("partitions"))
+    parts = catalog.select("topic", "error", F.explode_outer(
+        F.when(count.isNotNull(), F.sequence(F.lit(0), count - 1))).alias("partition"))
+    return parts.join(leaders, ["topic", "partition"], "left").select("topic", "error", "partition", "leader")
+
+
+def topic_metadata(catalog: DataFrame, brokers: DataFrame, leaders: DataFrame) -> DataFrame:
     """Cluster metadata as **one row**: ``brokers`` and ``topics`` nested lists, the
     shape a metadata call returns (``topics[i] = {name, error, partitions: [{id,
     leader}]}``; a topic with an error has no partitions).
@@ -374,7 +391,7 @@ def topic_metadata(catalog: DataFrame, brokers: DataFrame) -> DataFrame:
     nests all topics into the single row, so this form is bounded by the size of the
     cluster metadata. Analytics over many topics should use :func:`topic_partitions`.
     """
-    parts = topic_partitions(catalog, brokers)
+    parts = topic_partitions(catalog, leaders)
     per_topic = (parts.groupBy("topic", "error")
                  .agg(F.sort_array(F.collect_list(
                      F.when(F.col("partition").isNotNull(), F.struct(F.col("partition").alias("id"), "leader"))))

@@ -4,20 +4,28 @@ The topic log is a partitioned Parquet folder, so the file stream source reads n
 record files as they land; progress (which files are consumed) lives in the query's
 checkpoint folder, which must be in the shared folder so a restarted driver resumes
 where the last one stopped. Every sink here is exactly-once: Spark's file sink commits
-through its own metadata log, and the ``foreachBatch`` compaction sink replaces its
-table with each batch's complete result, so a replayed batch rewrites the same content.
+through its own metadata log, the ``foreachBatch`` sinks write a folder named by the batch
+id (a replayed batch overwrites its own folder), and the compaction sink replaces its table
+with each batch's complete result.
+
+A backlog read file by file arrives out of event-time order, so nothing here that must be
+exact depends on one global watermark: copies are found by offset, and window counts are
+kept as sums that late records still reach.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import codec
+from ..plans.sizing import broadcast_if_small
 from ..session import workspace
-from ..sources.topiclog import LOG_SCHEMA, SCAN_COLUMNS, TopicLog
+from ..sources.topiclog import LOG_SCHEMA, SCAN_COLUMNS, TopicLog, footer_watermarks, is_missing_path
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -45,11 +53,110 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, mode: str
     w.start().awaitTermination()
 
 
-def tail(spark: SparkSession, log: TopicLog, topic: str, sink_path: str, checkpoint: str) -> DataFrame:
-    """Consume ``topic`` from where the checkpoint left off (from the start on the first
-    run) into ``sink_path``; returns the sink as a batch DataFrame."""
-    run_available_now(stream_records(spark, log, [topic]).select(*SCAN_COLUMNS), sink_path, checkpoint)
-    return spark.read.parquet(sink_path).select(*SCAN_COLUMNS)
+def tail(spark: SparkSession, log: TopicLog, topic: str, sink_path: str, checkpoint: str,
+         start: str | dict[int, int] = "earliest", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Consume ``topic`` from where the checkpoint left off into ``sink_path``; returns the
+    sink as a batch DataFrame. The first run begins at ``start``: ``"earliest"``,
+    ``"latest"`` (only records appended after it) or an offset per partition (partitions
+    not named: from their first record). The start is fixed beside the checkpoint, so later
+    runs keep it."""
+    recs = stream_records(spark, log, [topic], max_files_per_trigger)
+    if start != "earliest":
+        recs = _from_start(recs, _start_offsets(spark, log, topic, start, f"{checkpoint}-start"))
+    run_available_now(recs.select(*SCAN_COLUMNS), sink_path, checkpoint)
+    return spark.read.schema(StructType(LOG_SCHEMA.fields[:5])).parquet(sink_path).select(*SCAN_COLUMNS)
+
+
+def _start_offsets(spark: SparkSession, log: TopicLog, topic: str, start, path: str) -> DataFrame:
+    """``partition, _start`` of a feed's first run, written once."""
+    schema = "partition int, _start long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+    if start == "latest":
+        rows = footer_watermarks(spark, log, [topic]).select("partition", F.col("high").alias("_start"))
+    elif isinstance(start, dict):
+        rows = spark.createDataFrame([(int(p), int(o)) for p, o in start.items()], schema)
+    else:
+        raise ValueError(f"unknown start {start!r}")
+    rows.coalesce(1).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _from_start(records: DataFrame, starts: DataFrame) -> DataFrame:
+    j = records.join(broadcast_if_small(starts), "partition", "left")
+    return j.where(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))).drop("_start")
+
+
+def _batch_table(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The rows of a table kept as one folder per batch (of batches under ``before``)."""
+    try:
+        df = spark.read.schema(f"{schema}, batch long").parquet(path)
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+        return spark.createDataFrame([], schema)
+    if before is not None:
+        df = df.where(F.col("batch") < F.lit(before))
+    return df.drop("batch")
+
+
+def _run_batches(df: DataFrame, write, checkpoint: str) -> None:
+    (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
+
+
+def dedup_into(records: DataFrame, table_path: str, checkpoint: str) -> DataFrame:
+    """Keep one copy of every record (topic, partition, offset), in any arrival order and over
+    any number of batches: copies inside a batch are dropped, then those that earlier batches
+    wrote, looked up only within the batch's topics and offset bounds. No state store."""
+    spark, keys = records.sparkSession, ["topic", "partition", "offset"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+        new = batch.dropDuplicates(keys)
+        if b.lo is not None and batch_id > 0:
+            seen = _batch_table(batch.sparkSession, table_path, _LOG, batch_id)
+            seen = seen.where((F.col("offset") >= F.lit(b.lo)) & (F.col("offset") <= F.lit(b.hi)))
+            new = new.join(seen.select(*keys), keys, "left_anti")
+        new.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+
+    _run_batches(records, write, checkpoint)
+    return _batch_table(spark, table_path, _LOG).select(*LOG_SCHEMA.fieldNames())
+
+
+_LOG = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+
+
+def window_counts_into(records: DataFrame, table_path: str, checkpoint: str, width: str = "1 hour") -> None:
+    """Tumbling-window counts per event type that lose no late record: every batch adds its own
+    counts, and how far each partition's event time has come; a window's count is their sum."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        typed = batch.select("topic", "partition", "timestamp", F.get_json_object(
+            codec.wire_payload_text(F.col("message")), "$.event_type").alias("event_type"))
+        counts = (typed.groupBy(F.window("timestamp", width).alias("w"), "event_type")
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "n"))
+        counts.write.mode("overwrite").parquet(f"{table_path}/counts/batch={batch_id}")
+        (typed.groupBy("topic", "partition").agg(F.max("timestamp").alias("reached"))
+         .write.mode("overwrite").parquet(f"{table_path}/reached/batch={batch_id}"))
+
+    _run_batches(records, write, checkpoint)
+
+
+_COUNTS = "window_start timestamp, window_end timestamp, event_type string, n long"
+_REACHED = "topic string, partition int, reached timestamp"
+
+
+def closed_windows(spark: SparkSession, table_path: str, delay: str = "1 hour") -> DataFrame:
+    """Counts of the windows that every partition has passed by ``delay``."""
+    reached = (_batch_table(spark, f"{table_path}/reached", _REACHED)
+               .groupBy("topic", "partition").agg(F.max("reached").alias("r")).agg(F.min("r").alias("r")).first().r)
+    counts = _batch_table(spark, f"{table_path}/counts", _COUNTS)
+    counts = counts.groupBy("window_start", "window_end", "event_type").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("window_end") <= F.lit(reached).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
 
 
 def ingest_stream(spark: SparkSession, log: TopicLog, table_path: str, checkpoint: str,
@@ -61,8 +168,10 @@ def ingest_stream(spark: SparkSession, log: TopicLog, table_path: str, checkpoin
 
 
 def event_type_counts(records: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Tumbling-window counts per event type with a watermark: in append mode a window
-    is emitted once the watermark passes its end; records later than that are dropped."""
+    """Tumbling-window counts per event type with a watermark, for live feeds whose records
+    come in event-time order within ``delay``: in append mode a window is emitted once the
+    watermark passes its end, and later records are dropped. For a backlog, or where every
+    record must count, use :func:`window_counts_into`."""
     typed = records.select(F.col("timestamp"),
                            F.get_json_object(codec.wire_payload_text(F.col("message")),
                                              "$.event_type").alias("event_type"))
@@ -74,8 +183,9 @@ def event_type_counts(records: DataFrame, width: str = "1 hour", delay: str = "1
 
 
 def dedup_records(records: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop redelivered copies of a record (same topic, partition, offset) that arrive
-    within the watermark delay; state for a record is dropped once the watermark passes."""
+    """Drop redelivered copies of a record (same topic, partition, offset) of a live feed whose
+    records arrive within the watermark delay; state for a record is dropped once the
+    watermark passes, and records later than that are lost. :func:`dedup_into` loses none."""
     return (records.withWatermark("timestamp", delay)
             .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
 
