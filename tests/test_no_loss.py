@@ -148,3 +148,28 @@ def test_fixture_follows_the_files(spark, scratch):
     assert fixtures._source_key(spark, scratch) != first
 
 
+
+
+def test_tail_reads_no_idle_neighbour(spark, scratch, monkeypatch):
+    from topiclake.operators import analytics
+    log = TopicLog(f"{scratch}/log")
+    rows = [("t", 0, o, None, None, None) for o in range(3)] + [("t", 1, o, None, None, None) for o in range(500)]
+    rows += [("t", 2, o * 40, None, None, None) for o in range(10)]  # holes: fewer than n near the end
+    sink.write_records(spark.createDataFrame(rows, LOG_SCHEMA), log, mode="overwrite")
+    want = {(p, o) for p, o in [(0, 0), (0, 1), (0, 2)] + [(1, o) for o in range(495, 500)] + [(2, o * 40) for o in range(5, 10)]}
+    for branches in (100, 0):
+        monkeypatch.setattr(analytics, "TAIL_BRANCHES_MAX", branches)
+        got = analytics.tail_n_from_log(spark, log, 5)
+        assert {(r.partition, r.offset) for r in got.collect()} == want
+
+
+def test_many_schemas_plan_quickly(spark, fx):
+    import time
+    from topiclake.functions.jsonschema import validate_by_schema
+    texts = ['{"type":"object","title":"t%d","properties":{"a":{"type":"integer","minimum":%d},"b":{"type":"string"}}}'
+             % (i, i % 40) for i in range(1000)]
+    df = spark.createDataFrame([(texts[i], '{"a":5,"b":"x"}') for i in range(0, 1000, 10)], "s string, j string")
+    t = time.time()
+    out = validate_by_schema(df.withColumn("v", F.parse_json("j")), "v", "s", texts, "checks")
+    bad = out.where("size(checks) > 0").count()
+    assert time.time() - t < 60 and bad == sum(1 for i in range(0, 1000, 10) if i % 40 > 5)

@@ -145,14 +145,23 @@ def _kind(v: Column) -> Column:
 _HELPER_IDS = itertools.count()
 
 
-def _bind(env: dict | None, expr: Column) -> Column:
+def _bind(env: dict | None, expr: Column, level: int) -> Column:
+    """Name ``expr`` as a helper column of ``level`` (it may read helpers of lower levels)."""
     if env is None:
         return expr
     name = f"_js{next(_HELPER_IDS)}"
-    env[name] = expr
+    env.setdefault(level, {})[name] = expr
     return F.col(name)
 
 
+def _with_helpers(df, env: dict):
+    """Add all helper columns, one projection for each level: as many as schemas nest deep,
+    however many properties and schemas there are."""
+    for level in sorted(env):
+        df = df.withColumns(env[level])
+    return df
+
+
 def _is_type(v: Column, t: str, k: Column | None = None) -> Column:
     k = _kind(v) if k is None else k
     base = k.isin(_VARIANT_KINDS[t])
@@ -194,10 +203,10 @@ def _resolve(ref: Any, root: Any, path: str) -> Any:
 
 
 def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
-                kind: Column | None = None, root: Any = None, refs: tuple = ()) -> list[Column]:
+                kind: Column | None = None, root: Any = None, refs: tuple = (), depth: int = 0) -> list[Column]:
     """Expressions yielding a message when violated and NULL when fine.
 
-    With ``env`` (an ordered name → expression dict), each object property's sub-variant
+    With ``env`` (helper columns by level), each object property's sub-variant
     and its type name are bound to helper columns, so they are computed once per row
     however many checks read them (array items, inside lambdas, are not bound)."""
     if schema is True or schema == {}:
@@ -213,7 +222,7 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
     out: list[Column] = []
     present = v.isNotNull()
     if kind is None:
-        kind = _bind(env, _kind(v))
+        kind = _bind(env, _kind(v), 2 * depth)
     if "$ref" in schema:
         if schema["$ref"] in refs:
             raise ValueError(f"unsupported recursive $ref at {path}: {schema['$ref']!r}")
@@ -272,8 +281,8 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
         out.append(F.when(is_obj & child.isNull(), F.lit(f"{path}: missing {r}")))
     props = schema.get("properties") or {}
     for name, sub in sorted(props.items()):
-        child = _bind(env, F.when(is_obj, F.try_variant_get(v, _path(name), "variant")))
-        out.extend(_violations(child, sub, f"{path}.{name}", env, None, root, refs))
+        child = _bind(env, F.when(is_obj, F.try_variant_get(v, _path(name), "variant")), 2 * depth + 1)
+        out.extend(_violations(child, sub, f"{path}.{name}", env, None, root, refs, depth + 1))
     keys = F.json_object_keys(F.to_json(v))
     for kw, bad in (("minProperties", operator.lt), ("maxProperties", operator.gt)):
         if kw in schema:
@@ -357,10 +366,9 @@ def validate(df, variant_col: str, schema_text: str, out: str = "violations"):
     one projection, so nothing is re-extracted per check; helpers are dropped after."""
     env: dict = {}
     checks = _violations(F.col(variant_col), json.loads(schema_text), "$", env)
-    for name, expr in env.items():
-        df = df.withColumn(name, expr)
+    df = _with_helpers(df, env)
     col = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else F.array().cast("array<string>")
-    return df.withColumn(out, col).drop(*env.keys())
+    return df.withColumn(out, col).drop(*[n for names in env.values() for n in names])
 
 
 def validate_by_schema(df, variant_col: str, schema_col: str, schema_texts: list[str],
@@ -369,16 +377,32 @@ def validate_by_schema(df, variant_col: str, schema_col: str, schema_texts: list
     ``schema_col`` (one of ``schema_texts``, the distinct schemas of the frame). Helper
     columns of a schema are guarded by ``schema_col = schema``, so a row pays only for
     the checks of its own schema. Rows whose schema is not listed get NULL."""
+    none = F.array().cast("array<string>")
+    by_rules: dict[str, list[str]] = {}
+    for text in schema_texts:  # schemas that differ in annotations only share one set of checks
+        by_rules.setdefault(dumps(_rules(json.loads(text))), []).append(text)
+    helpers: dict = {}
     choice = None
-    helpers: list[str] = []
-    for text in schema_texts:
+    for rules, texts in by_rules.items():
         env: dict = {}
-        checks = _violations(F.col(variant_col), json.loads(text), "$", env)
-        mine = F.col(schema_col) == F.lit(text)
-        for name, expr in env.items():
-            df = df.withColumn(name, F.when(mine, expr))
-            helpers.append(name)
-        arr = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else F.array().cast("array<string>")
+        checks = _violations(F.col(variant_col), json.loads(rules), "$", env)
+        mine = F.col(schema_col).isin(texts)
+        for level, named in env.items():
+            helpers.setdefault(level, {}).update({n: F.when(mine, e) for n, e in named.items()})
+        arr = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else none
         choice = F.when(mine, arr) if choice is None else choice.when(mine, arr)
     col = choice if choice is not None else F.lit(None).cast("array<string>")
-    return df.withColumn(out, col).drop(*helpers)
+    return _with_helpers(df, helpers).withColumn(out, col).drop(*[n for names in helpers.values() for n in names])
+
+
+_ANNOTATIONS = {"title", "description", "$schema", "$id", "default", "examples", "format"}
+
+
+def _rules(schema: Any) -> Any:
+    """The schema without the annotations at its top and in its properties."""
+    if not isinstance(schema, dict):
+        return schema
+    out = {k: v for k, v in schema.items() if k not in _ANNOTATIONS}
+    if isinstance(out.get("properties"), dict):
+        out["properties"] = {k: _rules(v) for k, v in out["properties"].items()}
+    return out

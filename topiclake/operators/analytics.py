@@ -17,6 +17,8 @@ from ..plans.sizing import broadcast_if_small, is_small
 GAP_BUCKET = 1 << 20
 # Partitions up to which tail_n_from_log plans per-topic literal bounds on the driver.
 TAIL_LITERAL_PARTITIONS_MAX = 100_000
+# Most scan branches of a tail read; beyond it the bounds come from a join.
+TAIL_BRANCHES_MAX = 100
 
 
 def topic_stats(records: DataFrame) -> DataFrame:
@@ -83,8 +85,9 @@ def tail_n(records: DataFrame, n: int) -> DataFrame:
 def tail_n_from_log(spark, log, n: int, topics: list[str] | None = None) -> DataFrame:
     """Exact newest ``n`` records per partition, reading little more than the tail.
 
-    Watermarks come from file footers; per topic the scan keeps ``offset >= min(high) -
-    n`` as a literal, so files and row groups below the tail are skipped. Offsets may
+    Watermarks come from file footers; each group of partitions with like highs is scanned
+    with ``offset >= high - n`` as a literal, so files and row groups below the tail are
+    skipped. Offsets may
     have holes, so a partition that yields fewer than ``n`` candidates while holding older
     records is re-read whole (only that partition), which keeps the result exact.
     """
@@ -97,18 +100,27 @@ def tail_n_from_log(spark, log, n: int, topics: list[str] | None = None) -> Data
     wm = wm_df.collect()                                       # one row per partition
     if not wm:
         return recs.limit(0)
-    bounds: dict[str, int] = {}
-    for r in wm:
-        bounds[r.topic] = max(0, min(bounds.get(r.topic, r.high), r.high - n))
-    parts = [recs.where((F.col("topic") == F.lit(t)) & (F.col("offset") >= F.lit(b))) for t, b in sorted(bounds.items())]
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    # Partitions of a topic whose highs lie within n of each other share a branch and its bound,
+    # so no partition yields more than 2 n offsets, however idle or busy its neighbours are.
+    groups: list[tuple[str, int, list[int]]] = []
+    for r in sorted(wm, key=lambda r: (r.topic, r.high)):
+        if groups and groups[-1][0] == r.topic and r.high - n - groups[-1][1] <= n:
+            groups[-1][2].append(r.partition)
+        else:
+            groups.append((r.topic, max(0, r.high - n), [r.partition]))
+    if len(groups) > TAIL_BRANCHES_MAX:                       # the same bounds by a join
+        high = broadcast_if_small(wm_df.select("topic", "partition", "high"))
+        cand = recs.join(high, ["topic", "partition"]).where(F.col("offset") >= F.col("high") - n).drop("high")
+    else:
+        cand = None
+        for topic, bound, parts in groups:
+            part = recs.where((F.col("topic") == F.lit(topic)) & F.col("partition").isin(parts)
+                              & (F.col("offset") >= F.lit(bound)))
+            cand = part if cand is None else cand.unionByName(part)
     head = tail_n(cand, n).checkpoint(eager=True)                 # at most n rows per partition
     have = {(r.topic, r.partition): r.c for r in head.groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("c")).collect()}
-    short = [(r.topic, r.partition) for r in wm
-             if have.get((r.topic, r.partition), 0) < n and r.low < bounds[r.topic]]
+    short = [(r.topic, r.partition) for r in wm if have.get((r.topic, r.partition), 0) < n and r.low < r.high - n]
     if not short:
         return head
     key = F.struct("topic", "partition")
