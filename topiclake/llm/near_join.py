@@ -39,13 +39,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_checked, materialise, prepare, table, without
+from .tokens import release
 
 SHINGLE = 5
 FRAGMENTS = 4
 BLOCK = 512
-TOKENS_PER_BUCKET = 1_500_000
+TOKENS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 64
-_FLUSH_TOKENS = 3_000_000
+_FLUSH_TOKENS = 1_500_000
 _FLUSH_CLASSES = 60_000
 _LOCAL_HOT = 32  # so many classes of one flush: the shingle is hot everywhere
 _HOT = 65_535
@@ -93,6 +94,7 @@ def class_table(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """``doc_id, th, n, cls`` per row; ``th`` is the text's hash, ``cls`` is null for empty sets."""
 
     def run(batches):
+        release()
         for b in batches:
             n, cls = [], []
             for t in b.column(1).to_pylist():
@@ -190,6 +192,7 @@ def _prefix_blobs(docs: DataFrame, n_buckets: int, k: int) -> DataFrame:
                 yield _blob(n_buckets + b, p, q, cls, n, np.full(len(p), _HOT))
 
     def run(batches):
+        release()
         seen, sets, cls, n, size = set(), [], [], [], 0
         for b in batches:
             for t in b.column(1).to_pylist():

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held_out, labelled_sample, prepare, table
+from .tokens import release
 
 PER_CLASS = 2000
 MAX_CHARS = 20_000
@@ -36,7 +37,7 @@ BITS = 18
 CUT = 0.3
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.05
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 _MASK = np.uint64((1 << BITS) - 1)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _BIAS = 0
@@ -160,6 +161,7 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def run(text):
         import pandas as pd
+        release()
         return pd.Series(weights.value.score(text.tolist(), memo))
 
     return docs.withColumn(out, run(F.col("text").cast("string")))

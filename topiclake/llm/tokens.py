@@ -19,14 +19,15 @@ is emptied.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
 
 import numpy as np
 
-MEMO_PIECES = 800_000
-MEMO_PARTS = 700_000
+MEMO_PIECES = 350_000
+MEMO_PARTS = 350_000
 
 # Plain alphabet: printable ASCII and Latin letters up to U+024F. There, letters, digits
 # and the library's normaliser (composition, lower case) agree with Python's.
@@ -177,6 +178,17 @@ def encoder(path: str, kind: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """Drop this worker's encoder and its memos; tasks of other operators call it first, so
+    that one operator's memory at a time is held by a worker that serves many. Freed pages go
+    back to the system where the C library can do so."""
+    _ENCODERS.clear()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held_out, labelled_sample, prepare, table
+from .tokens import release
 
 PER_CLASS = 1500
 MAX_CHARS = 20_000
@@ -39,7 +40,8 @@ EPOCHS = 6
 CROSS_FIT_ROWS = 1000
 LEARNING_RATE = 0.004
 MIN_DOCS = 3  # word parts of fewer training texts get no embedding
-MEMO_WORDS = 150_000
+MEMO_WORDS = 80_000
+BLOCK_WORDS = 60_000  # words scored together (a longer text by itself)
 PIECES = 8  # hashed parts of a word
 _PAD = 0
 _WORD = re.compile(r"\w+")
@@ -85,9 +87,9 @@ class Model:
     def _scores(self, docs: list[list[str]], memo: dict) -> np.ndarray:
         out = np.empty(len(docs))
         start = 0
-        while start < len(docs):  # about 200,000 words at a time, one text at least
+        while start < len(docs):  # BLOCK_WORDS at a time, one text at least
             end, n = start, 0
-            while end < len(docs) and (end == start or n + len(docs[end]) <= 200_000):
+            while end < len(docs) and (end == start or n + len(docs[end]) <= BLOCK_WORDS):
                 n += len(docs[end])
                 end += 1
             logit, lang = self._forward(docs[start:end], memo)
@@ -301,6 +303,7 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def run(text):
         import pandas as pd
+        release()
         return pd.Series(weights.value.score(text.tolist(), memo))
 
     return docs.withColumn(out, run(F.col("text").cast("string")))
