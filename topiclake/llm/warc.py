@@ -17,7 +17,8 @@ response of a group may then be the null id); rows repeated with one id: all but
 them are revisits of that id; an empty table gives no bundle; extra columns are ignored.
 
 Scale: digests are grouped with map-side partial aggregation (only id and digest move);
-pages are dealt by id ranges, so no host or payload is a hot key; a task holds one frame.
+pages move once, by their row number, so no host, id or payload is a hot key; a task holds
+one frame.
 """
 
 from __future__ import annotations
@@ -192,9 +193,7 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES,
     # The row number is fixed by the written copy, so both scans below give it alike.
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
-    rows = rows.repartitionByRange("page_id", F.xxhash64("url", "html")).sortWithinPartitions(
-        "page_id", F.xxhash64("url", "html"))
-    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "pages-in-order")
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "pages-numbered")
     plan = plan_records(rows)
     ready = (rows.join(plan, "row").select("page_id", "url", "html", "payload_bytes", "payload_digest", "record_type",
                                            "refers_to"))
