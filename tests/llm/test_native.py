@@ -42,6 +42,16 @@ def test_frequent_lines_are_removed_but_copies_are_one_document(spark):
     assert all(not out[100 + i].kept for i in range(9))
 
 
+def test_texts_that_differ_only_in_digits_or_case_are_documents(spark):
+    form = "Dear customer, your order number {0:05d} was sent.\nThank you for buying with us, {1}."
+    rows = [(i, form.format(i, "Ann" if i % 2 else "ANN"), "h") for i in range(30)]
+    rows += [(100 + i, form.format(7, "Bob"), "g") for i in range(30)]  # exact copies: one document
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in line_frequency.line_rules(docs).collect()}
+    assert all(out[i].n_removed_lines == 2 and not out[i].kept for i in range(30))
+    assert all(out[100 + i].n_removed_lines == 0 for i in range(30))
+
+
 def test_decontamination_on_odd_rows(spark, odd_docs, odd_rows, duck):
     by_id = {r[0]: r[1] for r in odd_rows}
     long = by_id[6].split()

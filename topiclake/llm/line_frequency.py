@@ -3,8 +3,9 @@
 Base rules count words, symbols, repeated lines and words in repeated 8-word windows of
 each text. The line rule hashes every normalised line (A-Z lower-cased, digits as 0, white
 space runs as one space), counts the distinct documents of a host that hold it, removes the
-lines above the limit, and rejects documents that removal depletes. Copies of one text are
-one document in these counts, so a group of exact copies does not deplete itself.
+lines above the limit, and rejects documents that removal depletes. Exact copies (equal raw
+texts) are one document in these counts, so a group of them does not deplete itself; texts
+that differ anywhere, if only in a digit, in case or in white space, are different documents.
 
 DataFrame functions only. One pass over the texts writes per-row counts and line hashes;
 all else reads that small table.
@@ -82,7 +83,7 @@ def repeated_words(hashes: Column) -> Column:
 
 
 def features(docs: DataFrame, host_col: str = "source", with_text: bool = False) -> DataFrame:
-    """The written per-row table: base counts, content hash and line hashes."""
+    """The written per-row table: base counts, hash of the raw text and line hashes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def counted(w: Column) -> Column:
@@ -97,14 +98,13 @@ def features(docs: DataFrame, host_col: str = "source", with_text: bool = False)
 
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(_without(x, SPACE)) > 0)
     cols = [F.col("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-            let(words(text), counted).alias("w"), let(lines, lined).alias("l"),
+            F.xxhash64(text).alias("content"), let(words(text), counted).alias("w"), let(lines, lined).alias("l"),
             F.length(_without(text, SPACE)).cast("long").alias("word_chars"),
             (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols")]
     if with_text:
         cols.append(F.col("text"))
-    f = docs.select(*cols).select("doc_id", "host", "w.*", "l.*", "word_chars", "n_symbols", *(["text"] * with_text))
+    f = docs.select(*cols).select("doc_id", "host", "content", "w.*", "l.*", "word_chars", "n_symbols", *(["text"] * with_text))
     f = f.withColumns({
-        "content": F.xxhash64(F.transform("lines", lambda x: x["h"])),
         "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
         "row": F.monotonically_increasing_id()})
     return materialise(f, "line-features")
