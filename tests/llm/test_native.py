@@ -2,6 +2,7 @@
 import pandas as pd
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from topiclake.llm import decontaminate, line_frequency
 from topiclake.llm.queries import ORACLES, QUERIES
@@ -52,6 +53,17 @@ def test_texts_that_differ_only_in_digits_or_case_are_documents(spark):
     assert all(out[100 + i].n_removed_lines == 0 for i in range(30))
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    planted = [(i, f"read our terms before use\nown words of text number {i}", "h") for i in range(12)]
+    docs = spark.createDataFrame(planted, "doc_id long, text string, source string")
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")  # digits would be folded
+    clean = spark.range(1000, 31_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("clean "), letters).alias("text"),
+                                             F.lit("h").alias("source"))
+    for d in (docs, docs.union(clean)):
+        out = line_frequency.line_rules(d).where("n_removed_lines > 0").collect()
+        assert sorted((r.doc_id, r.n_removed_lines) for r in out) == [(i, 1) for i in range(12)]
+
+
 def test_decontamination_on_odd_rows(spark, odd_docs, odd_rows, duck):
     by_id = {r[0]: r[1] for r in odd_rows}
     long = by_id[6].split()

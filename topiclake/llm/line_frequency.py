@@ -33,8 +33,8 @@ from .common import broadcast_checked, let, materialise, table, total
 SPACE = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-MAX_DOCS = 10  # a line in more distinct documents of its host is removed ...
-MAX_SHARE = 0.0005  # ... or in more than this share of them, if that is more
+MAX_DOCS = 10  # a line in more distinct documents of its host is removed, however large the host
+MAX_SHARE = 0.0005  # OP1_SQL only: there the limit is this share of a host's documents, if that is more
 MIN_KEPT = 0.2  # documents keeping less of their word characters are rejected
 
 _FOLD_FROM = string.ascii_uppercase + "123456789"
@@ -110,20 +110,24 @@ def features(docs: DataFrame, host_col: str = "source", with_text: bool = False)
     return materialise(f, "line-features")
 
 
-def frequent_lines(feats: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """``host, h, n_docs`` of the lines above their host's limit."""
+def frequent_lines(feats: DataFrame, max_docs: int = MAX_DOCS, max_share: float | None = None) -> DataFrame:
+    """``host, h, n_docs`` of the lines above their host's limit: ``max_docs`` documents, or with
+    ``max_share`` that share of the host's documents where it is less."""
     contents = feats.groupBy("host", "content").agg(
         F.first(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("hs"))
     contents = materialise(contents, "line-contents")
-    hosts = materialise(contents.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")), "line-hosts")
     counts = (contents.select("host", F.explode("hs").alias("h")).groupBy("host", "h")
-              .agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs))
-    limit = F.greatest(F.lit(float(max_docs)), F.lit(max_share) * F.col("host_docs"))
-    return materialise(counts.join(broadcast_checked(hosts), "host").where(F.col("n_docs") > limit)
-                       .select("host", "h", "n_docs"), "frequent-lines")
+              .agg(F.count(F.lit(1)).alias("n_docs")))
+    if max_share is None:
+        counts = counts.where(F.col("n_docs") > max_docs)
+    else:
+        hosts = materialise(contents.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")), "line-hosts")
+        limit = F.least(F.lit(float(max_docs)), F.lit(max_share) * F.col("host_docs"))
+        counts = counts.join(broadcast_checked(hosts), "host").where(F.col("n_docs") > limit)
+    return materialise(counts.select("host", "h", "n_docs"), "frequent-lines")
 
 
-def line_rules(docs: DataFrame, host_col: str = "source", max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
+def line_rules(docs: DataFrame, host_col: str = "source", max_docs: int = MAX_DOCS, max_share: float | None = None,
                min_kept: float = MIN_KEPT, with_text: bool = False) -> DataFrame:
     """Base counts, removed lines and verdict of every row; with ``with_text`` also the text
     without its removed lines (``clean_text``)."""
