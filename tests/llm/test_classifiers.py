@@ -1,5 +1,6 @@
 """Operators 2, 3 and 6: held-out accuracy, odd rows, no labels."""
 import random
+import textwrap
 import zlib
 
 import pytest
@@ -75,3 +76,25 @@ def test_license_scan(spark, odd_docs, odd_rows, no_docs):
     assert got.n_paragraphs == 5
     assert licenses.scan(odd_docs, model).count() == len(odd_rows)
     assert licenses.scan(no_docs, licenses.fit_licenses(no_docs)).count() == 0
+
+
+def test_wrapped_and_unbroken_notices(spark):
+    model = licenses.fit_licenses(spark.read.parquet(f"{SF}/documents.parquet"))
+    rng = random.Random(11)
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+               "associated documentation files (the \"Software\"), to deal in the Software without restriction",
+        "gpl": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+               "General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+               "provided that the following conditions are met:"}
+    rows, want = [], {}
+    for k, (family, n) in enumerate(notices.items()):
+        wrapped = "\n".join(textwrap.wrap(n, 60))
+        rows += [(3 * k, f"{prose(rng, 30)}\n\n{wrapped}\n\n{prose(rng, 30)}"),
+                 (3 * k + 1, f"{prose(rng, 20)}\n{wrapped}\n{prose(rng, 20)}"),
+                 (3 * k + 2, f"{prose(rng, 25_000)} {n} {prose(rng, 3000)}")]
+        want |= {3 * k + i: [family] for i in range(3)}
+    rows.append((99, prose(rng, 30_000)))
+    out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert {r.doc_id: [s.family for s in r.spans if s.confirmed] for r in out} == {**want, 99: []}

@@ -9,6 +9,14 @@ calibrated on a held-back part, so that at most ``FALSE_SHARE`` of unknown parag
 A prediction is then compared with the family's notices: it is confirmed when the longest
 common run of words, in order, covers ``MIN_COVER`` of a notice.
 
+Notices that are wrapped over lines, or stand inside a long line, are found by windows: the
+lines between two lines without words are joined, and overlapping windows of each size in
+``WINDOWS`` cover all their words. Where a window is given a family, the words around it are
+searched for that family's notices; a match may spread over ``SPREAD`` times the notice's
+words. Matches (the best first) that overlap no confirmed line and no better match are
+confirmed spans at the line where they start; ``spans`` of lines that a match of their family
+covers and that are not confirmed themselves give way to it.
+
 Training draws at most ``UNKNOWN_ROWS`` paragraphs (of ``UNKNOWN_DOCS`` texts) from the
 corpus; scanning covers every paragraph of every whole text.
 
@@ -40,6 +48,9 @@ EPOCHS = 12
 FALSE_SHARE = 0.001
 MIN_COVER = 0.6
 MEMO_WORDS = 300_000
+WINDOWS = (4, 8, 16, 32)  # words
+WINDOW_WORDS = 20_000  # words whose windows are scored at once
+SPREAD = 1.5
 
 # Short notices by which works name their licence, by family.
 NOTICES = {
@@ -153,6 +164,27 @@ class Model:
         return np.where(p[np.arange(len(p)), best] >= self.needed, best, 0), p
 
 
+    def window_hits(self, ws: list[str], ends: np.ndarray, memo: dict):
+        """``start, end, family, probability`` of the windows over ``ws`` that have a family; no
+        window reaches over one of ``ends``, the ends of the blocks."""
+        h = _hashes(ws, memo)
+        g = _grams(h, ends)
+        none = np.zeros((1, len(FAMILIES)))
+        one = np.concatenate([none, np.cumsum(self.weights[g[:len(h)]], 0, dtype=np.float64)])
+        two = np.concatenate([none, np.cumsum(self.weights[g[len(h):]], 0, dtype=np.float64)])
+        last = np.repeat(ends, np.diff(ends, prepend=0))
+        for size in WINDOWS:
+            start = np.union1d(np.arange(0, len(h), size // 2), np.concatenate([[0], ends[:-1]]))
+            end = np.minimum(start + size, last[start])
+            z = (one[end] - one[start] + two[end - 1] - two[start]) / np.sqrt(2 * (end - start) - 1)[:, None] + self.bias
+            best = z[:, 1:].argmax(1) + 1
+            some = np.flatnonzero(z[np.arange(len(z)), best] > z[:, 0])
+            e = np.exp(z[some] - z[some].max(1, keepdims=True))
+            p = e[np.arange(len(some)), best[some]] / e.sum(1)
+            for k, q in zip(some[p >= self.needed].tolist(), p[p >= self.needed].tolist()):
+                yield int(start[k]), int(end[k]), int(best[k]), q
+
+
 def cover(paragraph: list[str], family: str) -> tuple[float, int]:
     """The best share of a notice's words met in order in the paragraph, and that notice."""
     best, which = 0.0, -1
@@ -171,6 +203,108 @@ def cover(paragraph: list[str], family: str) -> tuple[float, int]:
     return best, which
 
 
+_NOTICE_WORDS = {f: [words(n) for n in ns] for f, ns in NOTICES.items()}
+
+
+def _run(ws: list[str], t: list[str]) -> tuple[int, int]:
+    """Length of the longest common run of words, in order, and the place in ``ws`` where it ends."""
+    row, best, end = [0] * (len(t) + 1), 0, 0
+    for k, w in enumerate(ws, 1):
+        before = 0
+        for j, v in enumerate(t, 1):
+            here = row[j]
+            row[j] = before + 1 if v == w else max(here, row[j - 1])
+            before = here
+        if row[-1] > best:
+            best, end = row[-1], k
+    return best, end
+
+
+def matches(ws: list[str], family: str):
+    """``start, end, notice, share`` of the family's notices that stand in ``ws``."""
+    for which, t in enumerate(_NOTICE_WORDS[family]):
+        need, reach, known = MIN_COVER * len(t), int(SPREAD * len(t)) + 1, set(t)
+        places = [i for i, w in enumerate(ws) if w in known]
+        k = 0
+        while k < len(places):
+            best = (0, 0, 0)
+            first = places[k]
+            while k < len(places) and places[k] < first + reach:  # the best start in reach of the first
+                i = places[k]
+                if len(known.intersection(ws[i:i + reach])) >= MIN_COVER * len(known):
+                    n, end = _run(ws[i:i + reach], t)
+                    if n >= need and (n, i) > best[:2]:
+                        best = (n, i, i + end)
+                elif best[0] == 0:
+                    first = i + 1
+                k += 1
+            if best[0]:
+                yield best[1], best[2], which, best[0] / len(t)
+                while k > 0 and places[k - 1] >= best[2]:
+                    k -= 1
+
+
+def _chunks(texts: list[list[list[str]]]):
+    """Words, their (text, line) and block ends, of at most ``WINDOW_WORDS`` words; the pieces of
+    longer blocks overlap by more than a match is long."""
+    over = 4 * max(WINDOWS[-1], *(len(t) for ts in _NOTICE_WORDS.values() for t in ts))
+    ws, at, ends = [], [], []
+    for d, lines in enumerate(texts):
+        k = 0
+        while k < len(lines):
+            block, where = [], []
+            while k < len(lines) and lines[k]:
+                block += lines[k]
+                where += [(d, k, i) for i in range(len(lines[k]))]
+                k += 1
+            k += 1
+            for a in range(0, max(len(block) - over, min(len(block), 1)), WINDOW_WORDS - over):
+                piece = block[a:a + WINDOW_WORDS]
+                if ws and len(ws) + len(piece) > WINDOW_WORDS:
+                    yield ws, at, np.array(ends)
+                    ws, at, ends = [], [], []
+                ws.extend(piece)
+                at.extend(where[a:a + WINDOW_WORDS])
+                ends.append(len(ws))
+    if ws:
+        yield ws, at, np.array(ends)
+
+
+def window_spans(texts: list[list[list[str]]], model: "Model", memo: dict) -> list[list[tuple]]:
+    """Per text, the notices found by windows: ``share, probability, first, last, family, notice``
+    with the (line, word) places of the first and last word, the best first."""
+    out: list[set] = [set() for _ in texts]
+    for ws, at, ends in _chunks(texts):
+        regions: dict[tuple, list] = {}
+        for a, b, f, p in sorted(model.window_hits(ws, ends, memo)):
+            block = int(np.searchsorted(ends, a, side="right"))
+            wide = int(SPREAD * max(map(len, _NOTICE_WORDS[FAMILIES[f]]))) + 1
+            a, b = max(a - wide, int(ends[block - 1]) if block else 0), min(b + wide, int(ends[block]))
+            found = regions.setdefault((block, f), [])
+            if found and a <= found[-1][1]:
+                found[-1][1:] = [max(b, found[-1][1]), max(p, found[-1][2])]
+            else:
+                found.append([a, b, p])
+        for (_, f), found in regions.items():
+            for a, b, p in found:
+                for i, j, notice, share in matches(ws[a:b], FAMILIES[f]):
+                    d, *first = at[a + i]
+                    out[d].add((share, p, tuple(first), at[a + j - 1][1:], FAMILIES[f], notice))
+    return [sorted(x, reverse=True) for x in out]
+
+
+def _with_windows(found: list[dict], ls: list[list[str]], spans: list[tuple]) -> list[dict]:
+    """The lines' spans together with the matches that overlap no confirmed one."""
+    taken = [((x["line"], 0), (x["line"], len(ls[x["line"]]))) for x in found if x["confirmed"]]
+    for share, p, first, last, family, notice in spans:
+        if all(last < a or first > b for a, b in taken):
+            taken.append((first, last))
+            found = [x for x in found if x["confirmed"] or x["family"] != family or not first[0] <= x["line"] <= last[0]]
+            found.append({"line": first[0], "family": family, "probability": p, "confirmed": True, "notice": notice,
+                          "cover": share})
+    return sorted(found, key=lambda x: x["line"])
+
+
 def _varied(rng, ws: list[str], filler: list[str]) -> list[str]:
     ws = [w for w in ws if rng.random() > 0.08] or ws[:1]
     if len(ws) > 12 and rng.random() < 0.5:  # a part of a long notice
@@ -258,7 +392,8 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                 flat = [p for ls in lines for p in ls]
                 best, prob = m.predict(flat, memo)
                 at, n, spans = 0, [], []
-                for ls in lines:
+                wide = window_spans(lines, m, memo)
+                for d, ls in enumerate(lines):
                     found = []
                     for k in range(len(ls)):
                         f = int(best[at + k])
@@ -267,7 +402,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                             found.append({"line": k, "family": FAMILIES[f], "probability": float(prob[at + k, f]),
                                           "confirmed": share >= MIN_COVER, "notice": notice, "cover": share})
                     n.append(sum(1 for p in ls if p))
-                    spans.append(found)
+                    spans.append(_with_windows(found, ls, wide[d]))
                     at += len(ls)
                 yield pa.RecordBatch.from_arrays([b.column(0)[s:s + 100], pa.array(n, pa.int64()), pa.array(spans, span)],
                                                  names=["doc_id", "n_paragraphs", "spans"])
