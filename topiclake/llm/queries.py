@@ -7,6 +7,7 @@ from . import (
     html_text,
     licenses,
     line_frequency,
+    mtree,
     near_join,
     packing,
     quality,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_top_k": mtree.op11_top_k,
 }
 
 ORACLES = {
     "op1_line_frequency": line_frequency.OP1_SQL,
     "op4_warc_bundles": warc.OP4_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_top_k": mtree.OP11_SQL,
 }
