@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    alignment,
     decontaminate,
     html_text,
     licenses,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_top_k": mtree.op11_top_k,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 ORACLES = {
