@@ -11,6 +11,7 @@ from . import (
     mtree,
     near_join,
     packing,
+    periodic_runs,
     quality,
     token_files,
     toxicity,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_top_k": mtree.op11_top_k,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
 
