@@ -45,6 +45,7 @@ BLOCK_CHARS = 400_000
 FREQUENT = 1_000_000
 _HELD_PAIRS = 2_000_000  # pairs that a task counts before it hands them on
 _MEMO = 250_000
+_CALL = 2000  # segments of one call of the library
 _SPACE = "▁"
 _SEGMENT = re.compile(" +[^ \n]*|\n+|[^ \n]+")
 
@@ -67,9 +68,12 @@ class PieceEncoder:
         if n > 1 << 16:
             raise ValueError("this encoder holds ids in 16 bits")
         self.token_bytes = [self._bytes(i, p) for i, p in enumerate(pieces)]
-        self._space = np.array([pieces.index(_SPACE)], "<u2").tobytes()
-        self._skip = 2 * len(self._model.encode("\n"))  # the added space and a line end
-        self._memo: dict[str, bytes] = {" ": self._space}
+        first = self._model.encode("\n")  # the added space and a line end
+        if len(first) != 2 or self.token_bytes[first[1]] != b"\n":
+            raise ValueError("this model has no token of its own for a line end")
+        self._line_end = first[1]
+        self._memo: dict[str, bytes] = {}
+        self._changed: set[str] = set()  # segments whose tokens are not their bytes
 
     def _bytes(self, i: int, piece: str) -> bytes:
         if self._model.is_byte(i):
@@ -78,36 +82,48 @@ class PieceEncoder:
             return b""
         return piece.replace(_SPACE, " ").encode()
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._model.encode(text), "<u2").tobytes()
-
-    def _segment(self, s: str) -> bytes:
-        """Ids of one segment; the library adds a space before what it reads."""
-        if s[0] == " ":
-            return self._space if s == " " else self._ids(s[1:])
-        return self._ids("\n" + s)[self._skip:]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 16-bit bytes (an empty text has none)."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif _SPACE in text:
-                out.append(self._ids(text))
+    def _same(self, ids, text: str) -> bool:
+        return b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode()
+
+    def _learn(self, segments: list[str]) -> None:
+        """Ids of new segments, many in one call, with line ends between them."""
+        for s in segments:
+            if s[0] == "\n":
+                self._memo[s] = np.full(len(s), self._line_end, "<u2").tobytes()
+        segments = [s for s in segments if s[0] != "\n"]
+        for at in range(0, len(segments), _CALL):
+            part = segments[at:at + _CALL]
+            text = "\n".join(["", *part, ""])
+            ids = self._model.encode(text)
+            a = np.array(ids, "<u2")
+            cuts = np.flatnonzero(a == self._line_end).tolist()
+            if len(cuts) != len(part) + 1:
+                raise ValueError("line end met inside a segment")
+            same = self._same(ids, " " + text)
+            for s, i, j in zip(part, cuts, cuts[1:]):
+                self._memo[s] = a[i + 1:j].tobytes()
+                if not same and not self._same(ids[i + 1:j], s):
+                    self._changed.add(s)
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids of every text as little-endian unsigned 16-bit bytes (an empty text has none), and
+        whether the tokens' bytes are a space and the text."""
+        segments = [_SEGMENT.findall(" " + t) if t and _SPACE not in t else [] for t in texts]
+        met = set().union(*segments)
+        if len(self._memo) > _MEMO:
+            self._memo.clear()
+            self._changed.clear()
+        self._learn(list(met.difference(self._memo)))
+        ids, same = [], []
+        for t, parts in zip(texts, segments):
+            if t and _SPACE in t:
+                whole = self._model.encode(t)
+                ids.append(np.array(whole, "<u2").tobytes())
+                same.append(self._same(whole, " " + t))
             else:
-                segments = _SEGMENT.findall(" " + text)
-                try:
-                    out.append(b"".join(map(self._memo.__getitem__, segments)))
-                except KeyError:
-                    if len(self._memo) > _MEMO:
-                        self._memo = {" ": self._space}
-                    memo = self._memo
-                    for s in segments:
-                        if s not in memo:
-                            memo[s] = self._segment(s)
-                    out.append(b"".join(map(memo.__getitem__, segments)))
-        return out
+                ids.append(b"".join(map(self._memo.__getitem__, parts)))
+                same.append(not self._changed or self._changed.isdisjoint(parts))
+        return ids, same
 
 
 def byte_tokens(path: str) -> list[bytes]:
@@ -176,11 +192,10 @@ class Aligner:
         number of links of each text."""
         full = [" " + t if t else "" for t in texts]
         a_ids = [np.frombuffer(x, "<u2") for x in self.a.encode(full)]
-        b_ids = [np.frombuffer(x, "<u2") for x in self.b.encode([t or "" for t in texts])]
-        for k, t in enumerate(full):
-            whole = t.encode()
-            if t and (b"".join(map(self.a_bytes.__getitem__, a_ids[k].tolist())) != whole
-                      or b"".join(map(self.b_bytes.__getitem__, b_ids[k].tolist())) != whole):
+        b_ids, same = self.b.encode([t or "" for t in texts])
+        b_ids = [np.frombuffer(x, "<u2") for x in b_ids]
+        for k, t in enumerate(full):  # byte-level tokens are the text's bytes, so their number tells
+            if t and (not same[k] or int(self.a_len[a_ids[k]].sum()) != len(t.encode())):
                 a_ids[k] = b_ids[k] = a_ids[k][:0]
         n_a, n_b = np.array([len(x) for x in a_ids], np.int64), np.array([len(x) for x in b_ids], np.int64)
         a = np.concatenate([*a_ids, np.zeros(0, "<u2")]).astype(np.int64)
