@@ -39,15 +39,15 @@ def test_enrich_broadcasts_small_dimension(spark, fx):
     assert "BroadcastHashJoin" in plan
 
 
-def test_session_counts_chunked_equals_single_pass(spark, fx):
+def test_session_counts_over_many_tasks_equal_single_pass(spark, fx):
     from topiclake.operators.analytics import session_counts
     recs = fx.log.records(spark).where(F.col("topic") == "events").withColumn("k", F.hex("key"))
     ref = (recs.groupBy("k", F.session_window(F.col("timestamp"), "30 minutes").alias("w"))
            .agg(F.count("*").alias("n"), F.min("timestamp").alias("s"), F.max("timestamp").alias("l"))
            .select(F.col("s").cast("timestamp_ntz").alias("session_start"),
                    F.col("l").cast("timestamp_ntz").alias("last_event"), "k", "n"))
-    for chunk in ("1 hour", "1 day"):   # small chunks: many sessions cross a boundary
-        got = session_counts(recs, "timestamp", "30 minutes", ["k"], chunk=chunk)
+    for tasks in (1, 7, 60):   # small tasks: keys and sessions lie in several
+        got = session_counts(recs, "timestamp", "30 minutes", ["k"], tasks)
         assert got.count() == ref.count()
         assert got.exceptAll(ref.select(*got.columns)).count() == 0
 

@@ -141,10 +141,10 @@ def test_long_customer_keys_stay_whole(spark):
 def test_fixture_follows_the_files(spark, scratch):
     import shutil
     for t in ("conversations", "customer", "events", "lineitem", "orders"):
-        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{scratch}/{t}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{t}.parquet", f"{scratch}/{t}.parquet")
     first = fixtures._source_key(spark, scratch)
     assert first == fixtures._source_key(spark, scratch) != fixtures._source_key(spark, "/root/testdata/sf0.001")
-    shutil.copy("/root/testdata/sf0.01/events.parquet", f"{scratch}/events.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/events.parquet", f"{scratch}/events.parquet")
     assert fixtures._source_key(spark, scratch) != first
 
 

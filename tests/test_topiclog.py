@@ -143,7 +143,7 @@ def test_footer_watermarks_equal_scanned(spark, fx):
 
 
 def test_footer_watermarks_plan_reads_no_data(spark, fx):
-    with tl._footer_aggregates(spark):
+    with tl.footer_aggregates(spark):
         recs = spark.read.schema(tl.LOG_SCHEMA).parquet(fx.log.records_path)
         plan = tl.partition_watermarks(recs)._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [MIN(offset), MAX(offset)]" in plan

@@ -1,9 +1,9 @@
 """Analytics over topic records: statistics, compaction, gaps, tails, diffs, windows.
 
 All operators take and return DataFrames in the log's column names. None of them puts
-a whole topic partition in one task: per-key work is aggregated partially before the
-shuffle, ranking uses Spark's per-task group limit, and gap detection runs its window
-over bounded offset buckets.
+the records of a whole topic partition or key in one task: per-key work is aggregated
+partially before the shuffle, ranking uses Spark's per-task group limit, gap detection runs
+its window over bounded offset buckets, and sessions are merged over ranges of time.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small, is_small
+from .islands import merge_intervals
 
 # Offsets per bucket for windowed scans over a partition (bounds a window task).
 GAP_BUCKET = 1 << 20
@@ -160,40 +161,31 @@ def sliding_counts(df: DataFrame, ts: str, width: str, slide: str, by: list[str]
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), *by, "n")
 
 
-def session_counts(df: DataFrame, ts: str, gap: str, by: list[str], chunk: str = "1 day") -> DataFrame:
+def session_counts(df: DataFrame, ts: str, gap: str, by: list[str], num_partitions: int | None = None) -> DataFrame:
     """Session windows (a new session starts when the gap to the previous event of the
-    key is at least ``gap``): ``session_start, last_event, *by, n``.
+    key is at least ``gap``): ``session_start, last_event, *by, n``. Events without a time are
+    in no session.
 
-    A key holding a large share of all events is not put in one task. Sessions are first
-    built per ``(key, time chunk)``, in parallel over chunks. Sessions strictly inside a
-    chunk are final. Only each chunk's first and last session can continue across a
-    chunk boundary, so only those (two per key and chunk: bounded by the time span, not
-    by the data) are merged in a second, small pass: a gaps-and-islands window per key.
+    The events of a key are spread over tasks by ranges of time, whatever their number; each
+    task builds its sessions, and only the sessions at the edges of tasks are joined
+    (:mod:`topiclake.operators.islands`).
     """
+    return _as_sessions(merge_sessions(session_segments(df, ts, by), gap, by, num_partitions), by)
+
+
+def session_segments(df: DataFrame, ts: str, by: list[str]) -> DataFrame:
+    """Events as sessions of one moment: ``*by, _first, _last, n``."""
+    return df.select(*by, _ts(ts).alias("_first")).where(F.col("_first").isNotNull()).select(
+        *by, "_first", F.col("_first").alias("_last"), F.lit(1).cast("long").alias("n"))
+
+
+def merge_sessions(segments: DataFrame, gap: str, by: list[str], num_partitions: int | None = None) -> DataFrame:
+    """Sessions out of parts of sessions, in any order and overlapping or not."""
     gap_s = F.expr(f"INTERVAL {gap}")
-    chunk_sec = _interval_seconds(chunk)
-    t = _ts(ts)
-    c = df.withColumn("_t", t).withColumn("_c", F.floor(F.unix_seconds(F.col("_t")) / chunk_sec))
-    local = (c.groupBy(*by, "_c", F.session_window("_t", gap).alias("w"))
-             .agg(F.count(F.lit(1)).alias("n"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-             .drop("w"))
-    wc = Window.partitionBy(*by, "_c")
-    local = (local.withColumn("_is_first", F.col("_first") == F.min("_first").over(wc))
-             .withColumn("_is_last", F.col("_first") == F.max("_first").over(wc)))
-    inner = local.where(~F.col("_is_first") & ~F.col("_is_last"))
-    edge = local.where(F.col("_is_first") | F.col("_is_last"))
-    wk = Window.partitionBy(*by).orderBy("_first")
-    edge = edge.withColumn("_new", F.when(
-        F.lag("_last").over(wk).isNull() | (F.col("_first") >= F.lag("_last").over(wk) + gap_s), 1).otherwise(0))
-    edge = edge.withColumn("_island", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = (edge.groupBy(*by, "_island")
-              .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("n").alias("n")))
-    out = inner.select(*by, "_first", "_last", "n").unionByName(merged.select(*by, "_first", "_last", "n"))
-    return out.select(F.col("_first").cast("timestamp_ntz").alias("session_start"),
-                      F.col("_last").cast("timestamp_ntz").alias("last_event"), *by, "n")
-
-
-def _interval_seconds(text: str) -> int:
-    n, unit = text.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
+    return merge_intervals(segments, by, "_first", "_last", lambda first, reached: first < reached + gap_s, ["n"],
+                           num_partitions)
+
+
+def _as_sessions(merged: DataFrame, by: list[str]) -> DataFrame:
+    return merged.select(F.col("_first").cast("timestamp_ntz").alias("session_start"),
+                         F.col("_last").cast("timestamp_ntz").alias("last_event"), *by, "n")

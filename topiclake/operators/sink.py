@@ -8,6 +8,8 @@ predicates then skip whole files and row groups through Parquet statistics.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +19,12 @@ from ..sources.topiclog import (
     LOG_SCHEMA,
     SCAN_COLUMNS,
     TopicLog,
+    footer_aggregates,
     footer_watermarks,
     is_missing_path,
     require_topics,
 )
+from .islands import offset_intervals, outside, union_intervals
 from .offsets import assign_dense
 
 
@@ -146,26 +150,76 @@ def _not_in_log(spark, log: TopicLog, planned: DataFrame) -> DataFrame:
 
 
 def pending_records(log_records: DataFrame, table: DataFrame, topics: list[str] | None = None) -> DataFrame:
-    """Log records not yet in ``table`` (same key columns), exactly once by offset.
-
-    The table's per-partition high-water mark is a small aggregate; records above it are
-    selected with a broadcast equi-join on ``(topic, partition)`` and a range residual.
-    """
+    """Log records not yet in ``table``, exactly once by offset: those outside the offset
+    intervals that the table holds, so a hole that a broken append left is found as well."""
     src = log_records if topics is None else log_records.where(F.col("topic").isin(topics))
-    done = table.groupBy("topic", "partition").agg(F.max("offset").alias("_done"))
-    j = src.join(broadcast_if_small(done), ["topic", "partition"], "left")
-    return j.where(F.col("_done").isNull() | (F.col("offset") > F.col("_done"))).drop("_done")
+    return outside(src, offset_intervals(table).checkpoint(eager=True))
 
 
-def ingest(log_records: DataFrame, table_path: str, spark, topics: list[str] | None = None) -> DataFrame:
-    """Append pending records to a Parquet table partitioned like the log; returns them. Only
-    a table that does not exist yet counts as empty; any other read failure is raised."""
+_COMMITS = "topic string, partition int, lo long, hi long"
+
+
+def committed_intervals(spark, table_path: str) -> DataFrame:
+    """The offsets that an ingested table holds, as merged intervals."""
+    held, found = _held_offsets(spark, table_path)
+    return held if found is None else held.unionByName(found)
+
+
+def _held_offsets(spark, table_path: str) -> tuple[DataFrame, DataFrame | None]:
+    """Intervals from commit records, and those that had to be read from the table itself.
+
+    Every append leaves a commit record (its intervals) beside the table. A partition is taken
+    from these records when they count as many offsets as the table's file footers count
+    rows; the offsets of any other partition (an append broke off before its record, or the table
+    was written by other means) are read from the table, so nothing is lost or written twice. Fewer
+    rows than committed offsets mean a damaged table, which is an error.
+    """
+    keys = ["topic", "partition"]
     try:
-        table = spark.read.schema(LOG_SCHEMA).parquet(table_path)
+        with footer_aggregates(spark):
+            rows = (spark.read.schema(LOG_SCHEMA).parquet(table_path).groupBy(*keys)
+                    .agg(F.count(F.lit(1)).alias("_rows")).checkpoint(eager=True))
     except AnalysisException as e:
         if not is_missing_path(e):
             raise
-        table = spark.createDataFrame([], LOG_SCHEMA)
-    new = pending_records(log_records, table, topics).select(*LOG_SCHEMA.fieldNames()).checkpoint(eager=True)
-    new.write.mode("append").partitionBy("topic", "partition").parquet(table_path)
+        rows = spark.createDataFrame([], "topic string, partition int, _rows long")
+    try:
+        commits = spark.read.schema(_COMMITS).parquet(f"{table_path}-commits/*")
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+        commits = spark.createDataFrame([], _COMMITS)
+    commits = union_intervals(commits).checkpoint(eager=True)
+    counted = commits.groupBy(*keys).agg(F.sum(F.col("hi") - F.col("lo")).alias("_committed"))
+    both = rows.join(counted, keys, "full").select(
+        *keys, (F.coalesce("_rows", F.lit(0)) - F.coalesce("_committed", F.lit(0))).alias("_over")).checkpoint(eager=True)
+    lost = both.where("_over < 0").orderBy(*keys).first()
+    if lost is not None:
+        raise ValueError(f"table {table_path} holds {-lost._over} records of {lost.topic}[{lost.partition}] less than were committed")
+    known = broadcast_if_small(both.where("_over = 0").select(*keys))
+    if both.where("_over > 0").isEmpty():
+        return commits, None
+    unknown = broadcast_if_small(both.where("_over > 0").select(*keys))
+    found = spark.read.schema(LOG_SCHEMA).parquet(table_path).join(unknown, keys, "left_semi")
+    return commits.join(known, keys, "left_semi"), offset_intervals(found).checkpoint(eager=True)
+
+
+def ingest(log_records: DataFrame, table_path: str, spark, topics: list[str] | None = None) -> DataFrame:
+    """Append pending records to a Parquet table partitioned like the log; returns them. The
+    offsets already held come from commit records (:func:`committed_intervals`), so no data of
+    the table is read unless an append broke off. Only a table that does not exist yet counts
+    as empty; any other read failure is raised. One writer at a time."""
+    src = log_records if topics is None else log_records.where(F.col("topic").isin(topics))
+    held, found = _held_offsets(spark, table_path)
+    if found is not None:  # an append broke off: what it did write is recorded now
+        _record(found, table_path)
+        held = held.unionByName(found)
+    new = outside(src, held).select(*LOG_SCHEMA.fieldNames()).checkpoint(eager=True)
+    if not new.isEmpty():
+        new.write.mode("append").partitionBy("topic", "partition").parquet(table_path)
+        _record(offset_intervals(new), table_path)
     return new.select(*SCAN_COLUMNS)
+
+
+def _record(intervals: DataFrame, table_path: str) -> None:
+    intervals.write.parquet(f"{table_path}-commits/{uuid.uuid4().hex}")

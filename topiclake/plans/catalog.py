@@ -793,9 +793,8 @@ SELECT topic, hex(key) AS key_hex, "partition", "offset", hex(message) AS messag
 def q_stream_latest_per_key(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     d = feeds.run_dir(spark, "compact")
-    agg = feeds.latest_per_key_stream(feeds.stream_records(spark, fx.log, ["events"]))
-    feeds.write_latest(agg, f"{d}/table", f"{d}/checkpoint")
-    out = spark.read.parquet(f"{d}/table").where(F.col("message").isNotNull())
+    feeds.latest_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table", f"{d}/checkpoint")
+    out = feeds.latest_table(spark, f"{d}/table")
     return out.select("topic", F.hex("key").alias("key_hex"), "partition", "offset",
                       F.hex("message").alias("message_hex"))
 
@@ -818,6 +817,37 @@ def q_stream_window_counts(spark, sf_dir):
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
 
 
+@query("stream_sliding_counts", f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n FROM (
+  SELECT unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, "timestamp") - INTERVAL 45 MINUTE,
+                                time_bucket(INTERVAL 15 MINUTE, "timestamp"), INTERVAL 15 MINUTE)) AS window_start,
+         {_D_EV_TYPE} AS event_type
+  FROM topic_log WHERE topic = 'events') GROUP BY ALL
+HAVING window_end <= (SELECT min(m) FROM (SELECT max("timestamp") AS m FROM topic_log WHERE topic = 'events'
+                                          GROUP BY "partition")) - INTERVAL 1 HOUR""")
+def q_stream_sliding_counts(spark, sf_dir):
+    """Sliding windows over several micro-batches, those that every partition has passed."""
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "sliding")
+    feeds.window_counts_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table",
+                             f"{d}/checkpoint", "1 hour", "15 minutes")
+    return feeds.closed_windows(spark, f"{d}/table").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
+
+
+@query("stream_session_counts", ORACLES["session_counts"].removeprefix(fixtures.duck_with()))
+def q_stream_session_counts(spark, sf_dir):
+    """Sessions per key over several micro-batches that arrive out of event-time order."""
+    fx = _fx(spark, sf_dir)
+    d = feeds.run_dir(spark, "sessions")
+    feeds.sessions_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table",
+                        f"{d}/checkpoint", "30 minutes")
+    return feeds.sessions(spark, f"{d}/table", "30 minutes").select(
+        F.hex("key").alias("key_hex"), F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("last_event").cast("timestamp_ntz").alias("last_event"), "n")
+
+
 # ======================================================================== SQL face
 
 

@@ -201,7 +201,7 @@ def is_missing_path(e: AnalysisException) -> bool:
 
 
 @contextmanager
-def _footer_aggregates(spark: SparkSession):
+def footer_aggregates(spark: SparkSession):
     """Read Parquet through the V2 source with aggregate pushdown, so MIN/MAX grouped by
     partition columns are answered from file footers. Restores the settings after."""
     v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,parquet,text")
@@ -223,7 +223,7 @@ def _footer_aggregates(spark: SparkSession):
 def footer_watermarks(spark: SparkSession, log: TopicLog, topics: list[str] | None = None) -> DataFrame:
     """Watermarks from Parquet footers only (no record data is read): one row per
     non-empty partition, materialised into the checkpoint folder while pushdown is on."""
-    with _footer_aggregates(spark):
+    with footer_aggregates(spark):
         try:
             recs = spark.read.schema(LOG_SCHEMA).parquet(log.records_path)
         except AnalysisException as e:
