@@ -137,7 +137,7 @@ _VARIANT_KINDS = {
 }
 
 
-def _kind(v: Column) -> Column:
+def variant_kind(v: Column) -> Column:
     """Coarse Variant type name: OBJECT, ARRAY, STRING, DECIMAL, BIGINT, … (NULL if absent)."""
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
@@ -163,7 +163,7 @@ def _with_helpers(df, env: dict):
 
 
 def _is_type(v: Column, t: str, k: Column | None = None) -> Column:
-    k = _kind(v) if k is None else k
+    k = variant_kind(v) if k is None else k
     base = k.isin(_VARIANT_KINDS[t])
     if t == "integer":  # 2.0 is an integer in JSON Schema; decimals with zero fraction count
         dec = F.try_variant_get(v, "$", "decimal(38,10)")
@@ -172,13 +172,26 @@ def _is_type(v: Column, t: str, k: Column | None = None) -> Column:
     return base
 
 
+def number_matches(kind: Column) -> Column:
+    """Whether a Variant type name is that of a number."""
+    return kind.isin(_VARIANT_KINDS["number"])
+
+
 def _exact(v: Column) -> Column:
-    """Number as an exact decimal; NULL where it has none (then the double decides)."""
-    return F.try_variant_get(v, "$", "decimal(38,12)")
+    """Number as an exact decimal; NULL where 12 places don't hold it (then the double decides)."""
+    dec = F.try_variant_get(v, "$", "decimal(38,12)")
+    return F.when(dec.cast("double") == F.try_variant_get(v, "$", "double"), dec)
 
 
 def _decimal(x) -> Column:
-    return F.lit(Decimal(str(x))).cast("decimal(38,12)")
+    """A bound as an exact decimal; NULL where 12 places don't hold it."""
+    d = Decimal(str(x))
+    return (F.lit(d) if has_12_places(d) else F.lit(None)).cast("decimal(38,12)")
+
+
+def has_12_places(d: Decimal) -> bool:
+    """Whether ``decimal(38,12)`` holds the number exactly."""
+    return d.is_finite() and abs(d) < 10 ** 26 and d.normalize().as_tuple().exponent >= -12
 
 
 def _fails(v: Column, schema: Any, path: str, root: Any, refs: tuple) -> Column:
@@ -187,7 +200,7 @@ def _fails(v: Column, schema: Any, path: str, root: Any, refs: tuple) -> Column:
     return F.concat_ws("", *checks) != "" if checks else F.lit(False)
 
 
-def _resolve(ref: Any, root: Any, path: str) -> Any:
+def resolve_ref(ref: Any, root: Any, path: str) -> Any:
     if not isinstance(ref, str) or not (ref == "#" or ref.startswith("#/")):
         raise ValueError(f"unsupported $ref at {path}: {ref!r}")
     node = root
@@ -222,11 +235,11 @@ def _violations(v: Column, schema: Any, path: str, env: dict | None = None,
     out: list[Column] = []
     present = v.isNotNull()
     if kind is None:
-        kind = _bind(env, _kind(v), 2 * depth)
+        kind = _bind(env, variant_kind(v), 2 * depth)
     if "$ref" in schema:
         if schema["$ref"] in refs:
             raise ValueError(f"unsupported recursive $ref at {path}: {schema['$ref']!r}")
-        out.extend(_violations(v, _resolve(schema["$ref"], root, path), path, None, kind, root, (*refs, schema["$ref"])))
+        out.extend(_violations(v, resolve_ref(schema["$ref"], root, path), path, None, kind, root, (*refs, schema["$ref"])))
     for sub in schema.get("allOf", []):
         out.extend(_violations(v, sub, path, None, kind, root, refs))
     if "anyOf" in schema or "oneOf" in schema:

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..functions.jsonschema import validate_by_schema
 from ..plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small, is_small
 from ..sources.topiclog import SCAN_COLUMNS, TopicLog, parse_topic_uri, require_topics
 from .registry import Registry, current_view, register_schemas, schema_latest, subject_for
+from .validation import validate_rows
 
 
 class DecodeError(ValueError):
@@ -158,8 +158,8 @@ def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_co
     A row with NULL topic, schema or data gives a NULL message (NULL in, NULL out) and is
     kept. Data that is not JSON fails the query, also without ``validate``. With
     ``validate`` (the default, as for serialisation with validation), every row is checked
-    against its schema: each distinct schema of the batch is compiled once into Catalyst
-    checks, chosen per row; a violation fails the query.
+    against its schema as data (:func:`topiclake.operators.validation.validate_rows`), however many
+    schemas the batch has; a violation fails the query.
     """
     pairs = (df.select(subject_for(F.col(topic_col), False).alias("subject"),
                        F.col(schema_col).alias("schema")).where("subject is not null and schema is not null")
@@ -179,8 +179,7 @@ def encode_json(spark: SparkSession, registry: Registry, df: DataFrame, topic_co
     out = out.withColumn("_enc_parsed", F.when(complete, F.try_parse_json(F.col(data_col))))
     problem = F.when(complete & F.col("_enc_parsed").isNull(), F.lit("$: not JSON"))
     if validate:
-        texts = [r._enc_schema for r in ids.select("_enc_schema").distinct().collect()]   # distinct schemas
-        out = validate_by_schema(out, "_enc_parsed", schema_col, texts, "_enc_checks")
+        out = validate_rows(out, "_enc_parsed", schema_col, "_enc_checks")
         joined = F.array_join("_enc_checks", "; ")
         problem = problem.when(complete & (joined != ""), joined)
     out = out.withColumn("_enc_problem", problem)
