@@ -112,6 +112,25 @@ def schema_spark_type(schema_text: str) -> T.DataType:
     return spark_type(structure(json.loads(schema_text)))
 
 
+def merge_structures(a: Any, b: Any) -> Any:
+    """The least structure that holds values of both: objects have the members of either, whole
+    numbers widen to ``DOUBLE``, and what differs otherwise is kept as ``JSON`` text."""
+    if a == b:
+        return a
+    if isinstance(a, dict) and isinstance(b, dict):
+        return {k: merge_structures(a[k], b[k]) if k in a and k in b else a.get(k, b.get(k)) for k in {**a, **b}}
+    if isinstance(a, list) and isinstance(b, list):
+        return [merge_structures(a[0], b[0])]
+    return "DOUBLE" if {repr(a), repr(b)} == {"'BIGINT'", "'DOUBLE'"} else LOOSE
+
+
+@F.pandas_udf(T.StringType())
+def merge_texts_udf(lists: pd.Series) -> pd.Series:
+    """Structure text that holds all of a list of structure texts."""
+    return lists.map(lambda texts: dumps(functools.reduce(merge_structures, [json.loads(t) for t in texts]))
+                     if texts is not None and len(texts) else None)
+
+
 # ------------------------------------------------------------------------- validation
 
 SUPPORTED_KEYWORDS = {

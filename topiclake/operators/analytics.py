@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small, is_small
-from .islands import merge_intervals
+from .islands import merge_intervals, offset_intervals, union_intervals
 
 # Offsets per bucket for windowed scans over a partition (bounds a window task).
 GAP_BUCKET = 1 << 20
@@ -55,13 +55,19 @@ def latest_per_key(records: DataFrame) -> DataFrame:
 
 
 def offset_gaps(records: DataFrame, bucket: int = GAP_BUCKET) -> DataFrame:
-    """Holes in offset sequences: ``(topic, partition, prev_offset, offset, missing)``.
+    """Holes in offset sequences: ``(topic, partition, prev_offset, offset, missing)``."""
+    points = records.select("topic", "partition", "offset", F.lit(True).alias("_starts"))
+    return _gaps(points, bucket)
+
+
+def _gaps(points: DataFrame, bucket: int) -> DataFrame:
+    """Holes before the points that ``_starts`` marks.
 
     ``lag`` runs per ``(topic, partition, offset div bucket)``, so a window task never
     holds more than ``bucket`` offsets; the first row of each bucket takes its
     predecessor from the previous non-empty bucket's maximum (a small aggregate).
     """
-    b = records.select("topic", "partition", "offset").withColumn("_b", F.floor(F.col("offset") / bucket))
+    b = points.withColumn("_b", F.floor(F.col("offset") / bucket))
     w = Window.partitionBy("topic", "partition", "_b").orderBy("offset")
     local = b.withColumn("prev_offset", F.lag("offset").over(w))
     bmax = b.groupBy("topic", "partition", "_b").agg(F.max("offset").alias("_bmax"))
@@ -70,11 +76,30 @@ def offset_gaps(records: DataFrame, bucket: int = GAP_BUCKET) -> DataFrame:
     # one row per non-empty bucket: broadcast (size-checked), joined in the same pass
     joined = local.join(broadcast_if_small(carry), ["topic", "partition", "_b"], "left")
     joined = joined.withColumn("prev_offset", F.coalesce(F.col("prev_offset"), F.col("_carry")))
-    return (joined.where(F.col("offset") - F.col("prev_offset") > 1)
+    return (joined.where(F.col("_starts") & (F.col("offset") - F.col("prev_offset") > 1))
             .select("topic", "partition", "prev_offset", "offset",
                     (F.col("offset") - F.col("prev_offset") - 1).alias("missing")))
 
 
+def offset_gaps_from_log(spark, log, topics: list[str] | None = None, bucket: int = GAP_BUCKET) -> DataFrame:
+    """The holes of a log, from its file index: a file that holds as many records as its bounds
+    span is one interval; only the offset column of the other files is read."""
+    from ..sources.fileindex import file_index
+    from ..sources.topiclog import LOG_SCHEMA
+    index = file_index(spark, log, topics).checkpoint(eager=True)
+    whole = F.col("n") == F.col("hi") - F.col("lo") + 1
+    intervals = index.where(whole).select("topic", "partition", "lo", (F.col("hi") + 1).alias("hi"))
+    holed = [r.path for r in index.where(~whole).select("path").collect()]  # file names
+    if holed:
+        recs = spark.read.schema(LOG_SCHEMA).option("basePath", log.records_path).parquet(*holed)
+        intervals = intervals.unionByName(offset_intervals(recs))
+    merged = union_intervals(intervals).checkpoint(eager=True)
+    starts = merged.select("topic", "partition", F.col("lo").alias("offset"), F.lit(True).alias("_starts"))
+    ends = merged.where(F.col("hi") - F.col("lo") > 1).select("topic", "partition", (F.col("hi") - 1).alias("offset"),
+                                                              F.lit(False).alias("_starts"))
+    return _gaps(starts.unionByName(ends), bucket)
+
+
 def tail_n(records: DataFrame, n: int) -> DataFrame:
     """The newest ``n`` records of every partition. ``row_number() <= n`` over a
     descending offset order is planned with a per-task group limit before the shuffle,
@@ -135,6 +160,55 @@ def snapshot_diff(newer: DataFrame, older: DataFrame) -> DataFrame:
     return newer.join(older.select("topic", "partition", "offset"), ["topic", "partition", "offset"], "left_anti")
 
 
+# Offsets per fingerprint; and differing buckets up to which their bounds become literal filters.
+FINGERPRINT_BUCKET = 1 << 16
+LITERAL_BUCKETS_MAX = 500
+
+
+def fingerprints(records: DataFrame, bucket: int = FINGERPRINT_BUCKET) -> DataFrame:
+    """``topic, partition, bucket, n, mark``: per range of ``bucket`` offsets the number of records
+    and an order-free sum of their hashes (offset, key, message). Combined inside tasks; kept with a
+    snapshot, it tells later which ranges changed."""
+    return (records.groupBy("topic", "partition", F.floor(F.col("offset") / bucket).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum(F.xxhash64("offset", "key", "message").cast("decimal(38,0)")).alias("mark")))
+
+
+def snapshot_changes(newer: DataFrame, older: DataFrame, newer_marks: DataFrame | None = None,
+                     older_marks: DataFrame | None = None, bucket: int = FINGERPRINT_BUCKET) -> DataFrame:
+    """What differs between two states of a log: ``topic, partition, offset, change`` with
+    ``added``, ``removed`` or ``changed`` (another key or message at the same offset).
+
+    Ranges of offsets whose fingerprints agree are not read: the others become literal partition
+    and offset filters while they are few, else a join on the range. Fingerprints that were kept with
+    the snapshots spare the pass over their records."""
+    at = ["topic", "partition", "bucket"]
+    a = fingerprints(newer, bucket) if newer_marks is None else newer_marks
+    b = fingerprints(older, bucket) if older_marks is None else older_marks
+    b = b.select(*at, F.col("n").alias("_n"), F.col("mark").alias("_mark"))
+    differ = (a.join(b, at, "full").where(~(F.col("n").eqNullSafe(F.col("_n")) & F.col("mark").eqNullSafe(F.col("_mark"))))
+              .select(*at).checkpoint(eager=True))
+    listed = differ.limit(LITERAL_BUCKETS_MAX + 1).collect()
+
+    def changed_part(df: DataFrame) -> DataFrame:
+        df = df.select("topic", "partition", "offset", "key", "message")
+        if len(listed) > LITERAL_BUCKETS_MAX:
+            df = df.withColumn("bucket", F.floor(F.col("offset") / bucket))
+            return df.join(broadcast_if_small(differ), at, "left_semi").drop("bucket")
+        keep = F.lit(False)
+        for r in listed:
+            keep = keep | ((F.col("topic") == r.topic) & (F.col("partition") == r.partition)
+                           & (F.col("offset") >= r.bucket * bucket) & (F.col("offset") < (r.bucket + 1) * bucket))
+        return df.where(keep)
+
+    key = ["topic", "partition", "offset"]
+    new = changed_part(newer).select(*key, F.struct("key", "message").alias("_new"))
+    old = changed_part(older).select(*key, F.struct("key", "message").alias("_old"))
+    change = (F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed")
+              .when(~F.col("_new").eqNullSafe(F.col("_old")), "changed"))
+    return new.join(old, key, "full").select(*key, change.alias("change")).where(F.col("change").isNotNull())
+
+
 def enrich(records: DataFrame, dim: DataFrame, left_key: Column, dim_key: str) -> DataFrame:
     """Join records to a dimension table; broadcast only when a bounded count proves the
     dimension small, else a shuffle join (AQE splits skewed keys)."""
@@ -189,3 +263,9 @@ def merge_sessions(segments: DataFrame, gap: str, by: list[str], num_partitions:
 def _as_sessions(merged: DataFrame, by: list[str]) -> DataFrame:
     return merged.select(F.col("_first").cast("timestamp_ntz").alias("session_start"),
                          F.col("_last").cast("timestamp_ntz").alias("last_event"), *by, "n")
+
+
+def interval_seconds(text: str) -> int:
+    n, unit = text.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult

@@ -8,13 +8,18 @@ permanently deleted versions drop out, soft-deleted ones stay, flagged.
 Single-key registry calls become filters; the bulk forms join a DataFrame of keys to
 the current view, so millions of lookups cost one join instead of millions of calls.
 Writes (register, delete) return the change rows; :meth:`Registry.append` persists them.
-They read, then append, so they assume one writer at a time.
+:meth:`Registry.commit` does both under a claim of the next ``seq``, so many writers may commit
+at once; ``append`` alone assumes one writer.
 """
 
 from __future__ import annotations
 
+import functools
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +40,27 @@ REGISTRY_LOG_SCHEMA = T.StructType([
     T.StructField("deleted", T.BooleanType(), False),
 ])
 
+
+
+def _create(spark: SparkSession, name: str) -> bool:
+    """Create an empty file; False when it is there already. Atomic on stores whose create without
+    overwrite is (HDFS, object stores with conditional puts) and on local disks."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(name)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = jvm.java.io.File(path.toUri().getPath())
+            return bool(local.createNewFile())
+        fs.create(path, False).close()
+        return True
+    except Py4JJavaError:
+        if fs.exists(path):
+            return False
+        raise
+
+
 # Columns of a registered schema, in the order a lookup returns them.
 SCHEMA_COLUMNS = ["id", "guid", "subject", "version", "schema_type", "schema"]
 
@@ -60,6 +86,36 @@ class Registry:
     def append(self, change_rows: DataFrame) -> None:
         change_rows.select(*REGISTRY_LOG_SCHEMA.fieldNames()).write.mode("append").parquet(self.changes_path)
 
+    def commit(self, spark: SparkSession, plan: Callable[[DataFrame], DataFrame], patience: float = 300.0) -> DataFrame:
+        """Append the change rows that ``plan(changes)`` gives, safe beside other writers.
+
+        The batch's ``seq`` is claimed by creating a file that must not exist yet. A writer that
+        finds it claimed plans again once the other's rows are there, so no id, version or ``seq`` is
+        given twice. A claim whose writer died blocks its ``seq`` until :meth:`release`; waiting longer
+        than ``patience`` seconds raises ``TimeoutError``. Returns the rows (none: nothing is claimed).
+        """
+        names, until = REGISTRY_LOG_SCHEMA.fieldNames(), time.monotonic() + patience
+        while True:
+            rows = plan(self.changes(spark)).select(*names).checkpoint(eager=True)
+            top = rows.agg(F.max("seq")).first()[0]
+            if top is None:
+                return rows
+            if _create(spark, self._claim(top)):
+                self.append(rows)
+                return rows
+            while (self.changes(spark).agg(F.max("seq")).first()[0] or 0) < top:
+                if time.monotonic() > until:
+                    raise TimeoutError(f"seq {top} is claimed, but its writer has not written it")
+                time.sleep(0.2)
+
+    def release(self, spark: SparkSession, seq: int) -> None:
+        """Drop the claim of a writer that is known to have died before it wrote."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self._claim(seq))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+    def _claim(self, seq: int) -> str:
+        return f"{self.root}/claims/{seq}"
+
 
 def content_hash(schema_type: Column, schema: Column) -> Column:
     return F.sha2(F.concat(schema_type, F.lit(":"), schema), 256)
@@ -289,3 +345,43 @@ def latest_structure(current: DataFrame, subject: str) -> str:
     if row.schema is None:
         raise ValueError(f"subject {subject!r} has no schema text")
     return structure_text(row.schema)
+
+
+def subject_structure(current: DataFrame, subject: str):
+    """The structure that holds the messages of every version of a subject (parsed form; see
+    :func:`topiclake.functions.jsonschema.merge_structures`). Versions are read as distinct
+    structures, not as schema texts. Errors as for :func:`latest_structure`."""
+    import json
+
+    from ..functions.jsonschema import merge_structures, structure_text_udf
+    rows = (current.where(F.col("subject") == F.lit(subject))
+            .select("schema_type", F.when(F.col("schema_type") == "JSON", structure_text_udf(F.col("schema"))).alias("s"))
+            .distinct().collect())
+    if not rows:
+        raise SchemaNotFound(f"no live schema under subject {subject!r}")
+    if any(r.schema_type != "JSON" for r in rows):
+        raise ValueError(f"subject {subject!r} has versions that are not JSON")
+    if any(r.s is None for r in rows):
+        raise ValueError(f"subject {subject!r} has a version without a readable schema")
+    return functools.reduce(merge_structures, [json.loads(r.s) for r in sorted(rows, key=lambda r: r.s)])
+
+
+def latest_structures(current: DataFrame) -> DataFrame:
+    """``subject, version, structure`` of every subject whose latest schema is JSON; the helper runs
+    over distinct schema texts."""
+    from ..functions.jsonschema import structure_text_udf
+    latest = schema_latest(current).where(F.col("schema_type") == "JSON")
+    texts = latest.select("schema").distinct().withColumn("structure", structure_text_udf(F.col("schema")))
+    return latest.join(texts, "schema").select("subject", "version", "structure")
+
+
+def merged_structures(current: DataFrame) -> DataFrame:
+    """``subject, versions, structure``: what holds the messages of all live JSON versions of a
+    subject, so rows written with different versions fit one projection."""
+    from ..functions.jsonschema import merge_texts_udf, structure_text_udf
+    live = current.where(F.col("schema_type") == "JSON")
+    texts = live.select("schema").distinct().withColumn("structure", structure_text_udf(F.col("schema")))
+    per = (live.join(texts, "schema").groupBy("subject")
+           .agg(F.count(F.lit(1)).alias("versions"), F.sort_array(F.collect_set("structure")).alias("all")))
+    merged = per.select("all").distinct().withColumn("structure", merge_texts_udf(F.col("all")))
+    return per.join(merged, "all").select("subject", "versions", "structure")

@@ -135,10 +135,10 @@ def _not_in_log(spark, log: TopicLog, planned: DataFrame) -> DataFrame:
     lo = planned.agg(F.min("offset")).first()[0]
     if lo is None:
         return planned
-    topics = [r.topic for r in planned.select("topic").distinct().collect()]
+    topics = broadcast_if_small(planned.select("topic").distinct())
     try:
-        present = (log.records(spark).where(F.col("topic").isin(topics) & (F.col("offset") >= F.lit(int(lo))))
-                   .select("topic", "partition", "offset"))
+        present = (log.records(spark).where(F.col("offset") >= F.lit(int(lo))).select("topic", "partition", "offset")
+                   .join(topics, "topic", "left_semi"))
     except AnalysisException as e:
         if not is_missing_path(e):
             raise

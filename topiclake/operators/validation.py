@@ -123,56 +123,75 @@ def _has(kind: str) -> Column:
     return F.exists("edges", lambda e: e["kind"] == kind)
 
 
-def _expanded(pairs: DataFrame, nodes: DataFrame, id_col: str) -> DataFrame:
-    """A level's pairs with their own violations, what they combine, and the next pairs."""
-    v = F.col("value")
-    df = pairs.join(nodes, [id_col, "node"])
-    df = df.withColumn("_kind", variant_kind(v))
-    df = df.withColumns({"_is_num": number_matches(F.col("_kind")), "_is_str": F.col("_kind") == "STRING",
-                         "_is_obj": F.col("_kind") == "OBJECT", "_is_arr": F.col("_kind") == "ARRAY"})
-    dec, num = _number_parts(v)
-    df = df.withColumns({
-        "_dec": F.when(F.col("_is_num"), dec), "_num": F.when(F.col("_is_num"), num),
-        "_text": F.when(F.col("_is_str"), F.try_variant_get(v, "$", "string")),
-        "_json": F.when(F.col("allowed").isNotNull(), F.to_json(v)),
-        "_obj": F.when(F.col("_is_obj"), F.try_variant_get(v, "$", "map<string,variant>")),
-        "_arr": F.when(F.col("_is_arr"), F.try_variant_get(v, "$", "array<variant>"))})
-    return df.select(
-        F.monotonically_increasing_id().alias("id"), "up", "kind", "path", id_col, _own(v).alias("own"),
-        _children().alias("children"), _has("any").alias("any"), _has("one").alias("one"), _has("if").alias("if"),
-        F.when(F.col("_is_arr") & _has("contains"), F.col("min_contains")).alias("least"),
-        F.when(F.col("_is_arr"), F.col("max_contains")).alias("most")).checkpoint(eager=True)
-
-
-def _verdicts(level: DataFrame, below: DataFrame | None) -> DataFrame:
-    """``up, kind, found`` (all violations) of a level's pairs."""
-    if below is None:
-        total = level.withColumns({"_must": F.array().cast("array<string>"), "_then": F.array().cast("array<string>"),
-                                   "_else": F.array().cast("array<string>"),
-                                   **{f"_n_{k}": F.lit(0).cast("long") for k in ("any", "one", "not", "if", "contains")}})
-    else:
+class _Steps:
+    """The expressions of one level, built once: they are the same at every level."""
+
+    def __init__(self, id_col: str):
+        v = F.col("value")
+        dec, num = _number_parts(v)
+        self.kind = variant_kind(v)
+        self.tests = {"_is_num": number_matches(F.col("_kind")), "_is_str": F.col("_kind") == "STRING",
+                      "_is_obj": F.col("_kind") == "OBJECT", "_is_arr": F.col("_kind") == "ARRAY"}
+        self.parts = {
+            "_dec": F.when(F.col("_is_num"), dec), "_num": F.when(F.col("_is_num"), num),
+            "_text": F.when(F.col("_is_str"), F.try_variant_get(v, "$", "string")),
+            "_json": F.when(F.col("allowed").isNotNull(), F.to_json(v)),
+            "_obj": F.when(F.col("_is_obj"), F.try_variant_get(v, "$", "map<string,variant>")),
+            "_arr": F.when(F.col("_is_arr"), F.try_variant_get(v, "$", "array<variant>"))}
+        self.out = [
+            F.monotonically_increasing_id().alias("id"), F.col("up"), F.col("kind"), F.col("path"), F.col(id_col),
+            _own(v).alias("own"), _children().alias("children"), _has("any").alias("any"), _has("one").alias("one"),
+            _has("if").alias("if"), F.when(F.col("_is_arr") & _has("contains"), F.col("min_contains")).alias("least"),
+            F.when(F.col("_is_arr"), F.col("max_contains")).alias("most")]
+        self.none = F.array().cast("array<string>")
         ok = F.size("found") == 0
-
-        def messages(kind: str) -> Column:
-            return F.flatten(F.collect_list(F.when(F.col("kind") == kind, F.col("found"))))
-        per = below.groupBy("up").agg(
-            messages("must").alias("_must"), messages("then").alias("_then"), messages("else").alias("_else"),
-            *[F.count_if((F.col("kind") == k) & ok).alias(f"_n_{k}") for k in ("any", "one", "not", "if", "contains")])
-        total = level.join(per.withColumnRenamed("up", "_up"), level["id"] == F.col("_up"), "left").drop("_up")
-        none = F.array().cast("array<string>")
-        total = total.withColumns({**{c: F.coalesce(c, none) for c in ("_must", "_then", "_else")},
-                                   **{f"_n_{k}": F.coalesce(f"_n_{k}", F.lit(0)) for k in ("any", "one", "not", "if", "contains")}})
-
-    def said(cond: Column, what: str) -> Column:
-        return F.when(cond, F.concat(F.col("path"), F.lit(f": {what}")))
-    n = {k: F.col(f"_n_{k}") for k in ("any", "one", "not", "if", "contains")}
-    combined = F.filter(F.array(
-        said(F.col("any") & (n["any"] == 0), "anyOf"), said(F.col("one") & (n["one"] != 1), "oneOf"),
-        said(n["not"] > 0, "not"), said(n["contains"] < F.col("least"), "contains"),
-        said(n["contains"] > F.col("most"), "contains")), lambda x: x.isNotNull())
-    branch = F.when(F.col("if"), F.when(n["if"] > 0, F.col("_then")).otherwise(F.col("_else"))).otherwise(
-        F.array().cast("array<string>"))
-    return total.select("up", "kind", F.concat("own", "_must", combined, branch).alias("found"))
+        self.counted = [
+            *[F.flatten(F.collect_list(F.when(F.col("kind") == k, F.col("found")))).alias(f"_{k}") for k in _LISTED],
+            *[F.count_if((F.col("kind") == k) & ok).alias(f"_n_{k}") for k in _COUNTED]]
+        self.filled = {**{f"_{k}": F.coalesce(f"_{k}", self.none) for k in _LISTED},
+                       **{f"_n_{k}": F.coalesce(f"_n_{k}", F.lit(0)) for k in _COUNTED}}
+        self.empty = {**{f"_{k}": self.none for k in _LISTED}, **{f"_n_{k}": F.lit(0).cast("long") for k in _COUNTED}}
+        self.found = self._found()
+
+    def _found(self) -> Column:
+        """All violations of a pair."""
+        def said(cond: Column, what: str) -> Column:
+            return F.when(cond, F.concat(F.col("path"), F.lit(f": {what}")))
+        n = {k: F.col(f"_n_{k}") for k in _COUNTED}
+        combined = F.filter(F.array(
+            said(F.col("any") & (n["any"] == 0), "anyOf"), said(F.col("one") & (n["one"] != 1), "oneOf"),
+            said(n["not"] > 0, "not"), said(n["contains"] < F.col("least"), "contains"),
+            said(n["contains"] > F.col("most"), "contains")), lambda x: x.isNotNull())
+        branch = F.when(F.col("if"), F.when(n["if"] > 0, F.col("_then")).otherwise(F.col("_else"))).otherwise(self.none)
+        return F.concat("own", "_must", combined, branch).alias("found")
+
+    def expanded(self, pairs: DataFrame, nodes: DataFrame, id_col: str) -> DataFrame:
+        """A level's pairs with their own violations, what they combine, and the next pairs."""
+        df = pairs.join(nodes, [id_col, "node"]).withColumn("_kind", self.kind)
+        return df.withColumns(self.tests).withColumns(self.parts).select(*self.out).checkpoint(eager=True)
+
+    def verdicts(self, level: DataFrame, below: DataFrame | None) -> DataFrame:
+        """``up, kind, found`` of a level's pairs, from those of the level below."""
+        if below is None:
+            return level.withColumns(self.empty).select("up", "kind", self.found)
+        per = below.groupBy(F.col("up").alias("id")).agg(*self.counted)
+        return level.join(per, "id", "left").withColumns(self.filled).select("up", "kind", self.found)
+
+
+_BUILT: dict[str, _Steps] = {}
+
+
+def _steps(spark) -> _Steps:
+    """The level expressions, built once per application."""
+    key = spark.sparkContext.applicationId
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = _Steps("_sid")
+    return _BUILT[key]
+
+
+_LISTED = ("must", "then", "else")
+_COUNTED = ("any", "one", "not", "if", "contains")
 
 
 def violations(rows: DataFrame, row_col: str, variant_col: str, schema_col: str) -> tuple[DataFrame, DataFrame]:
@@ -187,18 +206,18 @@ def violations(rows: DataFrame, row_col: str, variant_col: str, schema_col: str)
     pairs = (complete.join(broadcast_if_small(schemas), complete[schema_col] == schemas["_schema"])
              .select(F.col(row_col).alias("up"), F.lit("root").alias("kind"), "_sid", F.lit(0).alias("node"),
                      F.lit("$").alias("path"), F.col(variant_col).alias("value")))
-    levels = []
+    levels, steps = [], _steps(rows.sparkSession)
     while True:
-        level = _expanded(pairs, nodes, "_sid")
+        level = steps.expanded(pairs, nodes, "_sid")
         levels.append(level)
         nxt = level.where(F.size("children") > 0)
         if nxt.isEmpty():
             break
         pairs = nxt.select(F.col("id").alias("up"), "_sid", F.explode("children").alias("c")).select("up", "_sid", "c.*")
     below = None
-    for level in reversed(levels):
-        below = _verdicts(level, below)
-        if len(levels) > 8:  # deep data: keep the plan short
+    for k, level in enumerate(reversed(levels)):
+        below = steps.verdicts(level, below)
+        if k % 6 == 5:  # deep data: keep the plan short
             below = below.checkpoint(eager=True)
     bad = below.where(F.size("found") > 0).select(F.col("up").alias(row_col), F.col("found").alias("violations"))
     return bad, errors.join(schemas, "_sid").select(F.col("_schema").alias(schema_col), "error")

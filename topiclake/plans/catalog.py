@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec, jsonschema
-from ..operators import analytics, messages, registry as reg, sink
+from ..operators import analytics, messages, registry as reg, sink, validation
 from ..sources import fixtures, topiclog
 from ..sources.fixtures import EVENTS_V1, EVENTS_V2
 from ..streaming import feeds
@@ -382,10 +382,21 @@ def q_json_structure(spark, sf_dir):
     """Structure text of every subject's latest JSON schema (Arrow-batched helper over
     the distinct schema texts; the twin states the expected text of each schema family)."""
     fx = _fx(spark, sf_dir)
-    latest = reg.schema_latest(fx.registry.current(spark)).where(F.col("schema_type") == "JSON")
-    structs = latest.select("schema").distinct().withColumn(
-        "structure", jsonschema.structure_text_udf(F.col("schema")))
-    return latest.join(structs, "schema").select("subject", "version", "structure")
+    return reg.latest_structures(fx.registry.current(spark))
+
+
+@query("json_structure_versions", """
+SELECT subject, count(*) AS versions, CASE
+    WHEN count_if(schema LIKE '%"c_nationkey"%') > 0 THEN
+      '{"c_acctbal":"DOUBLE","c_custkey":"BIGINT","c_mktsegment":"VARCHAR","c_nationkey":"BIGINT"}'
+    WHEN count_if(schema LIKE '%"c_acctbal"%') > 0 THEN '{"c_acctbal":"DOUBLE","c_custkey":"BIGINT","c_mktsegment":"VARCHAR"}'
+    WHEN count_if(schema LIKE '%"event_type"%') > 0 THEN '{"cents":"BIGINT","event_id":"BIGINT","event_type":"VARCHAR"}'
+    WHEN count_if(schema LIKE '%"type":"integer"}') > 0 THEN '"BIGINT"' END AS structure
+FROM (SELECT *, row_number() OVER (PARTITION BY subject, version ORDER BY seq DESC) AS rn FROM registry_log)
+WHERE rn = 1 AND op <> 'hard_delete' AND NOT deleted AND schema_type = 'JSON' GROUP BY subject""")
+def q_json_structure_versions(spark, sf_dir):
+    """The structure that holds the messages of all live versions of a subject."""
+    return reg.merged_structures(_fx(spark, sf_dir).registry.current(spark))
 
 
 @query("typed_projection", f"""
@@ -425,6 +436,45 @@ def q_validate_json(spark, sf_dir):
     return out.select("partition", "offset", (F.col("violations") == "").alias("valid"), "violations")
 
 
+# One schema for each ``o_orderkey % 4``: a condition, a dependency, a recursive chain, a bounded ``contains``.
+LINE_RULES = [
+    '{"if":{"properties":{"status":{"const":"F"}}},'
+    '"then":{"properties":{"lines":{"contains":{"properties":{"flag":{"const":"R"}}}}}},'
+    '"else":{"properties":{"lines":{"minItems":3}}}}',
+    '{"dependentSchemas":{"lines":{"properties":{"cents":{"exclusiveMinimum":15000000}}}}}',
+    '{"$defs":{"line":{"type":"object","required":["flag"],"properties":{"qty":{"maximum":45},'
+    '"next":{"$ref":"#/$defs/line"}}}},"properties":{"chain":{"$ref":"#/$defs/line"}}}',
+    '{"properties":{"lines":{"contains":{"properties":{"qty":{"minimum":40}}},"minContains":0,"maxContains":1}}}']
+
+
+@query("validate_rows", """
+SELECT o_orderkey, CASE o_orderkey % 4
+         WHEN 0 THEN CASE WHEN o_orderstatus = 'F' THEN coalesce(returned, 0) > 0 ELSE coalesce(n, 0) >= 3 END
+         WHEN 1 THEN round(o_totalprice * 100)::BIGINT > 15000000
+         WHEN 2 THEN coalesce(top, 0) <= 45
+         ELSE coalesce(large, 0) <= 1 END AS valid
+FROM orders LEFT JOIN (
+  SELECT l_orderkey, count(*) AS n, count_if(l_returnflag = 'R') AS returned, max(l_quantity) AS top,
+         count_if(l_quantity >= 40) AS large FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""")
+def q_validate_rows(spark, sf_dir):
+    """Every order with its lines as a document, against the schema that it names itself."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    line = F.to_json(F.struct(F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("qty")))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    docs = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left").withColumn(
+        "lines", F.coalesce("lines", F.array().cast("array<string>")))
+    chain = F.aggregate("lines", F.lit('{"flag":"end"}'), lambda acc, x: F.concat(
+        F.substring(x, F.lit(1), F.char_length(x) - 1), F.lit(',"next":'), acc, F.lit("}")))
+    text = F.concat(F.lit('{"status":"'), F.col("o_orderstatus"), F.lit('","cents":'),
+                    F.round(F.col("o_totalprice") * 100).cast("long").cast("string"), F.lit(',"lines":['),
+                    F.array_join("lines", ","), F.lit('],"chain":'), chain, F.lit("}"))
+    rules = F.array(*[F.lit(r) for r in LINE_RULES])
+    rows = docs.select("o_orderkey", rules[(F.col("o_orderkey") % 4).cast("int")].alias("schema"), F.parse_json(text).alias("v"))
+    out = validation.validate_rows(rows, "v", "schema")
+    return out.select("o_orderkey", (F.size("violations") == 0).alias("valid"))
+
+
 # ========================================================================= registry
 
 _D_CURRENT_ALL = """(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY subject, version
@@ -680,6 +730,23 @@ def q_snapshot_diff(spark, sf_dir):
     return _hexed(analytics.snapshot_diff(recs, older))
 
 
+@query("snapshot_changes", """
+SELECT topic, "partition", "offset", CASE WHEN event_gone THEN 'added' ELSE 'changed' END AS change FROM (
+  SELECT topic, "partition", "offset", "timestamp" >= TIMESTAMP '2024-01-20 00:00:00' AS event_gone,
+         "partition" = 1 AND "offset" % 7 = 3 AS other FROM topic_log WHERE topic = 'events')
+WHERE event_gone OR other
+UNION ALL SELECT 'events', "partition", 1000000, 'removed' FROM topic_log WHERE topic = 'events' GROUP BY "partition"
+""")
+def q_snapshot_changes(spark, sf_dir):
+    """Two states of a topic: later records, records with another message at the same offset, and one
+    record of each partition that is gone."""
+    recs = _fx(spark, sf_dir).log.records(spark).where(F.col("topic") == "events")
+    older = recs.where(F.col("timestamp") < F.lit("2024-01-20 00:00:00").cast("timestamp")).withColumn(
+        "message", F.when((F.col("partition") == 1) & (F.col("offset") % 7 == 3), F.lit(b"before")).otherwise(F.col("message")))
+    gone = recs.where("offset = 0").withColumn("offset", F.lit(1_000_000).cast("long"))
+    return analytics.snapshot_changes(recs, older.unionByName(gone), bucket=64)
+
+
 _D_EV_TYPE = f"json_extract_string({_D_TEXT.format(m='message')}, '$.event_type')"
 
 
@@ -735,7 +802,7 @@ SELECT 'Partition watermarks', kv.k, kv.v FROM (
   LATERAL (VALUES ('partition', w."partition"::VARCHAR), ('low', w.low::VARCHAR), ('high', w.high::VARCHAR))
   kv(k, v)""")
 def q_scan_report(spark, sf_dir):
-    rep = topiclog.scan_report(_fx(spark, sf_dir).log.records(spark), "events")
+    rep = topiclog.scan_report(spark, _fx(spark, sf_dir).log, "events")
     return rep.select("event", F.explode("info").alias("k", "v"))
 
 
@@ -793,7 +860,8 @@ SELECT topic, hex(key) AS key_hex, "partition", "offset", hex(message) AS messag
 def q_stream_latest_per_key(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     d = feeds.run_dir(spark, "compact")
-    feeds.latest_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table", f"{d}/checkpoint")
+    feeds.latest_into(feeds.stream_records(spark, fx.log, ["events"], BATCH_FILES), f"{d}/table",
+                      f"{d}/checkpoint", buckets=16)
     out = feeds.latest_table(spark, f"{d}/table")
     return out.select("topic", F.hex("key").alias("key_hex"), "partition", "offset",
                       F.hex("message").alias("message_hex"))
@@ -868,6 +936,32 @@ def q_sql_registry_lookups(spark, sf_dir):
         LEFT JOIN LATERAL schema_by_version(k.subject, 1) v1""")
 
 
+@query("sql_scan_decoded", f"""
+SELECT topic, "partition", "offset", CASE WHEN value_error IS NULL THEN {_D_TEXT.format(m="message")} END AS value, value_error
+FROM (SELECT m.*, CASE WHEN message IS NULL THEN NULL WHEN octet_length(message) < 5 THEN 'too_short'
+                       WHEN substr(hex(message), 1, 2) <> '00' THEN 'bad_magic'
+                       WHEN r.schema_type IS NULL THEN 'unknown_schema_id'
+                       WHEN r.schema_type <> 'JSON' THEN 'not_json_type'
+                       WHEN {_D_TEXT.format(m="message")} IS NULL THEN 'bad_utf8'
+                       WHEN NOT json_valid({_D_TEXT.format(m="message")}) THEN 'bad_json' END AS value_error
+      FROM topic_log m LEFT JOIN {_D_REG_IDS} r ON r.id = {_D_ID.format(m="m.message")}
+      WHERE m.topic IN ('mixed', 'events')) x""")
+def q_sql_scan_decoded(spark, sf_dir):
+    """Registry-aware scan in SQL, with the error code of what cannot be decoded."""
+    fx = _fx(spark, sf_dir)
+    sqlapi.register(spark, fx.log, fx.registry)
+    return spark.sql("""SELECT topic, `partition`, `offset`, value, value_error FROM scan_topic_decoded('kafka://b/mixed')
+                        UNION ALL SELECT topic, `partition`, `offset`, value, value_error FROM scan_topic_decoded('events')""")
+
+
+@query("sql_structure", ORACLES["json_structure"].removeprefix(fixtures.duck_with()).replace("subject, version, CASE", "subject, CASE"))
+def q_sql_structure(spark, sf_dir):
+    """Structure of every subject's latest JSON schema by the SQL scalar function."""
+    fx = _fx(spark, sf_dir)
+    sqlapi.register(spark, fx.log, fx.registry)
+    return spark.sql("SELECT subject, schema_structure(subject) AS structure FROM registry_latest WHERE schema_type = 'JSON'")
+
+
 @query("sql_topic_metadata", """
 SELECT c.topic AS name, c.error, count(p.pid) AS partitions FROM catalog c
 LEFT JOIN (SELECT topic, unnest(generate_series(0, partitions - 1)) AS pid FROM catalog WHERE error IS NULL) p

@@ -12,11 +12,13 @@ After ``register(spark, log, registry)``::
     SELECT * FROM schema_by_subject_id('events-value', 2);
     SELECT * FROM schema_by_guid('…');
     SELECT wire_schema_id(message), canonical_json(wire_payload(message)) FROM scan_topic('events');
+    SELECT * FROM scan_topic_decoded('events');   -- value as JSON text, value_error where it has none
+    SELECT schema_structure('events-value');
     SELECT wire_encode(2, '{"a":1}');
     SELECT * FROM topic_metadata();        -- one row, nested (bounded by cluster metadata)
     SELECT * FROM topic_partitions();      -- one row per topic partition
 
-The functions are SQL table UDFs over the views, so Catalyst inlines them: partition
+A scan of a topic that the catalogue lacks fails, as in the scan API. The functions are SQL table UDFs over the views, so Catalyst inlines them: partition
 pruning and offset pushdown survive the function boundary.
 """
 
@@ -24,7 +26,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.registry import Registry, current_view, schema_by_guid, schema_latest
+from ..operators.messages import registry_ids
+from ..operators.registry import Registry, current_view, latest_structures, schema_by_guid, schema_latest
 from ..sources.topiclog import SCAN_COLUMNS, TopicLog, topic_metadata, topic_partitions
 
 # A malformed address fails (NULL, empty, or a host without a topic), as the scan API does.
@@ -33,6 +36,19 @@ _URI_TO_TOPIC = ("CASE WHEN t IS NULL OR t = '' THEN raise_error('a topic name i
                  "THEN raise_error(concat('no topic behind the host in ', t)) "
                  "WHEN t LIKE 'kafka://%' THEN regexp_extract(t, '^kafka://[^/]*/(.*)$', 1) ELSE t END")
 
+# No rows, but a failure where the catalogue lacks the topic.
+_UNKNOWN_TOPIC = f"""
+ SELECT '', 0, 0L, X'', X'' FROM (SELECT count(*) AS known FROM topic_catalog WHERE topic = {_URI_TO_TOPIC})
+ WHERE CASE WHEN known = 0 THEN CAST(raise_error('Not found: the catalogue lacks the topic of this scan') AS BOOLEAN)
+       ELSE FALSE END"""
+
+# The first failing check of a message, as in ``functions.codec.decode_status``.
+_DECODE_ERROR = """CASE WHEN s.message IS NULL THEN NULL
+ WHEN length(s.message) < 5 THEN 'too_short' WHEN substring(s.message, 1, 1) <> X'00' THEN 'bad_magic'
+ WHEN i.schema_type IS NULL THEN 'unknown_schema_id' WHEN i.schema_type <> 'JSON' THEN 'not_json_type'
+ WHEN wire_payload(s.message) IS NULL THEN 'bad_utf8'
+ WHEN try_parse_json(wire_payload(s.message)) IS NULL THEN 'bad_json' END"""
+
 
 def register_scalar_functions(spark: SparkSession) -> None:
     """Wire-format and JSON helpers as SQL scalar functions (inlined by the analyzer, so
@@ -64,7 +80,8 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
         RETURNS TABLE (topic STRING, `partition` INT, `offset` BIGINT, key BINARY, message BINARY)
         RETURN SELECT {cols} FROM topic_log
                WHERE topic = {_URI_TO_TOPIC}
-                 AND (lo < 0 OR `offset` >= lo) AND (hi < 0 OR `offset` < hi)""")
+                 AND (lo < 0 OR `offset` >= lo) AND (hi < 0 OR `offset` < hi)
+               UNION ALL {_UNKNOWN_TOPIC}""")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION partition_watermarks(t STRING)
         RETURNS TABLE (topic STRING, `partition` INT, low BIGINT, high BIGINT)
@@ -87,6 +104,17 @@ def register(spark: SparkSession, log: TopicLog, registry: Registry | None = Non
     registry.changes(spark).createOrReplaceTempView("registry_log")
     current_view(registry.changes(spark)).createOrReplaceTempView("registry_current")
     current_view(registry.changes(spark), include_deleted=True).createOrReplaceTempView("registry_all")
+    registry_ids(registry.changes(spark)).createOrReplaceTempView("registry_ids")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION scan_topic_decoded(t STRING, lo BIGINT DEFAULT -2, hi BIGINT DEFAULT -1)
+        RETURNS TABLE (topic STRING, `partition` INT, `offset` BIGINT, key BINARY, value STRING, value_error STRING)
+        RETURN SELECT s.topic, s.`partition`, s.`offset`, s.key, canonical_json(wire_payload(
+                 CASE WHEN {_DECODE_ERROR} IS NULL THEN s.message END)), {_DECODE_ERROR}
+               FROM scan_topic(t, lo, hi) s LEFT JOIN registry_ids i ON i.id = wire_schema_id(s.message)""")
+    latest_structures(current_view(registry.changes(spark))).createOrReplaceTempView("registry_structures")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION schema_structure(s STRING) RETURNS STRING
+        RETURN (SELECT max(structure) FROM registry_structures WHERE subject = s)""")
     # one row per key, so the functions below are plain filters (and lateral joins over
     # them decorrelate into equi-joins instead of per-row limits)
     schema_latest(current_view(registry.changes(spark))).createOrReplaceTempView("registry_latest")

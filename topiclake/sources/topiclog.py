@@ -405,13 +405,17 @@ def topic_metadata(catalog: DataFrame, brokers: DataFrame, leaders: DataFrame) -
                                 F.sort_array(F.collect_list("_t")).alias("topics"))
 
 
-def scan_report(records: DataFrame, topic: str) -> DataFrame:
-    """The scan's log lines as rows: one init line, then one watermark line per partition."""
-    wm = partition_watermarks(records.where(F.col("topic") == F.lit(topic)))
+def scan_report(spark: SparkSession, log: TopicLog, topic: str) -> DataFrame:
+    """The scan's log lines as rows: one init line, then one watermark line per partition. They
+    come from the file index (no record is read); an unknown topic is an error."""
+    from .fileindex import file_index, index_watermarks
+    name = parse_topic_uri(topic)
+    require_topics(spark, log, [name])
+    wm = index_watermarks(file_index(spark, log, [name])).checkpoint(eager=True)
     init = wm.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("Initialized topic scan").alias("event"),
         F.create_map(F.lit("partitions"), F.col("n").cast("string"),
-                     F.lit("topic"), F.lit(topic)).alias("info"),
+                     F.lit("topic"), F.lit(name)).alias("info"),
         F.lit(-1).alias("_order"))
     lines = wm.select(
         F.lit("Partition watermarks").alias("event"),

@@ -168,12 +168,16 @@ def closed_windows(spark: SparkSession, table_path: str, delay: str = "1 hour")
 
 
 def sessions_into(records: DataFrame, table_path: str, checkpoint: str, gap: str) -> None:
-    """Session windows per topic and key over a feed that lose no late record: every batch writes
-    the sessions of its own records as segments. Segments of any batches, in any order, merge to the
-    same sessions (:func:`sessions`), so a late record may join two of them."""
+    """Session windows per topic and key over a feed that lose no late record. Every batch adds up
+    its records by key and stretch of time as long as the gap (records inside one are never further
+    apart, so they are of one session) and writes these as segments. Segments of any batches, in any
+    order, merge to the same sessions (:func:`sessions`), so a late record may join two of them."""
+    width = analytics.interval_seconds(gap) * 1_000_000
+
     def write(batch: DataFrame, batch_id: int) -> None:
         own = analytics.session_segments(batch, "timestamp", _SESSION_KEYS)
-        (analytics.merge_sessions(own, gap, _SESSION_KEYS)
+        (own.groupBy(*_SESSION_KEYS, F.floor(F.unix_micros("_first") / width).alias("_stretch"))
+         .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("n").alias("n")).drop("_stretch")
          .write.mode("overwrite").parquet(f"{table_path}/segments/batch={batch_id}"))
 
     _run_batches(records, write, checkpoint)
