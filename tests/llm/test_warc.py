@@ -5,6 +5,8 @@ import zstandard
 
 from topiclake.llm import files, warc
 
+from .helpers import rows_of
+
 SCHEMA = "page_id long, url string, html string, record_type string, row int"
 
 
@@ -41,6 +43,20 @@ def test_round_trip_and_revisits(spark, scratch):
     assert found == len(rows)
 
 
+def test_null_and_repeated_ids_equal_sql(spark, scratch, duck):
+    import pandas as pd
+    big, other = "<p>" + "x" * 120, "<p>" + "y" * 120
+    rows = [(None, big), (3, big), (None, big), (4, big), (7, other), (7, other), (None, "small"), (None, "small")]
+    pages = spark.createDataFrame([(i, None, h, "clash", 1) for i, h in rows], SCHEMA)
+    got = warc.read_bundles(warc.write_bundles(pages, scratch), scratch).toPandas()
+    table = pd.DataFrame(rows, columns=["page_id", "html"])
+    table["page_id"] = table["page_id"].astype("Int64")
+    want = duck(warc.OP4_SQL, pages=table)
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert rows_of(got, cols) == rows_of(want, cols)
+    assert len(got[(got.record_type == "response") & (got.page_id == 3)]) == 1
+
+
 def test_empty_table(spark, scratch):
     manifest = warc.write_bundles(spark.createDataFrame([], SCHEMA), scratch)
     assert warc.read_bundles(manifest, scratch).count() == 0

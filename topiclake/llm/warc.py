@@ -52,10 +52,10 @@ def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     d = materialise(pages.select("row", "page_id", F.sha2(payload, 256).alias("payload_digest"),
                                  F.octet_length(payload).cast("long").alias("payload_bytes")), "digests")
     big = d.where(F.col("payload_bytes") >= min_revisit)
-    # smallest id first, nulls before all; then the row number, so exactly one row is chosen
+    # smallest id first, nulls after all; then the row number, so exactly one row is chosen
     first = big.groupBy("payload_digest").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "row")).alias("first"))
+        F.min(F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "row")).alias("first"))
     # only groups of two or more need the second look
     groups = first.where("n > 1").select("payload_digest", "first")
     j = d.join(groups, "payload_digest", "left")
@@ -246,9 +246,10 @@ def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
-g AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY 1)
-SELECT d.page_id, d.payload_bytes, d.payload_digest,
-  CASE WHEN g.first_id IS NOT NULL AND g.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN g.first_id IS NOT NULL AND g.first_id <> d.page_id THEN g.first_id END AS refers_to
-FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes >= 100
+g AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS rn,
+        first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND rn > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND rn > 1 THEN first_id END AS refers_to
+FROM g
 """
