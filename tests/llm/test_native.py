@@ -9,7 +9,7 @@ from topiclake.llm.queries import ORACLES, QUERIES
 
 from .helpers import rows_of
 
-TABLES = {n: f"{SF_SMALL}/{n}.parquet" for n in ("documents", "benchmark", "pages")}
+TABLES = {n: f"{SF_SMALL}/{n}.parquet" for n in ("documents", "benchmark", "pages", "embeddings")}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -43,24 +43,34 @@ def test_frequent_lines_are_removed_but_copies_are_one_document(spark):
     assert all(not out[100 + i].kept for i in range(9))
 
 
-def test_texts_that_differ_only_in_digits_or_case_are_documents(spark):
+def same_as_sql(docs, duck):
+    """The operator's rows, after comparing them with the registered SQL."""
+    got = line_frequency.line_rules(docs).toPandas()
+    want = duck(line_frequency.OP1_SQL, documents=docs.toPandas())
+    assert sorted(got.columns) == sorted(want.columns)
+    cols = sorted(got.columns)
+    assert rows_of(got, cols) == rows_of(want, cols)
+    return got.itertuples(index=False)
+
+
+def test_texts_that_differ_only_in_digits_or_case_are_documents(spark, duck):
     form = "Dear customer, your order number {0:05d} was sent.\nThank you for buying with us, {1}."
     rows = [(i, form.format(i, "Ann" if i % 2 else "ANN"), "h") for i in range(30)]
     rows += [(100 + i, form.format(7, "Bob"), "g") for i in range(30)]  # exact copies: one document
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    out = {r.doc_id: r for r in line_frequency.line_rules(docs).collect()}
+    out = {r.doc_id: r for r in same_as_sql(docs, duck)}
     assert all(out[i].n_removed_lines == 2 and not out[i].kept for i in range(30))
     assert all(out[100 + i].n_removed_lines == 0 for i in range(30))
 
 
-def test_line_limit_does_not_grow_with_the_host(spark):
+def test_line_limit_does_not_grow_with_the_host(spark, duck):
     planted = [(i, f"read our terms before use\nown words of text number {i}", "h") for i in range(12)]
     docs = spark.createDataFrame(planted, "doc_id long, text string, source string")
     letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")  # digits would be folded
     clean = spark.range(1000, 31_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("clean "), letters).alias("text"),
                                              F.lit("h").alias("source"))
     for d in (docs, docs.union(clean)):
-        out = line_frequency.line_rules(d).where("n_removed_lines > 0").collect()
+        out = [r for r in same_as_sql(d, duck) if r.n_removed_lines > 0]
         assert sorted((r.doc_id, r.n_removed_lines) for r in out) == [(i, 1) for i in range(12)]
 
 

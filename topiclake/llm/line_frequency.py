@@ -34,7 +34,6 @@ SPACE = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MAX_DOCS = 10  # a line in more distinct documents of its host is removed, however large the host
-MAX_SHARE = 0.0005  # OP1_SQL only: there the limit is this share of a host's documents, if that is more
 MIN_KEPT = 0.2  # documents keeping less of their word characters are rejected
 
 _FOLD_FROM = string.ascii_uppercase + "123456789"
@@ -169,17 +168,8 @@ ln AS (SELECT rid, host, line, length(regexp_replace(line, '[\x20\x09-\x0D]', ''
        FROM (SELECT rid, host, unnest(string_split(t, chr(10))) AS line FROM t)
        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dl AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY 1),
-seq AS (SELECT rid, string_agg(norm, chr(10)) AS content FROM
-          (SELECT t.rid, u.k, trim(regexp_replace(translate(u.line, '{_FOLD_FROM}', '{_FOLD_TO}'),
-             '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
-           FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS k
-                 FROM t) u JOIN t USING (rid)
-           WHERE regexp_matches(u.line, '[^\x20\x09-\x0D]') ORDER BY t.rid, u.k) GROUP BY rid),
-c AS (SELECT t.rid, t.host, coalesce(s.content, '') AS content FROM t LEFT JOIN seq s USING (rid)),
-hd AS (SELECT host, count(DISTINCT content) AS n FROM c GROUP BY 1),
-freq AS (SELECT ln.host, ln.norm FROM ln JOIN c USING (rid) JOIN hd ON hd.host = ln.host
-         GROUP BY ln.host, ln.norm, hd.n
-         HAVING count(DISTINCT c.content) > greatest({float(MAX_DOCS)}, {MAX_SHARE} * hd.n)),
+freq AS (SELECT host, norm FROM ln JOIN t USING (rid, host)
+         GROUP BY host, norm HAVING count(DISTINCT t.t) > {MAX_DOCS}),
 gone AS (SELECT rid, count(*) AS n, sum(chars) AS chars FROM ln JOIN freq USING (host, norm) GROUP BY 1),
 f AS (SELECT w.rid, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
         CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
