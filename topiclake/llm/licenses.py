@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from .common import materialise, prepare, table
 
 BITS = 16
 UNKNOWN_DOCS = 400
@@ -364,9 +364,13 @@ def train(paragraphs: list[str], seed: int = 5) -> Model:
 
 
 def fit_licenses(docs: DataFrame) -> Model:
-    """Train with a bounded, fixed sample of the corpus's paragraphs."""
-    some = (docs.select("text").where(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
-            .withColumn("_h", F.xxhash64("text")).orderBy("_h", "text").limit(UNKNOWN_DOCS).collect())
+    """Train with a bounded, fixed sample of the corpus's paragraphs: those of ``UNKNOWN_DOCS`` texts,
+    of each its first ``MAX_CHARS`` characters."""
+    texts = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("_h"), "text")
+    # hashes first, then the few texts: no whole text is sorted or sent before it is chosen
+    chosen = materialise(texts.select("_h").distinct().orderBy("_h").limit(UNKNOWN_DOCS), "license-sample")
+    some = (texts.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.min(F.substring("text", 1, MAX_CHARS)).alias("text"))
+            .orderBy("_h").collect())
     lines = sorted({line for r in some for line in r.text.split("\n")}, key=lambda x: zlib.crc32(x.encode()))
     return train(lines[:UNKNOWN_ROWS])
 
