@@ -5,6 +5,7 @@ import zlib
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from topiclake.llm import licenses, quality, toxicity
 from topiclake.llm.queries import QUERIES
@@ -98,3 +99,18 @@ def test_wrapped_and_unbroken_notices(spark):
     rows.append((99, prose(rng, 30_000)))
     out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
     assert {r.doc_id: [s.family for s in r.spans if s.confirmed] for r in out} == {**want, 99: []}
+
+
+def test_samples_come_from_documents_that_exist(spark):
+    """Long texts take part, labels of other documents don't crowd out those of these."""
+    from topiclake.llm.common import held_out, labelled_sample
+    labels = spark.range(100_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    docs = spark.range(60).select((F.col("id") * 1000 + F.col("id") % 2).alias("doc_id"),
+                                  F.repeat(F.concat(F.lit("word"), F.col("id").cast("string"), F.lit(" ")), 5000).alias("text"))
+    held = docs.where(held_out(F.col("doc_id"))).count()
+    got = labelled_sample(docs.union(docs), labels, "toxic", 100, 20_000)
+    assert len(got) == 60 - held and {y for _, y in got} == {0, 1} and {len(t) for t, _ in got} == {20_000}
+    assert len(labelled_sample(docs, labels, "toxic", 5, 20_000)) == 10
+    with pytest.warns(RuntimeWarning, match="no text here"):
+        assert labelled_sample(docs.withColumn("doc_id", F.lit(None).cast("long")), labels, "toxic", 5, 100) == []
+    assert labelled_sample(docs, labels.limit(0), "toxic", 5, 100) == []

@@ -59,3 +59,12 @@ def test_odd_rows_go_through(spark, odd_docs, no_docs):
             if name != "packing":
                 assert out.columns == docs.columns and out.count() <= n
                 docs = out
+
+
+def test_columns_that_are_named_like_helpers_stay(spark, odd_docs):
+    from pyspark.sql import functions as F
+    names = ["_toxicity", "_quality", "_row_id", "_row_th", "_gone_id", "root"]
+    docs = odd_docs.withColumns({c: F.lit(7.0) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, SF_SMALL), name)
+        assert docs.count() > 0 and docs.where(" OR ".join(f"{c} <> 7.0" for c in names)).count() == 0

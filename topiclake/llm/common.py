@@ -7,6 +7,7 @@ import operator
 import os
 import tempfile
 import uuid
+import warnings
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,20 +112,35 @@ def one_label(labels: DataFrame, label: str) -> DataFrame:
             .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     max_chars: int) -> list[tuple[str, int]]:
     """At most ``per_class`` labelled training texts of each class, in a fixed pseudo-random
-    order of their ids, from texts of at most ``max_chars`` characters.
+    order of their ids; of a text the first ``max_chars`` characters are used.
 
-    Ids are chosen first (a bounded top-k), so only that bounded list is broadcast to the
-    scan of ``docs`` and at most ``2 * per_class`` texts reach the driver.
+    Ids are chosen among those that ``docs`` holds with a text (a bounded top-k over ids), so a table
+    of labels for other documents, or a corpus of long texts, gives a full sample all the same. Only
+    that bounded list is broadcast to the scan of ``docs``, and at most ``2 * per_class * max_chars``
+    characters reach the driver. Labels that exist, but none for a text here, are warned of: the
+    sample is then empty, and scores are a constant.
     """
     y = one_label(labels, label).withColumn("_o", F.xxhash64("doc_id"))
+    there = docs.where(F.col("text").isNotNull()).select("doc_id")
+    y = materialise(y.join(there, "doc_id", "left_semi"), "labels-here")
     ids = None
     for v in (0, 1):
         part = y.where(F.col("y") == v).orderBy("_o", "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
-    picked = (docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-              .join(F.broadcast(ids), "doc_id").select("_o", "doc_id", "text", "y")
-              .orderBy("_o", "doc_id", "text").limit(2 * per_class).collect())
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, max_chars).alias("text"))
+    picked = (texts.join(F.broadcast(ids), "doc_id").groupBy("_o", "doc_id", "y").agg(F.min("text").alias("text"))
+              .orderBy("_o", "doc_id").limit(2 * per_class).collect())
+    if not picked and not docs.isEmpty() and not one_label(labels, label).isEmpty():
+        warnings.warn(f"no text here has a label {label!r} of the training fold", RuntimeWarning, stacklevel=2)
     return [(r.text, r.y) for r in picked]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, materialise, prepare, table, without
+from .common import broadcast_checked, fresh_name, materialise, prepare, table, without
 from .tokens import release
 
 SHINGLE = 5
@@ -506,10 +506,11 @@ def one_per_component(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     twice = materialise(judged.where("stay and times > 1").select("doc_id", "th"), "equal-rows")
     if twice.isEmpty():
         return kept
-    key = {"_row_id": F.col("doc_id").cast("long"), "_row_th": F.xxhash64(F.col("text").cast("string"))}
-    equal = docs.withColumns(key).join(broadcast_checked(twice.toDF("_eq_id", "_eq_th")), F.col("_row_id").eqNullSafe(
-        F.col("_eq_id")) & (F.col("_row_th") == F.col("_eq_th")), "left_semi")
-    equal = equal.dropDuplicates(["_row_id", "_row_th"]).drop("_row_id", "_row_th")
+    row_id, row_th = fresh_name(docs, "_row_id"), fresh_name(docs, "_row_th")
+    key = {row_id: F.col("doc_id").cast("long"), row_th: F.xxhash64(F.col("text").cast("string"))}
+    keyed, same = docs.withColumns(key), broadcast_checked(twice.toDF("_eq_id", "_eq_th"))
+    equal = keyed.join(same, keyed[row_id].eqNullSafe(same["_eq_id"]) & (keyed[row_th] == same["_eq_th"]), "left_semi")
+    equal = equal.dropDuplicates([row_id, row_th]).drop(row_id, row_th)
     return without(kept, twice).unionByName(equal)
 
 

@@ -10,8 +10,9 @@ of ``capacity`` tokens (the first may be shorter). Pieces are then packed:
    every ``e``, with the pairwise bound on items over half a bin); a partition whose bins equal its bound is certified and final;
 3. the other partitions keep their full bins and exchange the documents of their gappy
    bins: these are pooled, dealt over fewer partitions and packed again by best-fit
-   decreasing, until all are certified, one partition held the pool, or a round saves
-   nothing (its result is then dropped, the one before it stays).
+   decreasing, until all are certified, one partition held the pool, a round saves
+   nothing (its result is then dropped, the one before it stays), or ``MAX_ROUNDS`` rounds
+   are done (a stop rule of cost: every piece is packed all the same).
 
 Defined results: null and empty texts are one piece, the end id alone; repeated rows and
 null ids are packed like any other row; no rows give no pieces; extra columns are ignored.

@@ -229,7 +229,7 @@ def _fit(docs, y, fit, rng) -> Model:
     out = rng.normal(0, 0.1, len(WIDTHS) * FILTERS).astype(np.float32)
     out[0] = 2
     model = Model(embed, filters, bias, out, -2.0, np.zeros(N_LANG))
-    weight = np.where(y[fit] == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+    weight = np.where(y[fit] == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)).astype(np.float32)
     dense = [*filters, *bias, out, np.zeros(1, np.float32)]
     m1, m2 = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense]
     e2 = np.zeros(BUCKETS, np.float32)
