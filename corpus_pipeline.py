@@ -6,7 +6,9 @@ every stage's result as Parquet in the shared folder and reads it back for the n
 
 A null or empty text is scored by the classifiers' bias, is no near duplicate and holds no
 benchmark window; repeated rows are near duplicates of each other, so one of them stays; an
-empty table goes through all stages; extra columns stay until packing.
+empty table goes through all stages; extra columns stay until packing, whatever their names (helper
+columns take names that are free); a very long text is scored, compared and packed whole; of documents
+that tie in a group of near duplicates the smallest id stays.
 """
 
 from __future__ import annotations
@@ -15,20 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclake.llm import decontaminate, near_join, packing, quality, toxicity
-from topiclake.llm.common import materialise, table
+from topiclake.llm.common import fresh_name, materialise, table
 from topiclake.llm.tokens import vocabulary
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored toxic (0.5 or more) go."""
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < 0.5).select(*docs.columns)
+    name = fresh_name(docs, "_toxicity")
+    return toxicity.score(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored of poor quality (under 0.3) go."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, "_quality").where(F.col("_quality") >= quality.CUT).select(*docs.columns)
+    name = fresh_name(docs, "_quality")
+    return quality.score(docs, model, name).where(F.col(name) >= quality.CUT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
