@@ -51,6 +51,9 @@ def test_elias_fano_round_trip(values, scale):
     ef = token_files.EliasFano.from_bytes(data)
     assert ef.values().tolist() == v
     assert [ef.select(i) for i in range(0, len(v), max(1, len(v) // 50))] == v[::max(1, len(v) // 50)]
+    for i in range(0, len(v) + 1, max(1, len(v) // 9)):
+        for j in (i, min(i + 1, len(v)), min(i + 257, len(v)), len(v)):
+            assert ef.slice(i, j).tolist() == v[i:j]
 
 
 def test_elias_fano_is_small():
@@ -80,7 +83,32 @@ def test_token_files_round_trip(odd_docs, odd_rows, scratch, max_ids):
     assert sum(r.n_tokens for r in got) == total
     name = manifest.orderBy("part", "seq").first().name
     f = token_files.TokenFile(scratch, name)
-    assert f.document(0).tolist()[-1] == 2 and len(f.doc_ids()) == f.n_docs
+    assert f.document(0).tolist()[-1] == 2 and len(f.doc_ids(0, f.n_docs)) == f.n_docs
+
+
+def test_files_are_read_in_blocks(spark, scratch, monkeypatch):
+    """Blocks of few documents, over nulls, repeated ids and empty texts: what the reader decodes
+    at once is a block's boundaries, never a file's."""
+    rows = [(None, "a b"), (None, None), (None, "a b"), *[(k // 2 - 50, "word " * (k % 7)) for k in range(400)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    manifest = token_files.write_token_files(docs, scratch, vocabulary(FILES["word"]))
+    want = None
+    for n_docs, n_ids in ((2000, 1 << 20), (3, 5), (1, 1)):
+        monkeypatch.setattr(token_files, "READ_DOCS", n_docs)
+        monkeypatch.setattr(token_files, "READ_IDS", n_ids)
+        got = []
+        for r in manifest.orderBy("part", "seq").collect():
+            f = token_files.TokenFile(scratch, r.name)
+            for i in range(0, f.n_docs, n_docs):
+                j = min(i + n_docs, f.n_docs)
+                starts = f.starts(i, j)
+                assert len(starts) == j - i + 1
+                got += zip(f.doc_ids(i, j), [x.tolist() for x in f.documents(starts)])
+            assert [x for _, x in got[-f.n_docs:]] == [f.document(i).tolist() for i in range(f.n_docs)]
+            f.close()
+        want = want or got
+        assert got == want
+    assert sorted(map(str, want)) == sorted(str((i, [*ids("word", t), 2])) for i, t in rows)
 
 
 def test_pieces_and_packing(odd_docs, odd_rows):

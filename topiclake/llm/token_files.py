@@ -4,7 +4,8 @@
 documents in ascending ``doc_id`` order as one concatenated array, cut into files. The
 boundaries of a file's documents are an Elias-Fano sequence (about ``2 + log2(ids per
 document)`` bits each) with a sampled select structure, and so are its document ids;
-there is no table of 64-bit offsets. ``read_token_files`` reads everything back.
+there is no table of 64-bit offsets. ``read_token_files`` reads everything back in blocks of
+documents: select finds a block's first and last boundary, and only the bits between are decoded.
 
 File layout (little endian)::
 
@@ -15,10 +16,11 @@ File layout (little endian)::
 
 Defined results: a null text counts as empty and has only the end id; null ``doc_id``
 rows come first and are counted in the footer; equal ``doc_id`` rows are ordered by a hash
-of their text; an empty table gives no files and no rows; extra columns are ignored.
+of their text (equal texts in any order, which their ids don't show); a very long text is encoded
+and read whole; an empty table gives no files and no rows; extra columns are ignored.
 
-Scale: rows are dealt by ranges of ``(doc_id, text hash)``, so no key, not even null, must
-fit one task; a task streams its ids to files of at most ``max_ids`` ids; the only global
+Scale: rows are dealt by ranges of ``(doc_id, text hash, random number)``, so no key, not even equal
+rows, must fit one task; a task streams its ids to files of at most ``max_ids`` ids; the only global
 step is a prefix sum over files.
 """
 
@@ -43,6 +45,8 @@ _MAGIC = b"TLEFIDS1"
 # offsets of boundaries and document ids, documents, documents with null id, ids, first id
 _FOOTER = struct.Struct("<QQQQQq8s")
 _SAMPLE = 256  # one select sample for so many values
+READ_DOCS = 2000  # documents whose boundaries are decoded at once
+READ_IDS = 1 << 20  # ids read at once, unless one document has more
 
 
 class EliasFano:
@@ -106,15 +110,29 @@ class EliasFano:
         chunk = int.from_bytes(self._lows[first // 8:(first + self.low + 7) // 8].tobytes(), "little")
         return high << self.low | (chunk >> (first % 8)) & ((1 << self.low) - 1)
 
-    def values(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self._highs, bitorder="little"))[:self.n] - np.arange(self.n)
+    def slice(self, i: int, j: int) -> np.ndarray:
+        """Values ``i`` to ``j - 1``: select finds the first, and only the bits between the select
+        samples around them are decoded."""
+        if not 0 <= i <= j <= self.n:
+            raise IndexError((i, j))
+        if i == j:
+            return np.zeros(0, np.int64)
+        first = (self.select(i) >> self.low) + i  # the one-bits of values i and j - 1
+        last = (self.select(j - 1) >> self.low) + j - 1
+        ones = np.unpackbits(self._highs[first // 8:last // 8 + 1], bitorder="little")
+        high = np.flatnonzero(ones[first % 8:first % 8 + last - first + 1]) + first - np.arange(i, j)
         v = high.astype(np.uint64) << np.uint64(self.low)
-        if self.low and self.n:
-            bits = np.unpackbits(self._lows, count=self.n * self.low, bitorder="little").reshape(self.n, self.low)
+        if self.low:
+            bit, size = i * self.low, (j - i) * self.low
+            bits = np.unpackbits(self._lows[bit // 8:(bit + size + 7) // 8], bitorder="little")
+            bits = bits[bit % 8:bit % 8 + size].reshape(j - i, self.low)
             for k in range(self.low):
                 v |= bits[:, k].astype(np.uint64) << np.uint64(k)
         return v.astype(np.int64)
 
+    def values(self) -> np.ndarray:
+        return self.slice(0, self.n)
+
 
 class _Writer:
     def __init__(self, folder: str, partition: int):
@@ -168,13 +186,31 @@ class TokenFile:
         self.bounds = EliasFano.from_bytes(self._f.read_at(d - b, b))
         self._doc_ids = EliasFano.from_bytes(self._f.read_at(size - _FOOTER.size - d, d))
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.n_null + (self._doc_ids.values() + self._first).tolist()
+    def starts(self, i: int, j: int) -> np.ndarray:
+        """Places of the first ids of documents ``i`` to ``j`` (the last one's end, for all documents)."""
+        return self.bounds.slice(i, j + 1)
+
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        """Ids of documents ``i`` to ``j - 1``; those with null ids come first."""
+        nulls = min(max(self.n_null - i, 0), j - i)
+        known = self._doc_ids.slice(i + nulls - self.n_null, j - self.n_null) if j - i > nulls else np.zeros(0, np.int64)
+        return [None] * nulls + (known + self._first).tolist()
 
     def document(self, i: int) -> np.ndarray:
         start, end = self.bounds.select(i), self.bounds.select(i + 1)
         return np.frombuffer(self._f.read_at(2 * (end - start), 2 * start), "<u2")
 
+    def documents(self, starts: np.ndarray):
+        """The ids of neighbouring documents one by one, read in pieces of about ``READ_IDS`` ids."""
+        k = 0
+        while k + 1 < len(starts):
+            to = max(k + 1, int(np.searchsorted(starts, starts[k] + READ_IDS, "right")) - 1)
+            lo = int(starts[k])
+            data = np.frombuffer(self._f.read_at(2 * (int(starts[to]) - lo), 2 * lo), "<u2")
+            for s, e in zip((starts[k:to] - lo).tolist(), (starts[k + 1:to + 1] - lo).tolist()):
+                yield data[s:e]
+            k = to
+
     def close(self) -> None:
         self._f.close()
 
@@ -205,8 +241,8 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str, kind: str =
                 names=["name", "part", "seq", "n_docs", "n_ids"])
 
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .withColumn("_h", F.xxhash64("text"))
-            .repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h")
+            .withColumn("_h", F.xxhash64("text")).withColumn("_r", F.rand(7))
+            .repartitionByRange("doc_id", "_h", "_r").sortWithinPartitions("doc_id", "_h", "_r")
             .select("doc_id", "text"))
     return materialise(rows.mapInArrow(write, _MANIFEST), "token-manifest")
 
@@ -219,16 +255,13 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             for name in b.column(0).to_pylist():
                 f = TokenFile(folder, name)
-                bounds, ids = f.bounds.values(), f.doc_ids()
-                for i in range(0, f.n_docs, 2000):
-                    j = min(i + 2000, f.n_docs)
-                    lo = int(bounds[i])
-                    data = np.frombuffer(f._f.read_at(2 * int(bounds[j] - lo), 2 * lo), "<u2").astype("<u4")
-                    cuts = bounds[i:j + 1] - lo
-                    crc = [zlib.crc32(data[s:e]) for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+                for i in range(0, f.n_docs, READ_DOCS):
+                    j = min(i + READ_DOCS, f.n_docs)
+                    starts = f.starts(i, j)
+                    crc = [zlib.crc32(ids.astype("<u4")) for ids in f.documents(starts)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * (j - i)), pa.array(ids[i:j], pa.int64()), pa.array(bounds[i:j]),
-                         pa.array(np.diff(bounds[i:j + 1])), pa.array(crc, pa.int64())],
+                        [pa.array([name] * (j - i)), pa.array(f.doc_ids(i, j), pa.int64()), pa.array(starts[:-1]),
+                         pa.array(np.diff(starts)), pa.array(crc, pa.int64())],
                         names=["name", "doc_id", "local", "n_tokens", "ids_crc32"])
                 f.close()
 
