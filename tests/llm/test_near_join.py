@@ -75,6 +75,65 @@ def test_hot_group_in_blocks(spark, block):
         assert (joined[a] == joined[b]) == (want[a] == want[b])
 
 
+def brute_counts(rows):
+    sets = [shingles(t) for _, t in rows]
+    n = [0] * len(rows)
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            n[a] += 1
+            n[b] += 1
+    return sorted(((i, k) for (i, _), k in zip(rows, n)), key=str)
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_link_counts(spark, odd_docs, odd_rows, no_docs, block):
+    got = near_join.link_counts(odd_docs, block=block).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == brute_counts([r[:2] for r in odd_rows])
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = near_join.link_counts(docs, block=block).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == brute_counts(rows)
+    assert near_join.link_counts(no_docs).count() == 0
+
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    """Long near copies without their original, dealt into blocks by the bytes of their differences."""
+    import random
+    rng = random.Random(3)
+    base, rows = [f"w{k}" for k in range(3000)], []
+    for i in range(24):
+        w = list(base)
+        for k in range(40 + 15 * (i % 4)):
+            w[rng.randrange(3000)] = f"x{i}-{k}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute(rows), key=str)
+    for size in (1 << 25, 4000):
+        monkeypatch.setattr(near_join, "BLOCK_BYTES", size)
+        assert ours(near_join.near_components(docs)) == want
+
+
+def test_shared_keys_and_spanning_forests(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(near_join, "COLUMNS", 7)
+    for n, m, share in ((1, 1, 0.5), (9, 14, 0.2), (30, 8, 0.05), (20, 20, 0.9), (6, 5, 0.0)):
+        x, y = rng.random((n, 60)) < 0.3, rng.random((m, 60)) < 0.3
+        keyed = [(np.nonzero(z)[1].astype(np.uint64) * 5, np.nonzero(z)[0]) for z in (x, y)]
+        assert (near_join._common(*keyed, (n, m)) == x.astype(int) @ y.T.astype(int)).all()
+        link = rng.random((n, m)) < share
+        i, j = near_join._spanning(link)
+        assert link[i, j].all() and len(i) < n + m
+
+        def groups(pairs):
+            root = list(range(n + m))
+            for a, b in pairs:
+                ra, rb = root[a], root[n + b]
+                root = [ra if r == rb else r for r in root]
+            return {frozenset(k for k in range(n + m) if root[k] == r) for r in root}
+        assert groups(zip(i.tolist(), j.tolist())) == groups(zip(*map(np.ndarray.tolist, np.nonzero(link))))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(k, k + 1) for k in range(1, 40)] + [(100, 100 + k) for k in range(1, 50)] + [(-5, 7)]
     out = near_join.components(spark.createDataFrame(chain, "src long, dst long")).collect()

@@ -14,8 +14,9 @@ similarity reaches 0.8. Equal sets form a class; links are sought between classe
    range's partial overlap is counted separately, and summed per pair.
 3. *Other pairs.* A hub's members are known by their differences from the hub, and the
    overlap of any two of them follows exactly from those. Members that don't link with
-   the hub are compared with all members, in blocks of bounded size, on these differences;
-   only links come out, never the pairs of a group.
+   the hub are compared with all members, in blocks bounded in members and bytes, on the
+   differences that both sides have. Of a block's links a spanning forest comes out: never
+   the pairs of a group. ``link_counts`` compares all members so, and counts.
 4. Components by alternating large-star and small-star steps.
 
 No candidate is capped, dropped or sampled. Shingles and classes are identified by 64-bit
@@ -24,11 +25,11 @@ hashes; list shingles by 48 bits, where a collision only adds a comparison.
 Defined results: null, empty and wordless texts have no shingles, link with nothing and
 are their own component; null ids take part, and a component's id is its smallest
 non-null id; repeated rows form one class; an empty table gives no rows; extra columns
-are ignored.
+are ignored; a very long text is one set, its differences travel in one row.
 
 Scale: a shingle that many documents of one task hold travels as one marker, so its
 bucket grows with tasks, not documents; bucket counts follow the data; the hub comparison
-is a join that Spark may split; blocks hold ``BLOCK`` members each.
+is a join that Spark may split; blocks hold about ``BLOCK`` members or ``BLOCK_BYTES`` each.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ from .tokens import release
 SHINGLE = 5
 FRAGMENTS = 4
 BLOCK = 512
+BLOCK_BYTES = 32 << 20
+COLUMNS = 8192
 TOKENS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 64
 _FLUSH_TOKENS = 1_500_000
@@ -358,91 +361,189 @@ def _linked(overlap, n, m):
 
 
 def _differences(t: pa.Table):
-    """Of the members in ``t`` (rows per member): set sizes, overlaps with the hub, a 0/1 matrix
-    of lacking hub shingles, and the members' own shingles with their member's index."""
-    lacks, own, at = [], [], []
-    width = 0
+    """Of the members in ``t``: set sizes, overlaps with the hub, and as (key, member's index) the
+    hub shingles that they lack (by fragment and place) and their own shingles."""
+    lack, lack_at, own, own_at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, parts in enumerate(t.column("parts").to_pylist()):
-        mine = []
-        for p in parts:
-            mine.append((p["frag"], np.frombuffer(p["lack"], "<u4")))
-            o = np.frombuffer(p["own"], np.uint64)
-            own.append(o)
-            at.append(np.full(len(o), i))
-        lacks.append(mine)
-        width = max([width, *[int(x.max()) + 1 for _, x in mine if len(x)]])
-    m = np.zeros((t.num_rows, FRAGMENTS * max(width, 1)), np.float32)
-    for i, mine in enumerate(lacks):
-        for f, x in mine:
-            m[i, f * width + x.astype(np.int64)] = 1
-    return (t.column("n").to_numpy(), t.column("overlap").to_numpy(), m, width,
-            np.concatenate([*own, np.zeros(0, np.uint64)]), np.concatenate([*at, np.zeros(0, np.int64)]).astype(np.int64))
-
-
-def _widen(m: np.ndarray, width: int, to: int) -> np.ndarray:
-    if width == to:
-        return m
-    out = np.zeros((len(m), FRAGMENTS, to), np.float32)
-    if width:
-        out[:, :, :width] = m[:, :FRAGMENTS * width].reshape(len(m), FRAGMENTS, width)
-    return out.reshape(len(m), -1)
-
-
-def _block_links(t: pa.Table) -> pa.Table:
-    """Links between the far members and all members of one pair of blocks of one hub."""
+        for p in parts or []:
+            x, y = np.frombuffer(p["lack"], "<u4"), np.frombuffer(p["own"], np.uint64)
+            lack.append(x.astype(np.uint64) | np.uint64(p["frag"] << 32))
+            lack_at.append(np.full(len(x), i))
+            own.append(y)
+            own_at.append(np.full(len(y), i))
+    return (t.column("n").to_numpy(), t.column("overlap").to_numpy(),
+            (np.concatenate(lack), np.concatenate(lack_at)), (np.concatenate(own), np.concatenate(own_at)))
+
+
+def _common(a, b, shape: tuple[int, int]) -> np.ndarray:
+    """How many keys each row of ``a`` shares with each of ``b`` (both ``(keys, rows)``, a row's keys
+    distinct). Only keys that both sides have take part, ``COLUMNS`` of them at a time."""
+    out = np.zeros(shape, np.int64)
+    shared = np.intersect1d(a[0], b[0])
+    if not len(shared):
+        return out
+    sides = []
+    for (keys, at), n in zip((a, b), shape):
+        place = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
+        hit = shared[place] == keys
+        place, at = place[hit], at[hit]
+        order = np.argsort(place, kind="stable")
+        sides.append((place[order], at[order], n))
+    for c in range(0, len(shared), COLUMNS):
+        width, dense = min(COLUMNS, len(shared) - c), []
+        for place, at, n in sides:
+            s, e = np.searchsorted(place, [c, c + width])
+            m = np.zeros((n, width), np.float32)
+            m[at[s:e], place[s:e] - c] = 1
+            dense.append(m)
+        out += np.rint(dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
+def _spanning(link: np.ndarray):
+    """``i, j`` of a spanning forest of the linked rows and columns: what is joined stays joined,
+    with at most rows + columns pairs."""
+    rows, cols, out = np.ones(link.shape[0], bool), np.ones(link.shape[1], bool), []
+    for seed in range(link.shape[0]):
+        if not rows[seed]:
+            continue
+        rows[seed] = False
+        front = np.array([seed])
+        while len(front):
+            free = np.flatnonzero(cols)
+            part = link[np.ix_(front, free)]
+            met = np.flatnonzero(part.any(0))
+            new = free[met]
+            out.append((front[part[:, met].argmax(0)], new))
+            cols[new] = False
+            left = np.flatnonzero(rows)
+            part = link[np.ix_(left, new)]
+            met = np.flatnonzero(part.any(1)) if len(new) else np.zeros(0, np.int64)
+            front = left[met]
+            out.append((front, new[part[met].argmax(1)] if len(met) else front))
+            rows[front] = False
+    return tuple(np.concatenate(x) if out else np.zeros(0, np.int64) for x in (list(zip(*out)) or [[], []]))
+
+
+def _block(t: pa.Table):
+    """The two sides of a pair of blocks of one hub, and which of their members link."""
     side = t.column("far").to_numpy(zero_copy_only=False)
     a, b = t.filter(pa.array(side)), t.filter(pa.array(~side))
-    empty = pa.table({"src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64())})
-    if not a.num_rows or not b.num_rows:
-        return empty
-    na, oa, ma, wa, xa, ia = _differences(a)
-    nb, ob, mb, wb, xb, ib = _differences(b)
-    w = max(wa, wb, 1)
-    both = _widen(ma, wa, w) @ _widen(mb, wb, w).T
+    na, oa, lack_a, own_a = _differences(a)
+    nb, ob, lack_b, own_b = _differences(b)
     hub_n = t.column("hub_n")[0].as_py()
+    shape = (a.num_rows, b.num_rows)
     # |A & B| = |hub| - |lack(A) | lack(B)| + |own(A) & own(B)|
-    over = hub_n - ((hub_n - oa)[:, None] + (hub_n - ob)[None, :] - np.rint(both).astype(np.int64))
-    if len(xa) and len(xb):
-        order = np.argsort(xb, kind="stable")
-        xb, ib = xb[order], ib[order]
-        lo, hi = np.searchsorted(xb, xa, "left"), np.searchsorted(xb, xa, "right")
-        for i in np.flatnonzero(hi > lo).tolist():
-            np.add.at(over, (int(ia[i]), ib[lo[i]:hi[i]]), 1)
-    i, j = np.nonzero(_linked(over, na[:, None], nb[None, :]))
+    over = (hub_n - ((hub_n - oa)[:, None] + (hub_n - ob)[None, :] - _common(lack_a, lack_b, shape))
+            + _common(own_a, own_b, shape))
+    return a, b, _linked(over, na[:, None], nb[None, :])
+
+
+def _block_links(t: pa.Table) -> pa.Table:
+    """Links that join up all linked members of one pair of blocks of one hub."""
+    a, b, link = _block(t)
+    i, j = _spanning(link)
     src, dst = a.column("cls").to_numpy()[i], b.column("cls").to_numpy()[j]
     keep = src != dst
-    return pa.table({"src": pa.array(src[keep]), "dst": pa.array(dst[keep])})
+    return pa.table({"src": pa.array(src[keep], pa.int64()), "dst": pa.array(dst[keep], pa.int64())})
+
+
+def _block_counts(t: pa.Table) -> pa.Table:
+    """Per member of the first side, the rows of the members it links with on the other; a pair
+    counts at the least hub that both have."""
+    a, b, link = _block(t)
+    hub = t.column("hub")[0].as_py()
+    lower = []
+    for side in (a, b):
+        keys = [[h for h in hubs if h < hub] for hubs in side.column("hubs").to_pylist()]
+        lower.append((np.array([h for x in keys for h in x], np.int64), np.repeat(np.arange(len(keys)), [len(x) for x in keys])))
+    ca, cb = a.column("cls").to_numpy(), b.column("cls").to_numpy()
+    link &= (_common(*lower, link.shape) == 0) & (ca[:, None] != cb[None, :])
+    return pa.table({"cls": pa.array(ca, pa.int64()), "linked": pa.array(link @ b.column("times").to_numpy(), pa.int64())})
+
+
+def _difference_bytes():
+    return F.octet_length("lack") + F.octet_length("own")
+
+
+def _cuts(count, size, block: int):
+    """Into how many blocks members are dealt: at most about ``block`` members and ``BLOCK_BYTES`` each."""
+    return F.greatest(F.ceil(count / block), F.ceil(size / F.lit(BLOCK_BYTES))).cast("int")
+
+
+def _pair_up(first: DataFrame, other: DataFrame, side: list[str]) -> DataFrame:
+    """Blocks of ``first`` against blocks of ``other``, of each hub; ``far`` marks the first side."""
+    def deal(n):
+        return F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    rows = first.select(*side, deal("rows").alias("i"), every("cols").alias("j"), F.lit(True).alias("far"))
+    cols = other.select(*side, every("rows").alias("i"), deal("cols").alias("j"), F.lit(False).alias("far"))
+    return rows.unionByName(cols)
 
 
 def class_links(docs: DataFrame, classes: DataFrame, k: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """``src, dst`` of links that join up all linked classes (links within a hub's linked
-    members are implied by their links with the hub)."""
+    """``src, dst`` of links that join up all linked classes (links within a hub's linked members,
+    or within a block, add nothing to a component and are left out; ``link_counts`` counts them)."""
     pairs = hub_pairs(docs, classes, k)
     segs = _segments(docs, classes, pairs, k)
     parts = materialise(partial_overlaps(pairs, segs), "partial-overlaps")
-    scored = parts.groupBy("cls", "hub", "n", "hub_n").agg(F.sum("overlap").alias("overlap"))
+    scored = parts.groupBy("cls", "hub", "n", "hub_n").agg(F.sum("overlap").alias("overlap"), F.sum(_difference_bytes()).alias("size"))
     scored = materialise(scored.withColumn("far", ~_linked(F.col("overlap"), F.col("n"), F.col("hub_n"))), "hub-overlaps")
     near = scored.where(~F.col("far")).select(F.col("cls").alias("src"), F.col("hub").alias("dst"))
     # groups with far members: blocks of far members against blocks of all members
-    groups = scored.groupBy("hub").agg(F.count(F.when(F.col("far"), 1)).alias("n_far"), F.count(F.lit(1)).alias("n_all"))
+    groups = scored.groupBy("hub").agg(
+        F.count(F.when(F.col("far"), 1)).alias("n_far"), F.count(F.lit(1)).alias("n_all"),
+        F.sum(F.when(F.col("far"), F.col("size"))).alias("b_far"), F.sum("size").alias("b_all"))
     groups = materialise(groups.where("n_far > 0 and n_all > 1").select(
-        "hub", F.ceil(F.col("n_far") / block).cast("int").alias("rows"),
-        F.ceil(F.col("n_all") / block).cast("int").alias("cols")), "hub-groups")
+        "hub", _cuts(F.col("n_far"), F.col("b_far"), block).alias("rows"),
+        _cuts(F.col("n_all"), F.col("b_all"), block).alias("cols")), "hub-groups")
     members = parts.join(broadcast_checked(groups), "hub").groupBy("cls", "hub", "n", "hub_n", "rows", "cols").agg(
         F.sum("overlap").alias("overlap"), F.collect_list(F.struct("frag", "lack", "own")).alias("parts"))
     members = members.withColumn("is_far", ~_linked(F.col("overlap"), F.col("n"), F.col("hub_n")))
     members = materialise(members, "hub-members")
     side = ["cls", "hub", "n", "hub_n", "overlap", "parts"]
-    rows = members.where("is_far").select(
-        *side, F.pmod(F.xxhash64("cls"), F.col("rows")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), F.lit(True).alias("far"))
-    cols = members.select(
-        *side, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
-        F.pmod(F.xxhash64("cls"), F.col("cols")).cast("int").alias("j"), F.lit(False).alias("far"))
-    far = rows.unionByName(cols).groupBy("hub", "i", "j").applyInArrow(_block_links, "src long, dst long")
+    far = _pair_up(members.where("is_far"), members, side).groupBy("hub", "i", "j").applyInArrow(
+        _block_links, "src long, dst long")
     return materialise(near.unionByName(far), "class-links")
 
 
+def link_counts(docs: DataFrame, k: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, class_id, n_links``, the number of other rows that it links with.
+
+    Every pair of members of a hub is compared, in blocks and on their differences from it, so the
+    work grows with the squares of group sizes; no pair leaves its block. Rows with equal sets link;
+    rows without shingles have no links.
+    """
+    classes = class_table(docs, k)
+    pairs = hub_pairs(docs, classes, k)
+    parts = materialise(partial_overlaps(pairs, _segments(docs, classes, pairs, k)), "partial-overlaps")
+    members = parts.groupBy("cls", "hub", "n", "hub_n").agg(
+        F.sum("overlap").alias("overlap"), F.sum(_difference_bytes()).alias("size"),
+        F.collect_list(F.struct("frag", "lack", "own")).alias("parts"))
+    hub = members.groupBy("hub").agg(F.first("hub_n").alias("n"))
+    members = materialise(members.unionByName(hub.select(
+        F.col("hub").alias("cls"), "hub", "n", F.col("n").alias("hub_n"), F.col("n").alias("overlap"),
+        F.lit(0).cast("long").alias("size")), allowMissingColumns=True), "hub-members")
+    groups = members.groupBy("hub").agg(_cuts(F.count(F.lit(1)), F.sum("size"), block).alias("rows"))
+    groups = materialise(groups.withColumn("cols", F.col("rows")), "hub-groups")
+    of_class = classes.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("times"))
+    of_class = materialise(of_class, "class-rows")
+    hubs = members.groupBy("cls").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))  # bounded by a class's list entries
+    full = members.join(broadcast_checked(groups), "hub").join(hubs, "cls").join(of_class, "cls")
+    full = materialise(full, "counted-members")
+    side = ["cls", "hub", "n", "hub_n", "overlap", "parts", "hubs", "times"]
+    linked = _pair_up(full, full, side).groupBy("hub", "i", "j").applyInArrow(_block_counts, "cls long, linked long")
+    linked = linked.groupBy("cls").agg(F.sum("linked").alias("linked"))
+    per_class = materialise(of_class.join(linked, "cls", "left").select(
+        "cls", "class_id", (F.col("times") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "link-counts")
+    return classes.select("doc_id", "cls").join(per_class, "cls", "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, root`` (the smallest node reachable) by large-star and small-star steps."""
     def both(e: DataFrame) -> DataFrame:
