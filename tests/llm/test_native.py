@@ -74,7 +74,18 @@ def test_line_limit_does_not_grow_with_the_host(spark, duck):
         assert sorted((r.doc_id, r.n_removed_lines) for r in out) == [(i, 1) for i in range(12)]
 
 
-def test_decontamination_on_odd_rows(spark, odd_docs, odd_rows, duck):
+def test_bitmap_follows_the_benchmark():
+    assert decontaminate.bloom_bits(0) == decontaminate.MIN_BLOOM_BITS
+    for n in (1_000, 100_000, 1_000_000):
+        share = (2 * n / 2 ** decontaminate.bloom_bits(n))  # of all bits that are set, at most
+        assert share <= 2 / decontaminate.BITS_PER_SHINGLE
+    assert decontaminate.bloom_bits(3_000_000) is None
+
+
+@pytest.mark.parametrize("largest", [24, 0])
+def test_decontamination_on_odd_rows(spark, odd_docs, odd_rows, duck, monkeypatch, largest):
+    """With a bitmap, and beyond the largest one by the semi-join."""
+    monkeypatch.setattr(decontaminate, "MAX_BLOOM_BITS", largest)
     by_id = {r[0]: r[1] for r in odd_rows}
     long = by_id[6].split()
     items = [(1, " ".join(long[100:130])), (2, "ONE two"), (3, "a"), (4, None), (5, ""), (None, "b c"), (6, "é ß"),

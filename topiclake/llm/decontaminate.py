@@ -6,8 +6,9 @@ holds all of them in sequence, so it must hold the window's rarest shingle: that
 the window's necessary prefix. The join
 
 1. scans the texts once and writes each document's shingles that the benchmark has at all
-   (a fixed-size Bloom bitmap of the benchmark's shingles goes to the scan; its false
-   hits end at the exact joins below);
+   (a Bloom bitmap of the benchmark's shingles goes to the scan, sized by their counted number;
+   its false hits end at the exact joins below; beyond about a million shingles, where the
+   bitmap would be over 2 MB, the scan writes all shingles and a semi-join keeps the known);
 2. counts every benchmark shingle over all documents and orders each window's shingles by
    that rarity; windows whose rarest shingle occurs nowhere are gone;
 3. joins documents and windows on the prefix shingle alone, with the length bound (the
@@ -18,7 +19,7 @@ the window's necessary prefix. The join
 DataFrame functions only; shingles are 64-bit hashes of their words.
 
 Defined results: null or wordless texts have no words, windows or hits; items with a null
-id are left out; repeated items count once; repeated documents and null ids get a row
+id are left out; repeated items count once; very long texts are scanned whole; repeated documents and null ids get a row
 each; empty tables give no rows, or rows without hits; extra columns are ignored.
 
 Scale: documents are not shuffled, only their few benchmark shingles; counts combine in
@@ -29,6 +30,7 @@ whose number is bounded by its own words.
 
 from __future__ import annotations
 
+import functools
 import json
 import string
 
@@ -39,7 +41,8 @@ from .common import broadcast_checked, let, materialise, table, total, without
 
 WINDOW = 10
 SHINGLE = 3
-_BLOOM_BITS = 19
+MIN_BLOOM_BITS, MAX_BLOOM_BITS = 12, 24
+BITS_PER_SHINGLE = 16  # with two probes, one other shingle in 70 gets through
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -75,42 +78,66 @@ def windows(bench: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> D
         "wid", F.xxhash64("len", "seq"))
 
 
-def _probes(h: Column) -> tuple[Column, Column]:
-    mask = F.lit((1 << _BLOOM_BITS) - 1).cast("long")
-    return h.bitwiseAND(mask), F.shiftrightunsigned(h, 64 - _BLOOM_BITS)
+def bloom_bits(n_shingles: int) -> int | None:
+    """Bitmap size (a power of two) for so many shingles; None where the largest is too small."""
+    bits = max(MIN_BLOOM_BITS, (max(n_shingles, 1) * BITS_PER_SHINGLE - 1).bit_length())
+    return bits if bits <= MAX_BLOOM_BITS else None
 
 
-def _bloom(shingles: DataFrame) -> str:
-    """The bitmap as JSON text of ``2**_BLOOM_BITS / 64`` longs: of fixed size for any benchmark."""
-    a, b = _probes(F.col("sh"))
-    bits = shingles.select(F.explode(F.array(a, b)).alias("p")).groupBy(F.shiftright("p", 6).alias("slot")).agg(
+def _probes(h: Column, bits: int) -> tuple[Column, Column]:
+    mask = F.lit((1 << bits) - 1).cast("long")
+    return h.bitwiseAND(mask), F.shiftrightunsigned(h, 64 - bits)
+
+
+def _bloom(shingles: DataFrame, bits: int) -> str:
+    """The bitmap as JSON text of ``2**bits / 64`` longs, at most ``2**MAX_BLOOM_BITS / 64``."""
+    a, b = _probes(F.col("sh"), bits)
+    slots = shingles.select(F.explode(F.array(a, b)).alias("p")).groupBy(F.shiftright("p", 6).alias("slot")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int")))
         .alias("bits"))
-    full = [0] * (1 << _BLOOM_BITS - 6)
-    for r in bits.collect():
+    full = [0] * (1 << bits - 6)
+    for r in slots.collect():
         full[r.slot] = r.bits
     return json.dumps(full)
 
 
-def _document_shingles(docs: DataFrame, sizes: list[int], blooms: dict[int, str]) -> DataFrame:
+def _known_only(found: DataFrame, k: int, shingles: DataFrame) -> DataFrame:
+    """``found`` with only those of its ``k``-word shingles that the benchmark has: the way for
+    benchmarks beyond the largest bitmap, a join of shingles that are gathered per row again."""
+    name = f"s{k}"
+    x = found.select("row", F.explode(name).alias("x")).select("row", "x.pos", "x.sh")
+    x = x.join(broadcast_checked(shingles), "sh", "left_semi")
+    x = x.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "sh"))).alias("_known"))
+    return (found.join(x, "row", "left")
+            .withColumn(name, F.coalesce("_known", F.slice(name, 1, 0))).drop("_known"))
+
+
+def _document_shingles(docs: DataFrame, shingles: dict[int, DataFrame], sizes: dict[int, int | None]) -> DataFrame:
     """The one scan: per row ``row, doc_id, n_words`` and, per shingle size, the places and
-    hashes of shingles that the bitmap lets through."""
+    hashes of shingles that the size's bitmap lets through, or that the benchmark has."""
+
+    def hits(h: Column, k: int) -> Column:
+        placed = F.transform(_shingles(h, k), lambda s, i: F.struct(i.alias("pos"), s.alias("sh")))
+        if sizes[k] is None:
+            return placed
+        bitmap = F.from_json(F.lit(_bloom(shingles[k], sizes[k])), "array<bigint>")
 
-    def hits(h: Column, k: int, bitmap: Column) -> Column:
         def known(x: Column) -> Column:
             bits = [F.getbit(F.get(bitmap, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
-                    for p in _probes(x["sh"])]
+                    for p in _probes(x["sh"], sizes[k])]
             return bits[0] & bits[1]
-        placed = F.transform(_shingles(h, k), lambda s, i: F.struct(i.alias("pos"), s.alias("sh")))
         return F.filter(placed, known)
 
     def scan(h: Column) -> Column:
-        return F.struct(F.size(h).cast("long").alias("n_words"), *[
-            hits(h, k, F.from_json(F.lit(blooms[k]), "array<bigint>")).alias(f"s{k}") for k in sizes])
+        return F.struct(F.size(h).cast("long").alias("n_words"), *[hits(h, k).alias(f"s{k}") for k in sizes])
 
     out = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("th"),
                       let(_word_hashes(F.col("text")), scan).alias("x")).select("doc_id", "th", "x.*")
-    return materialise(out.withColumn("row", F.monotonically_increasing_id()), "bench-shingles")
+    found = materialise(out.withColumn("row", F.monotonically_increasing_id()), "bench-shingles")
+    large = [k for k in sizes if sizes[k] is None]
+    if not large:
+        return found
+    return materialise(functools.reduce(lambda f, k: _known_only(f, k, shingles[k]), large, found), "known-shingles")
 
 
 def _with_neighbours(hits: Column, pad: Column, reach: int) -> Column:
@@ -125,8 +152,8 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shing
     wins = materialise(windows(bench, window, shingle), "bench-windows")
     sizes = sorted(r.k for r in wins.select("k").distinct().collect())  # at most ``shingle`` values
     placed = wins.select("wid", "len", "k", "seq", F.posexplode("seq").alias("o", "sh"))
-    blooms = {k: _bloom(placed.where(F.col("k") == k).select("sh")) for k in sizes}
-    found = _document_shingles(docs, sizes, blooms)
+    shingles = {k: materialise(placed.where(F.col("k") == k).select("sh").distinct(), "bench-known") for k in sizes}
+    found = _document_shingles(docs, shingles, {k: bloom_bits(shingles[k].count()) for k in sizes})
     if not sizes:
         return found.select("doc_id", "th", "n_words", F.lit(0).cast("long").alias("n_hit"),
                             F.array().cast("array<struct<start:int,len:int>>").alias("spans"),
