@@ -25,6 +25,45 @@ def test_canonical_json(spark):
     assert got == ['{"a":{"c":"x","d":[1,2]},"b":1}', '{"a":2}', None]
 
 
+M = "\ue000"  # the mark that numbers carry through the sorting
+NUMBERS = [
+    ("1.0", "1.0"), ("1.50", "1.5"), ("1e2", "100.0"), ("1E-7", "1e-07"), ("0.0001", "0.0001"), ("0.00001", "1e-05"),
+    ("1e20", "1e+20"), ("1.5e300", "1.5e+300"), ("123456789012345.0", "123456789012345.0"),
+    ("1234567890123456.0", "1.234567890123456e+15"), ("-0", "0"), ("-0.0", "-0.0"), ("2.0E-3", "0.002"),
+    ("18446744073709551615", "18446744073709551615"), ("18446744073709551616", "1.8446744073709552e+19"),
+    ("-9223372036854775808", "-9223372036854775808"), ("-9223372036854775809", "-9.223372036854776e+18"),
+    ("01.0", None), ("1.", None), (".5", None), ("1.0-", None), ("[1.0, -]", None), ("[1.5 2]", None), ("NaN", None),
+    ("{bad 1.0", None), ("1e999", None), ("", None), (None, None), ("[5, 7]", "[5,7]"), ('"1.0"', '"1.0"'),
+    ('{"b":1.0,"a":[1.50,"x 1.0, \\"2.5\\" ",-3,{"d":1e2,"c":null}]}',
+     '{"a":[1.5,"x 1.0, \\"2.5\\" ",-3,{"c":null,"d":100.0}],"b":1.0}'),
+    (f'["{M}n5", 1.0]', f'["{M}n5",1.0]'),
+    (f'["\\ue000n5", 1.0, "\\\\ue000", "\\uE000s"]', f'["{M}n5",1.0,"\\\\ue000","{M}s"]'),
+    ('{"1.0":2.0}', '{"1.0":2.0}'), ('{"a":1.0,"a":2.0}', '{"a":2.0}'),
+    (' [ 1.0 , true, "a\\\\" , 0.5 ] ', '[1.0,true,"a\\\\",0.5]'),
+    ('["' + "x" * 200_000 + '", 2.50]', '["' + "x" * 200_000 + '",2.5]'),
+    ("[" + ",".join(["1.50"] * 5000) + "]", "[" + ",".join(["1.5"] * 5000) + "]"),
+]
+
+
+def test_canonical_numbers(spark):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(NUMBERS)], "i int, s string")
+    got = {r.i: r.c for r in df.select("i", codec.canonical_json(F.col("s")).alias("c")).collect()}
+    for i, (s, want) in enumerate(NUMBERS):
+        assert got[i] == want, s
+
+
+def test_canonical_doubles_are_short_and_exact(spark):
+    import random
+    import re
+    import struct
+    rng = random.Random(8)
+    xs = [x for x in (struct.unpack("<d", rng.randbytes(8))[0] for _ in range(2000)) if x == x and abs(x) != float("inf")]
+    xs += [round(rng.uniform(-10, 10) * 10 ** rng.randrange(-8, 18), rng.randrange(0, 9)) for _ in range(2000)]
+    df = spark.createDataFrame([(repr(x) if "." in repr(x) or "e" in repr(x) else f"{x!r}.0", x) for x in xs], "s string, x double")
+    for r in df.select("s", "x", codec.canonical_json(F.col("s")).alias("c")).collect():
+        assert float(r.c) == r.x and re.fullmatch(r"-?(\d+\.\d+|\d(\.\d+)?e[+-]\d\d+)", r.c), r
+
+
 def test_decode_is_inverse_of_encode(spark, fx):
     """Property: decode(encode(x)) == canonical(x), for every events payload text."""
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")

@@ -50,13 +50,88 @@ def wire_payload_text(msg: Column) -> Column:
     return F.try_validate_utf8(F.substring(msg, HEADER_LEN + 1, (1 << 31) - 1).cast("string"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+# Fixed values of the canonical number form: integers that 64 bits hold stay integers, all other
+# numbers are doubles, written plainly when their point lies within these places, else with e.
+MIN_INT64, MAX_UINT64 = "-9223372036854775808", "18446744073709551615"
+PLAIN_FROM, PLAIN_TO = -4, 15
+
+_MARK = "\ue000"  # a private-use character: M + "n" before a number, M + "s" for itself
+_NUMBER = r"-?\d[\d.eE+-]*+"
+# from the end of the last match: what holds no number (strings whole), then a number
+_NEXT_NUMBER = r'\G((?:[^"\d-]|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+)(' + _NUMBER + ")"
+# texts without fractions, exponents, long integers or a minus zero need no second look
+_SPECIAL_NUMBER = r"\d[.eE]|\d{18}|-0"
+
+
+def _digits_and_point(x: Column, use) -> Column:
+    """``use(digits, n)`` of a positive double: its shortest decimal digits ``d``, worth ``0.d * 10**n``."""
+    def parts(m: Column) -> Column:
+        whole = F.regexp_extract(m["m"], r"^(\d+)\.", 1)
+        frac = F.regexp_extract(m["m"], r"\.(\d+)$", 1)
+        both = F.concat(whole, frac)
+        lead = F.length(both) - F.length(F.ltrim(both, F.lit("0")))
+        return F.struct(F.rtrim(F.ltrim(both, F.lit("0")), F.lit("0")).alias("d"),
+                        (F.length(whole) - lead + m["e"]).alias("n"))
+
+    text = x.cast("string")
+    split = F.struct(F.substring_index(text, "E", 1).alias("m"),
+                     F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0)).alias("e"))
+    return _let(split, lambda m: _let(parts(m), lambda q: use(q["d"], q["n"])))
+
+
+def _double_text(x: Column) -> Column:
+    def form(d: Column, n: Column) -> Column:
+        k, e = F.length(d), n - 1
+        science = F.concat(F.substring(d, 1, 1), F.when(k > 1, F.concat(F.lit("."), F.substring(d, 2, 40))).otherwise(""),
+                           F.when(e < 0, "e-").otherwise("e+"),
+                           F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
+        return (F.when((k <= n) & (n <= PLAIN_TO), F.concat(F.rpad(d, F.greatest(n, k), "0"), F.lit(".0")))
+                .when((n > 0) & (n <= PLAIN_TO), F.concat(F.substring(d, F.lit(1), n), F.lit("."), F.substring(d, n + 1, F.lit(40))))
+                .when((n > PLAIN_FROM) & (n <= 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -n), d))
+                .otherwise(science))
+    return F.when(x == 0, "0.0").otherwise(_digits_and_point(x, form))
+
+
+def _number_text(token: Column) -> Column:
+    """A JSON number in its canonical form; NULL where no double holds it."""
+    exact = token.try_cast("decimal(38,0)")
+    whole = ~token.rlike("[.eE]") & (F.length(token) < 22) & exact.between(F.lit(MIN_INT64).cast("decimal(38,0)"), F.lit(MAX_UINT64).cast("decimal(38,0)"))
+    sign = F.when(token.startswith("-"), "-").otherwise("")
+    size = F.abs(token.try_cast("double"))
+    return (F.when(whole, exact.cast("string"))
+            .when(size < float("inf"), F.concat(sign, _double_text(size))))
+
+
 def canonical_json(text: Column) -> Column:
     """Compact JSON with object keys sorted at every level (NULL when not JSON).
 
-    Duplicate keys keep the last value (``spark.sql.variant.allowDuplicateKeys``).
-    Numbers with a fraction are kept as decimals, so ``1.0`` prints as ``1``.
+    Duplicate keys keep the last value (``spark.sql.variant.allowDuplicateKeys``). Integers that 64
+    bits hold keep their digits; other numbers print as doubles, by their shortest digits: ``1.0`` and
+    ``1.00`` as ``1.0``, ``1e2`` as ``100.0``, ``1e20`` as ``1e+20``. A text with a number that no
+    double holds (``1e999``) gives NULL.
+
+    Variants keep numbers as decimals, whose own form is lost; so where a text has numbers of such
+    kinds, they travel through the sorting as marked strings.
     """
-    return F.to_json(F.try_parse_json(text))
+    plain = F.to_json(F.try_parse_json(text))
+    own = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "s")),
+                           r"(?<!\\)((?:\\\\)*+)\\u[eE]000", "$1" + _MARK + "s")
+    marked = F.regexp_replace(own, F.lit(_NEXT_NUMBER), F.lit('$1"' + _MARK + 'n$2"'))
+    pieces = F.split(F.to_json(F.try_parse_json(marked)), '"' + _MARK + "n")
+
+    def piece(x: Column, i: Column) -> Column:
+        cut = F.instr(x, '"')
+        return F.when(i == 0, x).otherwise(F.concat(_number_text(F.substring(x, F.lit(1), cut - 1)),
+                                                    F.substring(x, cut + 1, F.length(x))))
+
+    joined = _let(F.transform(pieces, piece), lambda p: F.when(
+        ~F.exists(p, lambda x: x.isNull()), F.replace(F.array_join(p, ""), F.lit(_MARK + "s"), F.lit(_MARK))))
+    return F.when(text.rlike(_SPECIAL_NUMBER), F.when(plain.isNotNull(), joined)).otherwise(plain)
 
 
 def decode_status(msg: Column, schema_type: Column, text: Column, parsed: Column) -> Column:

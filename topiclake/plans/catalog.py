@@ -336,6 +336,23 @@ def q_canonical_json(spark, sf_dir):
     return e.select("event_id", codec.canonical_json(messy).alias("canonical"))
 
 
+@query("canonical_numbers", """
+SELECT l_orderkey, l_linenumber, '{"a":[' || CAST(round(l_extendedprice, 4) AS DOUBLE)::VARCHAR || ','
+       || CAST(round(l_discount, 4) AS DOUBLE)::VARCHAR || ',' || l_orderkey::VARCHAR || '],"b":{"c":'
+       || CAST(CAST(l_quantity AS BIGINT)::VARCHAR || 'e2' AS DOUBLE)::VARCHAR || ',"d":'
+       || CAST(CAST(l_quantity AS BIGINT)::VARCHAR || 'e-9' AS DOUBLE)::VARCHAR || ',"e":"1.50, 2.0"}}' AS canonical
+FROM lineitem""")
+def q_canonical_numbers(spark, sf_dir):
+    """Numbers with trailing zeros and exponents, in arrays, objects and (as text) in strings."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    q = F.col("l_quantity").cast("long").cast("string")
+    messy = F.concat(F.lit('{"b": {"e": "1.50, 2.0", "d":'), q, F.lit('e-9, "c" : '), q, F.lit('E2 }, "a": [ '),
+                     F.col("l_extendedprice").cast("decimal(18,4)").cast("string"), F.lit(" ,"),
+                     F.col("l_discount").cast("decimal(18,4)").cast("string"), F.lit(", "),
+                     F.col("l_orderkey").cast("string"), F.lit("]}"))
+    return li.select("l_orderkey", "l_linenumber", codec.canonical_json(messy).alias("canonical"))
+
+
 # ids with a version that is not permanently deleted
 _D_REG_IDS = """(SELECT id, first(schema_type) AS schema_type FROM (
                  SELECT *, row_number() OVER (PARTITION BY subject, version ORDER BY seq DESC) AS rn FROM registry_log)
