@@ -101,6 +101,80 @@ def test_wrapped_and_unbroken_notices(spark):
     assert {r.doc_id: [s.family for s in r.spans if s.confirmed] for r in out} == {**want, 99: []}
 
 
+# (paragraph, family, version): phrasings other than the notices the model learns from
+HELD_OUT = [
+    ("MIT License", "mit", None), ("License: MIT", "mit", None), ("// SPDX-License-Identifier: MIT", "mit", None),
+    ("SPDX-License-Identifier: GPL-2.0-only", "gpl", "2.0"), ("Licensed under the GPLv3", "gpl", "3"),
+    ("Distributed under the Apache 2.0 license", "apache-2.0", "2.0"),
+    ("You may use it, as it is licensed under the Apache License, Version 2.0 by its authors.", "apache-2.0", "2.0"),
+    ("Creative Commons Attribution-ShareAlike License 4.0", "cc-by-sa", "4.0"),
+    ("Except where otherwise noted, this work is licensed under CC BY 4.0.", "cc-by", "4.0"),
+    ("The images are licensed under CC BY-NC-SA 4.0 by the museum.", "cc-by-nc-sa", "4.0"),
+    ("Code released under the New BSD license.", "bsd", None),
+    ("This library is distributed under the GNU Lesser General Public License, version 3.", "lgpl", "3"),
+    ("I did not like it. Released under the MIT License.", "mit", None),
+    ("This program is made available under the terms of the Eclipse Public License 2.0 which accompanies it", "epl", "2.0"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event shall the authors be held "
+     "liable for any damages arising from use of this software.", "zlib", None),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+     "provided that the above copyright notice and this permission notice appear in all copies.", "isc", None),
+    ("The server is available under the terms of the GNU Affero General Public License version 3.", "agpl", "3"),
+    ("The fonts are licensed under the SIL Open Font License 1.1", "ofl", "1.1"),
+    ("This database is licensed under the PostgreSQL License.", "postgresql", None)]
+NO_LICENCE = [
+    "This work is NOT licensed under the MIT license", "It isn't available under the terms of the GPL.",
+    "We discussed whether the project should be released under the MIT license or not",
+    "The old code was never released under the GNU General Public License, version 2.",
+    "My driver's license expired in the general public", "We read about the MIT campus and its library",
+    "They asked whether it would be licensed\nunder CC BY 4.0 in the next year"]
+
+
+@pytest.fixture(scope="module")
+def license_model(spark):
+    return licenses.fit_licenses(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_held_out_phrasings_denials_and_versions(spark, license_model):
+    rng = random.Random(3)
+    texts = [x for x, _, _ in HELD_OUT] + NO_LICENCE
+    rows = [(i, f"{prose(rng, 15)}\n{x}\n{prose(rng, 15)}") for i, x in enumerate(texts)]
+    rows += [(100 + i, prose(rng, 80)) for i in range(100)]
+    out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_model).collect()
+    got = {r.doc_id: [(s.family, s.version) for s in r.spans if s.confirmed] for r in out}
+    hits = sum(got[i] == [(f, v)] for i, (_, f, v) in enumerate(HELD_OUT))
+    assert hits >= 0.9 * len(HELD_OUT)
+    assert [i for i in range(len(HELD_OUT), len(texts)) if got[i]] == []
+    assert all(not got[100 + i] for i in range(100))
+
+
+def _best_in_order(ws, t):
+    """Longest common subsequence, by the textbook table."""
+    table = [[0] * (len(t) + 1) for _ in range(len(ws) + 1)]
+    for i, w in enumerate(ws):
+        for j, v in enumerate(t):
+            table[i + 1][j + 1] = table[i][j] + 1 if w == v else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_notices_by_brute_force_alignment():
+    """Every notice in other words' company: matches say what an alignment of every stretch says,
+    and every match holds an anchor."""
+    rng = random.Random(5)
+    for family, notices in licenses.NOTICES.items():
+        for which, n in enumerate(notices):
+            if n.whole or which % 5:
+                continue
+            ws = [w for w in n.words if w in n.named or rng.random() > 0.1]
+            ws = prose(rng, 6).split() + ws + prose(rng, 6).split()
+            reach = int(licenses.SPREAD * len(n.words)) + 1
+            best = max((_best_in_order(ws[i:i + reach], n.words) for i in range(len(ws))), default=0)
+            got = [share for _, _, k, share in licenses.matches(ws, family) if k == which]
+            assert bool(got) == (best >= n.need * len(n.words)), (family, n, ws)
+            if got:
+                assert max(got) == best / len(n.words)
+                assert not licenses.ANCHORS.isdisjoint(ws)
+
+
 def test_samples_come_from_documents_that_exist(spark):
     """Long texts take part, labels of other documents don't crowd out those of these."""
     from topiclake.llm.common import held_out, labelled_sample
