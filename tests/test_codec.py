@@ -125,3 +125,17 @@ def test_encode_validates_against_schema(spark, fx):
     enc_nj, _ = messages.encode_json(spark, fx.registry, nojson, "topic", "schema", "data")
     with pytest.raises(Exception, match="not JSON"):
         enc_nj.collect()
+
+
+def test_decoding_with_more_ids_than_are_broadcast(spark, fx, monkeypatch):
+    """A registry over the broadcast bound is cut to the ids that the messages use."""
+    ids = messages.registry_ids(fx.registry.changes(spark))
+    recs = fx.log.records(spark).where(F.col("topic") == "mixed")
+
+    def codes():
+        dec = messages.decode_messages(recs, ids, mode="null")
+        return sorted(map(tuple, dec.select("partition", "offset", "value", "value_error").collect()), key=lambda r: r[:2])
+
+    want = codes()
+    monkeypatch.setattr(messages, "DEFAULT_MAX_ROWS", 3)
+    assert codes() == want and len({r[3] for r in want}) > 4

@@ -30,10 +30,12 @@ def registry_ids(changes: DataFrame) -> DataFrame:
             .agg(F.first("schema_type").alias("schema_type")))
 
 
-def _id_side(ids: DataFrame, used: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def _id_side(ids: DataFrame, used: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``ids(_sid, …)``, or, when they are many, those of them that ``used(_sid)`` names."""
+    max_rows = DEFAULT_MAX_ROWS if max_rows is None else max_rows
     if is_small(ids, max_rows):
         return F.broadcast(ids)
-    cut = ids.join(used.select(F.col("_sid").alias("id")).distinct(), "id", "left_semi")
+    cut = ids.join(used.select("_sid").distinct(), "_sid", "left_semi")
     return broadcast_if_small(cut, max_rows)
 
 
