@@ -1,4 +1,7 @@
 """Dense offsets, partitioners, appends and incremental ingestion."""
+import glob
+
+import pyarrow.parquet as pq
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -90,3 +93,29 @@ def test_to_topic_with_write_id_completes_exactly_once(spark, fx, scratch):
     assert after.count() == base + o.count()
     assert after.groupBy("partition", "offset").count().where(F.col("count") > 1).count() == 0
     assert staged.select("partition", "offset").exceptAll(after.select("partition", "offset")).count() == 0
+
+
+def test_topic_written_from_kept_rows(spark, scratch):
+    """Rows of a table are numbered once, kept narrow, and become sorted files of one offset range each."""
+    rows = spark.range(5000).select((F.col("id") % 3).cast("int").alias("partition"), (F.hash("id") % 700).alias("a"), "id")
+    numbered = assign_dense(rows, ["partition"], ["a", "id"], "offset", num_partitions=7, keep=f"{scratch}/rows")
+    assert set(spark.read.parquet(f"{scratch}/rows").columns) == {"partition", "a", "id", "_dn_mid"}
+    log = TopicLog(f"{scratch}/log")
+    key, none = F.col("id").cast("string").cast("binary"), F.lit(None)
+    for topic in ("t", "u"):
+        sink.write_topic(numbered, {"key": key, "message": none, "timestamp": F.timestamp_seconds("id")}, log, topic)
+    want = rows.select("partition", F.col("id").cast("string").alias("k"), (F.row_number().over(
+        Window.partitionBy("partition").orderBy("a", "id")) - 1).alias("offset"))
+    for topic in ("t", "u"):
+        got = log.records(spark).where(F.col("topic") == topic).select("partition", F.col("key").cast("string").alias("k"), "offset")
+        assert got.count() == 5000 and got.exceptAll(want).isEmpty()
+    files = 0
+    for p in range(3):
+        ranges = []
+        for f in glob.glob(f"{scratch}/log/records/topic=t/partition={p}/*.parquet"):
+            offsets = pq.read_table(f, columns=["offset"], partitioning=None).column(0).to_pylist()
+            assert offsets == list(range(offsets[0], offsets[0] + len(offsets)))
+            ranges.append(offsets[0])
+        files += len(ranges)
+    assert 3 < files <= 9
+    assert spark.conf.get("spark.sql.files.openCostInBytes") in ("4194304", "4194304b")

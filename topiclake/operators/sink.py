@@ -9,9 +9,10 @@ predicates then skip whole files and row groups through Parquet statistics.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small
@@ -45,6 +46,35 @@ def write_records(records: DataFrame, log: TopicLog, mode: str = "append",
      .parquet(log.records_path))
 
 
+@contextmanager
+def _task_per_file(spark):
+    """Each input file smaller than a split is read by a task of its own. Restores the setting after."""
+    key = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def write_topic(numbered: DataFrame, values: dict[str, Column], log: TopicLog, topic: str,
+                max_records_per_file: int = 5_000_000) -> None:
+    """Write a whole topic anew from ``numbered``, rows with ``partition`` and ``offset`` whose
+    files hold one contiguous range each (:func:`assign_dense` with ``keep``). ``values`` are the
+    record's other columns. The rows are sorted before these are built, so nothing wide is
+    sorted, shuffled or kept."""
+    cols = [f for f in LOG_SCHEMA.fields if f.name != "topic"]
+    out = numbered.sortWithinPartitions("partition", "offset").select(
+        *[(values[f.name] if f.name in values else F.col(f.name)).cast(f.dataType).alias(f.name) for f in cols])
+    with _task_per_file(numbered.sparkSession):
+        (out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).option("compression", "zstd")
+         .partitionBy("partition").parquet(f"{log.records_path}/topic={topic}"))
+
+
 def default_partition(key: F.Column, n: F.Column, spread: F.Column) -> F.Column:
     """Partition for a record without one: ``crc32(key) mod n``; NULL keys spread by
     ``spread`` (a hash of the record) so they do not pile onto one partition."""

@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from ..functions.codec import utf8, wire_encode
 from ..operators.offsets import assign_dense
 from ..operators.registry import REGISTRY_LOG_SCHEMA, Registry, content_guid
+from ..operators.sink import write_topic
 from ..session import workspace
 from .topiclog import BROKER_SCHEMA, CATALOG_SCHEMA, LOG_SCHEMA, TopicLog, is_missing_path
 
-FIXTURE_VERSION = "v6"
+FIXTURE_VERSION = "v7"
 
 # ----------------------------------------------------------------------------------
 # Schema texts, ids and cluster members of the fixture registry/cluster.
@@ -96,45 +97,30 @@ def events_json(e: DataFrame) -> Column:
                     F.lit(',"event_type":"'), F.col("event_type"), F.lit('"}'))
 
 
-def _events_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+@dataclass(frozen=True)
+class Source:
+    """A table whose rows become records: the columns that its topics need, with the record's
+    ``partition``; the columns that number the rows of a partition (unique within it, the same for
+    all its topics); and each topic's ``key``, ``message`` and ``timestamp``."""
+    rows: DataFrame
+    order: list[str]
+    topics: dict[str, dict[str, Column]]
+
+
+def _events_source(spark: SparkSession, sf_dir: str) -> Source:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return e.select(
-        (F.col("user_id") % 4).cast("int").alias("partition"), "ts",
-        "user_id", "event_id", "event_type", events_json(e).alias("_json"),
-        F.col("ts").cast("timestamp").alias("timestamp"))
-
-
-def topic_frames(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, list[str]]]:
-    """Per topic: records before offsets (topic, partition, key, message, timestamp and
-    the order columns) and the order columns that number them."""
-    ev = _events_like(spark, sf_dir)
-    ev_msg = F.when(F.col("event_type") == "error", F.lit(None).cast("binary")).otherwise(
-        wire_encode(F.when(F.col("event_id") % 2 == 0, 1).otherwise(2), F.col("_json")))
+    rows = e.select((F.col("user_id") % 4).cast("int").alias("partition"), "ts", "event_id", "user_id", "event_type", "value")
+    eid, j, ts = F.col("event_id"), events_json(rows), F.col("ts").cast("timestamp")
+    is_error, none = F.col("event_type") == "error", F.lit(None).cast("binary")
+    msg = F.when(is_error, none).when(eid % 2 == 0, wire_encode(F.lit(1), j)).otherwise(wire_encode(F.lit(2), j))
     key_txt = F.col("user_id").cast("string")
-    ev_order = ["ts", "event_id"]
-
-    def ev_shape(topic, key, msg):
-        return ev.select(F.lit(topic).alias("topic"), "partition", key.alias("key"), msg.alias("message"),
-                         "timestamp", *ev_order)
-
-    out = {
-        "events": (ev_shape("events", F.when(F.col("event_type") == "view", F.lit(None).cast("binary"))
-                            .otherwise(utf8(key_txt)), ev_msg), ev_order),
-        "copy": (ev_shape("copy", wire_encode(F.lit(6), key_txt), ev_msg), ev_order),
-    }
-    j = F.col("_json")
-    kind = F.col("event_id") % 6
-    damaged = (F.when(kind == 0, utf8((F.col("event_id") % 1000).cast("string")))
+    kind = eid % 6
+    damaged = (F.when(kind == 0, utf8((eid % 1000).cast("string")))
                .when(kind == 1, F.concat(F.lit(bytearray([1])), F.unhex(F.lit("00000001")), utf8(j)))
                .when(kind == 2, wire_encode(F.lit(999999), j))
                .when(kind == 3, wire_encode(F.lit(4), j))
                .when(kind == 4, wire_encode(F.lit(1), F.concat(F.lit("{bad"), j)))
                .otherwise(wire_encode(F.lit(1), j)))
-    out["mixed"] = (ev_shape("mixed", F.lit(None).cast("binary"),
-                             F.when(F.col("event_type") == "error", F.lit(None).cast("binary"))
-                             .otherwise(damaged)), ev_order)
-
-    eid = F.col("event_id")
     text = F.concat(F.lit('{"id":'), eid.cast("string"), F.lit(',"k":"é€日本"}'))
     odd = (F.when(kind == 0, F.concat(F.unhex(F.lit("00FFFFFFFF")), utf8(j)))
            .when(kind == 1, F.unhex(F.lit("0000000001E97B7D")))
@@ -142,52 +128,64 @@ def topic_frames(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame,
            .when(kind == 3, F.unhex(F.lit("80")))
            .when(kind == 4, wire_encode(F.lit(1), text))
            .otherwise(F.unhex(F.lit("000000"))))
-    out["binary"] = (ev_shape("binary", F.lit(None).cast("binary"), odd), ev_order)
+    return Source(rows, ["ts", "event_id"], {
+        "events": {"key": F.when(F.col("event_type") == "view", none).otherwise(utf8(key_txt)), "message": msg, "timestamp": ts},
+        "copy": {"key": wire_encode(F.lit(6), key_txt), "message": msg, "timestamp": ts},
+        "mixed": {"key": none, "message": F.when(is_error, none).otherwise(damaged), "timestamp": ts},
+        "binary": {"key": none, "message": odd, "timestamp": ts}})
 
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    o_json = F.concat(F.lit('{"cents":'), F.round(F.col("o_totalprice") * 100).cast("long").cast("string"),
-                      F.lit(',"o_custkey":'), F.col("o_custkey").cast("string"),
-                      F.lit(',"o_orderkey":'), F.col("o_orderkey").cast("string"),
-                      F.lit(',"o_orderpriority":"'), F.col("o_orderpriority"),
-                      F.lit('","o_orderstatus":"'), F.col("o_orderstatus"), F.lit('"}'))
-    out["orders"] = (o.select(F.lit("orders").alias("topic"), (F.col("o_orderkey") % 8).cast("int").alias("partition"),
-                              wire_encode(F.lit(3), F.col("o_custkey").cast("string")).alias("key"),
-                              utf8(o_json).alias("message"),
-                              F.col("o_orderdate").cast("timestamp").alias("timestamp"), "o_orderkey"),
-                     ["o_orderkey"])
 
+def _orders_source(spark: SparkSession, sf_dir: str) -> Source:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = o.select((F.col("o_orderkey") % 8).cast("int").alias("partition"), "o_orderkey", "o_custkey", "o_orderstatus",
+                    "o_totalprice", "o_orderdate", "o_orderpriority")
+    text = F.concat(F.lit('{"cents":'), F.round(F.col("o_totalprice") * 100).cast("long").cast("string"),
+                    F.lit(',"o_custkey":'), F.col("o_custkey").cast("string"),
+                    F.lit(',"o_orderkey":'), F.col("o_orderkey").cast("string"),
+                    F.lit(',"o_orderpriority":"'), F.col("o_orderpriority"),
+                    F.lit('","o_orderstatus":"'), F.col("o_orderstatus"), F.lit('"}'))
+    return Source(rows, ["o_orderkey"], {"orders": {
+        "key": wire_encode(F.lit(3), F.col("o_custkey").cast("string")), "message": utf8(text),
+        "timestamp": F.col("o_orderdate").cast("timestamp")}})
+
+
+def _lineitem_source(spark: SparkSession, sf_dir: str) -> Source:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    l_json = F.concat(F.lit('{"l_linenumber":'), F.col("l_linenumber").cast("string"),
-                      F.lit(',"l_orderkey":'), F.col("l_orderkey").cast("string"),
-                      F.lit(',"l_partkey":'), F.col("l_partkey").cast("string"),
-                      F.lit(',"l_quantity":'), F.col("l_quantity").cast("long").cast("string"),
-                      F.lit(',"l_returnflag":"'), F.col("l_returnflag"),
-                      F.lit('","l_suppkey":'), F.col("l_suppkey").cast("string"), F.lit("}"))
-    l_order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
-    out["lineitem"] = (li.select(F.lit("lineitem").alias("topic"),
-                                 (F.col("l_orderkey") % 8).cast("int").alias("partition"),
-                                 utf8(F.col("l_orderkey").cast("string")).alias("key"), utf8(l_json).alias("message"),
-                                 F.col("l_shipdate").cast("timestamp").alias("timestamp"), *l_order), l_order)
-
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    rows = li.select((F.col("l_orderkey") % 8).cast("int").alias("partition"), *order,
+                     F.col("l_quantity").cast("long").alias("l_quantity"), "l_returnflag")
+    text = F.concat(F.lit('{"l_linenumber":'), F.col("l_linenumber").cast("string"),
+                    F.lit(',"l_orderkey":'), F.col("l_orderkey").cast("string"),
+                    F.lit(',"l_partkey":'), F.col("l_partkey").cast("string"),
+                    F.lit(',"l_quantity":'), F.col("l_quantity").cast("string"),
+                    F.lit(',"l_returnflag":"'), F.col("l_returnflag"),
+                    F.lit('","l_suppkey":'), F.col("l_suppkey").cast("string"), F.lit("}"))
+    return Source(rows, order, {"lineitem": {
+        "key": utf8(F.col("l_orderkey").cast("string")), "message": utf8(text),
+        "timestamp": F.col("l_shipdate").cast("timestamp")}})
+
+
+def _conversations_source(spark: SparkSession, sf_dir: str) -> Source:
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    out["conversations"] = (c.select(
-        F.lit("conversations").alias("topic"), (F.col("conv_id") % 4).cast("int").alias("partition"),
-        utf8(F.col("conv_id").cast("string")).alias("key"), utf8(F.col("text")).alias("message"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 60 + F.col("turn")).alias("timestamp"),
-        "conv_id", "turn"), ["conv_id", "turn"])
-    return out
-
-
-def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All fixture records with dense offsets, in log schema."""
-    parts = []
-    for _, (df, order) in topic_frames(spark, sf_dir).items():
-        numbered = assign_dense(df, ["topic", "partition"], order, "offset")
-        parts.append(numbered.select(*LOG_SCHEMA.fieldNames()))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = c.select((F.col("conv_id") % 4).cast("int").alias("partition"), "conv_id", "turn", "text")
+    return Source(rows, ["conv_id", "turn"], {"conversations": {
+        "key": utf8(F.col("conv_id").cast("string")), "message": utf8(F.col("text")),
+        "timestamp": F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 60 + F.col("turn"))}})
+
+
+def sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
+    """The tables that the fixture topics come from."""
+    return {"events": _events_source(spark, sf_dir), "orders": _orders_source(spark, sf_dir),
+            "lineitem": _lineitem_source(spark, sf_dir), "conversations": _conversations_source(spark, sf_dir)}
+
+
+def build_log(spark: SparkSession, sf_dir: str, log: TopicLog) -> None:
+    """Write all fixture topics with dense offsets. Only the tables' own columns are shuffled, once a
+    table; its topics' records are built from the sorted rows as they are written."""
+    for name, src in sources(spark, sf_dir).items():
+        numbered = assign_dense(src.rows, ["partition"], src.order, "offset", keep=f"{log.root}/rows/{name}")
+        for topic, values in src.topics.items():
+            write_topic(numbered, values, log, topic)
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,8 +316,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     fx = Fixture(TopicLog(f"{root}/log"), Registry(f"{root}/registry"), root)
     if _ready(spark, root):
         return fx
-    from ..operators.sink import write_records
-    write_records(build_records(spark, sf_dir), fx.log, mode="overwrite", ranged=True)
+    build_log(spark, sf_dir, fx.log)
     catalog_frame(spark, sf_dir).write.mode("overwrite").parquet(fx.log.catalog_path)
     spark.createDataFrame(BROKERS, BROKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(fx.log.brokers_path)
     leader_frame(fx.log.catalog(spark)).write.mode("overwrite").parquet(fx.log.leaders_path)
