@@ -24,7 +24,7 @@ BAD_JSON = "bad_json"
 
 
 def utf8(c: Column) -> Column:
-    return F.encode(c, "UTF-8")
+    return F.make_valid_utf8(c).cast("binary")
 
 
 def wire_encode(schema_id: Column, payload_text: Column) -> Column:
@@ -62,49 +62,48 @@ PLAIN_FROM, PLAIN_TO = -4, 15
 
 _MARK = "\ue000"  # a private-use character: M + "n" before a number, M + "s" for itself
 _NUMBER = r"-?\d[\d.eE+-]*+"
-# from the end of the last match: what holds no number (strings whole), then a number
-_NEXT_NUMBER = r'\G((?:[^"\d-]|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+)(' + _NUMBER + ")"
+# numbers that a variant prints in their canonical form: integers, and fractions of at most 15 digits, not
+# zero, of a size that is written plainly
+_KEPT = r"(?:(?:0|-?[1-9]\d{0,16}+)|-?(?:0|[1-9]\d{0,7}+)\.(?!0000)\d{0,6}?[1-9]0{0,10}+)(?![\d.eE+-])"
+# from the end of the last match: strings whole, such numbers, and what holds no number; then a number of
+# another kind
+_NEXT_NUMBER = r'\G((?:[^"\d-]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"|' + _KEPT + ")*+)(" + _NUMBER + ")"
 # texts without fractions, exponents, long integers or a minus zero need no second look
 _SPECIAL_NUMBER = r"\d[.eE]|\d{18}|-0"
+_JSON_NUMBER = r"^-?(?:0|[1-9]\d*+)(?:\.\d++)?(?:[eE][+-]?\d++)?$"
+_SHORT_TEXT = 1000  # characters; no number of a shorter text is longer than the JSON parser takes
 
 
-def _digits_and_point(x: Column, use) -> Column:
-    """``use(digits, n)`` of a positive double: its shortest decimal digits ``d``, worth ``0.d * 10**n``."""
-    def parts(m: Column) -> Column:
-        whole = F.regexp_extract(m["m"], r"^(\d+)\.", 1)
-        frac = F.regexp_extract(m["m"], r"\.(\d+)$", 1)
-        both = F.concat(whole, frac)
-        lead = F.length(both) - F.length(F.ltrim(both, F.lit("0")))
-        return F.struct(F.rtrim(F.ltrim(both, F.lit("0")), F.lit("0")).alias("d"),
-                        (F.length(whole) - lead + m["e"]).alias("n"))
-
-    text = x.cast("string")
-    split = F.struct(F.substring_index(text, "E", 1).alias("m"),
-                     F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0)).alias("e"))
-    return _let(split, lambda m: _let(parts(m), lambda q: use(q["d"], q["n"])))
+def _spread(mantissa: Column, n: Column) -> Column:
+    """``0.d * 10**n`` written plainly; ``mantissa`` is ``d`` with a point behind its first digit."""
+    d = F.rtrim(F.translate(mantissa, ".", ""), F.lit("0"))
+    return (F.when(F.length(d) <= n, F.concat(F.rpad(d, n, "0"), F.lit(".0")))
+            .when(n > 0, F.concat(F.substring(d, F.lit(1), n), F.lit("."), F.substring(d, n + 1, F.lit(40))))
+            .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -n), d)))
 
 
 def _double_text(x: Column) -> Column:
-    def form(d: Column, n: Column) -> Column:
-        k, e = F.length(d), n - 1
-        science = F.concat(F.substring(d, 1, 1), F.when(k > 1, F.concat(F.lit("."), F.substring(d, 2, 40))).otherwise(""),
-                           F.when(e < 0, "e-").otherwise("e+"),
+    """A double that is not negative, by its shortest digits; NULL for infinity. Spark's own text is
+    this form already where it has no exponent (between 0.001 and 10**7)."""
+    def form(m: Column, e: Column) -> Column:
+        science = F.concat(F.when(m.endswith(".0"), F.substring(m, 1, 1)).otherwise(m), F.when(e < 0, "e-").otherwise("e+"),
                            F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
-        return (F.when((k <= n) & (n <= PLAIN_TO), F.concat(F.rpad(d, F.greatest(n, k), "0"), F.lit(".0")))
-                .when((n > 0) & (n <= PLAIN_TO), F.concat(F.substring(d, F.lit(1), n), F.lit("."), F.substring(d, n + 1, F.lit(40))))
-                .when((n > PLAIN_FROM) & (n <= 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -n), d))
-                .otherwise(science))
-    return F.when(x == 0, "0.0").otherwise(_digits_and_point(x, form))
+        return F.when((e < PLAIN_FROM) | (e >= PLAIN_TO), science).otherwise(_spread(m, e + 1))
+
+    def of_text(t: Column) -> Column:
+        parts = F.struct(F.substring_index(t, "E", 1).alias("m"), F.substring_index(t, "E", -1).cast("int").alias("e"))
+        return F.when(~t.contains("E"), F.when(t != "Infinity", t)).otherwise(_let(parts, lambda p: form(p["m"], p["e"])))
+
+    return _let(x.cast("string"), of_text)
 
 
 def _number_text(token: Column) -> Column:
-    """A JSON number in its canonical form; NULL where no double holds it."""
-    exact = token.try_cast("decimal(38,0)")
-    whole = ~token.rlike("[.eE]") & (F.length(token) < 22) & exact.between(F.lit(MIN_INT64).cast("decimal(38,0)"), F.lit(MAX_UINT64).cast("decimal(38,0)"))
+    """A number in its canonical form; NULL where it is none of JSON or no double holds it."""
     sign = F.when(token.startswith("-"), "-").otherwise("")
-    size = F.abs(token.try_cast("double"))
-    return (F.when(whole, exact.cast("string"))
-            .when(size < float("inf"), F.concat(sign, _double_text(size))))
+    double = F.concat(sign, _double_text(F.abs(token.try_cast("double"))))
+    exact = token.try_cast("decimal(38,0)")
+    whole = (F.length(token) < 22) & exact.between(F.lit(MIN_INT64).cast("decimal(38,0)"), F.lit(MAX_UINT64).cast("decimal(38,0)"))
+    return F.when(token.rlike(_JSON_NUMBER), F.when(token.rlike("[.eE]"), double).when(whole, exact.cast("string")).otherwise(double))
 
 
 def canonical_json(text: Column) -> Column:
@@ -118,20 +117,26 @@ def canonical_json(text: Column) -> Column:
     Variants keep numbers as decimals, whose own form is lost; so where a text has numbers of such
     kinds, they travel through the sorting as marked strings.
     """
+    return _let(text, _canonical)
+
+
+def _canonical(text: Column) -> Column:
     plain = F.to_json(F.try_parse_json(text))
-    own = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "s")),
-                           r"(?<!\\)((?:\\\\)*+)\\u[eE]000", "$1" + _MARK + "s")
+    own = F.replace(text, F.lit(_MARK), F.lit(_MARK + "s"))
+    own = F.when(text.contains("\\u"), F.regexp_replace(
+        own, r"(?<!\\)((?:\\\\)*+)\\u[eE]000", "$1" + _MARK + "s")).otherwise(own)
     marked = F.regexp_replace(own, F.lit(_NEXT_NUMBER), F.lit('$1"' + _MARK + 'n$2"'))
     pieces = F.split(F.to_json(F.try_parse_json(marked)), '"' + _MARK + "n")
 
     def piece(x: Column, i: Column) -> Column:
         cut = F.instr(x, '"')
-        return F.when(i == 0, x).otherwise(F.concat(_number_text(F.substring(x, F.lit(1), cut - 1)),
-                                                    F.substring(x, cut + 1, F.length(x))))
+        # a number cannot be the name of a member
+        value = F.when(F.substring(x, cut + 1, F.lit(1)) != ":", _number_text(F.substring(x, F.lit(1), cut - 1)))
+        return F.when(i == 0, x).otherwise(F.concat(value, F.substring(x, cut + 1, F.length(x))))
 
     joined = _let(F.transform(pieces, piece), lambda p: F.when(
         ~F.exists(p, lambda x: x.isNull()), F.replace(F.array_join(p, ""), F.lit(_MARK + "s"), F.lit(_MARK))))
-    return F.when(text.rlike(_SPECIAL_NUMBER), F.when(plain.isNotNull(), joined)).otherwise(plain)
+    return F.when(text.rlike(_SPECIAL_NUMBER), F.when((F.length(text) < _SHORT_TEXT) | plain.isNotNull(), joined)).otherwise(plain)
 
 
 def decode_status(msg: Column, schema_type: Column, text: Column, parsed: Column) -> Column:
