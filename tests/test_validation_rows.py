@@ -213,3 +213,22 @@ def test_encode_checks_recursive_schemas(spark, fx):
     with pytest.raises(Exception) as e:
         out.count()
     assert "$.kids[0]: missing v" in str(e.value)
+
+
+def test_nodes_that_say_nothing_of_a_value_are_not_checked(spark):
+    """Own checks run only where a node has some; leaves and combinations still give their verdicts."""
+    from topiclake.functions.schema_nodes import schema_nodes
+    from topiclake.operators.validation import _with_flags
+    plain, own = '{"properties":{"a":{}},"items":{"type":"string"}}', '{"minimum":1}'
+    schemas = spark.createDataFrame([(1, plain), (2, own), (3, '{"required":["a"]}'), (4, "false"), (5, '{"enum":["x"]}')], "id long, s string")
+    flags = {(r.id, r.node): (r._checks, r._counts) for r in _with_flags(schema_nodes(schemas, "s", "id")[0]).collect()}
+    assert flags[1, 0] == (False, False) and flags[2, 0] == (True, True)
+    assert flags[3, 0] == flags[4, 0] == (True, False) and flags[5, 0][0]
+    cases = [("[]", '{"contains":{}}', 1), ("[1]", '{"contains":{"type":"string"}}', 1), ("{}", '{"contains":{}}', 0), ("{}", "false", 1),
+             ('{"a":[{"b":{}},[],null]}', '{"additionalProperties":{"items":{"not":{"type":"array"}}}}', 1),
+             ('{"a":{}}', '{"properties":{"a":{"type":"object"}}}', 0), ('{"a":null}', '{"properties":{"a":{"type":"null"}}}', 0),
+             ("1", '{"anyOf":[{"type":"string"},{"type":"array"}]}', 1), ("[[]]", '{"oneOf":[{},{"items":{"maxItems":1}}]}', 1)]
+    df = spark.createDataFrame([(i, v, s) for i, (v, s, _) in enumerate(cases)], "i int, t string, s string")
+    out = validate_rows(df.withColumn("v", F.parse_json("t")), "v", "s")
+    got = {r.i: r.n for r in out.select("i", F.size("violations").alias("n")).collect()}
+    assert got == {i: n for i, (_, _, n) in enumerate(cases)}

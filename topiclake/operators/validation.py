@@ -13,6 +13,9 @@ Each level is checkpointed. A value that is met by many nodes travels once for e
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +56,11 @@ def _own(v: Column) -> Column:
         "numbers", lambda x: F.coalesce(dec == exact_decimal(x["text"]), num == x["number"])))
     texts = F.transform(arr, lambda x: F.to_json(x))
 
+    none = F.array().cast("array<string>")
+
     def said(cond: Column, what: str | Column) -> Column:
-        return F.when(cond, F.concat(path, F.lit(": "), what if isinstance(what, Column) else F.lit(what)))
+        text = F.concat(path, F.lit(": "), what if isinstance(what, Column) else F.lit(what))
+        return F.when(cond, F.filter(F.array(text), lambda x: x.isNotNull())).otherwise(none)
 
     found = [
         said(F.col("never"), "no value allowed"),
@@ -73,13 +79,13 @@ def _own(v: Column) -> Column:
         said(is_arr & (F.size(arr) > F.col("max_items")), "maxItems"),
         said(is_arr & F.col("distinct_items") & (F.size(F.array_distinct(texts)) < F.size(arr)), "uniqueItems"),
     ]
-    lists = [F.filter(F.array(*found), lambda x: x.isNotNull())]
+    lists = found  # arrays of at most one, joined in generated code
     missing = F.filter("required", lambda r: ~F.map_contains_key(obj, r))
     lists.append(F.when(is_obj, F.transform(missing, lambda r: F.concat(path, F.lit(": missing "), r))))
     needed = F.flatten(F.transform(F.filter("needs", lambda d: F.map_contains_key(obj, d["name"])),
                                    lambda d: F.filter(d["names"], lambda r: ~F.map_contains_key(obj, r))))
     lists.append(F.when(is_obj, F.transform(needed, lambda r: F.concat(path, F.lit(": missing "), r))))
-    return F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])
+    return F.concat(*[F.coalesce(x, none) for x in lists])
 
 
 def _children() -> Column:
@@ -129,22 +135,25 @@ class _Steps:
     def __init__(self, id_col: str):
         v = F.col("value")
         dec, num = _number_parts(v)
-        self.kind = variant_kind(v)
+        self.containers = {"_obj": F.try_variant_get(v, "$", "map<string,variant>"),
+                           "_arr": F.try_variant_get(v, "$", "array<variant>")}
+        # the schema of a variant walks through the whole value, so only scalars are asked for it
+        self.kind = (F.when(F.col("_obj").isNotNull(), "OBJECT").when(F.col("_arr").isNotNull(), "ARRAY")
+                     .otherwise(variant_kind(v)))
         self.tests = {"_is_num": number_matches(F.col("_kind")), "_is_str": F.col("_kind") == "STRING",
                       "_is_obj": F.col("_kind") == "OBJECT", "_is_arr": F.col("_kind") == "ARRAY"}
         self.parts = {
-            "_dec": F.when(F.col("_is_num"), dec), "_num": F.when(F.col("_is_num"), num),
+            "_dec": F.when(F.col("_is_num") & F.col("_counts"), dec), "_num": F.when(F.col("_is_num") & F.col("_counts"), num),
             "_text": F.when(F.col("_is_str"), F.try_variant_get(v, "$", "string")),
-            "_json": F.when(F.col("allowed").isNotNull(), F.to_json(v)),
-            "_obj": F.when(F.col("_is_obj"), F.try_variant_get(v, "$", "map<string,variant>")),
-            "_arr": F.when(F.col("_is_arr"), F.try_variant_get(v, "$", "array<variant>"))}
+            "_json": F.when(F.col("allowed").isNotNull(), F.to_json(v))}
+        self.none = F.array().cast("array<string>")
         self.out = [
             F.monotonically_increasing_id().alias("id"), F.col("up"), F.col("kind"), F.col("path"), F.col(id_col),
-            _own(v).alias("own"), _children().alias("children"), _has("any").alias("any"), _has("one").alias("one"),
+            F.when(F.col("_checks"), _own(v)).otherwise(self.none).alias("own"), _children().alias("children"), _has("any").alias("any"), _has("one").alias("one"),
             _has("if").alias("if"), F.when(F.col("_is_arr") & _has("contains"), F.col("min_contains")).alias("least"),
             F.when(F.col("_is_arr"), F.col("max_contains")).alias("most")]
-        self.none = F.array().cast("array<string>")
         ok = F.size("found") == 0
+        self.counts = F.when(F.col("kind").isin(*_LISTED), ~ok).otherwise(ok)
         self.counted = [
             *[F.flatten(F.collect_list(F.when(F.col("kind") == k, F.col("found")))).alias(f"_{k}") for k in _LISTED],
             *[F.count_if((F.col("kind") == k) & ok).alias(f"_n_{k}") for k in _COUNTED]]
@@ -162,20 +171,37 @@ class _Steps:
             said(F.col("any") & (n["any"] == 0), "anyOf"), said(F.col("one") & (n["one"] != 1), "oneOf"),
             said(n["not"] > 0, "not"), said(n["contains"] < F.col("least"), "contains"),
             said(n["contains"] > F.col("most"), "contains")), lambda x: x.isNotNull())
+        combines = F.col("any") | F.col("one") | (n["not"] > 0) | F.col("least").isNotNull() | F.col("most").isNotNull()
+        combined = F.when(combines, combined).otherwise(self.none)
         branch = F.when(F.col("if"), F.when(n["if"] > 0, F.col("_then")).otherwise(F.col("_else"))).otherwise(self.none)
         return F.concat("own", "_must", combined, branch).alias("found")
 
     def expanded(self, pairs: DataFrame, nodes: DataFrame, id_col: str) -> DataFrame:
         """A level's pairs with their own violations, what they combine, and the next pairs."""
-        df = pairs.join(nodes, [id_col, "node"]).withColumn("_kind", self.kind)
+        df = pairs.join(nodes, [id_col, "node"]).withColumns(self.containers).withColumn("_kind", self.kind)
         return df.withColumns(self.tests).withColumns(self.parts).select(*self.out).checkpoint(eager=True)
 
     def verdicts(self, level: DataFrame, below: DataFrame | None) -> DataFrame:
         """``up, kind, found`` of a level's pairs, from those of the level below."""
         if below is None:
             return level.withColumns(self.empty).select("up", "kind", self.found)
-        per = below.groupBy(F.col("up").alias("id")).agg(*self.counted)
-        return level.join(per, "id", "left").withColumns(self.filled).select("up", "kind", self.found)
+        # violations of what must be met, and matches of what is counted; nothing else changes a verdict
+        per = below.where(self.counts).groupBy(F.col("up").alias("id")).agg(*self.counted)
+        leaves = level.where(F.size("children") == 0).withColumns(self.empty).select("up", "kind", self.found)
+        inner = level.where(F.size("children") > 0).drop("children").join(per, "id", "left").withColumns(self.filled)
+        return inner.select("up", "kind", self.found).unionByName(leaves)
+
+
+def _with_flags(nodes: DataFrame) -> DataFrame:
+    """The nodes with ``_checks``, whether they say anything of a value itself, and ``_counts``, whether
+    they compare numbers."""
+    present = ["types", "low", "high", "multiple", "min_length", "max_length", "pattern", "allowed", "min_properties",
+               "max_properties", "min_items", "max_items"]
+    checks = functools.reduce(operator.or_, [F.col(c).isNotNull() for c in present]) | F.col("never") \
+        | F.col("distinct_items") | (F.size("required") > 0) | (F.size("needs") > 0)
+    counts = (F.col("low").isNotNull() | F.col("high").isNotNull() | F.col("multiple").isNotNull()
+              | F.col("numbers").isNotNull() | F.array_contains("types", "integer"))
+    return nodes.withColumns({"_checks": F.coalesce(checks, F.lit(True)), "_counts": F.coalesce(counts, F.lit(False))})
 
 
 _BUILT: dict[str, _Steps] = {}
@@ -202,7 +228,7 @@ def violations(rows: DataFrame, row_col: str, variant_col: str, schema_col: str)
     schemas = (complete.select(F.col(schema_col).alias("_schema")).distinct()
                .withColumn("_sid", F.monotonically_increasing_id()).checkpoint(eager=True))
     nodes, errors = schema_nodes(schemas, "_schema", "_sid")
-    nodes = broadcast_if_small(nodes)
+    nodes = broadcast_if_small(_with_flags(nodes))
     pairs = (complete.join(broadcast_if_small(schemas), complete[schema_col] == schemas["_schema"])
              .select(F.col(row_col).alias("up"), F.lit("root").alias("kind"), "_sid", F.lit(0).alias("node"),
                      F.lit("$").alias("path"), F.col(variant_col).alias("value")))
