@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .topiclog import TopicLog, is_missing_path
+from .topiclog import LOG_SCHEMA, TopicLog, is_missing_path
 
 INDEX_SCHEMA = "path string, topic string, partition int, n long, lo long, hi long"
 _PLACE = re.compile(r"/topic=([^/]*)/partition=([^/]*)/[^/]*$")
@@ -64,7 +64,7 @@ def file_index(spark: SparkSession, log: TopicLog, topics: list[str] | None = No
     """``path, topic, partition, n, lo, hi`` of the log's non-empty files (``hi`` is the last
     offset), after adding what is new to the stored index. The driver handles file names only."""
     try:
-        listed = [(p, *place) for p in spark.read.parquet(log.records_path).inputFiles() if (place := _place(p))]
+        listed = [(p, *place) for p in spark.read.schema(LOG_SCHEMA).parquet(log.records_path).inputFiles() if (place := _place(p))]
     except AnalysisException as e:
         if not is_missing_path(e):
             raise
