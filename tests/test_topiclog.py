@@ -180,6 +180,31 @@ def test_topic_partitions_rows_match_nested_form(spark, fx):
     assert flat == {(r.topic, r.partition, r.leader) for r in rows.where(F.col("partition").isNotNull()).collect()}
 
 
+def test_nested_metadata_has_an_entry_for_each_catalogue_row(spark):
+    catalog = spark.createDataFrame(
+        [("a", 2, None), ("a", 2, None), ("a", 3, None), ("b", 4, "down"), ("b", 4, "down"), ("c", 0, None),
+         (None, 1, None), (None, None, None), (None, None, None)], "topic string, partitions int, error string")
+    brokers = spark.createDataFrame([(7, "h7", 1), (3, "h3", 2)], tl.BROKER_SCHEMA)
+    leaders = spark.createDataFrame([("a", 0, 3), ("a", 1, 7), ("a", 1, 7)], "topic string, partition int, leader int")
+    m = tl.topic_metadata(catalog, brokers, leaders).collect()
+    assert len(m) == 1 and [tuple(b) for b in m[0].brokers] == [(3, "h3", 2), (7, "h7", 1)]
+    assert len(m[0].topics) == 9
+    flat = [(t.name, t.error, p.id, p.leader) if p else (t.name, t.error, None, None)
+            for t in m[0].topics for p in t.partitions or [None]]
+    assert sorted(map(str, flat)) == sorted(str(tuple(r)) for r in tl.topic_partitions(catalog, leaders).collect())
+
+
+def test_metadata_query_comes_through_the_nested_form(spark, fx):
+    from topiclake.plans.catalog import QUERIES
+    from conftest import SF_SMALL
+    df = QUERIES["topic_metadata"](spark, SF_SMALL)
+    assert "collect_list" in _plan(df) and "host" in _plan(df)
+    m = tl.topic_metadata(fx.log.catalog(spark), fx.log.brokers(spark), fx.log.leaders(spark)).first()
+    want = [(len(m.brokers), t.name, t.error, p.id if p else None, p.leader if p else None)
+            for t in m.topics for p in t.partitions or [None]]
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want))
+
+
 def test_kafka_rows_normalise_to_scan_columns(spark):
     from topiclake.sources import kafka
     raw = spark.createDataFrame(

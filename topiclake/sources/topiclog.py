@@ -376,31 +376,37 @@ def topic_partitions(catalog: DataFrame, leaders: DataFrame) -> DataFrame:
     ``leaders`` is the stored partition table; a partition it lacks has no leader. One
     equi-join over the catalogue, so it scales with the number of topics and partitions.
     """
+    return _with_leaders(catalog, leaders).select("topic", "error", "partition", "leader")
+
+
+def _with_leaders(catalog: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The catalogue's rows, with their own columns, once for each ``partition`` and its ``leader``."""
     count = F.when(F.col("error").isNull() & (F.col("partitions") > 0), F.col("partitions"))
-    parts = catalog.select("topic", "error", F.explode_outer(
+    parts = catalog.select("*", F.explode_outer(
         F.when(count.isNotNull(), F.sequence(F.lit(0), count - 1))).alias("partition"))
-    return parts.join(leaders, ["topic", "partition"], "left").select("topic", "error", "partition", "leader")
+    return parts.join(leaders, ["topic", "partition"], "left")
 
 
 def topic_metadata(catalog: DataFrame, brokers: DataFrame, leaders: DataFrame) -> DataFrame:
     """Cluster metadata as **one row**: ``brokers`` and ``topics`` nested lists, the
     shape a metadata call returns (``topics[i] = {name, error, partitions: [{id,
-    leader}]}``; a topic with an error has no partitions).
+    leader}]}``; a topic with an error has no partitions). ``topics`` has an entry for
+    each row of the catalogue, equal rows included.
 
     One shuffle by topic builds each topic's partition list; a global aggregate then
     nests all topics into the single row, so this form is bounded by the size of the
     cluster metadata. Analytics over many topics should use :func:`topic_partitions`.
     """
-    parts = topic_partitions(catalog, leaders)
-    per_topic = (parts.groupBy("topic", "error")
+    rows = catalog.groupBy("topic", "partitions", "error").agg(F.count(F.lit(1)).cast("int").alias("_rows"))
+    per_topic = (_with_leaders(rows, leaders).groupBy(*rows.columns)
                  .agg(F.sort_array(F.collect_list(
                      F.when(F.col("partition").isNotNull(), F.struct(F.col("partition").alias("id"), "leader"))))
-                      .alias("partitions")))
+                      .alias("_parts")))
     b = brokers.select(F.struct("id", "host", "port").alias("_b"),
                        F.lit(None).cast("struct<name:string,error:string,"
                                         "partitions:array<struct<id:int,leader:int>>>").alias("_t"))
-    t = per_topic.select(F.lit(None).cast("struct<id:int,host:string,port:int>").alias("_b"),
-                         F.struct(F.col("topic").alias("name"), "error", "partitions").alias("_t"))
+    t = per_topic.select(F.lit(None).cast("struct<id:int,host:string,port:int>").alias("_b"), F.explode(F.array_repeat(
+        F.struct(F.col("topic").alias("name"), "error", F.col("_parts").alias("partitions")), F.col("_rows"))).alias("_t"))
     return b.unionByName(t).agg(F.sort_array(F.collect_list("_b")).alias("brokers"),
                                 F.sort_array(F.collect_list("_t")).alias("topics"))
 
