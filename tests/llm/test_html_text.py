@@ -139,3 +139,33 @@ def test_hosts_with_long_pages_only_have_wrappers(spark, monkeypatch):
     rows = [(k, "http://l/", p) for k, p in enumerate(pages_of(random.Random(4), 8))]
     out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all("handbook" not in r.text for r in out)
+
+
+def test_wrappers_are_fitted_on_every_page_of_a_host(spark, monkeypatch):
+    """More kinds of pages on a host than any few of them show: the wording of each kind goes."""
+    rng = random.Random(31)
+    kinds = [("table", "tr", "td"), ("section", "div", "b"), ("ul", "li", "i"), ("dl", "dd", "em"), ("blockquote", "center", "u")]
+    notices = [prose(rng, 5) for _ in kinds]
+    rows, want = [], {}
+    for k in range(60):
+        a, b, c = kinds[k % 5]
+        own = [prose(rng, 8) for _ in range(rng.randrange(1, 6))]
+        body = "".join(f"<p>{x}" + "<br>".join([""] * rng.randrange(1, 4)) + "</p>" for x in own)
+        rows.append((k, "http://one/", f"<body><{a}><{b}><{c}>{notices[k % 5]}</{c}></{b}></{a}><div class=k{k % 5}>{body}</div></body>"))
+        want[k] = "\n".join(own)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for tasks in (1, 7):
+        assert {r.page_id: r.text for r in H.extract(pages.repartition(tasks)).collect()} == want
+    monkeypatch.setattr(H, "JOINED", 16)  # joined in rounds
+    got = {r.page_id: r.text for r in H.extract(pages).collect()}
+    assert all(got[k].endswith(want[k]) for k in want) and sum(got[k] == want[k] for k in want) > 50
+    wrapper = H.infer([r[2] for r in rows])
+    assert all(H.match(wrapper, H.stream(r[2])) is not None for r in rows)
+
+
+def test_wrappers_joined_in_any_order_know_the_same_texts():
+    pages = pages_of(random.Random(6), 30)
+    pages[7] = pages[7].replace("handbook", "leaflet")  # one page of thirty: the place is a slot
+    w = H.infer(pages)
+    assert "handbook" not in str(w) and w == H.infer(pages[::-1] + pages[:9])
+    assert all("Read our" in H.main_text(p, w) for p in pages)
